@@ -1,0 +1 @@
+"""Reserved: survey products arrive as complete files and carry no event time, so every job is a batch job."""
