@@ -63,17 +63,26 @@ def quantiles(
     wanted: Mapping[str, float],
     *,
     accuracy: int = 10_000,
+    direct_limit: int = 1_000_000,
 ) -> DataFrame:
     """Exact interpolated quantiles per key, one row per key with a column for each name.
 
-    A mergeable sketch brackets each quantile; one counting pass then gives the exact number
-    of rows below the bracket and only the distinct values inside it (about ``4/accuracy`` of
-    the group) are ranked. No task ever holds a whole group.
+    Groups are counted first. When the largest is at most ``direct_limit`` the built-in
+    percentile holds it easily. Beyond that a mergeable sketch brackets each quantile, one
+    pass counts the rows outside the bracket, and only the distinct values inside it (about
+    ``4/accuracy`` of the group) are ranked; no task ever holds a whole group.
     """
     keys = list(keys)
     v = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(
         *keys, F.col(value).cast("double").alias("_v")
     )
+    largest = v.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest <= direct_limit:
+        return v.groupBy(*keys).agg(*[F.percentile("_v", F.lit(float(q))).alias(n) for n, q in wanted.items()])
+    return _bracketed_quantiles(v, keys, wanted, accuracy)
+
+
+def _bracketed_quantiles(v: DataFrame, keys: list[str], wanted: Mapping[str, float], accuracy: int) -> DataFrame:
     names = list(wanted)
     margin = 2.0 / accuracy
     marks = []

@@ -78,10 +78,10 @@ VIEWS: dict[str, tuple[str, ...]] = {
            (p_partkey % 50 - 25) * 0.5e0 AS x, (FLOOR(p_partkey / 50e0) - 20) * 0.5e0 AS y,
            (p_retailprice / 100e0 - 8e0) * 10e0 AS signal, 1e0 + p_size / 10e0 AS noise FROM {part}) AS s""",
     ),
-    # Bins of 2x2 spaxels; spaxels below an SNR of 3 lie outside and carry a negative number.
+    # Bins of 2x2 spaxels, numbered from 1; spaxels below an SNR of 3 lie outside and carry a negative number.
     "binmap": (
-        """SELECT *, CASE WHEN snr >= 3 THEN bin_raw ELSE -bin_raw - 1 END AS bin_id FROM (
-           SELECT *, CAST(FLOOR(ix / 2e0) + 25 * FLOOR(iy / 2e0) AS BIGINT) AS bin_raw FROM {spaxel}) AS b""",
+        """SELECT *, CASE WHEN snr >= 3 THEN bin_raw ELSE -bin_raw END AS bin_id FROM (
+           SELECT *, CAST(1 + FLOOR(ix / 2e0) + 25 * FLOOR(iy / 2e0) AS BIGINT) AS bin_raw FROM {spaxel}) AS b""",
     ),
     "bin_result": (
         """SELECT bin_raw AS bin_id, (bin_raw * 37 % 200) - 100e0 AS v, 50e0 + bin_raw * 13 % 80 AS sigma,
