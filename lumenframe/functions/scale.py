@@ -151,3 +151,45 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str, start: int =
         .withColumn(name, F.col("_off") + inside + 1 + start)
         .drop("_m", "_part", "_off")
     )
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], value: str, *, parts: int = 100) -> DataFrame:
+    """Add ``_b``, the number of per-key splitters below the value: buckets of about equal
+    row counts that are ordered by value and never split equal values."""
+    keys = list(keys)
+    marks = [i / parts for i in range(1, parts)]
+    split = measured(df.groupBy(*keys).agg(F.percentile_approx(F.col(value).cast("double"), marks, 1000).alias("_s")))
+    out = on_keys(df, split, keys)
+    return out.withColumn("_b", F.size(F.filter("_s", lambda m: m < F.col(value)))).drop("_s")
+
+
+def top_rows(df: DataFrame, keys: Sequence[str], value: str, id: str, *, count: str) -> DataFrame:
+    """The ``count`` (a column, constant per key) rows of largest ``value`` per key, ties by id.
+
+    Whole buckets above the cut are kept by their counts; only the one bucket that holds the
+    cut is ranked, so a huge key never sits in one task.
+    """
+    keys = list(keys)
+    b = bucketed(df, keys, value)
+    sizes = b.groupBy(*keys, "_b").agg(F.count("*").alias("_c"))
+    above = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = measured(sizes.withColumn("_above", F.coalesce(F.sum("_c").over(above), F.lit(0))))
+    rows = b.join(sizes, [*keys, "_b"])
+    whole = rows.where(F.col("_above") + F.col("_c") <= F.col(count))
+    cut_in = rows.where((F.col("_above") < F.col(count)) & (F.col("_above") + F.col("_c") > F.col(count)))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(F.col(value).desc(), F.col(id)))
+    part = cut_in.withColumn("_r", rank).where(F.col("_above") + F.col("_r") <= F.col(count)).drop("_r")
+    return whole.unionByName(part).drop("_b", "_c", "_above")
+
+
+def next_value(df: DataFrame, keys: Sequence[str], value: str, *, parts: int = 100) -> DataFrame:
+    """Distinct values per key with the next larger one (``nxt``), without one window per key:
+    neighbours inside a bucket, and bucket ends through the small table of bucket minima."""
+    keys = list(keys)
+    b = bucketed(df.select(*keys, value).distinct(), keys, value, parts=parts)
+    inner = F.lead(value).over(Window.partitionBy(*keys, "_b").orderBy(value))
+    mins = b.groupBy(*keys, "_b").agg(F.min(value).alias("_mn"))
+    after = F.lead("_mn").over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_b"))
+    mins = measured(mins.select(*keys, "_b", after.alias("_after")))
+    out = b.withColumn("_in", inner).join(mins, [*keys, "_b"])
+    return out.select(*keys, value, F.coalesce("_in", "_after").alias("nxt"))
