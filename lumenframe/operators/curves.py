@@ -167,15 +167,15 @@ def merge_curves(blue: DataFrame, red: DataFrame, *, start: float, stop: float,
     n = int(round((stop - start) / step))
     grid = ends(blue, "b").join(ends(red, "r"), "nspec").withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n))))
     grid = grid.withColumn("wave", F.col("_i") * step + start).withColumn("curve_id", F.col("nspec"))
-    for name, c in (("_b", blue), ("_r", red)):
+    for name, c in (("_blue", blue), ("_red", red)):
         grid = interp_at(grid, c.withColumnRenamed("nspec", "curve_id"), x="wave", step=step, name=name)
     w = F.col("wave")
     alpha = F.when(F.col("r0") > F.col("b1"), ratio(w - F.col("b1"), F.col("r0") - F.col("b1"))).otherwise(0.5)
     value = (
         F.when(w < F.col("b0"), F.col("bv0"))
         .when(w > F.col("r1"), F.col("rv1"))
-        .when(w <= F.col("b1"), F.coalesce("_b", "bv1"))
-        .when(w >= F.col("r0"), F.coalesce("_r", "rv0"))
+        .when(w <= F.col("b1"), F.coalesce("_blue", "bv1"))
+        .when(w >= F.col("r0"), F.coalesce("_red", "rv0"))
         .otherwise(F.col("bv1") + (F.col("rv0") - F.col("bv1")) * alpha)
     )
     return grid.select("nspec", "wave", F.greatest(value, F.lit(floor)).alias("value"))

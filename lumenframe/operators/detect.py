@@ -3,20 +3,284 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenframe.functions.cells import plane_pairs
+from lumenframe.functions.exprs import MAD_TO_SIGMA
+from lumenframe.functions.scale import all_of, cut, number_rows, quantiles
+from lumenframe.operators.bins import running_mean_by
+from lumenframe.operators.spatial import not_near_catalogue, xmatch_sky
+from lumenframe.operators.spectra import clipped_centre
+from lumenframe.operators.walk import components
 
-def neighbour_edges(points: DataFrame, coords: Sequence[str], *, id: str = "id", keys: Sequence[str] = ()) -> DataFrame:
-    """Edges ``(a, b)`` between points whose integer coordinates differ by at most 1.
+# Fixed value: standard normal quantiles at 84 % minus 16 %.
+NORMAL_SPREAD = 1.988915766419506
+
+
+def neighbour_edges(points: DataFrame, coords: Sequence[str], *, id: str = "id", keys: Sequence[str] = (), faces_only: bool = False) -> DataFrame:
+    """Edges ``(a, b)`` between points whose integer coordinates differ by at most 1 (or in one
+    coordinate only).
 
     Each point is copied to one half of its neighbour positions, then met by an equi-join, so
     every edge appears once and a point takes part in a bounded number of rows.
     """
     shifts = [s for s in itertools.product((-1, 0, 1), repeat=len(coords)) if s > (0,) * len(coords)]
+    if faces_only:
+        shifts = [s for s in shifts if sum(abs(v) for v in s) == 1]
     offsets = F.array(*[F.struct(*[F.lit(v).alias(f"d{i}") for i, v in enumerate(s)]) for s in shifts])
     probe = points.select(F.col(id).alias("a"), *keys, *coords, F.explode(offsets).alias("o"))
     probe = probe.select("a", *keys, *[(F.col(c) + F.col(f"o.d{i}")).alias(c) for i, c in enumerate(coords)])
     return probe.join(points.select(F.col(id).alias("b"), *keys, *coords), [*keys, *coords]).select("a", "b")
+
+
+# --- calibration --------------------------------------------------------------------------
+
+
+def robust_sky(px: DataFrame, *, value: str = "data", sigma: float = 3.0, rounds: int = 10) -> DataFrame:
+    """Level, rms and rejected fraction after clipping about the median."""
+    out = clipped_centre(px, value=value, sigma=sigma, rounds=rounds)
+    return out.select(F.col("median").alias("level"), F.col("sigma").alias("rms"), (1 - F.col("n") / F.col("n_all")).alias("rejected"), "n")
+
+
+def noise_scale(voxel: DataFrame, *, per_wave: bool = False, min_good: int = 50, smooth: int = 51) -> DataFrame:
+    """Width of residual * sqrt(ivar) in units of a normal one, overall or per channel (at least
+    1, and 1 with few voxels, then smoothed over channels)."""
+    pull = voxel.where(F.col("ivar") > 0).select("iw", (F.col("data") * F.sqrt("ivar")).alias("pull"))
+    if not per_wave:
+        return quantiles(pull, [], "pull", {"lo": 0.16, "hi": 0.84}).select(((F.col("hi") - F.col("lo")) / NORMAL_SPREAD).alias("k"))
+    n = pull.groupBy("iw").agg(F.count("*").alias("n"))
+    k = quantiles(pull, ["iw"], "pull", {"lo": 0.16, "hi": 0.84}).join(n, "iw")
+    scale = F.when(F.col("n") >= min_good, F.greatest((F.col("hi") - F.col("lo")) / NORMAL_SPREAD, F.lit(1.0))).otherwise(1.0)
+    # One row per channel from here on.
+    return running_mean_by(k.select("iw", scale.alias("k")), "k", smooth, order="iw")
+
+
+def purity_scan(pos: DataFrame, neg: DataFrame, *, thresholds: Sequence[float], value: str = "snr") -> DataFrame:
+    """Counts of real and sign-flipped detections at each configured threshold, and the purity.
+    All thresholds are counted in one pass over each side."""
+
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        wide = df.agg(F.array(*[F.sum(F.when(F.col(value) >= float(t), 1).otherwise(0)) for t in thresholds]).alias("c"))
+        return wide.select(F.posexplode("c").alias("k", name))
+
+    marks = F.array(*[F.lit(float(t)) for t in thresholds])
+    out = counts(pos, "n_pos").join(counts(neg, "n_neg"), "k")
+    out = out.select(F.get(marks, F.col("k")).alias("threshold"), F.coalesce("n_pos", F.lit(0)).alias("n_pos"), F.coalesce("n_neg", F.lit(0)).alias("n_neg"))
+    return out.withColumn("purity", 1 - F.col("n_neg") / F.greatest(F.col("n_pos"), F.lit(1)))
+
+
+def choose_threshold(scan: DataFrame, *, target: float = 0.8, min_n: int = 15, floor: float | None = None, min_excess: int | None = None) -> DataFrame:
+    """The smallest threshold that is pure enough and trustworthy, raised to the floor; NULL
+    when there is none, which disables the path."""
+    ok = (F.col("purity") >= target) & (F.col("n_pos") >= min_n)
+    if min_excess is not None:
+        ok = ok & (F.col("n_pos") - F.col("n_neg") >= min_excess)
+    best = F.min(F.when(ok, F.col("threshold")))
+    chosen = best if floor is None else F.when(best.isNotNull(), F.greatest(best, F.lit(float(floor))))
+    return scan.agg(chosen.alias("min_snr"))
+
+
+def loudest_event(neg: DataFrame, *, margin: float = 1.1, value: str = "snr") -> DataFrame:
+    """The loudest sign-flipped voxel and the extreme threshold that follows."""
+    top = neg.agg(F.max(value).alias("loudest"))
+    return top.withColumn("threshold", F.when(F.col("loudest") != 0, F.col("loudest") * margin))
+
+
+# --- filtering and extraction -------------------------------------------------------------
+
+
+def gauss_taps(sigma: float, truncate: float = 4.0) -> list[tuple[int, float]]:
+    r = max(1, int(truncate * sigma + 0.5))
+    return [(o, math.exp(-0.5 * (o / sigma) ** 2)) for o in range(-r, r + 1)]
+
+
+def matched_filter(
+    voxel: DataFrame, *, spectral_sigma: float, spatial_sigma: float, bounds: dict[str, tuple[int, int]], coverage: float = 0.5, keys: Sequence[str] = ()
+) -> DataFrame:
+    """SNR of a separable Gaussian template, sum(w d k) / sqrt(sum(w k^2)); 0 where coverage is
+    below half of the median.
+
+    One pass per axis. Rows are first partitioned by the two other coordinates, so spreading
+    each voxel over the kernel and summing again happen inside a partition: a pass shuffles
+    every voxel once, not once per kernel tap.
+    """
+    keys = list(keys)
+    axes = ["iw", "iy", "ix"]
+    out = voxel.select(*keys, *axes, (F.col("ivar") * F.col("data")).alias("wd"), F.col("ivar").alias("w"))
+    for axis in axes:
+        taps = gauss_taps(spectral_sigma if axis == "iw" else spatial_sigma)
+        others = [*keys, *[a for a in axes if a != axis]]
+        lo, hi = bounds[axis]
+        k = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(v).alias("k")) for o, v in taps])
+        wide = out.repartition(*others).withColumn("_t", F.explode(k))
+        wide = wide.withColumn(axis, F.col(axis) + F.col("_t.o")).where(F.col(axis).between(lo, hi))
+        out = wide.groupBy(*others, axis).agg(F.sum(F.col("wd") * F.col("_t.k")).alias("wd"), F.sum(F.col("w") * F.col("_t.k") * F.col("_t.k")).alias("w"))
+    typical = quantiles(out.where("w > 0"), [], "w", {"m": 0.5}).select("m").scalar()
+    ok = (F.col("w") > 0) & (F.col("w") >= typical * coverage)
+    return out.select(*keys, *axes, F.when(ok, F.col("wd") / F.sqrt(F.nullif(F.col("w"), F.lit(0.0)))).otherwise(0.0).alias("snr"))
+
+
+def connected_voxels(voxel: DataFrame, *, threshold: float, id: str = "voxel_id") -> DataFrame:
+    """Connected groups of voxels above the threshold: peak position and value, and size."""
+    v = cut(voxel.where(F.col("snr") > threshold).withColumnRenamed(id, "id"))
+    comp = components(v, neighbour_edges(v, ("iw", "iy", "ix")))
+    peak = F.max(F.struct("snr", (-F.col("iw")).alias("a"), (-F.col("iy")).alias("b"), (-F.col("ix")).alias("c")))
+    out = v.join(comp, "id").groupBy(F.col("comp").alias("cand_id")).agg(peak.alias("p"), F.count("*").alias("npix"))
+    return out.select("cand_id", (-F.col("p.a")).alias("iw"), (-F.col("p.b")).alias("iy"), (-F.col("p.c")).alias("ix"), F.col("p.snr").alias("snr"), "npix")
+
+
+def dedupe_candidates(cand: DataFrame, *, dxy: int = 3, dw: int = 4, id: str = "cand_id") -> DataFrame:
+    """Drop candidates close to a kept stronger one (ties: the lower id is stronger).
+
+    Each round keeps every candidate without a stronger live neighbour and drops the
+    neighbours of the kept ones. That equals going through all candidates by strength, but
+    distant ones are decided in parallel. Only neighbours within the box meet.
+    """
+    c = cut(cand.select(F.col(id).alias("id"), "snr", "iw", "iy", "ix"))
+    # Cells are as large as the box; the test itself uses the whole numbers.
+    size = (("iw", dw), ("iy", dxy), ("ix", dxy))
+    a = c.select("id", F.col("snr").alias("sa"), *[F.col(x).alias("a" + x) for x, _ in size], *[(F.col(x) / float(s)).alias("ca" + x) for x, s in size])
+    b = c.select(F.col("id").alias("id2"), F.col("snr").alias("sb"), *[F.col(x).alias("b" + x) for x, _ in size], *[(F.col(x) / float(s)).alias("cb" + x) for x, s in size])
+    box = all_of([F.abs(F.col("a" + x) - F.col("b" + x)) <= s for x, s in size])
+    pairs = plane_pairs(a, b, big_xy=["ca" + x for x, _ in size], small_xy=["cb" + x for x, _ in size], radius=1.0, exact=box)
+    stronger = (F.col("sb") > F.col("sa")) | ((F.col("sb") == F.col("sa")) & (F.col("id2") < F.col("id")))
+    live_edges = cut(pairs.where(stronger).select(F.col("id").alias("weak"), F.col("id2").alias("strong")))
+    live, kept = c.select("id"), None
+    while not live.isEmpty():
+        top = cut(live.join(live_edges.select(F.col("weak").alias("id")), "id", "left_anti"))
+        kept = top if kept is None else kept.unionByName(top)
+        gone = live_edges.join(top.select(F.col("id").alias("strong")), "strong", "left_semi").select(F.col("weak").alias("id")).distinct()
+        live = cut(live.join(top, "id", "left_anti").join(gone, "id", "left_anti"))
+        alive = live.select(F.col("id").alias("weak"))
+        live_edges = cut(live_edges.join(alive, "weak", "left_semi").join(alive.withColumnRenamed("weak", "strong"), "strong", "left_semi"))
+    if kept is None:
+        return cand.limit(0)
+    return cand.join(kept.select(F.col("id").alias(id)), id, "left_semi")
+
+
+def coincidence_veto(cand: DataFrame, *, tolerance: int = 2, mad_k: float = 6.0, min_count: int = 8) -> DataFrame:
+    """Drop candidates in wavelength bins that hold far more of them than usual."""
+    width = 2 * tolerance + 1
+    rows = cand.withColumn("_wb", F.floor(F.col("iw") / width))
+    counts = rows.groupBy("_wb").agg(F.count("*").alias("_n"))
+    med = quantiles(counts, [], "_n", {"m": 0.5}).select("m").scalar()
+    dev = quantiles(counts.select(F.abs(F.col("_n") - med).alias("_d")), [], "_d", {"m": 0.5}).select("m").scalar()
+    limit = F.greatest(F.lit(float(min_count)), med + F.when(dev == 0, 1.0).otherwise(dev) * (mad_k * MAD_TO_SIGMA))
+    bad = counts.where(F.col("_n") > limit).select("_wb")
+    return rows.join(bad, "_wb", "left_anti").drop("_wb")
+
+
+def resolved_only(cand: DataFrame, voxel: DataFrame, *, sigma: float = 1.0, min_fraction: float = 0.3, id: str = "cand_id") -> DataFrame:
+    """Keep candidates whose neighbouring channels hold enough of the peak for a real line."""
+    off = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("_o")
+    probe = cand.select(id, "iw", "iy", "ix", off).withColumn("iw", F.col("iw") + F.col("_o"))
+    near = probe.join(voxel.select("iw", "iy", "ix", "data"), ["iw", "iy", "ix"])
+    s = near.groupBy(id).agg(F.max(F.when(F.col("_o") == 0, F.col("data"))).alias("p"), F.avg(F.when(F.col("_o") != 0, F.col("data"))).alias("m"))
+    ok = s.where((F.col("p") != 0) & (F.col("m") / F.nullif(F.col("p"), F.lit(0.0)) >= min_fraction * math.exp(-0.5 / sigma**2)))
+    return cand.join(ok.select(id), id, "left_semi")
+
+
+def away_from_edge(cand: DataFrame, covered: DataFrame, *, nx: int, ny: int, min_distance: float = 3.0) -> DataFrame:
+    """Keep candidates at least ``min_distance`` from every pixel without coverage."""
+    spark = cand.sparkSession
+    grid = spark.range(nx * ny).select((F.col("id") % nx).alias("ix"), F.floor(F.col("id") / nx).alias("iy"))
+    blank = grid.join(covered.select("ix", "iy"), ["ix", "iy"], "left_anti").select(F.col("ix").alias("bx"), F.col("iy").alias("by"))
+    dx, dy = F.col("ix") - F.col("bx"), F.col("iy") - F.col("by")
+    return plane_pairs(cand, blank, big_xy=("ix", "iy"), small_xy=("bx", "by"), radius=min_distance, how="left_anti", exact=dx * dx + dy * dy < min_distance**2)
+
+
+def candidate_vetoes(
+    cand: DataFrame, voxel: DataFrame, covered: DataFrame, *, nx: int, ny: int, sigma: float = 1.0, min_fraction: float = 0.3, min_npix: int = 3, max_npix: int = 5000, min_count: int = 8, min_distance: float = 3.0
+) -> DataFrame:
+    """Resolved width, size, coincidence in wavelength, distance to the coverage edge."""
+    out = resolved_only(cand, voxel, sigma=sigma, min_fraction=min_fraction)
+    out = out.where(F.col("npix").between(min_npix, max_npix))
+    out = coincidence_veto(out, min_count=min_count)
+    return away_from_edge(out, covered, nx=nx, ny=ny, min_distance=min_distance)
+
+
+def group_candidates(cand: DataFrame, *, radius: float = 0.0, id: str = "cand_id") -> DataFrame:
+    """Add ``group_id``, the smallest candidate id of its spatial single-linkage group.
+
+    Candidates at one pixel collapse to one position first, so a crowded pixel makes no pairs.
+    """
+    spots = cand.groupBy("ix", "iy").agg(F.min(id).alias("id"))
+    if radius <= 0:
+        return cand.join(spots.withColumnRenamed("id", "group_id"), ["ix", "iy"])
+    spots = cut(spots)
+    other = spots.select(F.col("id").alias("b"), F.col("ix").alias("bx"), F.col("iy").alias("by"))
+    edges = plane_pairs(spots, other, big_xy=("ix", "iy"), small_xy=("bx", "by"), radius=radius).where("id < b").select(F.col("id").alias("a"), "b")
+    comp = spots.join(components(spots, edges), "id").select("ix", "iy", F.col("comp").alias("group_id"))
+    return cand.join(comp, ["ix", "iy"])
+
+
+def group_significance(grouped: DataFrame, *, min_lines: int = 1) -> DataFrame:
+    """Combined SNR (root of the sum of squares) and member count per group."""
+    out = grouped.groupBy("group_id").agg(F.sqrt(F.sum(F.col("snr") * F.col("snr"))).alias("group_snr"), F.count("*").alias("n_lines"))
+    return out.where(F.col("n_lines") >= min_lines)
+
+
+def footprint_size(px: DataFrame, *, min_components: int = 100, max_size: float = 200.0, id: str = "id") -> DataFrame:
+    """Median size of the connected footprints of unmasked pixels, NULL if it is no mosaic."""
+    v = cut(px.select(F.col(id).alias("id"), "iy", "ix"))
+    sizes = components(v, neighbour_edges(v, ("iy", "ix"), faces_only=True)).groupBy("comp").agg(F.count("*").alias("size"))
+    n = sizes.agg(F.count("*").alias("n_components"))
+    med = quantiles(sizes, [], "size", {"m": 0.5}).select("m").scalar()
+    return n.select(
+        "n_components", F.when((F.col("n_components") >= min_components) & (med <= max_size), med).alias("footprint")
+    )
+
+
+def promote_candidates(
+    cand: DataFrame,
+    patches: DataFrame,
+    *,
+    min_snr: float | None,
+    group_min_lines: int | None = 2,
+    group_min_snr: float | None = 10.0,
+    extreme_snr: float | None = None,
+    radius_arcsec: float = 3.0,
+    aperture_arcsec: float = 2.0,
+    flag: float = 3.0,
+) -> DataFrame:
+    """Patches with the reliable line-only candidates appended.
+
+    A candidate without a continuum counterpart is promoted by its own SNR, by its group or by
+    an extreme SNR; a threshold of None disables that path. One per group, the strongest, and
+    none within the radius of a patch that is not a mask. Appended rows carry the provenance
+    flag and ids after the largest one.
+    """
+    lone = cand.where("no_counterpart")
+    promoted = F.lit(False)
+    if min_snr is not None:
+        promoted = promoted | (F.col("snr") >= min_snr)
+    if extreme_snr is not None:
+        promoted = promoted | (F.col("snr") >= extreme_snr)
+    if group_min_lines is not None and group_min_snr is not None:
+        strong = group_significance(lone, min_lines=group_min_lines).where(F.col("group_snr") >= group_min_snr)
+        lone = lone.join(strong.select("group_id", F.lit(True).alias("_g")), "group_id", "left")
+        promoted = promoted | F.coalesce(F.col("_g"), F.lit(False))
+    best = lone.where(promoted).groupBy("group_id").agg(F.max_by(F.struct("cand_id", "ra", "dec", "snr"), F.struct("snr", -F.col("cand_id"))).alias("b"))
+    best = best.select("b.*")
+    real = patches.where("type <> 'M'").select(F.col("patch_id").alias("id"), "ra", "dec")
+    taken = xmatch_sky(best.select(F.col("cand_id").alias("id"), "ra", "dec"), real, radius_arcsec=radius_arcsec).select(F.col("id_a").alias("cand_id"))
+    new = best.join(taken, "cand_id", "left_anti")
+    start = patches.agg(F.max("patch_id")).first()[0] or 0
+    new = number_rows(new, [F.col("snr").desc(), F.col("cand_id")], "patch_id", start=start)
+    size = aperture_arcsec / 3600.0
+    new = new.select(
+        "patch_id", "ra", "dec", F.lit(size).alias("a"), F.lit(size).alias("b"), F.lit(0.0).alias("angle"), F.lit(flag).alias("flag"), F.lit("T").alias("type")
+    )
+    return patches.select(*new.columns).unionByName(new)
+
+
+def line_only(cand: DataFrame, objects: DataFrame, *, radius: float = 4.0, id: str = "cand_id") -> DataFrame:
+    """Mark candidates without a continuum object nearby."""
+    free = not_near_catalogue(cand, objects, radius=radius).select(id, F.lit(True).alias("_free"))
+    return cand.join(free, id, "left").withColumn("no_counterpart", F.coalesce("_free", F.lit(False))).drop("_free")
+
+

@@ -43,10 +43,10 @@ def interp_at(
     """
     seg = segments(curves, keys=keys)
     last = F.coalesce(F.col("_x1"), F.col("_x0"))
-    seg = seg.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_x0") / step), F.floor(last / step))))
-    seg = seg.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_kb"), "_x0", "_y0", "_x1", "_y1")
-    q = asked.withColumn("_b", F.floor(F.col(x) / step))
-    on = (F.col("_b") == F.col("_kb")) & (F.col(x) >= F.col("_x0"))
+    seg = seg.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("_x0") / step), F.floor(last / step))))
+    seg = seg.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_key_bucket"), "_x0", "_y0", "_x1", "_y1")
+    q = asked.withColumn("_bucket", F.floor(F.col(x) / step))
+    on = (F.col("_bucket") == F.col("_key_bucket")) & (F.col(x) >= F.col("_x0"))
     on = on & F.when(F.col("_x1").isNull(), F.col(x) == F.col("_x0")).otherwise(F.col(x) < F.col("_x1"))
     for k in keys:
         on = on & (F.col(k) == F.col(f"_k_{k}"))
@@ -74,9 +74,9 @@ def interp_at(
 def band_join(df: DataFrame, bands: DataFrame, *, x: str = "wave", lo: str = "lo", hi: str = "hi", width: float = 50.0, how: str = "inner") -> DataFrame:
     """Rows with the bands that contain ``x`` (ends included). Bands are copied to the buckets
     they touch; the rows of ``df`` are never copied."""
-    b = bands.withColumn("_kb", F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))))
-    on = (F.col("_b") == F.col("_kb")) & (F.col(x) >= F.col(lo)) & (F.col(x) <= F.col(hi))
-    return df.withColumn("_b", F.floor(F.col(x) / width)).join(b, on, how).drop("_b", "_kb")
+    b = bands.withColumn("_key_bucket", F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))))
+    on = (F.col("_bucket") == F.col("_key_bucket")) & (F.col(x) >= F.col(lo)) & (F.col(x) <= F.col(hi))
+    return df.withColumn("_bucket", F.floor(F.col(x) / width)).join(b, on, how).drop("_bucket", "_key_bucket")
 
 
 def overlap_pairs(old: DataFrame, new: DataFrame, *, keys: Sequence[str], width: float) -> DataFrame:
@@ -85,12 +85,12 @@ def overlap_pairs(old: DataFrame, new: DataFrame, *, keys: Sequence[str], width:
     A pair sharing several buckets is kept in the first common one only. Columns of ``old``
     are ``lo, hi``, of ``new`` ``new_lo, new_hi``.
     """
-    a = old.withColumn("_b", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
-    b = new.withColumn("_b", F.explode(F.sequence(F.floor(F.col("new_lo") / width), F.floor(F.col("new_hi") / width))))
-    pairs = a.join(b, [*keys, "_b"])
+    a = old.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
+    b = new.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("new_lo") / width), F.floor(F.col("new_hi") / width))))
+    pairs = a.join(b, [*keys, "_bucket"])
     first = F.greatest(F.floor(F.col("lo") / width), F.floor(F.col("new_lo") / width))
     length: Column = F.least("hi", "new_hi") - F.greatest("lo", "new_lo")
-    return pairs.where((F.col("_b") == first) & (length > 0)).withColumn("overlap", length).drop("_b")
+    return pairs.where((F.col("_bucket") == first) & (length > 0)).withColumn("overlap", length).drop("_bucket")
 
 
 def overlap_rebin(old: DataFrame, new: DataFrame, *, keys: Sequence[str], new_id: str, width: float, value: str = "flux") -> DataFrame:
