@@ -30,7 +30,8 @@ def plane_pairs(
     Column names of both sides must differ, except for ``keys``. ``exact`` replaces the
     Euclidean test; it must never hold for items more than one cell apart.
     """
-    cell = max(radius, 1e-9)
+    # A hair wider than the radius, so that rounding never puts a pair two cells apart.
+    cell = max(radius, 1e-9) * (1 + 1e-9)
     left, right, names = big, small, []
     for i, (b, s) in enumerate(zip(big_xy, small_xy)):
         name = f"_cell{i}"
@@ -64,6 +65,8 @@ def sky_cells(big: DataFrame, small: DataFrame, *, big_radec: Sequence[str], sma
     The number of RA cells shrinks with cos(dec) and cells wrap at 360 degrees.
     """
 
+    radius_deg *= 1 + 1e-9
+
     def cells_in(zone: Column) -> Column:
         edge = F.least(F.greatest(F.abs(zone * radius_deg), F.abs((zone + 1) * radius_deg)), F.lit(90.0))
         return F.greatest(F.floor(F.cos(F.radians(edge)) * (360.0 / radius_deg)), F.lit(1))

@@ -45,10 +45,7 @@ def keyword_class(text: Column, *, nan_is_empty: bool = False) -> Column:
     empty = ["", "NONE", "NULL"] + (["NAN"] if nan_is_empty else [])
     out = F.lit(None).cast("string")
     for name, words in reversed(CLASS_KEYWORDS):
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | F.contains(t, F.lit(w))
-        out = F.when(hit, name).otherwise(out)
+        out = F.when(t.rlike("|".join(words)), name).otherwise(out)
     return F.when(t.isNotNull() & ~t.isin(empty), out)
 
 

@@ -42,7 +42,9 @@ def decode_flags(flags: Column, names: Sequence[str]) -> Column:
 
 
 def encode_flags(set_names: Column, names: Sequence[str]) -> Column:
-    return sum((F.when(F.array_contains(set_names, n), F.lit(1 << k).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for k, n in enumerate(names)), F.lit(0).cast("bigint"))
+    known = F.array(*[F.lit(n) for n in names])
+    one = F.lit(1).cast("bigint")
+    return F.aggregate(set_names, F.lit(0).cast("bigint"), lambda acc, n: acc.bitwiseOR(F.call_function("shiftleft", one, (F.array_position(known, n) - 1).cast("int"))))
 
 
 def observation_summary(exposures: DataFrame, *, by: str = "obs_id") -> DataFrame:
@@ -59,9 +61,9 @@ def observation_summary(exposures: DataFrame, *, by: str = "obs_id") -> DataFram
         F.array_join(F.array_sort(surveys), ",").alias("surveys"),
         F.min("wmin").alias("wmin"),
         F.max("wmax").alias("wmax"),
-        (F.countDistinct("mode") == 1).alias("one_mode"),
-        (F.countDistinct("resolution") == 1).alias("one_resolution"),
-        (F.countDistinct("arm") == F.count("*")).alias("distinct_arms"),
+        (F.min("mode") == F.max("mode")).alias("one_mode"),
+        (F.min("resolution") == F.max("resolution")).alias("one_resolution"),
+        (F.size(arms) == F.count("*")).alias("distinct_arms"),
     )
 
 

@@ -102,15 +102,19 @@ def overlap_weights(
     reach = fibre_radius + spaxel_radius
     pairs = plane_pairs(s, f, big_xy=("_sx", "_sy"), small_xy=("_fx", "_fy"), radius=reach, keys=keys)
     dx, dy = F.col("_sx") - F.col("_fx"), F.col("_sy") - F.col("_fy")
-    d = F.sqrt(dx * dx + dy * dy)
+    # Named columns keep the optimizer from repeating the distance inside the lens formula.
+    pairs = pairs.withColumn("_d", F.sqrt(dx * dx + dy * dy))
+    d = F.col("_d")
     if weighting == "overlap":
         w = lens_area(d, fibre_radius, spaxel_radius)
     else:
         near = F.greatest(d, F.lit(max(fibre_radius, spaxel_radius) * 1e-3))
         w = 1.0 / (near * near)
-    pairs = pairs.withColumn("_w", w).where("_w > 0")
-    total = F.sum("_w").over(Window.partitionBy(*keys, "spaxel_id"))
-    return pairs.select(*keys, "spaxel_id", "fibre_id", "nspec", (F.col("_w") / total).alias("weight"))
+    pairs = pairs.withColumn("_w", w)
+    pairs = pairs.withColumn("_total", F.sum("_w").over(Window.partitionBy(*keys, "spaxel_id")))
+    # Filtered after the window: pushed into the join, the lens formula would be evaluated for
+    # every candidate pair without sharing its parts.
+    return pairs.where("_w > 0").select(*keys, "spaxel_id", "fibre_id", "nspec", (F.col("_w") / F.col("_total")).alias("weight"))
 
 
 def target_times_ephemeris(target: DataFrame, ephemeris: DataFrame, template: Sequence[tuple[float, float]], *, radius_arcsec: float = 1.0) -> DataFrame:

@@ -239,9 +239,13 @@ def broaden_variable(spectra: DataFrame, *, truncate: float = 4.0, value: str =
         def sample(o: Column) -> Column:
             return F.get(v, F.greatest(F.lit(0), F.least(n - 1, i + o)))
 
-        top = F.aggregate(offsets, F.lit(0.0), lambda acc, o: acc + weight(o) * sample(o))
-        low = F.aggregate(offsets, F.lit(0.0), lambda acc, o: acc + weight(o))
-        return F.when(sg > 1e-3, top / low).otherwise(F.get(v, i))
+        # Each tap as (weight * sample, weight), summed together so that the weight is computed once.
+        taps = F.transform(offsets, lambda o: F.struct(weight(o).alias("w"), sample(o).alias("f")))
+        start = F.struct(F.lit(0.0).alias("top"), F.lit(0.0).alias("low"))
+        both = F.aggregate(
+            taps, start, lambda acc, p: F.struct((acc["top"] + p["w"] * p["f"]).alias("top"), (acc["low"] + p["w"]).alias("low")), lambda acc: acc["top"] / acc["low"]
+        )
+        return F.when(sg > 1e-3, both).otherwise(F.get(v, i))
 
     return spectra.withColumn(value, F.transform(F.sequence(F.lit(0), n - 1), one))
 

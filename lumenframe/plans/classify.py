@@ -50,7 +50,7 @@ def _(t):
 
 
 @query(
-    "rank_rows",
+    "rank_rows", fill="extra",
     fix="z",
     sql="""SELECT target_id, znum AS rank, z, class, CASE WHEN znum = 0 THEN target_id * 2 END AS extra FROM {zfit}
            WHERE znum < 3 AND target_id IN (SELECT target_id FROM {zfit} GROUP BY target_id HAVING count(*) > 3)""",

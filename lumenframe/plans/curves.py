@@ -112,7 +112,7 @@ def _(t):
 
 
 @query(
-    "fill_missing_fibres",
+    "fill_missing_fibres", fill="copied_from",
     fix="value",
     sql="""WITH n AS (SELECT unnest(range(1, 121)) AS nspec UNION SELECT nspec FROM {known_}),
            d AS (SELECT n.nspec, k.nspec AS src, row_number() OVER (PARTITION BY n.nspec ORDER BY abs(n.nspec - k.nspec), k.nspec) AS rn FROM n, {known_} AS k)
@@ -154,7 +154,7 @@ def _(t):
 
 
 @query(
-    "curve_lookup",
+    "curve_lookup", fill="curve_key",
     sql="""SELECT t.target_id, t.target_id % 120 AS nspec, CASE WHEN w.spaxel_id IS NOT NULL THEN 'spaxel' WHEN k.nspec IS NOT NULL THEN 'fibre' ELSE 'global' END AS source,
            CASE WHEN w.spaxel_id IS NOT NULL THEN t.target_id WHEN k.nspec IS NOT NULL THEN k.nspec END AS curve_key FROM {target} AS t
            LEFT JOIN (SELECT DISTINCT spaxel_id FROM {weights_} WHERE spaxel_id % 2 = 0) AS w ON w.spaxel_id = t.target_id LEFT JOIN {known_} AS k ON k.nspec = t.target_id % 120""",

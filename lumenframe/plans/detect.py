@@ -264,7 +264,7 @@ def _(t):
 
 
 @query(
-    "patch_checks",
+    "patch_checks", fill="patch_id",
     sql="""WITH r AS (SELECT target_id AS patch_id, znum, class, CASE WHEN target_id % 4 = 0 THEN NULL ELSE z END AS z, zwarn FROM {zfit}),
            p AS (SELECT patch_id, CASE WHEN patch_id % 23 = 0 THEN 0 ELSE a END AS a, b, type FROM {patch_} UNION ALL SELECT patch_id, a, b, type FROM {patch_} WHERE patch_id % 29 = 0),
            z AS (SELECT patch_id, bool_or(z IS NOT NULL) AS ok, max(zwarn) AS w FROM r GROUP BY patch_id)

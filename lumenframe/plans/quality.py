@@ -74,7 +74,7 @@ def digest_sql(src: str) -> str:
 
 
 @query(
-    "manifest_diff",
+    "manifest_diff", fill="files files_b bytes bytes_b",
     sql=f"""WITH a AS ({digest_sql('{manifest_a}')}), b AS ({digest_sql('{manifest_b}')}),
             f AS (SELECT COALESCE(x.component, y.component) AS component, CASE WHEN y.path IS NULL THEN 'missing' WHEN x.path IS NULL THEN 'extra' WHEN x.size <> y.size OR x.hash <> y.hash THEN 'changed' ELSE 'same' END AS s
                   FROM {{manifest_a}} AS x FULL JOIN {{manifest_b}} AS y ON x.path = y.path)

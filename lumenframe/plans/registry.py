@@ -55,13 +55,14 @@ def _expand(sql: str, done: dict[str, str]) -> str:
     return _NAME.sub(r"\1", sql)
 
 
-def duck_sql(sql: str, fix: Mapping[str, int]) -> str:
+def duck_sql(sql: str, fix: Mapping[str, int], fill: list[str]) -> str:
     views: dict[str, str] = {}
     body = _SEQ.sub(r"unnest(range(\1,\2+1,\3))", _expand(sql, views))
     head = ""
     if views:
         head = "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({t})" for n, t in views.items()) + "\n"
-    swap = ", ".join(f"floor(CAST({c} AS DOUBLE) * 1e{d} + 0.50001) / 1e{d} AS {c}" for c, d in fix.items())
+    parts = [f"floor(CAST({c} AS DOUBLE) * 1e{d} + 0.50001) / 1e{d} AS {c}" for c, d in fix.items()]
+    swap = ", ".join(parts + [f"COALESCE({c}, -1) AS {c}" for c in fill])
     return f"{head}SELECT *{f' REPLACE ({swap})' if swap else ''} FROM (\n{body}\n) AS result"
 
 
@@ -70,8 +71,9 @@ def shared(name: str, sql: str) -> None:
     SHARED[name] = sql
 
 
-def query(name: str, *, fix: str = "", digits: int = 6, sql: str | None = None):
-    """Register ``f(tables) -> DataFrame``; ``fix`` lists float columns as ``name`` or ``name:digits``."""
+def query(name: str, *, fix: str = "", fill: str = "", digits: int = 6, sql: str | None = None):
+    """Register ``f(tables) -> DataFrame``; ``fix`` lists float columns as ``name`` or
+    ``name:digits``, ``fill`` whole-number columns whose missing values become -1."""
     grid = {}
     for item in fix.split():
         col, _, d = item.partition(":")
@@ -80,11 +82,13 @@ def query(name: str, *, fix: str = "", digits: int = 6, sql: str | None = None):
     def register(f):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             out = f(Tables(spark, folder))
-            return out.withColumns({c: fixed(F.col(c).cast("double"), d) for c, d in grid.items()}) if grid else out
+            swap = {c: fixed(F.col(c).cast("double"), d) for c, d in grid.items()}
+            swap.update({c: F.coalesce(F.col(c), F.lit(-1)) for c in fill.split()})
+            return out.withColumns(swap) if swap else out
 
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = duck_sql(sql, grid)
+            ORACLES[name] = duck_sql(sql, grid, fill.split())
         return f
 
     return register

@@ -143,7 +143,7 @@ def _(t):
 
 
 @query(
-    "first_class_rank",
+    "first_class_rank", fill="rank zwarn",
     fix="z zerr",
     sql="""WITH m AS (SELECT target_id, min(znum) AS r FROM {zfit} WHERE class IN ('QSO', 'STAR') GROUP BY target_id),
            k AS (SELECT DISTINCT target_id, COALESCE(r, 0) AS rank, CASE WHEN r IS NULL THEN -1 ELSE 0 END AS flag FROM {zfit} LEFT JOIN m USING (target_id))
@@ -249,7 +249,7 @@ def _(t):
 
 
 @query(
-    "attach_scan",
+    "attach_scan", fill="n_star n_galaxy2",
     fix="z0 c0 zlast",
     sql="""WITH s AS (SELECT target_id, template, count(*) AS n, min(z) AS z0, max(z) AS zl, arg_min(chi2, (z, i)) AS c0 FROM {zscan} GROUP BY target_id, template)
            SELECT t.target_id, a.n AS n_star, b.n AS n_galaxy2, a.z0, a.c0, b.zl AS zlast FROM (SELECT target_id FROM {zfit} WHERE znum = 0) AS t

@@ -15,6 +15,8 @@ def local_session(cpus: int | str = 8, app: str = "lumenframe", memory: str = "1
         .config("spark.default.parallelism", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Small local data would otherwise be merged into one task after every shuffle.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("LUMENFRAME_MEMORY", memory))
         .config("spark.ui.enabled", "false")
