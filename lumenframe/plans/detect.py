@@ -240,7 +240,7 @@ def _(t):
     sql="""WITH o AS (SELECT obj_id, 10 + ox / 1000 AS ra, 20 + oy / 1000 AS dec, a, b, obj_id % 7 / 5e0 AS theta, row_number() OVER (ORDER BY flux DESC, obj_id) AS patch_id FROM {object})
            SELECT 0 AS patch_id, 10.02 AS ra, 20.01 AS dec, 0.05 AS a, 0.04 AS b, 0 AS angle, 0 AS flag, 'C' AS type
            UNION ALL SELECT patch_id, ra, dec, a * 7 * 0.0002, b * 7 * 0.0002, degrees(theta), 0, 'T' FROM o WHERE patch_id <= 60
-           UNION ALL SELECT 60 + row_number() OVER (ORDER BY c_custkey), 10 + c_custkey / 1e5, 20, 8 / 3600e0, 8 / 3600e0, 0, 0, 'M' FROM {customer} WHERE c_custkey % 11 = 0""",
+           UNION ALL SELECT least(60, (SELECT count(*) FROM {object})) + row_number() OVER (ORDER BY c_custkey), 10 + c_custkey / 1e5, 20, 8 / 3600e0, 8 / 3600e0, 0, 0, 'M' FROM {customer} WHERE c_custkey % 11 = 0""",
 )
 def _(t):
     objects = t.object.select("obj_id", (10 + F.col("ox") / 1000).alias("ra"), (20 + F.col("oy") / 1000).alias("dec"), "a", "b", (F.col("obj_id") % 7 / 5.0).alias("theta"), "flux", F.lit(0).alias("flag"))

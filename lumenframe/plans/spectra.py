@@ -251,6 +251,12 @@ def _(t):
     return sp.ivar_balance(t.pixel, mode="hybrid").select("spec_id", "arm", "pix", "ivar", "ivar_weight")
 
 
+# Red fluxes with a spread of scales and a few outliers.
+SCALED = """SELECT spec_id, arm, pix, wave, ivar, CASE WHEN arm = 'RED'
+  THEN flux * (1e0 + (spec_id % 13) / 100e0 + CASE WHEN spec_id % 50 = 0 THEN 0.5e0 ELSE 0e0 END) ELSE flux END AS flux FROM {pixel}"""
+shared("scaled_", SCALED)
+
+
 @query(
     "arms_ratio",
     fix="median sigma",
@@ -258,7 +264,7 @@ def _(t):
            p AS (SELECT spec_id, sum(flux * ivar) FILTER (arm = 'BLUE') / sum(ivar) FILTER (arm = 'BLUE') AS fb,
                  sum(flux * ivar) FILTER (arm = 'RED') / sum(ivar) FILTER (arm = 'RED') AS fr,
                  count(*) FILTER (arm = 'BLUE') AS nb, count(*) FILTER (arm = 'RED') AS nr
-                 FROM {pixel} WHERE wave BETWEEN 4280 AND 4350 AND ivar > 0 AND flux IS NOT NULL GROUP BY spec_id),
+                 FROM {scaled_} WHERE wave BETWEEN 4280 AND 4350 AND ivar > 0 AND flux IS NOT NULL GROUP BY spec_id),
            r0 AS (SELECT fb / fr AS x FROM p JOIN m USING (spec_id) WHERE least(nb, nr) >= 5 AND fb > 0 AND fr > 0 AND fb / fr BETWEEN 0.3 AND 10),
            r1 AS (SELECT x FROM r0 WHERE abs(x - (SELECT median(x) FROM r0)) <= 3 * (SELECT stddev_pop(x) FROM r0)),
            r2 AS (SELECT x FROM r1 WHERE abs(x - (SELECT median(x) FROM r1)) <= 3 * (SELECT stddev_pop(x) FROM r1)),
@@ -267,7 +273,7 @@ def _(t):
            CASE WHEN stddev_pop(x) < 0.02 THEN 'excellent' WHEN stddev_pop(x) < 0.04 THEN 'good' WHEN stddev_pop(x) < 0.06 THEN 'fair' ELSE 'poor' END AS quality FROM r3""",
 )
 def _(t):
-    return sp.arms_ratio(t.pixel, t.arm_meta, trim=0.0)
+    return sp.arms_ratio(t.sql(SCALED), t.arm_meta, trim=0.0)
 
 
 @query(
