@@ -26,6 +26,14 @@ def fill_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*cols)
 
 
+def _outer_join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join; columns of one name on both sides get the suffixes _1 and _2."""
+    both = [c for c in a.columns if c in b.columns and c not in keys]
+    a = a.withColumnsRenamed({c: c + "_1" for c in both})
+    b = b.withColumnsRenamed({c: c + "_2" for c in both})
+    return a.join(b, keys, "full_outer")
+
+
 def outer_merge(
     tables: Sequence[DataFrame | None], keys: Sequence[str], *, exclude: Sequence[str] = (), exclude_prefix: Sequence[str] = (), keys_first: bool = True
 ) -> tuple[DataFrame | None, int]:
@@ -43,9 +51,7 @@ def outer_merge(
         ready.append(fill_keys(t.drop(*drop), keys))
     if not ready:
         return None, -1
-    out = functools.reduce(lambda a, b: a.join(b, list(keys), "full_outer"), ready)
-    if len(out.columns) != sum(len(t.columns) for t in ready) - len(keys) * (len(ready) - 1):
-        raise ValueError("input tables share columns besides the keys")
+    out = functools.reduce(lambda a, b: _outer_join(a, b, list(keys)), ready)
     if keys_first:
         out = out.select(*keys, *[c for c in out.columns if c not in keys])
     return out, flag
