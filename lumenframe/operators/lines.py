@@ -27,21 +27,32 @@ def line_indices(pixel: DataFrame, bands: DataFrame, *, keys: Sequence[str] = ("
     """
     keys = list(keys)
     valid = usable(F.col("wave")) & usable(F.col(flux))
-    w = Window.partitionBy(*keys).orderBy("wave")
-    good = pixel.where(valid).withColumn("_step", F.lead("wave").over(w) - F.col("wave"))
-    # The pixel width is the distance of the first two valid pixels.
-    spec = pixel.groupBy(*keys).agg(F.min("wave").alias("_wmin"), F.max("wave").alias("_wmax"), F.count("*").alias("_all"))
-    info = good.groupBy(*keys).agg(
-        F.min_by("_step", "wave").alias("_dw"), F.count("*").alias("_valid"), F.min("wave").alias("_vmin"), F.max("wave").alias("_vmax")
+    whole = Window.partitionBy(*keys)
+    seen = pixel.select(*keys, "wave", F.col(flux).alias("_f"), valid.alias("_ok"))
+    # Numbers per spectrum as windows: the pixels are shuffled by spectrum once, and the sums
+    # per (spectrum, index) below stay in the same partitions.
+    next_wave = F.lead("wave").over(Window.partitionBy(*keys, "_ok").orderBy("wave"))
+    seen = seen.withColumns(
+        {
+            "_step": F.when(F.col("_ok"), next_wave - F.col("wave")),
+            "_wmin": F.min("wave").over(whole),
+            "_wmax": F.max("wave").over(whole),
+            "_all": F.count(F.lit(1)).over(whole),
+            "_valid": F.sum(F.when(F.col("_ok"), 1).otherwise(0)).over(whole),
+            "_vmin": F.min(F.when(F.col("_ok"), F.col("wave"))).over(whole),
+            "_vmax": F.max(F.when(F.col("_ok"), F.col("wave"))).over(whole),
+        }
     )
-    spec = spec.join(info, keys).where((F.col("_valid") >= F.col("_all") * 0.1) & (F.col("_valid") >= 3))
-    pad = (info.agg(F.max("_dw")).first()[0] or 0.0) / 2
+    # The pixel width is the distance of the first two valid pixels.
+    seen = seen.withColumn("_dw", F.max(F.when(F.col("_ok") & (F.col("wave") == F.col("_vmin")), F.col("_step"))).over(whole))
+    good = seen.where(F.col("_ok") & (F.col("_valid") >= F.col("_all") * 0.1) & (F.col("_valid") >= 3))
+    pad = (good.agg(F.max("_dw")).first()[0] or 0.0) / 2
     pieces = [F.struct(F.lit(p).alias("part"), F.col(f"b{2 * i + 1}").alias("lo"), F.col(f"b{2 * i + 2}").alias("hi")) for i, p in enumerate(PARTS)]
     parts = bands.select("name", F.explode(F.array(*pieces)).alias("p")).select(
         "name", "p.part", "p.lo", "p.hi", (F.col("p.lo") - pad).alias("_plo"), (F.col("p.hi") + pad).alias("_phi")
     )
-    px = band_join(good.select(*keys, "wave", F.col(flux).alias("_f")), parts, lo="_plo", hi="_phi", width=width)
-    px = px.join(spec.select(*keys, "_dw"), keys)
+    info = ("_wmin", "_wmax", "_vmin", "_vmax")
+    px = band_join(good.select(*keys, "wave", "_f", "_dw", *info), parts, lo="_plo", hi="_phi", width=width)
     h = F.col("_dw") / 2
     full = (F.col("wave") >= F.col("lo") + h) & (F.col("wave") <= F.col("hi") - h)
     left = (F.col("wave") < F.col("lo") + h) & (F.col("wave") > F.col("lo") - h)
@@ -54,11 +65,12 @@ def line_indices(pixel: DataFrame, bands: DataFrame, *, keys: Sequence[str] = ("
     sums = px.groupBy(*keys, "name").agg(
         *[F.sum(F.when(F.col("part") == p, F.col("_f") * share)).alias(f"_s_{p}") for p in PARTS],
         *[F.max(F.when((F.col("part") == p) & full, 1)).alias(f"_n_{p}") for p in PARTS],
+        *[F.first(c).alias(c) for c in info],
     )
     # Every spectrum with every index, measured or not: the index list is configuration.
     wanted = bands.select(F.collect_list(F.struct(*bands.columns)).alias("l")).scalar()
     every = pixel.select(*keys).distinct().withColumn("_b", F.explode(wanted)).select(*keys, "_b.*")
-    out = every.join(spec, keys, "left").join(sums, [*keys, "name"], "left")
+    out = every.join(sums, [*keys, "name"], "left")
 
     def total(p: str, lo: str, hi: str) -> Column:
         reached = (F.col("_vmin") <= F.col(hi)) & (F.col("_vmax") >= F.col(lo))

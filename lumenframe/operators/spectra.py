@@ -96,16 +96,17 @@ def cosmic_ray_mask(pixel: DataFrame, *, cut: float = 9.0, wing: int = 1) -> Dat
     return out.withColumn("ivar", F.when(grown(F.col("_spike"), wing), 0.0).otherwise(F.col("ivar"))).drop("_spike")
 
 
-def neighbours(good: Column, packed: Column, keys: Sequence[str], order: str) -> tuple[Column, Column]:
-    """Nearest good row at or before, and at or after, each row.
+def neighbours(good: Column, packed: Column, keys: Sequence[str], order: str, tie: Sequence[str] = ()) -> tuple[Column, Column]:
+    """Nearest good row at or before, and at or after, each row; ``tie`` puts good rows first
+    among rows at one place.
 
     The second uses a descending window: a frame open to the right would be quadratic.
     """
     value = F.when(good, packed)
-    before = F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(F.col(order)).rowsBetween(Window.unboundedPreceding, 0))
-    after = F.last(value, ignorenulls=True).over(
-        Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    part = Window.partitionBy(*keys)
+    frame = (Window.unboundedPreceding, 0)
+    before = F.last(value, ignorenulls=True).over(part.orderBy(F.col(order), *tie).rowsBetween(*frame))
+    after = F.last(value, ignorenulls=True).over(part.orderBy(F.col(order).desc(), *tie).rowsBetween(*frame))
     return before, after
 
 
@@ -207,16 +208,17 @@ def sky_valley_mask(
     """
     narrow = max(min_narrow, int(narrow_width / pixel_scale)) | 1
     wide = max(min_wide, int(wide_width / pixel_scale)) | 1
-    red = pixel.where(F.col("wave") >= start).withColumn("_n", F.count(F.lit(1)).over(whole()))
-    red = red.withColumn("_fill", F.col("ivar"))
-    red = fill_gaps(red, value="_fill", x="pix", good=F.col("ivar") > 0)
-    background = F.greatest(running_mean(F.col("_fill"), narrow), running_mean(F.col("_fill"), wide))
-    red = red.withColumn("_bg", background)
+    # The part redward of the start is a group of its own within each spectrum, so the mask
+    # needs no second pass over the pixels.
+    keys = (*SPECTRUM, "_red")
+    out = pixel.withColumn("_red", F.coalesce(F.col("wave") >= start, F.lit(False)))
+    out = out.withColumns({"_n": F.count(F.lit(1)).over(whole(keys)), "_fill": F.col("ivar")})
+    out = fill_gaps(out, value="_fill", x="pix", good=F.col("ivar") > 0, keys=keys)
+    out = out.withColumn("_bg", F.greatest(running_mean(F.col("_fill"), narrow, keys), running_mean(F.col("_fill"), wide, keys)))
     valley = (F.col("ivar") > 0) & (F.col("_bg") > 1e-10) & (F.col("ivar") < F.col("_bg") * threshold)
-    red = red.withColumn("_valley", valley & (F.col("_n") >= wide))
-    red = red.withColumn("ivar", F.when(grown(F.col("_valley"), wing), 0.0).otherwise(F.col("ivar")))
-    rest = pixel.where((F.col("wave") < start) | F.col("wave").isNull())
-    return rest.unionByName(red.select(*pixel.columns))
+    out = out.withColumn("_valley", F.col("_red") & valley & (F.col("_n") >= wide))
+    out = out.withColumn("ivar", F.when(grown(F.col("_valley"), wing, keys), 0.0).otherwise(F.col("ivar")))
+    return out.select(*pixel.columns)
 
 
 def broaden_variable(spectra: DataFrame, *, truncate: float = 4.0, value: str = "flux", sigma: str = "sigma") -> DataFrame:
@@ -423,76 +425,81 @@ def join_arms(pixel: DataFrame, *, order: Sequence[str], max_jump: float = 0.2,
 
 
 def _join_two(blue: DataFrame, red: DataFrame, max_jump: float, bad_mask: tuple[float, float] | None) -> DataFrame:
+    """One shuffle by spectrum: windows find the arm ends, the first row of each spectrum
+    brings the grid points of both arms along, and further windows interpolate and combine."""
     both = blue.withColumn("side", F.lit("b")).unionByName(red.withColumn("side", F.lit("r")))
     is_b, is_r = F.col("side") == "b", F.col("side") == "r"
     spec = Window.partitionBy("spec_id")
+    wave = F.col("wave")
     both = both.withColumns(
         {
-            "_bhi": F.max(F.when(is_b, F.col("wave"))).over(spec),
-            "_rlo": F.min(F.when(is_r, F.col("wave"))).over(spec),
-            "_blo": F.min(F.when(is_b, F.col("wave"))).over(spec),
-            "_rhi": F.max(F.when(is_r, F.col("wave"))).over(spec),
+            "_bhi": F.max(F.when(is_b, wave)).over(spec),
+            "_rlo": F.min(F.when(is_r, wave)).over(spec),
+            "_blo": F.min(F.when(is_b, wave)).over(spec),
+            "_rhi": F.max(F.when(is_r, wave)).over(spec),
             "_nb": F.sum(F.when(is_b, 1).otherwise(0)).over(spec),
             "_nr": F.sum(F.when(is_r, 1).otherwise(0)).over(spec),
+            "_first": F.row_number().over(spec.orderBy("side", "wave")) == 1,
         }
     )
+    step = 0.5 * (
+        ratio(F.col("_bhi") - F.col("_blo"), (F.col("_nb") - 1).cast("double")) + ratio(F.col("_rhi") - F.col("_rlo"), (F.col("_nr") - 1).cast("double"))
+    )
     both = both.withColumns(
         {
-            "_start": F.max(F.when(is_b & (F.col("wave") < F.col("_rlo")), F.col("wave"))).over(spec),
-            "_end": F.min(F.when(is_r & (F.col("wave") > F.col("_bhi")), F.col("wave"))).over(spec),
+            "_start": F.max(F.when(is_b & (wave < F.col("_rlo")), wave)).over(spec),
+            "_end": F.min(F.when(is_r & (wave > F.col("_bhi")), wave)).over(spec),
+            "_step": step,
+            "_over": F.coalesce(F.col("_bhi") > F.col("_rlo"), F.lit(False)),
         }
-    ).persist()
-    own = both.where((is_b & (F.col("wave") < F.col("_rlo"))) | (is_r & (F.col("wave") > F.col("_bhi"))))
-    step = 0.5 * (
-        ratio(F.col("_bhi") - F.col("_blo"), (F.col("_nb") - 1).cast("double"))
-        + ratio(F.col("_rhi") - F.col("_rlo"), (F.col("_nr") - 1).cast("double"))
-    )
-    info = both.where((F.col("_nb") > 0) & (F.col("_nr") > 0)).groupBy("spec_id").agg(
-        F.first("_start").alias("start"), F.first("_end").alias("end"), F.first(step).alias("step"),
-        F.first(F.col("_bhi") > F.col("_rlo")).alias("overlap"),
     )
-    n = F.floor((F.col("end") - F.col("start")) / F.col("step") + 0.5).cast("int") - 1
-    lo, hi = F.col("start") + F.col("step"), F.col("end") - F.col("step")
-    grid = info.withColumn("_n", n).where("_n >= 1").withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    at = lo + F.when(F.col("_n") > 1, (hi - lo) * F.col("_k") / F.nullif(F.col("_n") - 1, F.lit(0))).otherwise(0.0)
-    grid = grid.select("spec_id", at.alias("wave"), "overlap", "_k")
-    # Both arms interpolated at the grid points: one sorted window per spectrum and side.
-    part = both.where((F.col("_bhi") > F.col("_rlo")) & F.col("wave").between(F.col("_rlo"), F.col("_bhi")))
-    points = part.select("spec_id", "side", "wave", "flux", "ivar", F.lit(-1).alias("_k"), F.lit(True).alias("overlap"))
-    for side in ("b", "r"):
-        points = points.unionByName(
-            grid.select(
-                "spec_id", F.lit(side).alias("side"), "wave", F.lit(None).cast("double").alias("flux"), F.lit(None).cast("double").alias("ivar"), "_k", "overlap"
-            )
+    # Own pixels keep k = -1; samples of the overlap have k = -2 and serve the interpolation.
+    own = F.coalesce((is_b & (wave < F.col("_rlo"))) | (is_r & (wave > F.col("_bhi"))), F.lit(True))
+    none = F.lit(None).cast("double")
+    row = F.struct("side", F.when(own, -1).otherwise(-2).alias("k"), wave.alias("wave"), F.col("flux").cast("double").alias("flux"), F.col("ivar").cast("double").alias("ivar"))
+    n = F.floor((F.col("_end") - F.col("_start")) / F.col("_step") + 0.5).cast("int") - 1
+    lo, hi = F.col("_start") + F.col("_step"), F.col("_end") - F.col("_step")
+    at = lambda k: lo + F.when(n > 1, (hi - lo) * k / F.nullif(n - 1, F.lit(0))).otherwise(0.0)
+
+    def points(name: str) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), n - 1),
+            lambda k: F.struct(F.lit(name).alias("side"), k.alias("k"), at(k).alias("wave"), none.alias("flux"), none.alias("ivar")),
         )
-    before, after = neighbours((F.col("_k") < 0) & F.col("flux").isNotNull(), F.struct("wave", "flux", "ivar"), ("spec_id", "side"), "wave")
-    # Ties in wave: a grid point on a pixel sees it from one side at least, so it is exact.
-    points = points.withColumns({"_bf": before, "_af": after}).where("_k >= 0")
-    fl = interpolated(F.col("wave"), F.col("_bf"), F.col("_af"), "wave", "flux")
-    iv = interpolated(F.col("wave"), F.col("_bf"), F.col("_af"), "wave", "ivar")
-    points = points.select("spec_id", "side", "_k", "wave", "overlap", fl.alias("flux"), iv.alias("ivar"))
-    tiny = 1.0 / LARGE_ERROR**2
-    wt = F.when(F.col("ivar") == 0, tiny).otherwise(F.col("ivar"))
-    mixed = points.groupBy("spec_id", "_k").agg(
-        F.first("wave").alias("wave"),
-        F.first("overlap").alias("overlap"),
-        ratio(F.sum(F.col("flux") * wt), F.sum(wt)).alias("flux"),
-        F.sum(wt).alias("ivar"),
-        F.max(F.when(is_b, F.col("flux"))).alias("_fb"),
-        F.max(F.when(is_r, F.col("flux"))).alias("_fr"),
+
+    more = F.when(F.col("_first") & (n >= 1), F.concat(points("b"), points("r")))
+    rows = both.select("spec_id", "_over", F.explode(F.concat(F.array(row), F.coalesce(more, F.array().cast("array<struct<side:string,k:int,wave:double,flux:double,ivar:double>>")))).alias("e"))
+    rows = rows.select("spec_id", "_over", "e.*")
+    good = (F.col("k") == -2) & F.col("flux").isNotNull()
+    before, after = neighbours(good, F.struct("wave", "flux", "ivar"), ("spec_id", "side"), "wave", tie=("k",))
+    rows = rows.withColumns({"_bf": before, "_af": after}).where("k >= -1")
+    grid = F.col("k") >= 0
+    rows = rows.withColumns(
+        {
+            "flux": F.when(grid, interpolated(wave, F.col("_bf"), F.col("_af"), "wave", "flux")).otherwise(F.col("flux")),
+            "ivar": F.when(grid, interpolated(wave, F.col("_bf"), F.col("_af"), "wave", "ivar")).otherwise(F.col("ivar")),
+        }
     )
-    mb, mr = F.median("_fb").over(spec), F.median("_fr").over(spec)
-    bad = F.abs(mb - mr) / F.greatest(mb, mr, F.lit(1e-10)) > max_jump
-    mixed = mixed.withColumn("bad_overlap", F.coalesce(bad, F.lit(False)) & F.col("overlap"))
-    keep = F.col("overlap") & ~F.col("bad_overlap")
-    mixed = mixed.select(
-        "spec_id", "wave", F.when(keep, F.col("flux")).otherwise(0.0).alias("flux"), F.when(keep, F.col("ivar")).otherwise(0.0).alias("ivar"), "bad_overlap"
+    weight = F.when(F.col("ivar") == 0, 1.0 / LARGE_ERROR**2).otherwise(F.col("ivar"))
+    single = F.when(F.col("k") == -1, wave)
+    out = rows.withColumn("_own", single).groupBy("spec_id", "k", "_own", "_over").agg(
+        F.min("wave").alias("wave"),
+        ratio(F.sum(F.col("flux") * weight), F.sum(weight)).alias("_mix"),
+        F.sum(weight).alias("_sum"),
+        F.max("flux").alias("_flux"),
+        F.max("ivar").alias("_ivar"),
+        F.max(F.when(grid & is_b, F.col("flux"))).alias("_fb"),
+        F.max(F.when(grid & is_r, F.col("flux"))).alias("_fr"),
     )
-    out = own.select("spec_id", "wave", "flux", "ivar", F.lit(False).alias("bad_overlap")).unionByName(mixed)
+    mb, mr = F.median("_fb").over(spec), F.median("_fr").over(spec)
+    bad = F.col("_over") & (F.abs(mb - mr) / F.greatest(mb, mr, F.lit(1e-10)) > max_jump)
+    out = out.withColumn("_bad", F.coalesce(bad, F.lit(False)))
+    keep = F.col("_over") & ~F.col("_bad")
+    flux = F.when(~grid, F.col("_flux")).when(keep, F.col("_mix")).otherwise(0.0)
+    ivar = F.when(~grid, F.col("_ivar")).when(keep, F.col("_sum")).otherwise(0.0)
     if bad_mask is not None:
-        hit = F.bool_or("bad_overlap").over(spec) & F.col("wave").between(*bad_mask)
-        out = out.withColumn("ivar", F.when(hit, 0.0).otherwise(F.col("ivar")))
-    return out.drop("bad_overlap")
+        ivar = F.when(F.col("_bad") & wave.between(*bad_mask), 0.0).otherwise(ivar)
+    return out.select("spec_id", "wave", flux.alias("flux"), ivar.alias("ivar"))
 
 
 def clean_spectra(
