@@ -119,6 +119,8 @@ def matched_filter(
         wide = out.repartition(*others).withColumn("_t", F.explode(k))
         wide = wide.withColumn(axis, F.col(axis) + F.col("_t.o")).where(F.col(axis).between(lo, hi))
         out = wide.groupBy(*others, axis).agg(F.sum(F.col("wd") * F.col("_t.k")).alias("wd"), F.sum(F.col("w") * F.col("_t.k") * F.col("_t.k")).alias("w"))
+    # Read several times below; a checkpoint is cheaper than three more shuffles each time.
+    out = cut(out)
     typical = quantiles(out.where("w > 0"), [], "w", {"m": 0.5}).select("m").scalar()
     ok = (F.col("w") > 0) & (F.col("w") >= typical * coverage)
     return out.select(*keys, *axes, F.when(ok, F.col("wd") / F.sqrt(F.nullif(F.col("w"), F.lit(0.0)))).otherwise(0.0).alias("snr"))

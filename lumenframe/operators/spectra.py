@@ -367,6 +367,13 @@ def spectrum_snr(pixel: DataFrame, *, keys: Sequence[str] = SPECTRUM) -> DataFra
     )
 
 
+def with_snr(pixel: DataFrame, *, keys: Sequence[str] = SPECTRUM) -> DataFrame:
+    """The same SNR as a column of every pixel; no second pass and no join."""
+    good = F.sum(F.when(F.col("ivar") > 0, 1).otherwise(0)).over(whole(keys))
+    mean = F.avg(F.when(F.col("ivar") > IVAR_FLOOR, F.col("flux") * F.sqrt("ivar"))).over(whole(keys))
+    return pixel.withColumn("snr", F.when(good * 2 >= F.count(F.lit(1)).over(whole(keys)), mean))
+
+
 def signal_noise(pixel: DataFrame, *, keys: Sequence[str] = ("spec_id",)) -> DataFrame:
     """Mean flux, root mean square error and their ratio over usable pixels."""
     ok = (F.col("ivar") > IVAR_FLOOR) & F.col("flux").isNotNull()
@@ -544,9 +551,7 @@ def clean_spectra(
         out = deredden(out, transmission, step=transmission_step)
     if ratios:
         out = apply_arms_ratio(out, ratios)
-    good = F.sum(F.when(F.col("ivar") > 0, 1).otherwise(0)).over(whole())
-    mean = F.avg(F.when((F.col("ivar") > IVAR_FLOOR), F.col("flux") * F.sqrt("ivar"))).over(whole())
-    return out.withColumn("snr", F.when(good * 2 >= F.count(F.lit(1)).over(whole()), mean))
+    return with_snr(out)
 
 
 def clipped_centre(values: DataFrame, *, value: str, sigma: float = 3.0, rounds: int = 3) -> DataFrame:

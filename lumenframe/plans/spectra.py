@@ -236,8 +236,7 @@ def _(t):
 )
 def _(t):
     stack = sp.coadd_ivar(sp.dilate_mask(sp.mask_invalid(t.pixel), k=1), t.spec_class)
-    snr = sp.spectrum_snr(stack, keys=["grp", "arm"]).drop("n_good")
-    return stack.join(snr, ["grp", "arm"])
+    return sp.with_snr(stack, keys=["grp", "arm"])
 
 
 @query(
