@@ -62,15 +62,16 @@ def quantiles(
     value: str,
     wanted: Mapping[str, float],
     *,
-    accuracy: int = 10_000,
+    accuracy: int | None = None,
     direct_limit: int = 1_000_000,
 ) -> DataFrame:
     """Exact interpolated quantiles per key, one row per key with a column for each name.
 
     Groups are counted first. When the largest is at most ``direct_limit`` the built-in
     percentile holds it easily. Beyond that a mergeable sketch brackets each quantile, one
-    pass counts the rows outside the bracket, and only the distinct values inside it (about
-    ``4/accuracy`` of the group) are ranked; no task ever holds a whole group.
+    pass counts the rows outside the bracket, and only the distinct values inside it are
+    ranked. Sketch and bracket both grow with the square root of the largest group, so no
+    task ever holds a whole group.
     """
     keys = list(keys)
     v = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(
@@ -79,6 +80,7 @@ def quantiles(
     largest = v.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if largest <= direct_limit:
         return v.groupBy(*keys).agg(*[F.percentile("_v", F.lit(float(q))).alias(n) for n, q in wanted.items()])
+    accuracy = accuracy or int(min(max(4 * largest**0.5, 10_000), 1_000_000))
     return _bracketed_quantiles(v, keys, wanted, accuracy)
 
 

@@ -121,8 +121,12 @@ def adaptive_flux_filter(
     zones = {"safe": (2.0, 3.0, 5.0), "transition": (delta,), "percentile": ()}[mode]
     off = F.abs(F.col("signal") / F.col("noise") - snr)
     table = spaxel.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.sum(F.when(off <= z, 1).otherwise(0)).alias(f"_n{i}") for i, z in enumerate(zones)])
-    for i, z in enumerate(zones):
-        table = table.join(quantiles(spaxel.where(off <= z), keys, "signal", {f"_t{i}": 0.5}), keys, "left")
+    if zones:
+        # A spaxel belongs to every zone it is close enough for; one call gives all medians.
+        member = F.array_compact(F.array(*[F.when(off <= z, F.lit(i)) for i, z in enumerate(zones)]))
+        mid = quantiles(spaxel.select(*keys, "signal", F.explode(member).alias("_z")), [*keys, "_z"], "signal", {"_t": 0.5})
+        mid = mid.groupBy(*keys).agg(*[F.max(F.when(F.col("_z") == i, F.col("_t"))).alias(f"_t{i}") for i in range(len(zones))])
+        table = table.join(mid, keys, "left")
     table = table.join(quantiles(spaxel.where("signal > 0"), keys, "signal", {"_tp": percentile / 100.0}), keys, "left")
     table = measured(table)
     rows = on_keys(spaxel, table, keys)
