@@ -30,18 +30,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/lumenframe/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, *, release: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and go on with the written table.
 
-    This cuts the lineage, survives lost executors and gives the planner true sizes. Shuffle
-    files that only the written plan needed are released by collecting garbage.
+    This cuts the lineage, survives lost executors and gives the planner true sizes. With
+    ``release`` garbage is collected, so that Spark deletes the shuffle files of plans that are
+    done: for tables behind which large shuffles lie.
     """
     spark, schema = df.sparkSession, df.schema
     path = new_path(spark, name)
     df.write.parquet(path)
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if release:
+        del df
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 
