@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import exact_dedup, mixing, near_dedup
+from lumenframe.llm import exact_dedup, mixing, near_dedup, packing, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,22 @@ def _near(spark, folder):
     return near_dedup.near_groups(table(spark, folder, "documents"), method=method)
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_packing")
+def _packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), vocabulary())
+
+
+@query("op3_token_count")
+def _tokens(spark, folder):
+    return token_count.token_counts(table(spark, folder, "documents"), vocabulary())
+
+
 _FLAT = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
