@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.llm.base import stage
-from lumenframe.llm.pieces import Cache, pieces
+from lumenframe.llm.pieces import PRE_TOKEN, Cache, pieces
 
 MAX_SOURCES = 100_000  # the mixture is read by the driver; more sources need coarser names
 
@@ -22,26 +22,32 @@ MAX_SOURCES = 100_000  # the mixture is read by the driver; more sources need co
 class TokenIds:
     """Ids of a tokenizers .json file as bytes, through a bounded cache over pieces of text."""
 
-    def __init__(self, path: str, cache: int = 400_000):
+    def __init__(self, path: str, cache: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.piece = Cache(lambda p: self.encode([" " + p])[0], cache)
+        self.word = Cache(lambda w: self.encode([w])[0], cache)
+        self.piece = Cache(lambda p: b"".join(map(self.word.__getitem__, PRE_TOKEN.findall(" " + p))), cache)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Texts with special strings go to the library whole, others piece by piece."""
+        """Texts with special strings go to the library whole, others piece by piece; a piece of
+        several pre-tokens is put together, so the library sees each pre-token once."""
         cut = [[] if any(s in t for s in self.special) else pieces(t) for t in texts]
-        new = list({p for c in cut for p in c[1:] if not self.piece.known(p)})
-        for p, ids in zip(new, self.encode([" " + p for p in new]), strict=True):
-            self.piece.put(p, ids)
+        seen = set().union(*cut)
+        new = seen - self.piece.keys() - self.piece.old.keys()
+        fresh = {w for p in new for w in PRE_TOKEN.findall(" " + p)} - self.word.keys() - self.word.old.keys()
+        fresh = list(fresh)
+        for w, ids in zip(fresh, self.encode(fresh), strict=True):
+            self.word.put(w, ids)
         first = self.encode([c[0] if c else t for c, t in zip(cut, texts, strict=True)])
-        return [b"".join([f, *map(self.piece.__getitem__, c[1:])]) for f, c in zip(first, cut, strict=True)]
+        look = self.piece.__getitem__
+        return [b"".join([f, *map(look, c[1:])]) for f, c in zip(first, cut, strict=True)]
 
 
 @functools.cache

@@ -13,12 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.llm.pieces import Cache, pieces
-
-# The pre-tokenizer pattern of byte-level vocabularies, its \s written as Unicode's
-# White_Space property.
-_WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PRE_TOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+from lumenframe.llm.pieces import PRE_TOKEN, Cache, pieces
 
 
 def byte_symbols() -> list[str]:
