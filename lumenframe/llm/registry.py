@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import exact_dedup, mixing, near_dedup, packing, token_count
+from lumenframe.llm import exact_dedup, language_id, lm_score, mixing, near_dedup, packing, token_count
+from lumenframe.llm.base import learns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +62,19 @@ def _exact(spark, folder):
     return exact_dedup.exact_groups(table(spark, folder, "documents"), keep="largest")
 
 
+@query("op5_lm_score")
+def _score(spark, folder):
+    out = lm_score.score_documents(table(spark, folder, "documents"), learn=learns(F.col("doc_id"), 7, 2))
+    return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op10_language_id")
+def _language(spark, folder):
+    docs = table(spark, folder, "documents")
+    out = language_id.identify(docs, learn=learns(F.col("doc_id"), 4, 2))
+    return out.select("doc_id", (~learns(F.col("doc_id"), 4, 2)).alias("held_out"), "lang_pred", "score")
+
+
 @query("op6_mixing", r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
