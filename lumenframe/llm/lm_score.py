@@ -69,7 +69,7 @@ def ppm_scores(docs: DataFrame, learn: DataFrame, order: int) -> tuple[list[list
     return sets, scorers
 
 
-def score_documents(docs: DataFrame, *, learn: Column, id: str = "doc_id", text: str = "text", order: int = 4) -> DataFrame:
+def score_documents(docs: DataFrame, *, learn: Column, id: str = "doc_id", text: str = "text", order: int = 5) -> DataFrame:
     """log10 probability of each text under byte PPM and under add-one word unigrams.
 
     Both models learn from all rows where ``learn`` holds. Their statistics are counted by Spark

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import exact_dedup, language_id, lm_score, mixing, near_dedup, packing, token_count
+from lumenframe.llm import exact_dedup, language_id, lm_score, mixing, near_dedup, packing, suffix_dedup, token_count
 from lumenframe.llm.base import learns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,11 @@ def _score(spark, folder):
     return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query("op8_suffix_array_dedup")
+def _suffixes(spark, folder):
+    return suffix_dedup.cut_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query("op10_language_id")
 def _language(spark, folder):
     docs = table(spark, folder, "documents")

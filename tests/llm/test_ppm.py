@@ -71,7 +71,7 @@ def test_scores(spark, monkeypatch, shard):
     docs = spark.createDataFrame(rows, "doc_id long, text string, score int").repartition(3)
     got = lm_score.score_documents(docs, learn=learns(F.col("doc_id"), 7, 2)).collect()
     train = [t for i, t, _ in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
-    plain, count = Plain(train, 4), Counter()
+    plain, count = Plain(train, 5), Counter()
     for t in train:
         count.update([*stream(t).split(), None])
     total, kinds = sum(count.values()), len(count)
