@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import exact_dedup, language_id, lm_score, mixing, near_dedup, packing, suffix_dedup, token_count
+from lumenframe.llm import ann, exact_dedup, language_id, lm_score, mixing, near_dedup, packing, suffix_dedup, token_count, warc
 from lumenframe.llm.base import learns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,23 @@ def _score(spark, folder):
     return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query("op7_warc", """
+WITH d AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT page_id, payload_bytes, h, array_to_string(
+        [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1 AS BIGINT), 1)
+         FOR i IN range(32)], '') AS payload_digest FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = max(page_id) OVER g THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = max(page_id) OVER g THEN NULL ELSE max(page_id) OVER g END AS refers_to
+FROM b WINDOW g AS (PARTITION BY h)""")
+def _warc(spark, folder):
+    return warc.archive_pages(table(spark, folder, "pages"))
+
+
+@query("op9_nearest_neighbours")
+def _nearest(spark, folder):
+    return ann.search(table(spark, folder, "embeddings"))
+
+
 @query("op8_suffix_array_dedup")
 def _suffixes(spark, folder):
     return suffix_dedup.cut_repeats(table(spark, folder, "documents")).drop("kept")
