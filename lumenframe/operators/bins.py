@@ -233,13 +233,13 @@ def bin_detail(spaxel: DataFrame, results: DataFrame, *, bin_id: int) -> tuple[D
 
 
 def wave_slices(
-    pixel: DataFrame, *, item: str, width: float, max_slices: int = 300, max_items: int | None = None, lo: float | None = None, hi: float | None = None, value: str = "flux"
+    pixel: DataFrame, *, item: str, width: float, max_slices: int | None = None, max_items: int | None = None, lo: float | None = None, hi: float | None = None, value: str = "flux"
 ) -> DataFrame:
     """Flux sum per item in slices of equal sample count; missing flux counts as 0.
 
     The slice edges follow from the number of samples, so they are computed once; each pixel
-    finds its slice by an expression over at most ``max_slices`` edges. With too many items an
-    evenly spaced sample of them, in order, is shown.
+    finds its slice by an expression over the edges. ``max_slices`` and ``max_items`` are optional
+    limits of a display: fewer, wider slices, and an evenly spaced choice of items in order.
     """
     rows = pixel
     if lo is not None:
@@ -251,7 +251,7 @@ def wave_slices(
     if n == 0:
         return rows.select(item).limit(0)
     step = (grid["b"] - grid["a"]) / (n - 1) if n > 1 else 0.0
-    k = max(1, min(max_slices, round((grid["b"] - grid["a"]) / width), n)) if n > 1 else 1
+    k = max(1, min(max_slices or n, round((grid["b"] - grid["a"]) / width), n)) if n > 1 else 1
     edges = sorted({round(i * n / k) for i in range(k + 1)})
     centre = [(grid["a"] + e0 * step + grid["a"] + e1 * step) / 2 for e0, e1 in zip(edges, edges[1:])]
     bounds = F.array(*[F.lit(e) for e in edges[1:]])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions.cells import plane_pairs
 from lumenframe.functions.exprs import MAD_TO_SIGMA
-from lumenframe.functions.scale import all_of, cut, number_rows, quantiles
+from lumenframe.functions.scale import all_of, cut, number_rows, on_keys, quantiles
 from lumenframe.operators.bins import running_mean_by
 from lumenframe.operators.spatial import not_near_catalogue, xmatch_sky
 from lumenframe.operators.spectra import clipped_centre
@@ -102,7 +102,7 @@ def matched_filter(
     voxel: DataFrame, *, spectral_sigma: float, spatial_sigma: float, bounds: dict[str, tuple[int, int]], coverage: float = 0.5, keys: Sequence[str] = ()
 ) -> DataFrame:
     """SNR of a separable Gaussian template, sum(w d k) / sqrt(sum(w k^2)); 0 where coverage is
-    below half of the median.
+    below half of the median of its own ``keys``.
 
     One pass per axis. Rows are first partitioned by the two other coordinates, so spreading
     each voxel over the kernel and summing again happen inside a partition: a pass shuffles
@@ -121,8 +121,8 @@ def matched_filter(
         out = wide.groupBy(*others, axis).agg(F.sum(F.col("wd") * F.col("_t.k")).alias("wd"), F.sum(F.col("w") * F.col("_t.k") * F.col("_t.k")).alias("w"))
     # Read several times below; a checkpoint is cheaper than three more shuffles each time.
     out = cut(out)
-    typical = quantiles(out.where("w > 0"), [], "w", {"m": 0.5}).select("m").scalar()
-    ok = (F.col("w") > 0) & (F.col("w") >= typical * coverage)
+    out = on_keys(out, quantiles(out.where("w > 0"), keys, "w", {"m": 0.5}), keys, "left")
+    ok = (F.col("w") > 0) & (F.col("w") >= F.col("m") * coverage)
     return out.select(*keys, *axes, F.when(ok, F.col("wd") / F.sqrt(F.nullif(F.col("w"), F.lit(0.0)))).otherwise(0.0).alias("snr"))
 
 

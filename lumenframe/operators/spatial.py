@@ -40,10 +40,11 @@ def nearest_node(
     Searches within ``radius`` by cells, keeps the points that found a node, and doubles the
     radius for the rest. Only unresolved points go on, so no round compares all pairs; the
     number of rounds is the logarithm of the largest distance. Points of a key without any
-    node get no row.
+    node get no row. Points and nodes without finite coordinates or number take no part.
     """
     p = points.select(id, *keys, *[F.col(c).alias(f"_p{i}") for i, c in enumerate(xy)]).where(usable(F.col("_p0")) & usable(F.col("_p1")))
     n = nodes.select(node_id, *keys, *[F.col(c).alias(f"_n{i}") for i, c in enumerate(node_xy)])
+    n = n.where(F.col(node_id).isNotNull() & usable(F.col("_n0")) & usable(F.col("_n1")))
     if keys:
         p = p.join(n.select(*keys).distinct(), list(keys), "left_semi")
     elif n.isEmpty():

@@ -8,25 +8,36 @@ from pyspark.sql import functions as F
 from lumenframe.functions.scale import cut, measured
 
 
-def provenance_leaves(edges: DataFrame, roots: DataFrame, *, max_depth: int = 5, max_files: int = 60) -> DataFrame:
+def provenance_leaves(edges: DataFrame, roots: DataFrame, *, max_depth: int | None = None, max_files: int | None = None) -> DataFrame:
     """Files without further provenance reached from each root, in depth-first order.
 
     ``edges`` is ``(parent, child, ord)``. Each level is one join of the frontier with the
-    edge table; a path of ordinals keeps the order. A file reached twice counts once, at its
-    first place. ``max_files`` is the limit the survey puts on one product.
+    edge table; a path of ordinals keeps the order. A file counts once per root, at its first
+    place: a later path to it is followed only if it comes before the one known, so shared parts
+    are not walked twice and a cycle ends. The walk goes on until no path is left; ``max_depth``
+    and ``max_files`` are optional limits of a product.
     """
-    parents = edges.select(F.col("parent").alias("node")).distinct()
-    front = roots.select("root", F.col("root").alias("node"), F.array().cast("array<bigint>").alias("path"))
-    found = None
-    for depth in range(max_depth + 1):
-        leaves = front.join(parents, "node", "left_anti").withColumn("depth", F.lit(depth))
-        found = leaves if found is None else found.unionByName(leaves)
-        if depth < max_depth:
-            step = edges.select(F.col("parent").alias("node"), "child", F.col("ord").cast("bigint").alias("ord"))
-            front = front.join(step, "node").select("root", F.col("child").alias("node"), F.array_append("path", F.col("ord")).alias("path"))
-    first = found.groupBy("root", "node").agg(F.min(F.struct("path", "depth")).alias("m")).select("root", "node", "m.path", "m.depth")
+    step = edges.select(F.col("parent").alias("node"), "child", F.col("ord").cast("bigint").alias("ord"))
+    front = roots.select("root", F.col("root").alias("node"), F.array().cast("array<bigint>").alias("path"), F.lit(0).alias("depth")).distinct()
+    front = cut(front)
+    best, depth = front, 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        new = front.join(step, "node").select("root", F.col("child").alias("node"), F.array_append("path", F.col("ord")).alias("path"))
+        new = new.groupBy("root", "node").agg(F.min("path").alias("path"))
+        known = best.select("root", "node", F.col("path").alias("was"))
+        new = new.join(known, ["root", "node"], "left").where("was IS NULL OR path < was").drop("was")
+        front = cut(new.withColumn("depth", F.lit(depth)))
+        if front.isEmpty():
+            break
+        both = best.unionByName(front).groupBy("root", "node").agg(F.min(F.struct("path", "depth")).alias("m"))
+        best = cut(both.select("root", "node", "m.path", "m.depth"))
+    first = best.join(step.select("node").distinct(), "node", "left_anti")
     rank = F.row_number().over(Window.partitionBy("root").orderBy("path"))
-    return first.withColumn("position", rank).where(F.col("position") <= max_files).select("root", "node", "depth", "position")
+    out = first.withColumn("position", rank)
+    if max_files is not None:
+        out = out.where(F.col("position") <= max_files)
+    return out.select("root", "node", "depth", "position")
 
 
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:

@@ -194,15 +194,12 @@ def _(t):
     "wave_slices",
     fix="flux centre",
     sql="""WITH p AS (SELECT spec_id, pix, flux FROM {pixel} WHERE arm = 'BLUE'),
-           e AS (SELECT i AS slice, round_even(i * 36 / 7e0, 0) AS a, round_even((i + 1) * 36 / 7e0, 0) AS b FROM (SELECT unnest(range(7)) AS i)),
-           n AS (SELECT spec_id, row_number() OVER (ORDER BY spec_id) - 1 AS r, count(*) OVER () AS n FROM (SELECT DISTINCT spec_id FROM p)),
-           k AS (SELECT DISTINCT round_even(i * (any_n - 1) / 99e0, 0) AS r FROM (SELECT unnest(range(100)) AS i), (SELECT max(n) AS any_n FROM n)),
-           s AS (SELECT spec_id FROM n JOIN k ON k.r = n.r)
+           e AS (SELECT i AS slice, round_even(i * 36 / 7e0, 0) AS a, round_even((i + 1) * 36 / 7e0, 0) AS b FROM (SELECT unnest(range(7)) AS i))
            SELECT spec_id, CAST(slice AS INT) AS slice, sum(COALESCE(flux, 0)) AS flux, any_value((4000 + a * 10 + 4000 + b * 10) / 2) AS centre
-           FROM p JOIN s USING (spec_id) JOIN e ON pix >= a AND pix < b GROUP BY spec_id, slice""",
+           FROM p JOIN e ON pix >= a AND pix < b GROUP BY spec_id, slice""",
 )
 def _(t):
-    return bn.wave_slices(t.pixel.where("arm = 'BLUE'"), item="spec_id", width=50.0, max_items=100)
+    return bn.wave_slices(t.pixel.where("arm = 'BLUE'"), item="spec_id", width=50.0)
 
 
 @query(

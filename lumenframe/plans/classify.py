@@ -110,7 +110,7 @@ def _(t):
     return cl.refine_minimum(t.zscan)
 
 
-ZFIT_NEAR = "SELECT target_id, znum, z, zerr, zwarn, class, 60 + (chi2 - floor(chi2 / 100) * 100) AS chi2 FROM {zfit} WHERE target_id < 100000"
+ZFIT_NEAR = "SELECT target_id, znum, z, zerr, zwarn, class, 60 + (chi2 - floor(chi2 / 100) * 100) AS chi2 FROM {zfit}"
 shared("zf_", ZFIT_NEAR)
 shared(
     "dec_",

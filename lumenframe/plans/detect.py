@@ -172,17 +172,17 @@ def _(t):
 
 shared(
     "grouped_",
-    """WITH RECURSIVE p AS (SELECT ix, iy, min(cand_id) AS id FROM {cand_} WHERE snr > 1.9 GROUP BY ix, iy),
+    """WITH RECURSIVE p AS (SELECT ix, iy, min(cand_id) AS id FROM {cand_} GROUP BY ix, iy),
        e AS (SELECT a.id AS a, b.id AS b FROM p AS a JOIN p AS b ON power(a.ix - b.ix, 2) + power(a.iy - b.iy, 2) <= 2.25),
        r(id, other) AS (SELECT a, b FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.other),
        g AS (SELECT id, min(other) AS group_id FROM r GROUP BY id)
-       SELECT c.cand_id, c.snr, group_id FROM {cand_} AS c JOIN p ON p.ix = c.ix AND p.iy = c.iy JOIN g ON g.id = p.id WHERE c.snr > 1.9""",
+       SELECT c.cand_id, c.snr, group_id FROM {cand_} AS c JOIN p ON p.ix = c.ix AND p.iy = c.iy JOIN g ON g.id = p.id""",
 )
 
 
 @query("group_candidates", fix="snr", sql="SELECT * FROM {grouped_}")
 def _(t):
-    return dt.group_candidates(candidates(t).where("snr > 1.9"), radius=1.5).select("cand_id", "snr", "group_id")
+    return dt.group_candidates(candidates(t), radius=1.5).select("cand_id", "snr", "group_id")
 
 
 shared("same_pixel_", "SELECT *, min(cand_id) OVER (PARTITION BY ix, iy) AS group_id FROM {cand_}")
@@ -239,13 +239,13 @@ def _(t):
     fix="ra dec a:8 b:8 angle flag",
     sql="""WITH o AS (SELECT obj_id, 10 + ox / 1000 AS ra, 20 + oy / 1000 AS dec, a, b, obj_id % 7 / 5e0 AS theta, row_number() OVER (ORDER BY flux DESC, obj_id) AS patch_id FROM {object})
            SELECT 0 AS patch_id, 10.02 AS ra, 20.01 AS dec, 0.05 AS a, 0.04 AS b, 0 AS angle, 0 AS flag, 'C' AS type
-           UNION ALL SELECT patch_id, ra, dec, a * 7 * 0.0002, b * 7 * 0.0002, degrees(theta), 0, 'T' FROM o WHERE patch_id <= 60
-           UNION ALL SELECT least(60, (SELECT count(*) FROM {object})) + row_number() OVER (ORDER BY c_custkey), 10 + c_custkey / 1e5, 20, 8 / 3600e0, 8 / 3600e0, 0, 0, 'M' FROM {customer} WHERE c_custkey % 11 = 0""",
+           UNION ALL SELECT patch_id, ra, dec, a * 7 * 0.0002, b * 7 * 0.0002, degrees(theta), 0, 'T' FROM o
+           UNION ALL SELECT (SELECT count(*) FROM {object}) + row_number() OVER (ORDER BY c_custkey), 10 + c_custkey / 1e5, 20, 8 / 3600e0, 8 / 3600e0, 0, 0, 'M' FROM {customer}""",
 )
 def _(t):
     objects = t.object.select("obj_id", (10 + F.col("ox") / 1000).alias("ra"), (20 + F.col("oy") / 1000).alias("dec"), "a", "b", (F.col("obj_id") % 7 / 5.0).alias("theta"), "flux", F.lit(0).alias("flag"))
-    masks = t.customer.where("c_custkey % 11 = 0").select(F.col("c_custkey").alias("mask_id"), (10 + F.col("c_custkey") / 1e5).alias("ra"), F.lit(20.0).alias("dec"))
-    return pt.make_patches(objects, (10.02, 20.01, 0.05, 0.04), masks, pixel_scale=0.0002, mask_radius=4.0, cap=60)
+    masks = t.customer.select(F.col("c_custkey").alias("mask_id"), (10 + F.col("c_custkey") / 1e5).alias("ra"), F.lit(20.0).alias("dec"))
+    return pt.make_patches(objects, (10.02, 20.01, 0.05, 0.04), masks, pixel_scale=0.0002, mask_radius=4.0)
 
 
 @query(

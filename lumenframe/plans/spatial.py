@@ -37,20 +37,20 @@ def _(t):
     "not_near_catalogue",
     fix="snr",
     sql="""SELECT iw, iy, ix, snr FROM {voxel} AS v WHERE snr > 1.2
-           AND NOT EXISTS (SELECT 1 FROM {object} WHERE obj_id % 9 = 0 AND (ox - ix) * (ox - ix) + (oy - iy) * (oy - iy) <= 16)""",
+           AND NOT EXISTS (SELECT 1 FROM {object} WHERE (ox - ix) * (ox - ix) + (oy - iy) * (oy - iy) <= 0.09)""",
 )
 def _(t):
-    return spa.not_near_catalogue(t.voxel.where("snr > 1.2"), t.object.where("obj_id % 9 = 0")).select("iw", "iy", "ix", "snr")
+    return spa.not_near_catalogue(t.voxel.where("snr > 1.2"), t.object, radius=0.3).select("iw", "iy", "ix", "snr")
 
 
 @query(
     "bright_source_mask",
-    sql="""SELECT DISTINCT ix, iy FROM {voxel} AS v WHERE NOT EXISTS (SELECT 1 FROM {object} WHERE obj_id % 13 = 0
-           AND sqrt(power(ix - ox, 2) + power(iy - oy, 2)) <= greatest(5, 3 * sqrt(a * b)))""",
+    sql="""SELECT DISTINCT ix, iy FROM {voxel} AS v WHERE NOT EXISTS (SELECT 1 FROM {object}
+           WHERE sqrt(power(ix - ox, 2) + power(iy - oy, 2)) <= greatest(0.2, 0.04 * sqrt(a * b)))""",
 )
 def _(t):
     px = t.voxel.select("ix", "iy").distinct()
-    return spa.bright_source_mask(px, t.object.where("obj_id % 13 = 0"))
+    return spa.bright_source_mask(px, t.object, factor=0.04, min_radius=0.2)
 
 
 shared("nodes_", "SELECT field, abs(bin_id) AS bin_id, avg(x) AS bin_x, avg(y) AS bin_y FROM {binmap} WHERE bin_id > 0 GROUP BY field, abs(bin_id)")
@@ -97,10 +97,10 @@ def _(t):
     "provenance_leaves",
     sql="""WITH RECURSIVE w(root, node, path, depth) AS (
              SELECT child, child, CAST([] AS BIGINT[]), 0 FROM {prov} WHERE parent = 0
-             UNION ALL SELECT root, e.child, list_append(path, e.ord), depth + 1 FROM w JOIN {prov} AS e ON e.parent = w.node WHERE depth < 5),
+             UNION ALL SELECT root, e.child, list_append(path, e.ord), depth + 1 FROM w JOIN {prov} AS e ON e.parent = w.node),
            l AS (SELECT * FROM w WHERE node NOT IN (SELECT parent FROM {prov})),
            p AS (SELECT root, node, depth, row_number() OVER (PARTITION BY root ORDER BY path) AS position FROM l)
-           SELECT * FROM p WHERE position <= 60""",
+           SELECT * FROM p""",
 )
 def _(t):
     return walk.provenance_leaves(t.prov, t.prov.where("parent = 0").select(F.col("child").alias("root")))

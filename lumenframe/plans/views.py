@@ -52,8 +52,8 @@ VIEWS: dict[str, tuple[str, ...]] = {
            l_discount * 10 AS z, l_tax / 100 AS zerr,
            CASE l_returnflag WHEN 'N' THEN 0 WHEN 'A' THEN 4 ELSE 1024 END AS zwarn,
            CASE l_partkey % 3 WHEN 0 THEN 'STAR' WHEN 1 THEN 'GALAXY' ELSE 'QSO' END AS class,
-           l_extendedprice AS chi2, count(*) OVER (PARTITION BY l_orderkey) AS n
-           FROM {lineitem}) AS q WHERE n >= 4""",
+           l_extendedprice AS chi2
+           FROM {lineitem}) AS q""",
     ),
     "zhint": (
         """SELECT o_orderkey AS target_id,
@@ -70,7 +70,7 @@ VIEWS: dict[str, tuple[str, ...]] = {
     ),
     "merge_a": ("SELECT c_custkey AS target_id, c_acctbal AS v_a, c_mktsegment AS s_a FROM {customer}",),
     "merge_b": ("SELECT s_suppkey AS target_id, s_acctbal AS v_b, s_nationkey AS n_b FROM {supplier}",),
-    "merge_c": ("SELECT p_partkey AS target_id, p_retailprice AS v_c, p_size AS n_c FROM {part} WHERE p_partkey % 2 = 0",),
+    "merge_c": ("SELECT p_partkey AS target_id, p_retailprice AS v_c, p_size AS n_c FROM {part}",),
     "spaxel": (
         """SELECT *, signal / noise AS snr FROM (
            SELECT p_partkey AS target_id, CAST(FLOOR(p_partkey / 500e0) AS BIGINT) AS field,
@@ -85,7 +85,7 @@ VIEWS: dict[str, tuple[str, ...]] = {
     ),
     "bin_result": (
         """SELECT bin_raw AS bin_id, (bin_raw * 37 % 200) - 100e0 AS v, 50e0 + bin_raw * 13 % 80 AS sigma,
-           (bin_raw % 11 - 5) / 50e0 AS h3 FROM (SELECT DISTINCT bin_raw FROM {binmap} WHERE bin_raw % 9 <> 4) AS b""",
+           (bin_raw % 11 - 5) / 50e0 AS h3 FROM (SELECT DISTINCT bin_raw FROM {binmap}) AS b""",
     ),
     "voxel": (
         """SELECT iw, iy, ix, data, ivar, data * sqrt(ivar) AS snr FROM (

@@ -61,7 +61,8 @@ def write_product(tables: Mapping[str, DataFrame], path: str, night: str, *, by:
     """One Parquet table per extension, partitioned by night and observation.
 
     Rows are clustered by observation before the write, so each task opens few files; large
-    observations are split by the writer's ``maxRecordsPerFile``.
+    observations are split by the writer's ``maxRecordsPerFile``. Only the nights and
+    observations that ``tables`` holds are replaced; others of the product stay.
     """
     written = []
     for name, df in tables.items():
@@ -69,7 +70,7 @@ def write_product(tables: Mapping[str, DataFrame], path: str, night: str, *, by:
         parts = ["night", by] if by in df.columns else ["night"]
         if by in df.columns:
             out = out.hint("rebalance", by)
-        out.write.mode(mode).option("maxRecordsPerFile", 5_000_000).partitionBy(*parts).parquet(f"{path}/{name}")
+        out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 5_000_000).partitionBy(*parts).parquet(f"{path}/{name}")
         written.append(f"{path}/{name}")
     return written
 

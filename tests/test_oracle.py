@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare, duck
+from lumenframe.plans import catalogue
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = queries(), oracle_sql()
@@ -18,7 +19,7 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, con, name):
     got = QUERIES[name](spark, FOLDER).toPandas()
     spark.catalog.clearCache()
@@ -35,4 +36,4 @@ def test_entry(spark):
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
-    assert len(QUERIES) - len(ORACLES) <= 3
+    assert len(catalogue.QUERIES) - len(catalogue.ORACLES) <= 3
