@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own: dict[str, str] = {}
 
 
@@ -30,20 +30,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/lumenframe/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, *, release: bool = False) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and go on with the written table.
 
-    This cuts the lineage, survives lost executors and gives the planner true sizes. With
-    ``release`` garbage is collected, so that Spark deletes the shuffle files of plans that are
-    done: for tables behind which large shuffles lie.
+    This cuts the lineage, survives lost executors and gives the planner true sizes. The shuffle
+    files of the write are deleted as soon as it is done: nothing reads them again.
     """
     spark, schema = df.sparkSession, df.schema
     path = new_path(spark, name)
-    df.write.parquet(path)
-    if release:
-        del df
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+    was = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if was is None else spark.conf.set(CLEANUP, was)
     return spark.read.schema(schema).parquet(path)
 
 

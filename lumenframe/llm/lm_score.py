@@ -57,7 +57,7 @@ def shards(top: DataFrame, order: int) -> list[list[int]]:
 def ppm_scores(docs: DataFrame, learn: DataFrame, order: int) -> tuple[list[list[int]], list]:
     """Scorers of the model, one for each shard of last context bytes."""
     counts = gram_counts(learn.select(F.lit("").alias("key"), "text"), order)
-    top = stage(counts.groupBy("code").agg(F.sum("n").alias("n")), "grams", release=True)
+    top = stage(counts.groupBy("code").agg(F.sum("n").alias("n")), "grams")
     low = top.groupBy(top["code"].bitwiseAND(F.lit(255)).alias("code")).agg(F.sum("n").alias("n")).toArrow()
     root = summed(low.column("code").to_numpy().view(np.uint64), low.column("n").to_numpy())
     sets, scorers = shards(top, order), []
@@ -87,7 +87,7 @@ def score_documents(docs: DataFrame, *, learn: Column, id: str = "doc_id", text:
     """
     flat = docs.select(F.col(id).alias("id"), F.coalesce(learn, F.lit(False)).alias("learned"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     lessons = flat.where("learned").select("text")
-    vocab = stage(word_counts(lessons).groupBy("word").agg(F.sum("n").alias("n")), "words", release=True)
+    vocab = stage(word_counts(lessons).groupBy("word").agg(F.sum("n").alias("n")), "words")
     total, distinct, ends = vocab.agg(F.sum("n"), F.count("*"), F.max(F.when(F.col("word").isNull(), F.col("n")))).first()
     total, ends = total or 0, ends or 0
     hot = vocab.where(F.col("word").isNotNull() & (F.col("n") * HOT_WORDS > total)).toArrow()
@@ -129,7 +129,7 @@ def score_documents(docs: DataFrame, *, learn: Column, id: str = "doc_id", text:
     out = pa.schema([("id", id_type), ("learned", pa.bool_()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(entry))])
     spark_schema = f"id {kind}, learned boolean, n long, known long, base double, score double, rare array<struct<word: binary, k: bigint>>"
     rows = flat.mapInArrow(run, spark_schema).withColumn("row", F.monotonically_increasing_id())
-    rows = stage(rows, "scores", release=True)
+    rows = stage(rows, "scores")
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.k")
     rare = rare.join(vocab.where(F.col("word").isNotNull()), "word")
     rare = rare.groupBy("row").agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("n") + 1.0)).alias("add"))

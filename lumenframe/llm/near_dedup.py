@@ -237,16 +237,16 @@ def near_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", meth
     sig = stage(reps.dropDuplicates(["id"]).select("id", "sig"), "signatures")
     rows = reps.select("id", F.explode("keys").alias("bucket")).distinct()
     many = rows.groupBy("bucket").count().where("count > 1").select("bucket")
-    rows = stage(rows.join(many, "bucket", "left_semi").select("bucket", "id"), "buckets", release=True)
+    rows = stage(rows.join(many, "bucket", "left_semi").select("bucket", "id"), "buckets")
     wanted = rows.select("id").distinct()
-    sets = stage(flat.join(wanted, "id", "left_semi").mapInArrow(_sets(m), "id long, set array<long>"), "sets", release=True)
+    sets = stage(flat.join(wanted, "id", "left_semi").mapInArrow(_sets(m), "id long, set array<long>"), "sets")
 
     # Shingles of one candidate only can't be part of any intersection.
     single = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("c"), F.min("id").alias("id"))
     single = single.where("c = 1").groupBy("id").agg(F.count("*").alias("alone"))
     facts = sets.select("id", F.size("set").cast("long").alias("n")).join(single, "id", "left")
     facts = facts.select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
-    facts = stage(sig.join(facts, "id"), "facts", release=True)
+    facts = stage(sig.join(facts, "id"), "facts")
 
     label = docs.sparkSession.createDataFrame([], "id long, label long")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -277,7 +277,7 @@ def near_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", meth
         links = block.mapInArrow(_compare(m, verify), "a long, b long").distinct()
         if not verify:
             links = _both(links, sets, "set").mapInArrow(_linked(m), "a long, b long")
-        links = stage(links, "verified", release=True)
+        links = stage(links, "verified")
         last = lead.groupBy("bucket").agg(F.max("id").alias("last"))
         rows = act.join(last, "bucket").where("id > last").select("bucket", "id")
         label = _relabel(label, links)

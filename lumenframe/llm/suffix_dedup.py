@@ -273,7 +273,7 @@ def cut_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", leng
     found = flat.select("key", "text").mapInArrow(_find_anchors(length, choose, splitters), longs + ", bucket long")
     found = found.repartitionById(parts, F.col("bucket").cast("int")).drop("bucket")
     blocks = found.mapInArrow(_settle_blocks(length), "open long, key long, first long, last long")
-    blocks = stage(blocks, "blocks", release=True)
+    blocks = stage(blocks, "blocks")
 
     open_ = blocks.where("open = 1").groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("blocks"))
     open_ = flat.select("key", "text").join(open_, "key")
@@ -282,7 +282,7 @@ def cut_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", leng
     splitters = pick_splitters(some, WINDOW, parts)
     windows = open_.mapInArrow(_expand(length, splitters), longs + ", bucket long")
     windows = windows.repartitionById(parts, F.col("bucket").cast("int"))
-    windows = stage(windows.mapInArrow(_settle_windows, "edge long, bucket long, " + longs), "windows", release=True)
+    windows = stage(windows.mapInArrow(_settle_windows, "edge long, bucket long, " + longs), "windows")
 
     edges = sorted(windows.where("edge > 0").collect(), key=lambda r: (r.bucket, r.edge))
     ends = zip(edges[1::2], edges[2::2], strict=False)
