@@ -22,14 +22,14 @@ MAX_SOURCES = 100_000  # the mixture is read by the driver; more sources need co
 class TokenIds:
     """Ids of a tokenizers .json file as bytes, through a bounded cache over pieces of text."""
 
-    def __init__(self, path: str, cache: int = 300_000):
+    def __init__(self, path: str, cache: int = 300_000, word_cache: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.word = Cache(lambda w: self.encode([w])[0], cache)
+        self.word = Cache(lambda w: self.encode([w])[0], word_cache)
         self.piece = Cache(lambda p: b"".join(map(self.word.__getitem__, PRE_TOKEN.findall(" " + p))), cache)
 
     def encode(self, texts: list[str]) -> list[bytes]:
