@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -30,6 +31,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/lumenframe/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Writes made here delete their shuffle files when they are done."""
+    was = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if was is None else spark.conf.set(CLEANUP, was)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and go on with the written table.
 
@@ -38,12 +50,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark, schema = df.sparkSession, df.schema
     path = new_path(spark, name)
-    was = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with releasing(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if was is None else spark.conf.set(CLEANUP, was)
     return spark.read.schema(schema).parquet(path)
 
 

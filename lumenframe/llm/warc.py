@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm.base import new_path, stage
+from lumenframe.llm.base import new_path, releasing, stage
 
 END_OF_RECORD = "\r\n\r\n"
 CHUNK = 1 << 20
@@ -52,7 +52,8 @@ def record_texts(pages: DataFrame, *, id: str, url: str, html: str, keep: str, m
 def write_monolithic(records: DataFrame, path: str) -> None:
     """One gzip stream per partition, as careless crawlers leave them: Spark's text writer with
     the end of a record as its line end."""
-    records.write.option("lineSep", END_OF_RECORD).option("compression", "gzip").text(path)
+    with releasing(records.sparkSession):
+        records.write.option("lineSep", END_OF_RECORD).option("compression", "gzip").text(path)
 
 
 def inflated(data: bytes) -> Iterator[bytes]:
@@ -156,7 +157,8 @@ def normalise(spark: SparkSession, monolithic: str, out: str) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     inside = F.when(F.substring("member", -1, 1) == F.unhex(F.lit("00")), F.col("member").substr(F.lit(1), F.octet_length("member") - 1)).otherwise(F.col("member"))
     rows = members.repartition(parts, "archive").sortWithinPartitions("archive", "record")
-    rows.select("archive", inside.cast("string").alias("value")).write.option("lineSep", "\0").partitionBy("archive").text(out)
+    with releasing(spark):
+        rows.select("archive", inside.cast("string").alias("value")).write.option("lineSep", "\0").partitionBy("archive").text(out)
     members.drop("member").write.parquet(f"{out}.index")
     return spark.read.parquet(f"{out}.index")
 
