@@ -143,17 +143,21 @@ def stored(member: bytes) -> int:
     return len(member) + (member[-1:] != b"\0")
 
 
-def normalise(spark: SparkSession, monolithic: str, out: str) -> DataFrame:
+def normalise(spark: SparkSession, monolithic: str, out: str, *, remove: bool = False) -> DataFrame:
     """Rewrite monolithic archives with each record as a gzip member of its own.
 
     Every archive is inflated once, as a stream. Members go to ``out/archive=NAME/``, one file per
     archive, and the sidecar index (archive, record, offset, length, type, uri, record id, digest)
     to ``out.index`` as Parquet; it is returned. The files come from Spark's text writer, so any
     file system will do: a member below 16 MiB ends with a zero byte (the top byte of its size),
-    and that byte is the line end; larger members get a zero more, which gzip readers skip.
+    and that byte is the line end; larger members get a zero more, which gzip readers skip. With
+    ``remove`` the monolithic archives go as soon as their members are in the shared folder.
     """
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(monolithic)
     members = stage(members_of(archives), "members")
+    if remove:
+        path = spark._jvm.org.apache.hadoop.fs.Path(monolithic)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     inside = F.when(F.substring("member", -1, 1) == F.unhex(F.lit("00")), F.col("member").substr(F.lit(1), F.octet_length("member") - 1)).otherwise(F.col("member"))
     rows = members.repartition(parts, "archive").sortWithinPartitions("archive", "record")
@@ -210,7 +214,7 @@ def archive_pages(
     spark, kind = pages.sparkSession, pages.schema[id].dataType
     mono, out = new_path(spark, "warc-monolithic"), new_path(spark, "warc")
     write_monolithic(record_texts(pages, id=id, url=url, html=html, keep=keep, min_bytes=min_bytes, date=date), mono)
-    back = read_records(spark, out, normalise(spark, mono, out))
+    back = read_records(spark, out, normalise(spark, mono, out, remove=True))
     number = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(.*)>$", 1), F.lit("")).cast(kind)
     return back.select(
         number("record_id").alias(id), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),
