@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lumenframe.llm.base import stage
 from lumenframe.llm.pieces import PRE_TOKEN, Cache, pieces
 
+END_OF_LATIN = "\u0250"
 MAX_SOURCES = 100_000  # the mixture is read by the driver; more sources need coarser names
 
 
@@ -29,25 +30,59 @@ class TokenIds:
         self.lib = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
+        # A special string with white space could arise only where words are joined.
+        split = not any(c.isspace() for s in self.special for c in s)
+        self.feed = self.lib.encode("\n", add_special_tokens=False).ids if split else []
         self.word = Cache(lambda w: self.encode([w])[0], word_cache)
-        self.piece = Cache(lambda p: b"".join(map(self.word.__getitem__, PRE_TOKEN.findall(" " + p))), cache)
+        self.piece = Cache(lambda p: b"".join(map(self.word.__getitem__, self.pre_tokens(p))), cache)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens. A line feed before a space and a word is always a pre-token, so
+        words that begin with a space go to the library a few a time, a line feed between them."""
+        spaced, out = [w for w in words if w[0] == " " and w[1:] and not w[1:].isspace()], {}
+        if len(self.feed) == 1:
+            rows = ["\n".join(spaced[i : i + 16]) for i in range(0, len(spaced), 16)]
+            for i, e in enumerate(self.lib.encode_batch_fast(rows, add_special_tokens=False)):
+                ids = np.array(e.ids, self.kind)
+                ends = [*(np.flatnonzero(ids == self.feed[0])).tolist(), len(ids)]
+                own = spaced[16 * i : 16 * i + 16]
+                if len(ends) == len(own):
+                    raw, size, at = ids.tobytes(), self.kind.itemsize, 0
+                    for w, end in zip(own, ends, strict=True):
+                        out[w] = raw[at * size : end * size]
+                        at = end + 1
+        alone = [w for w in words if w not in out]
+        out.update(zip(alone, self.encode(alone), strict=True))
+        return [out[w] for w in words]
+
+    @staticmethod
+    def pre_tokens(piece: str) -> list[str]:
+        """The pre-tokens of a piece with the space before it. A plain word is one, with a mark
+        after it two; letters below U+0250 are the same in every version of Unicode."""
+        if piece < END_OF_LATIN and max(piece, default=END_OF_LATIN) < END_OF_LATIN:
+            if piece.isalpha():
+                return [" " + piece]
+            if piece[-1] in ".,;:!?" and piece[:-1].isalpha():
+                return [" " + piece[:-1], piece[-1]]
+        return PRE_TOKEN.findall(" " + piece)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Texts with special strings go to the library whole, others piece by piece; a piece of
         several pre-tokens is put together, so the library sees each pre-token once."""
         cut = [[] if any(s in t for s in self.special) else pieces(t) for t in texts]
-        seen = set().union(*cut)
-        new = seen - self.piece.keys() - self.piece.old.keys()
-        fresh = {w for p in new for w in PRE_TOKEN.findall(" " + p)} - self.word.keys() - self.word.old.keys()
-        fresh = list(fresh)
-        for w, ids in zip(fresh, self.encode(fresh), strict=True):
-            self.word.put(w, ids)
         first = self.encode([c[0] if c else t for c, t in zip(cut, texts, strict=True)])
-        look = self.piece.__getitem__
-        return [b"".join([f, *map(look, c[1:])]) for f, c in zip(first, cut, strict=True)]
+        rest = [c[1:] for c in cut]
+        piece, word = self.piece, self.word
+        made = {p: self.pre_tokens(p) for p in set().union(*rest) if p not in piece and p not in piece.old}
+        fresh = list({w for ws in made.values() for w in ws if w not in word and w not in word.old})
+        for w, ids in zip(fresh, self.encode_words(fresh), strict=True):
+            word.put(w, ids)
+        for p, ws in made.items():
+            piece.put(p, word[ws[0]] if len(ws) == 1 else b"".join(map(word.__getitem__, ws)))
+        return [b"".join([f, *map(piece.__getitem__, r)]) for f, r in zip(first, rest, strict=True)]
 
 
 @functools.cache
