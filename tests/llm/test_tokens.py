@@ -97,3 +97,15 @@ def test_phases_use_everything():
             assert first == used.get(s, 0)
             used[s] = first + n
     assert used == {"a": 100, "b": 10, None: 7}
+
+
+def test_joined_words_have_their_own_ids():
+    import public_tokenizers
+
+    from lumenframe.llm.packing import TokenIds
+
+    lib = TokenIds(public_tokenizers.path("byte_bpe_50k.json"))
+    words = [" a", "a", " ", "  ", "\n", "'s", " '", " 12", "12", " é", " ́x", " ​", "　", " ß!", " 中文", " …", ".", " x"] * 3
+    assert lib.encode_words(words) == lib.encode(words)
+    texts = ["plain words, with marks. and é", "x  y\n z", "", " lead", "á b​ c!", "<|endoftext|> a b"]
+    assert lib(texts) == lib.encode(texts)
