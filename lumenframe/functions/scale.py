@@ -14,7 +14,7 @@ import operator
 import tempfile
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -30,17 +30,27 @@ def measured(df: DataFrame) -> DataFrame:
     return df
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="lumenframe-shared-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, the folder all executors share; only a local master without
+    that setting (tests) gets a folder of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = _own_folder()
+    return folder.rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint. The folder comes from ``spark.checkpoint.dir``; only a local
-    master without that setting (tests) gets a temporary one."""
+    """Reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-            folder = tempfile.mkdtemp(prefix="lumenframe-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

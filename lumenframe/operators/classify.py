@@ -104,18 +104,20 @@ def inject_class(zfit: DataFrame, hints: DataFrame, *, ntop: int = 3) -> DataFra
     """Top ranks, long form, in which the targeting class occurs wherever a fit of it exists.
 
     If none of the top ranks has the class, the last of them is replaced by the matching fit
-    of lowest chi2 (counted 1.5 times with a warning), ranks beyond the top first.
+    of lowest chi2 (counted 1.5 times with a warning), ranks beyond the top first. All columns
+    of the fit move, whatever they are; only ``target_id`` and ``znum`` stay.
     """
     srvy = hints.select("target_id", targeting_hint().alias("_hint")).where("_hint IS NOT NULL")
     match = F.upper(F.trim("class")) == F.col("_hint")
     cost = F.col("chi2") * F.when(F.col("zwarn") == 0, 1.0).otherwise(1.5)
     inside = F.when(F.col("znum") >= ntop, 0).otherwise(1)
-    pick = F.min(F.when(match, F.struct(inside.alias("tier"), cost.alias("cost"), F.col("znum").alias("from_rank"), "z", "zerr", "zwarn", "class", "chi2")))
+    moved = [c for c in zfit.columns if c not in ("target_id", "znum")]
+    pick = F.min_by(F.struct(*moved), F.when(match, F.struct(inside.alias("tier"), cost.alias("cost"), "znum")))
     picked = zfit.join(srvy, "target_id").groupBy("target_id").agg(F.bool_or(match & (F.col("znum") < ntop)).alias("_present"), pick.alias("_p"))
     picked = picked.where("NOT _present AND _p IS NOT NULL").select("target_id", "_p")
     top = zfit.where(F.col("znum") < ntop).join(picked, "target_id", "left")
     use = F.col("_p").isNotNull() & (F.col("znum") == ntop - 1)
-    cols = {c: F.when(use, F.col("_p")[c]).otherwise(F.col(c)) for c in ("z", "zerr", "zwarn", "class", "chi2")}
+    cols = {c: F.when(use, F.col("_p")[c]).otherwise(F.col(c)) for c in moved}
     return top.withColumns(cols).withColumn("injected", use).drop("_p")
 
 
@@ -172,13 +174,15 @@ def fallback_redshift(zfit: DataFrame, scan: DataFrame, hints: DataFrame, *, wor
     cancels the first and relaxes the second; a fit at least as good as the scan in its own
     class cancels the third. The replacement is the row of the scan's class nearest to the
     reference redshift, without serious warnings (or, for a bare class mismatch, with only a
-    doubtful minimum). Warning bits record every decision.
+    doubtful minimum). All columns of the two ranks change places, not only the redshift's own.
+    Warning bits record every decision.
     """
     fit = refine_minimum(scan)
     coarse = fit.groupBy("target_id").agg(F.min(F.struct("best_chi2", "class", "z_scan", "z_fit", "dv", "reliable")).alias("s")).select("target_id", "s.*")
     coarse = coarse.where(F.col("best_chi2") > 0).withColumnRenamed("class", "scan_class")
+    moved = [c for c in zfit.columns if c not in ("target_id", "znum")]
     first = zfit.where("znum = 0").select(
-        "target_id", F.col("z").alias("_z"), F.col("zerr").alias("_zerr"), F.col("zwarn").alias("_zwarn"), F.col("class").alias("_class"), F.col("chi2").alias("_chi2")
+        "target_id", F.col("z").alias("_z"), F.col("zwarn").alias("_zwarn"), F.col("class").alias("_class"), F.col("chi2").alias("_chi2"), F.struct(*moved).alias("_first")
     )
     d = first.join(coarse, "target_id").join(hints.select("target_id", targeting_hint().alias("_hint")), "target_id", "left")
     same = F.col("_class") == F.col("scan_class")
@@ -213,27 +217,28 @@ def fallback_redshift(zfit: DataFrame, scan: DataFrame, hints: DataFrame, *, wor
     triggers = bits(mismatch=ZW_CLASS_MISMATCH, too_bad=ZW_RATIO, shifted=ZW_Z_SHIFT)
     d = d.withColumns({"_base": base, "_trig": triggers, "_extra": bits(override=ZW_TARGETING_OVERRIDE, improved=ZW_Z_IMPROVED)})
     # The replacement, one combinable minimum per target.
-    cand = zfit.join(d.where("trigger").select("target_id", "scan_class", "z_ref", "mismatch", "override"), "target_id")
+    rows = zfit.select("target_id", "znum", "z", "zwarn", "class", F.struct(*moved).alias("row"))
+    cand = rows.join(d.where("trigger").select("target_id", "scan_class", "z_ref", "mismatch", "override"), "target_id")
     native = F.col("zwarn").bitwiseAND(NATIVE_BITS)
     tier = F.when(native <= 2, 0).when(F.col("mismatch") & ~F.col("override") & (native.bitwiseAND(F.bitwise_not(F.lit(BAD_MINFIT))) <= 2), 1)
     dist = F.abs(F.col("z") - F.col("z_ref")) + F.when(native == 0, 0.0).otherwise(0.5)
     ok = (F.col("class") == F.col("scan_class")) & tier.isNotNull()
-    entry = F.struct(tier.alias("tier"), dist.alias("dist"), F.col("znum").alias("znum"), "z", "zerr", "zwarn", "class", "chi2")
-    found = cand.groupBy("target_id").agg(F.min(F.when(ok, entry)).alias("r"))
+    entry = F.struct(tier.alias("tier"), "znum", "row")
+    found = cand.groupBy("target_id").agg(F.min_by(entry, F.when(ok, F.struct(tier.alias("tier"), dist.alias("dist"), "znum"))).alias("r"))
     d = d.join(found, "target_id", "left").withColumn("swap", F.coalesce(F.col("r.znum") > 0, F.lit(False)))
     decided = d.select(
-        F.col("target_id").alias("_tid"), "trigger", "swap", "_base", "_trig", "_extra", "r", "_z", "_zerr", "_zwarn", "_class", "_chi2"
+        F.col("target_id").alias("_tid"), *[F.col(c).alias("_d_" + c) for c in ("trigger", "swap")], "_base", "_trig", "_extra", F.col("r").alias("_r"), "_zwarn", "_first"
     )
     out = zfit.join(decided, F.col("target_id") == F.col("_tid"), "left")
-    is0, is_r = F.col("znum") == 0, F.coalesce(F.col("znum") == F.col("r.znum"), F.lit(False))
-    swap = F.coalesce(F.col("swap"), F.lit(False))
+    is0, is_r = F.col("znum") == 0, F.coalesce(F.col("znum") == F.col("_r.znum"), F.lit(False))
+    swap = F.coalesce(F.col("_d_swap"), F.lit(False))
     old = F.col("_zwarn").bitwiseOR((F.col("_base") + F.col("_trig") + F.col("_extra")).cast("int"))
-    kept = old.bitwiseOR(F.when(F.col("trigger") & ~swap, ZW_NO_VALID_RANK).otherwise(0))
-    new = F.col("r.zwarn").bitwiseAND(NATIVE_BITS).bitwiseOR(
-        (F.col("_base") + F.col("_trig") + ZW_SWAP_APPLIED + F.when(F.col("r.tier") == 1, ZW_MINFIT_RELAXED).otherwise(0)).cast("int")
+    kept = old.bitwiseOR(F.when(F.col("_d_trigger") & ~swap, ZW_NO_VALID_RANK).otherwise(0))
+    new = F.col("_r.row.zwarn").bitwiseAND(NATIVE_BITS).bitwiseOR(
+        (F.col("_base") + F.col("_trig") + ZW_SWAP_APPLIED + F.when(F.col("_r.tier") == 1, ZW_MINFIT_RELAXED).otherwise(0)).cast("int")
     )
     to0, to_r = is0 & swap, is_r & swap
-    cols = {c: F.when(to0, F.col("r")[c]).when(to_r, F.col("_" + c)).otherwise(F.col(c)) for c in ("z", "zerr", "class", "chi2")}
+    cols = {c: F.when(to0, F.col("_r.row")[c]).when(to_r, F.col("_first")[c]).otherwise(F.col(c)) for c in moved}
     cols["zwarn"] = F.when(to0, new).when(to_r, old).when(is0 & F.col("_tid").isNotNull(), kept).otherwise(F.col("zwarn"))
     return out.withColumns(cols).select(*zfit.columns)
 

@@ -200,14 +200,14 @@ def _(t):
 @query(
     "footprint_size",
     fix="footprint",
-    sql="""WITH RECURSIVE v AS (SELECT target_id AS id, ix, iy FROM {spaxel} WHERE target_id * 7919 % 10 < 4),
+    sql="""WITH RECURSIVE v AS (SELECT target_id AS id, ix, iy FROM {spaxel} WHERE noise <= 3),
            e AS (SELECT a.id AS a, b.id AS b FROM v AS a JOIN v AS b ON abs(a.iy - b.iy) + abs(a.ix - b.ix) <= 1),
            r(id, other) AS (SELECT a, b FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.other),
            s AS (SELECT comp, count(*) AS size FROM (SELECT id, min(other) AS comp FROM r GROUP BY id) GROUP BY comp)
            SELECT count(*) AS n_components, CASE WHEN count(*) >= 100 AND median(size) <= 200 THEN median(size) END AS footprint FROM s""",
 )
 def _(t):
-    px = t.spaxel.where("target_id * 7919 % 10 < 4").select(F.col("target_id").alias("id"), "ix", "iy")
+    px = t.spaxel.where("noise <= 3").select(F.col("target_id").alias("id"), "ix", "iy")
     return dt.footprint_size(px)
 
 
@@ -219,8 +219,8 @@ shared("patch_", PATCHES)
 @query(
     "promote_candidates",
     fix="ra dec a b",
-    sql=f"""WITH c AS (SELECT s.cand_id, s.snr, s.group_id, q.ra, q.dec, NOT EXISTS (SELECT 1 FROM {{object}} AS o WHERE o.obj_id % 9 = 0 AND power(o.ox - s.ix, 2) + power(o.oy - s.iy, 2) <= 16) AS lone
-               FROM {{same_pixel_}} AS s JOIN {{cat_a}} AS q ON q.id = s.group_id % 1500),
+    sql=f"""WITH c AS (SELECT s.cand_id, s.snr, s.group_id, 10 + s.ix / 800e0 AS ra, 20 + s.iy / 500e0 AS dec, NOT EXISTS (SELECT 1 FROM {{object}} AS o WHERE power(o.ox - s.ix, 2) + power(o.oy - s.iy, 2) <= 0.25) AS lone
+               FROM {{same_pixel_}} AS s),
             g AS (SELECT group_id FROM c WHERE lone GROUP BY group_id HAVING count(*) >= 2 AND sqrt(sum(snr * snr)) >= 2.6),
             p AS (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY snr DESC, cand_id) AS rn FROM c WHERE lone AND (snr >= 2.3 OR group_id IN (SELECT group_id FROM g) OR snr >= 3.3)),
             k AS (SELECT a.* FROM p AS a WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM {{patch_}} AS b WHERE b.type <> 'M' AND abs(a.dec - b.dec) < 0.002 AND {SEP} <= 3))
@@ -229,8 +229,8 @@ shared("patch_", PATCHES)
 )
 def _(t):
     cand = dt.group_candidates(candidates(t))
-    cand = dt.line_only(cand, t.object.where("obj_id % 9 = 0"), radius=4.0)
-    cand = cand.join(t.cat_a.select(F.col("id").alias("q"), "ra", "dec"), F.col("group_id") % 1500 == F.col("q")).drop("q")
+    cand = dt.line_only(cand, t.object, radius=0.5)
+    cand = cand.withColumns({"ra": 10 + F.col("ix") / 800.0, "dec": 20 + F.col("iy") / 500.0})
     return dt.promote_candidates(cand, t.sql(PATCHES), min_snr=2.3, group_min_lines=2, group_min_snr=2.6, extreme_snr=3.3)
 
 

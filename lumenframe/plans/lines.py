@@ -101,18 +101,18 @@ QUANTITIES = ["FLUX", "AON", "V", "SIGMA"]
 @query(
     "line_table_melt",
     fix="value",
-    sql=" UNION ALL ".join(f"SELECT bin_id, 'L{n}' AS line, '{q.lower()}' AS quantity, {q}_L{n} AS value FROM {{line_wide}}" for q in QUANTITIES for n in (1, 2, 3, 4)),
+    sql=" UNION ALL ".join(f"SELECT bin_id, 'L{n}' AS line, '{q.lower()}' AS quantity, {q}_L{n} AS value FROM {{line_wide}}" for q in QUANTITIES for n in range(1, 8)),
 )
 def _(t):
     return ln.line_table_melt(t.line_wide, quantities=QUANTITIES)
 
 
-@query("line_table_pivot", fix=" ".join(f"{q}_L{n}" for q in QUANTITIES for n in (1, 2, 3, 4)), sql="SELECT * FROM {line_wide}")
+@query("line_table_pivot", fix=" ".join(f"{q}_L{n}" for q in QUANTITIES for n in range(1, 8)), sql="SELECT * FROM {line_wide}")
 def _(t):
     long = t.sql(
         " UNION ALL ".join(f"SELECT bin_id, concat('L', line) AS line, '{q.lower()}' AS quantity, {q.lower()} AS value FROM {{lines_long}}" for q in QUANTITIES)
     )
-    return ln.line_table_pivot(long, lines=["L1", "L2", "L3", "L4"], quantities=QUANTITIES)
+    return ln.line_table_pivot(long, lines=[f"L{n}" for n in range(1, 8)], quantities=QUANTITIES)
 
 
 @query(

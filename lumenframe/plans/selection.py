@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from lumenframe.functions.scale import shared_folder
 from lumenframe.operators import merge as mg
 from lumenframe.operators import select as sel
 from lumenframe.plans.registry import query, shared
@@ -19,6 +22,16 @@ def _(t):
     return src.read_survey_tables(t.spark, t.folder, ["customer"], upper=["c_mktsegment"], ids=["c_custkey"])["customer"]
 
 
+def fresh(t) -> str:
+    """A new folder that all executors share, for sinks that are written and read back."""
+    return f"{shared_folder(t.spark)}/lumenframe-sinks/{uuid.uuid4().hex}"
+
+
+def written(df):
+    """Schema of a product table of ``df``."""
+    return df.withColumn("night", F.lit("")).schema
+
+
 def _product(t):
     return {
         "class_table": t.customer.select(F.col("c_nationkey").alias("obs_id"), "c_custkey"),
@@ -39,12 +52,17 @@ shared(
 
 @query("write_product", sql="SELECT obs_id, extension, count(*) AS n_rows FROM {components_} GROUP BY obs_id, extension")
 def _(t):
-    return src.product_rows(_product(t))
+    tables, path = _product(t), fresh(t)
+    src.write_product(tables, path, "20300101")
+    return src.product_rows({name: t.spark.read.schema(written(df)).parquet(f"{path}/{name}") for name, df in tables.items()})
 
 
 @query("export_csv", sql="SELECT s_suppkey AS id, s_name AS name FROM {supplier}")
 def _(t):
-    return src.export_view(t.supplier, ["s_suppkey", "not_there", "s_name"], {"s_suppkey": "id", "s_name": "name"})
+    columns, names, path = ["s_suppkey", "not_there", "s_name"], {"s_suppkey": "id", "s_name": "name"}, fresh(t)
+    view = src.export_view(t.supplier, columns, names)
+    src.export_csv(t.supplier, path, columns, names)
+    return t.spark.read.schema(view.schema).option("header", True).csv(path)
 
 
 @query(

@@ -126,12 +126,12 @@ VIEWS: dict[str, tuple[str, ...]] = {
     "lines_long": (
         """SELECT l_suppkey AS bin_id, CAST(l_linenumber AS BIGINT) AS line, avg(l_extendedprice) - 50000e0 AS flux,
            avg(l_quantity) / 5e0 - 3e0 + l_suppkey % 9 AS aon, avg(l_discount) * 1000e0 AS v, avg(l_tax) * 1000e0 AS sigma
-           FROM {lineitem} WHERE l_linenumber <= 4 GROUP BY l_suppkey, l_linenumber""",
+           FROM {lineitem} GROUP BY l_suppkey, l_linenumber""",
     ),
     "line_wide": (
         "SELECT bin_id, "
         + ", ".join(
-            f"max(CASE WHEN line = {n} THEN {q} END) AS {q.upper()}_L{n}" for q in ("flux", "aon", "v", "sigma") for n in (1, 2, 3, 4)
+            f"max(CASE WHEN line = {n} THEN {q} END) AS {q.upper()}_L{n}" for q in ("flux", "aon", "v", "sigma") for n in range(1, 8)
         )
         + " FROM {lines_long} GROUP BY bin_id",
     ),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,9 +39,13 @@ def read_survey_tables(
 
 
 def fill_product(df: DataFrame) -> DataFrame:
-    """Missing values as the product stores them: NaN, -1, 'nan'; arrays get one such element."""
+    """Missing values as the product stores them: NaN, -1, 'nan'. A missing array gets as many
+    such elements, in each of its dimensions, as the largest array of its column (one if the
+    column has none)."""
+    arrays = [f for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    known = df.agg(F.struct(*[F.array(*_extents(F.col(f.name), f.dataType)).alias(f.name) for f in arrays])).scalar() if arrays else None
 
-    def missing(t: T.DataType):
+    def missing(t: T.DataType, extents: Sequence[Column] = ()):
         if isinstance(t, (T.FloatType, T.DoubleType)):
             return F.lit(float("nan")).cast(t)
         if isinstance(t, T.StringType):
@@ -49,12 +53,23 @@ def fill_product(df: DataFrame) -> DataFrame:
         if isinstance(t, T.IntegralType):
             return F.lit(-1).cast(t)
         if isinstance(t, T.ArrayType):
-            if isinstance(t.elementType, T.IntegralType):
-                return F.array(F.lit(-999).cast(t.elementType))
-            return F.array(missing(t.elementType))
+            one = F.lit(-999).cast(t.elementType) if isinstance(t.elementType, T.IntegralType) else missing(t.elementType, extents[1:])
+            return F.array_repeat(one, F.coalesce(extents[0], F.lit(1)))
         return F.lit(None)
 
-    return df.select(*[F.coalesce(F.col(f.name), missing(f.dataType)).alias(f.name) for f in df.schema.fields])
+    def extents(f: T.StructField) -> list[Column]:
+        return [known[f.name][k] for k in range(len(_extents(F.lit(None), f.dataType)))] if f in arrays else []
+
+    return df.select(*[F.coalesce(F.col(f.name), missing(f.dataType, extents(f))).alias(f.name) for f in df.schema.fields])
+
+
+def _extents(c: Column, t: T.DataType) -> list[Column]:
+    """Largest extent of an array column in each dimension, as aggregates."""
+    out = [F.max(F.array_size(c))]
+    while isinstance(t.elementType, T.ArrayType):
+        out.append(F.max(F.array_max(F.transform(c, F.array_size))))
+        c, t = F.flatten(c), t.elementType
+    return out
 
 
 def write_product(tables: Mapping[str, DataFrame], path: str, night: str, *, by: str = "obs_id", mode: str = "overwrite") -> list[str]:
