@@ -15,10 +15,11 @@ from lumenframe.functions.exprs import ratio, usable
 from lumenframe.functions.scale import cut, measured, next_value, number_rows, on_keys, quantiles, top_rows
 
 
-def bin_spectra_sum(pixel: DataFrame, bins: DataFrame | None = None) -> DataFrame:
-    """Sum of flux and of variance per bin and pixel; without a map every spectrum is a bin."""
+def bin_spectra_sum(pixel: DataFrame, bins: DataFrame | None = None, *, keys: Sequence[str] = ()) -> DataFrame:
+    """Sum of flux and of variance per bin and pixel, for each of ``keys`` (such as the arm);
+    without a map every spectrum is a bin."""
     rows = pixel.withColumn("bin_id", F.col("spec_id")) if bins is None else pixel.join(bins.select("spec_id", "bin_id"), "spec_id")
-    return rows.groupBy("bin_id", "pix").agg(F.sum("flux").alias("flux"), F.sum("var").alias("var"))
+    return rows.groupBy(*keys, "bin_id", "pix").agg(F.sum("flux").alias("flux"), F.sum("var").alias("var"))
 
 
 def grid_assign(spaxel: DataFrame, *, size: float, min_snr: float, keys: Sequence[str] = ("field",)) -> DataFrame:

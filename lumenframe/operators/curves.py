@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.functions.exprs import MAD_TO_SIGMA, ratio, usable
-from lumenframe.functions.scale import measured, on_keys, quantiles
+from lumenframe.functions.scale import measured, next_value, on_keys, quantiles
 from lumenframe.operators.ranges import interp_at
 
 
@@ -27,15 +27,20 @@ def median_curve(curves: DataFrame, *, keys: Sequence[str] = (), min_points: int
 
 def weighted_curves(weights: DataFrame, curves: DataFrame, overall: DataFrame) -> DataFrame:
     """Curve of each spaxel: sum of weight times the fibre's curve. The same fibre in several
-    exposures is summed first; a fibre without a curve takes the overall one."""
+    exposures is summed first; a fibre without a curve takes the overall one.
+
+    The fibres without a curve meet no join: their weights are summed per spaxel, and the overall
+    curve, one point per grid wavelength, is attached as an array.
+    """
     known = curves.select("nspec").distinct().withColumn("_known", F.lit(True))
     w = weights.groupBy("spaxel_id", "nspec").agg(F.sum("weight").alias("weight"))
-    w = w.join(known, "nspec", "left").withColumn("_curve", F.when(F.col("_known"), F.col("nspec")).otherwise(-1))
-    w = w.withColumn("n_fibres", F.count("*").over(Window.partitionBy("spaxel_id")))
-    grid = curves.select(F.col("nspec").alias("_curve"), "wave", "value").unionByName(overall.select(F.lit(-1).cast("bigint").alias("_curve"), "wave", "value"))
-    return (
-        w.join(grid, "_curve").groupBy("spaxel_id", "wave").agg(F.sum(F.col("weight") * F.col("value")).alias("value"), F.first("n_fibres").alias("n_fibres"))
-    )
+    w = w.join(known, "nspec", "left").withColumn("n_fibres", F.count("*").over(Window.partitionBy("spaxel_id")))
+    own = w.where("_known").select("spaxel_id", "nspec", "weight", "n_fibres").join(curves.select("nspec", "wave", "value"), "nspec")
+    lone = w.where("_known IS NULL").groupBy("spaxel_id").agg(F.sum("weight").alias("weight"), F.first("n_fibres").alias("n_fibres"))
+    points = overall.agg(F.collect_list(F.struct("wave", "value")).alias("points")).scalar()
+    lone = lone.withColumn("_p", F.explode(points)).select("spaxel_id", "weight", "n_fibres", "_p.wave", "_p.value")
+    rows = own.drop("nspec").unionByName(lone)
+    return rows.groupBy("spaxel_id", "wave").agg(F.sum(F.col("weight") * F.col("value")).alias("value"), F.first("n_fibres").alias("n_fibres"))
 
 
 def bin_curves(spaxel: DataFrame, curves: DataFrame) -> DataFrame:
@@ -135,22 +140,25 @@ def dominant_population(points: DataFrame, *, min_share: float = 0.2, min_skew:
     return rows.join(fibres, "nspec").where((F.col("_c") == main) | ~F.col("_any")).select(*points.columns)
 
 
-def fill_missing_fibres(curves: DataFrame, *, max_nspec: int = 960) -> DataFrame:
-    """Every fibre number 1..max with a curve; missing ones copy the nearest existing fibre
-    (the lower of two equally near) and say so in ``copied_from``.
+def fill_missing_fibres(curves: DataFrame, *, max_nspec: int | None = None) -> DataFrame:
+    """Every fibre number from 1 to ``max_nspec``, or to the largest one, with a curve; missing
+    ones copy the nearest existing fibre (the lower of two equally near) and say so in
+    ``copied_from``. Fibres outside that range stay.
 
-    The windows run over the fibre numbers only, one row per slit position.
+    Each fibre spreads over the missing numbers up to the next one, which it knows from
+    ``next_value``: no window sees all fibre numbers.
     """
-    spark = curves.sparkSession
-    have = curves.select(F.col("nspec").alias("src")).distinct()
-    numbers = spark.range(1, max_nspec + 1).select(F.col("id").alias("nspec")).join(have, F.col("nspec") == F.col("src"), "full_outer")
-    numbers = numbers.select(F.coalesce("nspec", "src").alias("nspec"), "src")
-    low = F.last("src", ignorenulls=True).over(Window.partitionBy(F.lit(0)).orderBy("nspec").rowsBetween(Window.unboundedPreceding, 0))
-    high = F.last("src", ignorenulls=True).over(Window.partitionBy(F.lit(0)).orderBy(F.col("nspec").desc()).rowsBetween(Window.unboundedPreceding, 0))
-    numbers = numbers.withColumns({"_lo": low, "_hi": high})
-    near = F.when(F.col("_hi").isNull() | (F.col("nspec") - F.col("_lo") <= F.col("_hi") - F.col("nspec")), F.col("_lo")).otherwise(F.col("_hi"))
-    source = numbers.withColumn("_from", F.coalesce(near, "_hi")).where("_from IS NOT NULL")
-    picked = source.select("nspec", "_from", F.when(F.col("src").isNull(), F.col("_from")).alias("copied_from"))
+    have = curves.where(F.col("nspec").isNotNull()).select(F.col("nspec").alias("src")).distinct()
+    ends = have.agg(F.struct(F.min("src").alias("first"), F.max("src").alias("last")).alias("e")).scalar()
+    gaps = next_value(have, [], "src").select("src", "nxt", ends.alias("_e"))
+    last = F.col("_e.last") if max_nspec is None else F.lit(max_nspec)
+    low = F.when(F.col("src") == F.col("_e.first"), F.least(F.col("src"), F.lit(1))).otherwise(F.col("src"))
+    high = F.coalesce(F.col("nxt") - 1, F.greatest(F.col("src"), last))
+    numbers = gaps.withColumn("last", last).withColumn("nspec", F.explode(F.sequence(low, high)))
+    numbers = numbers.where((F.col("nspec") == F.col("src")) | F.col("nspec").between(F.lit(1), F.col("last")))
+    below = F.col("nxt").isNull() | (F.col("nspec") - F.col("src") <= F.col("nxt") - F.col("nspec"))
+    source = numbers.select("nspec", F.when(below, F.col("src")).otherwise(F.col("nxt")).alias("_from"))
+    picked = source.withColumn("copied_from", F.when(F.col("nspec") != F.col("_from"), F.col("_from")))
     data = curves.withColumnRenamed("nspec", "_from")
     return picked.join(data, "_from").drop("_from")
 

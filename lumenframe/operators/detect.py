@@ -1,4 +1,8 @@
-"""Detection of emission-line candidates in a voxel table ``(iw, iy, ix, data, ivar, snr)``."""
+"""Detection of emission-line candidates in a voxel table ``(iw, iy, ix, data, ivar, snr)``.
+
+``keys`` name the columns, such as a cube number, that tell cubes apart: every operator that takes
+them treats each cube as if it were alone, all in one plan. Ids are unique over all cubes.
+"""
 
 from __future__ import annotations
 
@@ -46,34 +50,35 @@ def robust_sky(px: DataFrame, *, value: str = "data", sigma: float = 3.0, rounds
     return out.select(F.col("median").alias("level"), F.col("sigma").alias("rms"), (1 - F.col("n") / F.col("n_all")).alias("rejected"), "n")
 
 
-def noise_scale(voxel: DataFrame, *, per_wave: bool = False, min_good: int = 50, smooth: int = 51) -> DataFrame:
+def noise_scale(voxel: DataFrame, *, per_wave: bool = False, min_good: int = 50, smooth: int = 51, keys: Sequence[str] = ()) -> DataFrame:
     """Width of residual * sqrt(ivar) in units of a normal one, overall or per channel (at least
     1, and 1 with few voxels, then smoothed over channels)."""
-    pull = voxel.where(F.col("ivar") > 0).select("iw", (F.col("data") * F.sqrt("ivar")).alias("pull"))
+    pull = voxel.where(F.col("ivar") > 0).select(*keys, "iw", (F.col("data") * F.sqrt("ivar")).alias("pull"))
     if not per_wave:
-        return quantiles(pull, [], "pull", {"lo": 0.16, "hi": 0.84}).select(((F.col("hi") - F.col("lo")) / NORMAL_SPREAD).alias("k"))
-    n = pull.groupBy("iw").agg(F.count("*").alias("n"))
-    k = quantiles(pull, ["iw"], "pull", {"lo": 0.16, "hi": 0.84}).join(n, "iw")
+        return quantiles(pull, keys, "pull", {"lo": 0.16, "hi": 0.84}).select(*keys, ((F.col("hi") - F.col("lo")) / NORMAL_SPREAD).alias("k"))
+    channel = [*keys, "iw"]
+    n = pull.groupBy(*channel).agg(F.count("*").alias("n"))
+    k = quantiles(pull, channel, "pull", {"lo": 0.16, "hi": 0.84}).join(n, channel)
     scale = F.when(F.col("n") >= min_good, F.greatest((F.col("hi") - F.col("lo")) / NORMAL_SPREAD, F.lit(1.0))).otherwise(1.0)
     # One row per channel from here on.
-    return running_mean_by(k.select("iw", scale.alias("k")), "k", smooth, order="iw")
+    return running_mean_by(k.select(*channel, scale.alias("k")), "k", smooth, order="iw", keys=keys)
 
 
-def purity_scan(pos: DataFrame, neg: DataFrame, *, thresholds: Sequence[float], value: str = "snr") -> DataFrame:
+def purity_scan(pos: DataFrame, neg: DataFrame, *, thresholds: Sequence[float], value: str = "snr", keys: Sequence[str] = ()) -> DataFrame:
     """Counts of real and sign-flipped detections at each configured threshold, and the purity.
     All thresholds are counted in one pass over each side."""
 
     def counts(df: DataFrame, name: str) -> DataFrame:
-        wide = df.agg(F.array(*[F.sum(F.when(F.col(value) >= float(t), 1).otherwise(0)) for t in thresholds]).alias("c"))
-        return wide.select(F.posexplode("c").alias("k", name))
+        wide = df.groupBy(*keys).agg(F.array(*[F.sum(F.when(F.col(value) >= float(t), 1).otherwise(0)) for t in thresholds]).alias("c"))
+        return wide.select(*keys, F.posexplode("c").alias("k", name))
 
     marks = F.array(*[F.lit(float(t)) for t in thresholds])
-    out = counts(pos, "n_pos").join(counts(neg, "n_neg"), "k")
-    out = out.select(F.get(marks, F.col("k")).alias("threshold"), F.coalesce("n_pos", F.lit(0)).alias("n_pos"), F.coalesce("n_neg", F.lit(0)).alias("n_neg"))
+    out = counts(pos, "n_pos").join(counts(neg, "n_neg"), [*keys, "k"], "full")
+    out = out.select(*keys, F.get(marks, F.col("k")).alias("threshold"), F.coalesce("n_pos", F.lit(0)).alias("n_pos"), F.coalesce("n_neg", F.lit(0)).alias("n_neg"))
     return out.withColumn("purity", 1 - F.col("n_neg") / F.greatest(F.col("n_pos"), F.lit(1)))
 
 
-def choose_threshold(scan: DataFrame, *, target: float = 0.8, min_n: int = 15, floor: float | None = None, min_excess: int | None = None) -> DataFrame:
+def choose_threshold(scan: DataFrame, *, target: float = 0.8, min_n: int = 15, floor: float | None = None, min_excess: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """The smallest threshold that is pure enough and trustworthy, raised to the floor; NULL
     when there is none, which disables the path."""
     ok = (F.col("purity") >= target) & (F.col("n_pos") >= min_n)
@@ -81,12 +86,12 @@ def choose_threshold(scan: DataFrame, *, target: float = 0.8, min_n: int = 15, f
         ok = ok & (F.col("n_pos") - F.col("n_neg") >= min_excess)
     best = F.min(F.when(ok, F.col("threshold")))
     chosen = best if floor is None else F.when(best.isNotNull(), F.greatest(best, F.lit(float(floor))))
-    return scan.agg(chosen.alias("min_snr"))
+    return scan.groupBy(*keys).agg(chosen.alias("min_snr"))
 
 
-def loudest_event(neg: DataFrame, *, margin: float = 1.1, value: str = "snr") -> DataFrame:
+def loudest_event(neg: DataFrame, *, margin: float = 1.1, value: str = "snr", keys: Sequence[str] = ()) -> DataFrame:
     """The loudest sign-flipped voxel and the extreme threshold that follows."""
-    top = neg.agg(F.max(value).alias("loudest"))
+    top = neg.groupBy(*keys).agg(F.max(value).alias("loudest"))
     return top.withColumn("threshold", F.when(F.col("loudest") != 0, F.col("loudest") * margin))
 
 
@@ -126,29 +131,29 @@ def matched_filter(
     return out.select(*keys, *axes, F.when(ok, F.col("wd") / F.sqrt(F.nullif(F.col("w"), F.lit(0.0)))).otherwise(0.0).alias("snr"))
 
 
-def connected_voxels(voxel: DataFrame, *, threshold: float, id: str = "voxel_id") -> DataFrame:
+def connected_voxels(voxel: DataFrame, *, threshold: float, id: str = "voxel_id", keys: Sequence[str] = ()) -> DataFrame:
     """Connected groups of voxels above the threshold: peak position and value, and size."""
     v = cut(voxel.where(F.col("snr") > threshold).withColumnRenamed(id, "id"))
-    comp = components(v, neighbour_edges(v, ("iw", "iy", "ix")))
+    comp = components(v, neighbour_edges(v, ("iw", "iy", "ix"), keys=keys))
     peak = F.max(F.struct("snr", (-F.col("iw")).alias("a"), (-F.col("iy")).alias("b"), (-F.col("ix")).alias("c")))
-    out = v.join(comp, "id").groupBy(F.col("comp").alias("cand_id")).agg(peak.alias("p"), F.count("*").alias("npix"))
-    return out.select("cand_id", (-F.col("p.a")).alias("iw"), (-F.col("p.b")).alias("iy"), (-F.col("p.c")).alias("ix"), F.col("p.snr").alias("snr"), "npix")
+    out = v.join(comp, "id").groupBy(*keys, F.col("comp").alias("cand_id")).agg(peak.alias("p"), F.count("*").alias("npix"))
+    return out.select(*keys, "cand_id", (-F.col("p.a")).alias("iw"), (-F.col("p.b")).alias("iy"), (-F.col("p.c")).alias("ix"), F.col("p.snr").alias("snr"), "npix")
 
 
-def dedupe_candidates(cand: DataFrame, *, dxy: int = 3, dw: int = 4, id: str = "cand_id") -> DataFrame:
+def dedupe_candidates(cand: DataFrame, *, dxy: int = 3, dw: int = 4, id: str = "cand_id", keys: Sequence[str] = ()) -> DataFrame:
     """Drop candidates close to a kept stronger one (ties: the lower id is stronger).
 
     Each round keeps every candidate without a stronger live neighbour and drops the
     neighbours of the kept ones. That equals going through all candidates by strength, but
     distant ones are decided in parallel. Only neighbours within the box meet.
     """
-    c = cut(cand.select(F.col(id).alias("id"), "snr", "iw", "iy", "ix"))
+    c = cut(cand.select(F.col(id).alias("id"), *keys, "snr", "iw", "iy", "ix"))
     # Cells are as large as the box; the test itself uses the whole numbers.
     size = (("iw", dw), ("iy", dxy), ("ix", dxy))
-    a = c.select("id", F.col("snr").alias("sa"), *[F.col(x).alias("a" + x) for x, _ in size], *[(F.col(x) / float(s)).alias("ca" + x) for x, s in size])
-    b = c.select(F.col("id").alias("id2"), F.col("snr").alias("sb"), *[F.col(x).alias("b" + x) for x, _ in size], *[(F.col(x) / float(s)).alias("cb" + x) for x, s in size])
+    a = c.select("id", *keys, F.col("snr").alias("sa"), *[F.col(x).alias("a" + x) for x, _ in size], *[(F.col(x) / float(s)).alias("ca" + x) for x, s in size])
+    b = c.select(F.col("id").alias("id2"), *keys, F.col("snr").alias("sb"), *[F.col(x).alias("b" + x) for x, _ in size], *[(F.col(x) / float(s)).alias("cb" + x) for x, s in size])
     box = all_of([F.abs(F.col("a" + x) - F.col("b" + x)) <= s for x, s in size])
-    pairs = plane_pairs(a, b, big_xy=["ca" + x for x, _ in size], small_xy=["cb" + x for x, _ in size], radius=1.0, exact=box)
+    pairs = plane_pairs(a, b, big_xy=["ca" + x for x, _ in size], small_xy=["cb" + x for x, _ in size], radius=1.0, exact=box, keys=keys)
     stronger = (F.col("sb") > F.col("sa")) | ((F.col("sb") == F.col("sa")) & (F.col("id2") < F.col("id")))
     live_edges = cut(pairs.where(stronger).select(F.col("id").alias("weak"), F.col("id2").alias("strong")))
     live, kept = c.select("id"), None
@@ -164,60 +169,65 @@ def dedupe_candidates(cand: DataFrame, *, dxy: int = 3, dw: int = 4, id: str = "
     return cand.join(kept.select(F.col("id").alias(id)), id, "left_semi")
 
 
-def coincidence_veto(cand: DataFrame, *, tolerance: int = 2, mad_k: float = 6.0, min_count: int = 8) -> DataFrame:
-    """Drop candidates in wavelength bins that hold far more of them than usual."""
+def coincidence_veto(cand: DataFrame, *, tolerance: int = 2, mad_k: float = 6.0, min_count: int = 8, keys: Sequence[str] = ()) -> DataFrame:
+    """Drop candidates in wavelength bins that hold far more of them than usual. The candidates
+    are evaluated once; what follows works on the count per bin."""
+    keys = list(keys)
     width = 2 * tolerance + 1
-    rows = cand.withColumn("_wb", F.floor(F.col("iw") / width))
-    counts = rows.groupBy("_wb").agg(F.count("*").alias("_n"))
-    med = quantiles(counts, [], "_n", {"m": 0.5}).select("m").scalar()
-    dev = quantiles(counts.select(F.abs(F.col("_n") - med).alias("_d")), [], "_d", {"m": 0.5}).select("m").scalar()
-    limit = F.greatest(F.lit(float(min_count)), med + F.when(dev == 0, 1.0).otherwise(dev) * (mad_k * MAD_TO_SIGMA))
-    bad = counts.where(F.col("_n") > limit).select("_wb")
-    return rows.join(bad, "_wb", "left_anti").drop("_wb")
+    rows = cut(cand.withColumn("_wb", F.floor(F.col("iw") / width)))
+    counts = rows.groupBy(*keys, "_wb").agg(F.count("*").alias("_n"))
+    counts = on_keys(counts, quantiles(counts, keys, "_n", {"_med": 0.5}), keys).withColumn("_d", F.abs(F.col("_n") - F.col("_med")))
+    counts = on_keys(counts, quantiles(counts, keys, "_d", {"_dev": 0.5}), keys)
+    spread = F.when(F.col("_dev") == 0, 1.0).otherwise(F.col("_dev")) * (mad_k * MAD_TO_SIGMA)
+    bad = counts.where(F.col("_n") > F.greatest(F.lit(float(min_count)), F.col("_med") + spread)).select(*keys, "_wb")
+    return rows.join(bad, [*keys, "_wb"], "left_anti").select(*cand.columns)
 
 
-def resolved_only(cand: DataFrame, voxel: DataFrame, *, sigma: float = 1.0, min_fraction: float = 0.3, id: str = "cand_id") -> DataFrame:
+def resolved_only(cand: DataFrame, voxel: DataFrame, *, sigma: float = 1.0, min_fraction: float = 0.3, id: str = "cand_id", keys: Sequence[str] = ()) -> DataFrame:
     """Keep candidates whose neighbouring channels hold enough of the peak for a real line."""
     off = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("_o")
-    probe = cand.select(id, "iw", "iy", "ix", off).withColumn("iw", F.col("iw") + F.col("_o"))
-    near = probe.join(voxel.select("iw", "iy", "ix", "data"), ["iw", "iy", "ix"])
+    probe = cand.select(id, *keys, "iw", "iy", "ix", off).withColumn("iw", F.col("iw") + F.col("_o"))
+    near = probe.join(voxel.select(*keys, "iw", "iy", "ix", "data"), [*keys, "iw", "iy", "ix"])
     s = near.groupBy(id).agg(F.max(F.when(F.col("_o") == 0, F.col("data"))).alias("p"), F.avg(F.when(F.col("_o") != 0, F.col("data"))).alias("m"))
     ok = s.where((F.col("p") != 0) & (F.col("m") / F.nullif(F.col("p"), F.lit(0.0)) >= min_fraction * math.exp(-0.5 / sigma**2)))
     return cand.join(ok.select(id), id, "left_semi")
 
 
-def away_from_edge(cand: DataFrame, covered: DataFrame, *, nx: int, ny: int, min_distance: float = 3.0) -> DataFrame:
-    """Keep candidates at least ``min_distance`` from every pixel without coverage."""
-    spark = cand.sparkSession
-    grid = spark.range(nx * ny).select((F.col("id") % nx).alias("ix"), F.floor(F.col("id") / nx).alias("iy"))
-    blank = grid.join(covered.select("ix", "iy"), ["ix", "iy"], "left_anti").select(F.col("ix").alias("bx"), F.col("iy").alias("by"))
+def away_from_edge(cand: DataFrame, covered: DataFrame, *, nx: int, ny: int, min_distance: float = 3.0, keys: Sequence[str] = ()) -> DataFrame:
+    """Keep candidates at least ``min_distance`` from every pixel without coverage, in cubes of
+    ``nx`` by ``ny`` pixels."""
+    keys = list(keys)
+    cubes = cand.select(*keys).distinct() if keys else cand.sparkSession.range(1).select()
+    pixel = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nx * ny - 1).cast("long"))).alias("_i")
+    grid = cubes.select(*keys, pixel).select(*keys, (F.col("_i") % nx).alias("ix"), F.floor(F.col("_i") / nx).alias("iy"))
+    blank = grid.join(covered.select(*keys, "ix", "iy"), [*keys, "ix", "iy"], "left_anti").select(*keys, F.col("ix").alias("bx"), F.col("iy").alias("by"))
     dx, dy = F.col("ix") - F.col("bx"), F.col("iy") - F.col("by")
-    return plane_pairs(cand, blank, big_xy=("ix", "iy"), small_xy=("bx", "by"), radius=min_distance, how="left_anti", exact=dx * dx + dy * dy < min_distance**2)
+    return plane_pairs(cand, blank, big_xy=("ix", "iy"), small_xy=("bx", "by"), radius=min_distance, how="left_anti", exact=dx * dx + dy * dy < min_distance**2, keys=keys)
 
 
 def candidate_vetoes(
-    cand: DataFrame, voxel: DataFrame, covered: DataFrame, *, nx: int, ny: int, sigma: float = 1.0, min_fraction: float = 0.3, min_npix: int = 3, max_npix: int = 5000, min_count: int = 8, min_distance: float = 3.0
+    cand: DataFrame, voxel: DataFrame, covered: DataFrame, *, nx: int, ny: int, sigma: float = 1.0, min_fraction: float = 0.3, min_npix: int = 3, max_npix: int = 5000, min_count: int = 8, min_distance: float = 3.0, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Resolved width, size, coincidence in wavelength, distance to the coverage edge."""
-    out = resolved_only(cand, voxel, sigma=sigma, min_fraction=min_fraction)
+    out = resolved_only(cand, voxel, sigma=sigma, min_fraction=min_fraction, keys=keys)
     out = out.where(F.col("npix").between(min_npix, max_npix))
-    out = coincidence_veto(out, min_count=min_count)
-    return away_from_edge(out, covered, nx=nx, ny=ny, min_distance=min_distance)
+    out = coincidence_veto(out, min_count=min_count, keys=keys)
+    return away_from_edge(out, covered, nx=nx, ny=ny, min_distance=min_distance, keys=keys)
 
 
-def group_candidates(cand: DataFrame, *, radius: float = 0.0, id: str = "cand_id") -> DataFrame:
+def group_candidates(cand: DataFrame, *, radius: float = 0.0, id: str = "cand_id", keys: Sequence[str] = ()) -> DataFrame:
     """Add ``group_id``, the smallest candidate id of its spatial single-linkage group.
 
     Candidates at one pixel collapse to one position first, so a crowded pixel makes no pairs.
     """
-    spots = cand.groupBy("ix", "iy").agg(F.min(id).alias("id"))
+    spots = cand.groupBy(*keys, "ix", "iy").agg(F.min(id).alias("id"))
     if radius <= 0:
-        return cand.join(spots.withColumnRenamed("id", "group_id"), ["ix", "iy"])
+        return cand.join(spots.withColumnRenamed("id", "group_id"), [*keys, "ix", "iy"])
     spots = cut(spots)
-    other = spots.select(F.col("id").alias("b"), F.col("ix").alias("bx"), F.col("iy").alias("by"))
-    edges = plane_pairs(spots, other, big_xy=("ix", "iy"), small_xy=("bx", "by"), radius=radius).where("id < b").select(F.col("id").alias("a"), "b")
-    comp = spots.join(components(spots, edges), "id").select("ix", "iy", F.col("comp").alias("group_id"))
-    return cand.join(comp, ["ix", "iy"])
+    other = spots.select(*keys, F.col("id").alias("b"), F.col("ix").alias("bx"), F.col("iy").alias("by"))
+    edges = plane_pairs(spots, other, big_xy=("ix", "iy"), small_xy=("bx", "by"), radius=radius, keys=keys).where("id < b").select(F.col("id").alias("a"), "b")
+    comp = spots.join(components(spots, edges), "id").select(*keys, "ix", "iy", F.col("comp").alias("group_id"))
+    return cand.join(comp, [*keys, "ix", "iy"])
 
 
 def group_significance(grouped: DataFrame, *, min_lines: int = 1) -> DataFrame:
@@ -226,15 +236,14 @@ def group_significance(grouped: DataFrame, *, min_lines: int = 1) -> DataFrame:
     return out.where(F.col("n_lines") >= min_lines)
 
 
-def footprint_size(px: DataFrame, *, min_components: int = 100, max_size: float = 200.0, id: str = "id") -> DataFrame:
+def footprint_size(px: DataFrame, *, min_components: int = 100, max_size: float = 200.0, id: str = "id", keys: Sequence[str] = ()) -> DataFrame:
     """Median size of the connected footprints of unmasked pixels, NULL if it is no mosaic."""
-    v = cut(px.select(F.col(id).alias("id"), "iy", "ix"))
-    sizes = components(v, neighbour_edges(v, ("iy", "ix"), faces_only=True)).groupBy("comp").agg(F.count("*").alias("size"))
-    n = sizes.agg(F.count("*").alias("n_components"))
-    med = quantiles(sizes, [], "size", {"m": 0.5}).select("m").scalar()
-    return n.select(
-        "n_components", F.when((F.col("n_components") >= min_components) & (med <= max_size), med).alias("footprint")
-    )
+    v = cut(px.select(F.col(id).alias("id"), *keys, "iy", "ix"))
+    comp = components(v, neighbour_edges(v, ("iy", "ix"), keys=keys, faces_only=True))
+    sizes = v.select("id", *keys).join(comp, "id").groupBy(*keys, "comp").agg(F.count("*").alias("size"))
+    n = on_keys(sizes.groupBy(*keys).agg(F.count("*").alias("n_components")), quantiles(sizes, keys, "size", {"m": 0.5}), keys)
+    mosaic = (F.col("n_components") >= min_components) & (F.col("m") <= max_size)
+    return n.select(*keys, "n_components", F.when(mosaic, F.col("m")).alias("footprint"))
 
 
 def promote_candidates(

@@ -136,13 +136,14 @@ def detection(aon: Column, threshold: float = 4.0) -> Column:
     return F.when(aon >= 2 * threshold, "strong").when(aon >= threshold, "detected").otherwise("none")
 
 
-def line_detect(lines: DataFrame, noise: DataFrame, *, start: float, step: float, threshold: float = 4.0, key: str = "bin_id") -> DataFrame:
+def line_detect(lines: DataFrame, noise: DataFrame, *, start: float, step: float, threshold: float = 4.0, keys: Sequence[str] = ("bin_id",)) -> DataFrame:
     """Amplitude over noise at the pixel nearest to the line, and its status.
 
-    On a regular grid the nearest pixel is a number, so this is an equi-join on (bin, pixel).
+    On a regular grid the nearest pixel is a number, so this is an equi-join on the keys, such as
+    bin and arm, and the pixel.
     """
     rows = lines.withColumn("pix", F.rint((F.col("wave") - start) / step).cast("int"))
-    out = rows.join(noise.select(key, "pix", "noise"), [key, "pix"], "left").withColumn("aon", ratio(F.col("amplitude"), F.col("noise")))
+    out = rows.join(noise.select(*keys, "pix", "noise"), [*keys, "pix"], "left").withColumn("aon", ratio(F.col("amplitude"), F.col("noise")))
     return out.withColumn("status", detection(F.col("aon"), threshold))
 
 

@@ -11,11 +11,11 @@ from lumenframe.plans.registry import query, shared
 @query(
     "bin_spectra_sum",
     fix="flux var",
-    sql="SELECT spec_id % 40 AS bin_id, pix, sum(flux) AS flux, sum(1 / ivar) AS var FROM {pixel} WHERE arm = 'BLUE' AND ivar > 0 GROUP BY spec_id % 40, pix",
+    sql="SELECT arm, spec_id % 40 AS bin_id, pix, sum(flux) AS flux, sum(1 / ivar) AS var FROM {pixel} WHERE ivar > 0 GROUP BY arm, spec_id % 40, pix",
 )
 def _(t):
-    px = t.pixel.where("arm = 'BLUE' AND ivar > 0").withColumn("var", 1 / F.col("ivar"))
-    return bn.bin_spectra_sum(px, t.spec_class.select("spec_id", (F.col("spec_id") % 40).alias("bin_id")))
+    px = t.pixel.where("ivar > 0").withColumn("var", 1 / F.col("ivar"))
+    return bn.bin_spectra_sum(px, t.spec_class.select("spec_id", (F.col("spec_id") % 40).alias("bin_id")), keys=["arm"])
 
 
 shared(
@@ -193,13 +193,15 @@ def _(t):
 @query(
     "wave_slices",
     fix="flux centre",
-    sql="""WITH p AS (SELECT spec_id, pix, flux FROM {pixel} WHERE arm = 'BLUE'),
+    sql="""WITH p AS (SELECT spec_id, arm, CASE WHEN arm = 'RED' THEN 28 ELSE 0 END AS o, pix - CASE WHEN arm = 'RED' THEN 28 ELSE 0 END AS pix, flux FROM {pixel}),
            e AS (SELECT i AS slice, round_even(i * 36 / 7e0, 0) AS a, round_even((i + 1) * 36 / 7e0, 0) AS b FROM (SELECT unnest(range(7)) AS i))
-           SELECT spec_id, CAST(slice AS INT) AS slice, sum(COALESCE(flux, 0)) AS flux, any_value((4000 + a * 10 + 4000 + b * 10) / 2) AS centre
-           FROM p JOIN e ON pix >= a AND pix < b GROUP BY spec_id, slice""",
+           SELECT spec_id, arm, CAST(slice AS INT) AS slice, sum(COALESCE(flux, 0)) AS flux, any_value((4000 + (o + a) * 10 + 4000 + (o + b) * 10) / 2) AS centre
+           FROM p JOIN e ON pix >= a AND pix < b GROUP BY spec_id, arm, slice""",
 )
 def _(t):
-    return bn.wave_slices(t.pixel.where("arm = 'BLUE'"), item="spec_id", width=50.0)
+    # Each arm has a grid of its own.
+    blue, red = (bn.wave_slices(t.pixel.where(F.col("arm") == a), item="spec_id", width=50.0).withColumn("arm", F.lit(a)) for a in ("BLUE", "RED"))
+    return blue.unionByName(red)
 
 
 @query(

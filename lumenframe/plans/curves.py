@@ -29,17 +29,18 @@ def _(t):
 
 
 shared("w1_", "SELECT spaxel_id, nspec, sum(weight) AS weight FROM {weights_} GROUP BY spaxel_id, nspec")
-shared("known_", "SELECT DISTINCT nspec FROM {curve}")
+shared("known_", "SELECT DISTINCT nspec FROM {curve_gaps}")
+shared("stand_in_", "SELECT wave, median(value) AS value FROM {curve_gaps} GROUP BY wave")
 shared(
     "wcurve_",
     """SELECT spaxel_id, wave, sum(weight * value) AS value, count(*) AS n_fibres FROM (
-         SELECT spaxel_id, weight, wave, value FROM {w1_} AS w JOIN {curve} AS c ON c.nspec = w.nspec
-         UNION ALL SELECT spaxel_id, weight, wave, value FROM {w1_} AS w, {global_} AS g WHERE w.nspec NOT IN (SELECT nspec FROM {known_})) GROUP BY spaxel_id, wave""",
+         SELECT spaxel_id, weight, wave, value FROM {w1_} AS w JOIN {curve_gaps} AS c ON c.nspec = w.nspec
+         UNION ALL SELECT spaxel_id, weight, wave, value FROM {w1_} AS w, {stand_in_} AS g WHERE w.nspec NOT IN (SELECT nspec FROM {known_})) GROUP BY spaxel_id, wave""",
 )
 
 
 def spaxel_curves(t):
-    return cv.weighted_curves(weights(t), t.curve, cv.median_curve(t.curve))
+    return cv.weighted_curves(weights(t), t.curve_gaps, cv.median_curve(t.curve_gaps))
 
 
 @query("weighted_curves", fix="value:4", sql="SELECT * FROM {wcurve_}")
@@ -114,12 +115,12 @@ def _(t):
 @query(
     "fill_missing_fibres", fill="copied_from",
     fix="value",
-    sql="""WITH n AS (SELECT unnest(range(1, 121)) AS nspec UNION SELECT nspec FROM {known_}),
+    sql="""WITH n AS (SELECT unnest(range(1, (SELECT max(nspec) + 1 FROM {known_}))) AS nspec UNION SELECT nspec FROM {known_}),
            d AS (SELECT n.nspec, k.nspec AS src, row_number() OVER (PARTITION BY n.nspec ORDER BY abs(n.nspec - k.nspec), k.nspec) AS rn FROM n, {known_} AS k)
-           SELECT d.nspec, CASE WHEN d.nspec <> src THEN src END AS copied_from, wave, value FROM d JOIN {curve} AS c ON c.nspec = src WHERE rn = 1""",
+           SELECT d.nspec, CASE WHEN d.nspec <> src THEN src END AS copied_from, wave, value FROM d JOIN {curve_gaps} AS c ON c.nspec = src WHERE rn = 1""",
 )
 def _(t):
-    return cv.fill_missing_fibres(t.curve, max_nspec=120).select("nspec", "copied_from", "wave", "value")
+    return cv.fill_missing_fibres(t.curve_gaps).select("nspec", "copied_from", "wave", "value")
 
 
 @query(
@@ -161,4 +162,4 @@ def _(t):
 )
 def _(t):
     target = t.target.select("target_id", (F.col("target_id") % 120).alias("nspec"))
-    return cv.curve_lookup(target, weights(t).where("spaxel_id % 2 = 0"), t.curve)
+    return cv.curve_lookup(target, weights(t).where("spaxel_id % 2 = 0"), t.curve_gaps)

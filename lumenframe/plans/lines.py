@@ -76,14 +76,15 @@ def _(t):
 @query(
     "line_detect",
     fix="aon",
-    sql="""SELECT l.bin_id, line, amplitude / noise AS aon, CASE WHEN amplitude / noise >= 8 THEN 'strong' WHEN amplitude / noise >= 4 THEN 'detected' ELSE 'none' END AS status
-           FROM (SELECT bin_id, line, aon * 0.2 AS amplitude, CAST(round_even((4000 + line * 83e0 + bin_id * 0.9 - 4000) / 10, 0) AS INT) AS pix FROM {lines_long}) AS l
-           LEFT JOIN (SELECT spec_id, pix, 1 / sqrt(ivar) AS noise FROM {pixel} WHERE arm = 'BLUE' AND ivar > 0) AS n ON n.spec_id = l.bin_id AND n.pix = l.pix""",
+    sql="""SELECT l.bin_id, l.arm, line, amplitude / noise AS aon, CASE WHEN amplitude / noise >= 8 THEN 'strong' WHEN amplitude / noise >= 4 THEN 'detected' ELSE 'none' END AS status
+           FROM (SELECT bin_id, arm, line, aon * 0.2 AS amplitude, CAST(round_even((4000 + line * 83e0 + bin_id * 0.9 - 4000) / 10, 0) AS INT) AS pix FROM {lines_long}, (VALUES ('BLUE'), ('RED')) AS arms(arm)) AS l
+           LEFT JOIN (SELECT spec_id, arm, pix, 1 / sqrt(ivar) AS noise FROM {pixel} WHERE ivar > 0) AS n ON n.spec_id = l.bin_id AND n.arm = l.arm AND n.pix = l.pix""",
 )
 def _(t):
     lines = t.lines_long.select("bin_id", "line", (F.col("aon") * 0.2).alias("amplitude"), (4000 + F.col("line") * 83.0 + F.col("bin_id") * 0.9).alias("wave"))
-    noise = t.pixel.where("arm = 'BLUE' AND ivar > 0").select(F.col("spec_id").alias("bin_id"), "pix", (1 / F.sqrt("ivar")).alias("noise"))
-    return ln.line_detect(lines, noise, start=4000.0, step=10.0).select("bin_id", "line", "aon", "status")
+    lines = lines.withColumn("arm", F.explode(F.array(F.lit("BLUE"), F.lit("RED"))))
+    noise = t.pixel.where("ivar > 0").select(F.col("spec_id").alias("bin_id"), "arm", "pix", (1 / F.sqrt("ivar")).alias("noise"))
+    return ln.line_detect(lines, noise, start=4000.0, step=10.0, keys=["bin_id", "arm"]).select("bin_id", "arm", "line", "aon", "status")
 
 
 @query(

@@ -111,9 +111,10 @@ VIEWS: dict[str, tuple[str, ...]] = {
     ),
     "curve": (
         """SELECT nspec, CAST(w AS DOUBLE) AS wave, 2e0 + bal / 10000e0 + w / 10000e0 AS value FROM (
-           SELECT s_suppkey AS nspec, s_acctbal AS bal, SEQ[4000,4630,30] AS w FROM {supplier}
-           WHERE s_suppkey % 7 <> 3) AS c""",
+           SELECT s_suppkey AS nspec, s_acctbal AS bal, SEQ[4000,4630,30] AS w FROM {supplier}) AS c""",
     ),
+    # Every seventh fibre has no curve: for operators that stand in for missing ones.
+    "curve_gaps": ("SELECT * FROM {curve} WHERE nspec % 7 <> 3",),
     "arc": (
         """SELECT user_id AS nspec, 4000e0 + value AS wave,
            2e0 + (event_id % 97) / 50e0 + CASE WHEN event_id % 211 = 0 THEN 5e0 ELSE 0e0 END AS fwhm,
