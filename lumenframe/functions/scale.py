@@ -102,40 +102,40 @@ def _bracketed_quantiles(v: DataFrame, keys: list[str], wanted: Mapping[str, flo
         marks += [max(0.0, wanted[name] - margin), min(1.0, wanted[name] + margin)]
     sketch = measured(
         v.groupBy(*keys).agg(
-            F.count("*").alias("_n"),
-            F.percentile_approx("_v", [float(m) for m in marks], accuracy).alias("_b"),
+            F.count("*").alias("_total"),
+            F.percentile_approx("_v", [float(m) for m in marks], accuracy).alias("_marks"),
         )
     )
     spec = F.array(
         *[
             F.struct(
-                F.lit(i).alias("q"),
-                F.col("_b")[2 * i].alias("lo"),
-                F.col("_b")[2 * i + 1].alias("hi"),
-                (F.lit(float(wanted[name])) * (F.col("_n") - 1)).alias("pos"),
+                F.lit(i).alias("_q"),
+                F.col("_marks")[2 * i].alias("_lo"),
+                F.col("_marks")[2 * i + 1].alias("_hi"),
+                (F.lit(float(wanted[name])) * (F.col("_total") - 1)).alias("_pos"),
             )
             for i, name in enumerate(names)
         ]
     )
-    tagged = on_keys(v, sketch, keys).select(*keys, "_v", F.explode(spec).alias("s"))
-    tagged = tagged.select(*keys, "_v", "s.*")
+    tagged = on_keys(v, sketch, keys).select(*keys, "_v", F.explode(spec).alias("_span"))
+    tagged = tagged.select(*keys, "_v", *[F.col("_span")[c].alias(c) for c in ("_q", "_lo", "_hi", "_pos")])
     # Below and above the bracket only the count and the value next to it matter.
-    zone = F.when(F.col("_v") < F.col("lo"), F.lit(-1)).when(F.col("_v") > F.col("hi"), F.lit(1)).otherwise(F.lit(0))
+    zone = F.when(F.col("_v") < F.col("_lo"), F.lit(-1)).when(F.col("_v") > F.col("_hi"), F.lit(1)).otherwise(F.lit(0))
     counted = (
-        tagged.withColumn("zone", zone)
-        .groupBy(*keys, "q", "pos", "zone", F.when(F.col("zone") == 0, F.col("_v")).alias("inside"))
-        .agg(F.count("*").alias("c"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
-        .withColumn("val", F.when(F.col("zone") < 0, F.col("mx")).when(F.col("zone") > 0, F.col("mn")).otherwise(F.col("inside")))
+        tagged.withColumn("_zone", zone)
+        .groupBy(*keys, "_q", "_pos", "_zone", F.when(F.col("_zone") == 0, F.col("_v")).alias("_inside"))
+        .agg(F.count("*").alias("_c"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
+        .withColumn("_val", F.when(F.col("_zone") < 0, F.col("_mx")).when(F.col("_zone") > 0, F.col("_mn")).otherwise(F.col("_inside")))
     )
-    run = Window.partitionBy(*keys, "q").orderBy("val").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counted.withColumn("upto", F.sum("c").over(run))
-    low, high = F.floor("pos"), F.ceil("pos")
-    picked = upto.groupBy(*keys, "q", "pos").agg(
-        F.min(F.when(F.col("upto") > low, F.col("val"))).alias("a"),
-        F.min(F.when(F.col("upto") > high, F.col("val"))).alias("b"),
+    run = Window.partitionBy(*keys, "_q").orderBy("_val").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumn("_upto", F.sum("_c").over(run))
+    low, high = F.floor("_pos"), F.ceil("_pos")
+    picked = upto.groupBy(*keys, "_q", "_pos").agg(
+        F.min(F.when(F.col("_upto") > low, F.col("_val"))).alias("_v0"),
+        F.min(F.when(F.col("_upto") > high, F.col("_val"))).alias("_v1"),
     )
-    out = picked.withColumn("x", F.col("a") + (F.col("b") - F.col("a")) * (F.col("pos") - F.floor("pos")))
-    return out.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == i, F.col("x"))).alias(n) for i, n in enumerate(names)])
+    out = picked.withColumn("_x", F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_pos") - F.floor("_pos")))
+    return out.groupBy(*keys).agg(*[F.max(F.when(F.col("_q") == i, F.col("_x"))).alias(n) for i, n in enumerate(names)])
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], name: str, start: int = 0) -> DataFrame:

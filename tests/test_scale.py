@@ -144,3 +144,10 @@ def test_face_neighbours(frame):
     pts = frame([(1, 0, 0), (2, 1, 1), (3, 1, 0)], "id int, iy int, ix int")
     assert {tuple(sorted((r["a"], r["b"]))) for r in neighbour_edges(pts, ("iy", "ix"), faces_only=True).collect()} == {(1, 3), (2, 3)}
     assert neighbour_edges(pts, ("iy", "ix")).count() == 3
+
+
+def test_bracketed_quantiles_of_views_and_working_names(spark):
+    spark.range(1, 102).selectExpr("id % 2 AS _b", "CAST(id AS DOUBLE) AS v").createOrReplaceTempView("bracketed_rows")
+    df = spark.sql("SELECT * FROM (SELECT * FROM bracketed_rows) AS s")
+    got = {r["_b"]: (r.m, r.lo) for r in scale.quantiles(df, ["_b"], "v", {"m": 0.5, "lo": 0.25}, accuracy=50, direct_limit=0).collect()}
+    assert got == {0: (51.0, 26.5), 1: (51.0, 26.0)}
