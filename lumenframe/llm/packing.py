@@ -17,7 +17,8 @@ from lumenframe.llm.base import stage
 from lumenframe.llm.pieces import PRE_TOKEN, Cache, pieces
 
 END_OF_LATIN = "\u0250"
-MAX_SOURCES = 100_000  # the mixture is read by the driver; more sources need coarser names
+DIRECT = 64  # level of the sources of two tokens a window at least; others have fewer binary digits
+BUCKETS = 1024
 
 
 class TokenIds:
@@ -138,49 +139,103 @@ def mixture_phases(totals: Mapping, weights: Mapping | None) -> list[tuple[int,
         start += sum(take.values())
 
 
-class Rounds:
-    """Deficit round-robin of one phase in closed form.
+class Levels:
+    """Deficit round-robin of one stretch of the stream in closed form.
 
     In a round every queue gets its share of a window as quantum, what is not a whole token stays
     as deficit for the next round. After w rounds a queue has sent
-    floor(w * window * upto / total) - floor(w * window * before / total) tokens, where before
-    and upto are the tokens of the queues up to it: a sum of quanta with carried deficits that
-    depends on w alone. So any task can tell where any token goes without seeing other rounds.
+    floor(w * window * upto / total) - floor(w * window * low / total) tokens, where low and upto
+    are the tokens of the queues up to it: a sum of quanta with carried deficits that depends on
+    w alone. So any task can tell where any token goes without seeing other rounds.
+
+    That needs a quantum of a token at least, but for the first queue. Sources of less than two
+    tokens a window are the tail: its stream is the first queue of level 0, and is dealt out by
+    rounds of its own, long enough for two to four tokens of its sources of most binary digits;
+    sources of fewer digits are the tail of that level, and so on. So each source has its own
+    deficit, however small it is, and a level has three numbers.
     """
 
+    def __init__(self, start: int, tokens: Mapping[int, int], window: int):
+        """``tokens``: tokens by level, DIRECT or the binary digits of the tail's sources."""
+        self.start, self.total, self.window, self.tail = start, {}, {}, {}
+        self.order, below = sorted(tokens), 0
+        for level in self.order:
+            self.tail[level], below = below, below + tokens[level]
+            self.total[level] = below
+            self.window[level] = window if level == DIRECT else -(-2 * below // (1 << (level - 1)))
+        self.above = dict(zip(self.order, [*self.order[1:], None], strict=True))
+        if self.order and self.order[-1] != DIRECT:  # all sources are small: the tail is all there is
+            self.above[self.order[-1]] = DIRECT
+            self.total[DIRECT], self.window[DIRECT], self.above[DIRECT] = below, window, None
+
+    def turns(self, level: int, low: int, upto: int, t: int, n: int) -> Iterator[tuple[int, int, int]]:
+        """Tokens t .. t+n of the queue low .. upto in the stream of its level."""
+        total, window, size, done, w = self.total[level], self.window[level], upto - low, 0, 0
+        while done < n:
+            # No window before this one has the token; the first queue's is known.
+            w = max(w, -(-(t + 1) * total // (size * window)) - 1 if low == 0 else t * total // (size * window))
+            here, following = min(w * window, total), min((w + 1) * window, total)
+            while following * upto // total - following * low // total <= t:
+                w, here, following = w + 1, following, min(following + window, total)
+            k = min(n - done, following * upto // total - following * low // total - t)
+            yield done, k, here + following * low // total + t - here * upto // total
+            t, done = t + k, done + k
+
+    def pieces(self, level: int, low: int, upto: int, first: int, n: int) -> Iterator[tuple[int, int, int]]:
+        """Tokens first .. first+n of a queue: (skip, length, position)."""
+        above = self.above[level]
+        for skip, k, pos in self.turns(level, low, upto, first, n):
+            if above is None:
+                yield skip, k, self.start + pos
+            else:
+                for more, m, at in self.pieces(above, 0, self.total[level], pos, k):
+                    yield skip + more, m, at
+
+
+def level_of(n: int, total: int, window: int) -> int:
+    return DIRECT if n * window >= 2 * total else n.bit_length()
+
+
+class Rounds:
+    """The levels of one phase and the places of its sources in them."""
+
     def __init__(self, start: int, take: dict, window: int):
-        self.total = sum(n for _, n in take.values())
-        self.start, self.window, self.queue = start, window, {}
+        total, tokens, self.queue = sum(n for _, n in take.values()), {}, {}
         by_name = sorted(take, key=lambda s: (s is None, s or ""))
-        largest = max(by_name, key=lambda s: take[s][1])
-        # Queues of less than two tokens a window follow the largest one as a part of it: a
-        # quantum of at least two tokens keeps every round's count from going below zero.
-        small = [s for s in by_name if s != largest and take[s][1] * window < 2 * self.total]
-        at = 0
-        for s in [largest, *small]:
-            self.queue[s] = (0, take[largest][1] + sum(take[x][1] for x in small), at)
-            at += take[s][1]
+        level = {s: level_of(take[s][1], total, window) for s in by_name}
         for s in by_name:
-            if s not in self.queue:
-                self.queue[s] = (at, at + take[s][1], 0)
-                at += take[s][1]
-
-    def sent(self, upto: int, w: int) -> int:
-        return min(w * self.window, self.total) * upto // self.total
+            low = tokens.get(level[s], 0)
+            tokens[level[s]] = low + take[s][1]
+            self.queue[s] = (level[s], low, low + take[s][1])
+        self.levels = Levels(start, tokens, window)
 
     def pieces(self, source, first: int, n: int) -> Iterator[tuple[int, int, int]]:
         """Tokens first .. first+n of the source's part of this phase: (skip, length, position)."""
-        low, upto, shift = self.queue[source]
-        t, done, size = first + shift, 0, upto - low
-        w = max(t * self.total // (size * self.window) - 2, 0)
-        while done < n:
-            while self.sent(upto, w + 1) - self.sent(low, w + 1) <= t:
-                w += 1
-            begun = self.sent(upto, w) - self.sent(low, w)
-            k = min(n - done, self.sent(upto, w + 1) - self.sent(low, w + 1) - t)
-            in_window = self.sent(low, w + 1) - self.sent(low, w) + t - begun
-            yield done, k, self.start + w * self.window + in_window
-            t, done = t + k, done + k
+        level, low, upto = self.queue[source]
+        tail = self.levels.tail[level]
+        return self.levels.pieces(level, tail + low, tail + upto, first, n)
+
+
+def own_places(queues: DataFrame, window: int) -> tuple[DataFrame, dict[int, int]]:
+    """Sources in the proportions of their sizes: (src, level, low, upto), with low and upto
+    counted inside the level, and the tokens of each level.
+
+    Sources of a level stand in the order of a hash's buckets, so no task sees all of them; only
+    the tokens of at most 64 levels reach the driver.
+    """
+    total = queues.agg(F.sum("n")).first()[0] or 0
+    direct = F.col("n") >= -(-2 * total // window)
+    sources = queues.groupBy("src").agg(F.sum("n").alias("n"))
+    level = F.when(direct, DIRECT).otherwise(F.length(F.bin("n"))).cast("int")
+    sources = stage(sources.withColumns({"level": level, "bucket": F.pmod(F.xxhash64("src"), F.lit(BUCKETS))}), "sources")
+    ranges = stage(sources.groupBy("level", "bucket").agg(F.sum("n").alias("n")), "ranges")
+    before = Window.partitionBy("level").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("level", "bucket").orderBy("src").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("level", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    low = F.col("begin") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    places = sources.join(ranges, ["level", "bucket"]).withColumn("low", low)
+    tokens = {r.level: r.n for r in sources.groupBy("level").agg(F.sum("n").alias("n")).collect()}
+    return places.select("src", "level", "low", (F.col("low") + F.col("n")).alias("upto")), tokens
 
 
 def pack(
@@ -190,14 +245,15 @@ def pack(
     """Pack the tokens of all documents into sequences of ``length`` with the mixture under control.
 
     Documents queue by source. Windows of ``window_sequences`` sequences are filled by deficit
-    round-robin: each source adds its share of the window to within a token, deficits carry from
-    window to window and over the limits of partitions. Documents are cut at the ends of
+    round-robin: each source adds its share of the window to within two tokens, deficits carry
+    from window to window and over the limits of partitions; a source of less than two tokens a
+    window gets two to four at a time, every few windows. Documents are cut at the ends of
     sequences and of their source's share of a window. Sequences are full but for the last.
 
     One pass writes ids and each document's place in its task's queue; sums per task and source
     become the offset of each task's queue; a last pass cuts the ids. Text is never shuffled, and
-    the offsets are joined, by broadcast only if the planner finds them small. Only one total
-    per source reaches the driver (at most MAX_SOURCES).
+    the offsets and the sources' places are joined, by broadcast only if the planner finds them
+    small. The driver sees the totals of levels, and of the sources that ``weights`` names.
 
     Returns one row per piece: ``id``, ``start``, ``length``, ``ids_crc32`` (of little-endian
     unsigned 32-bit ids), ``doc_tokens``, ``sequence_id``, ``offset``, ``source`` and, with
@@ -210,31 +266,40 @@ def pack(
     sums = rows.groupBy("run", "src").agg(F.sum("n").alias("n"))
     upto = Window.partitionBy("src").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     sums = stage(sums.withColumn("base", F.coalesce(F.sum("n").over(upto), F.lit(0))), "queues")
-    totals = sums.groupBy("src").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    phases = mixture_phases({r.src: r.n for r in totals}, weights)
     window, kind_size = length * window_sequences, _ids(vocabulary).kind
+    named, phases, others = [s for s, w in (weights or {}).items() if w], [], sums
+    if named:
+        is_named = F.when(F.col("src").isNull(), F.lit(None in named)).otherwise(F.col("src").isin([s for s in named if s is not None]))
+        totals = sums.where(is_named).groupBy("src").agg(F.sum("n").alias("n")).collect()
+        phases, others = mixture_phases({r.src: r.n for r in totals}, weights), sums.where(~is_named)
+    places, tokens = own_places(others, window)
+    own_start = sum(n for _, take in phases for _, n in take.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plans = [(Rounds(start, take, window), take) for start, take in phases]
+        own = Levels(own_start, tokens, window)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
                 out = []
                 for r in b.to_pylist():
                     ids, queued = np.frombuffer(r["ids"], kind_size), r["base"] + r["before"]
+                    stretches = []
+                    if r["level"] is not None:
+                        tail = own.tail[r["level"]]
+                        stretches.append((0, own.pieces(r["level"], tail + r["low"], tail + r["upto"], queued, r["n"])))
                     for rounds, take in plans:
                         begin, count = take.get(r["src"], (0, 0))
                         lo, hi = max(queued, begin), min(queued + r["n"], begin + count)
-                        if lo >= hi:
-                            continue
-                        for skip, k, pos in rounds.pieces(r["src"], lo - begin, hi - lo):
-                            start = lo - queued + skip
+                        if lo < hi:
+                            stretches.append((lo - queued, rounds.pieces(r["src"], lo - begin, hi - lo)))
+                    for first, parts in stretches:
+                        for skip, k, pos in parts:
+                            start = first + skip
                             while k:
                                 m = min(k, length - pos % length)
-                                own = ids[start : start + m].astype("<u4")
-                                out.append((r["id"], start, m, zlib.crc32(own.tobytes()), r["n"], pos // length, pos % length, r["src"], own.tolist() if keep_ids else None))
+                                own_ids = ids[start : start + m].astype("<u4")
+                                out.append((r["id"], start, m, zlib.crc32(own_ids.tobytes()), r["n"], pos // length, pos % length, r["src"], own_ids.tolist() if keep_ids else None))
                                 start, pos, k = start + m, pos + m, k - m
                 cols = list(zip(*out, strict=True)) if out else [[]] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
@@ -243,8 +308,11 @@ def pack(
     longs = [(c, pa.int64()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
     id_type = flat.select("id").limit(0).toArrow().schema.field("id").type
     schema = pa.schema([("id", id_type), *longs, ("source", pa.string()), ("ids", pa.list_(pa.int64()))])
-    placed = rows.join(sums.select("run", F.col("src").alias("_src"), "base"), (rows["run"] == sums["run"]) & F.col("src").eqNullSafe(F.col("_src")))
-    placed = placed.select("id", "src", "before", "base", "n", "ids")
+    places = places.withColumnRenamed("src", "p_src")
+    sums = stage(sums.join(places, F.col("src").eqNullSafe(F.col("p_src")), "left").drop("p_src"), "places")
+    sums = sums.select("run", F.col("src").alias("_src"), "base", "level", "low", "upto")
+    placed = rows.join(sums, (rows["run"] == sums["run"]) & F.col("src").eqNullSafe(F.col("_src")))
+    placed = placed.select("id", "src", "before", "base", "level", "low", "upto", "n", "ids")
     out = placed.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, ids array<long>")
     out = out.withColumnRenamed("id", id)
     return out if keep_ids else out.drop("ids")

@@ -109,3 +109,45 @@ def test_joined_words_have_their_own_ids():
     assert lib.encode_words(words) == lib.encode(words)
     texts = ["plain words, with marks. and é", "x  y\n z", "", " lead", "á b​ c!", "<|endoftext|> a b"]
     assert lib(texts) == lib.encode(texts)
+
+
+@pytest.mark.parametrize("totals", [
+    {f"s{i}": 40 for i in range(3000)},
+    {"large": 200_000, **{f"s{i}": 30 + i % 50 for i in range(300)}},
+    {"large": 200_000, "one": 40},
+    {f"s{i}": max(100_000 // (i + 1), 1) for i in range(1000)},
+])
+def test_small_and_largest_sources_keep_their_share(totals):
+    window, total = 512, sum(totals.values())
+    rounds, at = Rounds(0, {s: (0, n) for s, n in totals.items()}, window), np.full(total, -1)
+    names = sorted(totals)
+    for j, s in enumerate(names):
+        for skip, k, pos in rounds.pieces(s, 0, totals[s]):
+            assert (at[pos : pos + k] == -1).all()
+            at[pos : pos + k] = j
+    assert (at >= 0).all()
+    for j, s in enumerate(names):
+        ends = np.arange(window, total, window)
+        sent = np.searchsorted(np.flatnonzero(at == j), ends)
+        assert np.abs(sent - ends * (totals[s] / total)).max() <= (2 if totals[s] * window >= 2 * total else 12)
+
+
+@pytest.mark.parametrize("weights", [None, {"s1": 2, "s2": 1}])
+def test_pack_many_small_sources(spark, weights):
+    rows = [(i, "word " * (i % 7) * 3, f"s{i % 500}" if i % 11 else None) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = pack(docs, PATH, length=16, window_sequences=2, weights=weights).collect()
+    check_pieces(rows, got, 16)
+    # No source is dealt out in one run: each of the unweighted ones spreads over the stream.
+    seqs = {}
+    for r in got:
+        seqs.setdefault(r.source, []).append(r.sequence_id)
+    last = max(max(x) for x in seqs.values())
+    assert all(max(x) - min(x) > last / 2 for s, x in seqs.items() if s not in (weights or {}) and len(x) > 20)
+
+
+def test_more_sources_than_the_driver_should_see(spark):
+    n = 120_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "'a' AS text", "concat('s', id) AS source")
+    got = pack(docs, PATH).agg({"length": "sum", "doc_id": "count"}).first()
+    assert tuple(sorted(got)) == (n, 2 * n)
