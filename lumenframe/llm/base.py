@@ -55,6 +55,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows with a number of their own, written once so that it stays, and its column's name.
+
+    Decisions per row go by this number: ids may be null or repeated."""
+    key = "_row"
+    while key.lower() in (c.lower() for c in docs.columns):
+        key += "_"
+    return stage(docs.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
+def first_row(id: str, key: str, keep: str = "smallest") -> Column:
+    """What the smallest (or largest) id has the smallest (or largest) of, with its row's number
+    as ``row``; rows with a null id come after all others."""
+    known = F.col(id).isNull() if keep == "smallest" else F.col(id).isNotNull()
+    return F.struct(known.alias("known"), F.col(id).alias("id"), F.col(key).alias("row"))
+
+
 def lowered(text: Column) -> Column:
     """A-Z in lower case and nothing else changed; null is the empty text."""
     text = F.coalesce(text, F.lit(""))

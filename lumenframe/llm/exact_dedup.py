@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.llm.base import lowered, stage
+from lumenframe.llm.base import first_row, keyed, lowered, stage
 
 KEY = ["digest", "n_bytes", "proof"]
 
@@ -66,7 +66,11 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, *, id: str = "doc_id", text: str = "text", keep: str = "smallest") -> DataFrame:
-    """The documents without those that ``exact_groups`` drops; their columns are unchanged."""
-    groups = exact_groups(docs.select(id, text), id=id, text=text, keep=keep)
-    dropped = stage(groups.where(~F.col("kept")).select(id).distinct(), "copies")
-    return docs.join(dropped, id, "left_anti")
+    """One row of each group of ``exact_groups``, that of the smallest (or largest) id; columns
+    are unchanged. Of rows that repeat id and text one is left; a row with a null id is left only
+    if its group has no other. Rows that share an id and have different texts are told apart."""
+    rows, key = keyed(docs, "exact-rows")
+    flat = rows.select(first_row(id, key, keep).alias("id"), F.col(text).alias("text"))
+    groups = exact_groups(flat, id="id", text="text", keep=keep)
+    dropped = stage(groups.where(~F.col("kept")).select(F.col("id.row").alias(key)), "copies")
+    return rows.join(dropped, key, "left_anti").select(docs.columns)

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.llm.base import learns, stage, texts
+from lumenframe.llm.base import keyed, learns, stage, texts
 from lumenframe.llm.ppm import Scorer, Tree, gram_counts, grams, summed, text_sums
 
 MAX_GRAMS = 20_000_000  # rows of (language, gram) that a model may have
@@ -84,6 +84,8 @@ def held_out(id: str = "doc_id") -> Column:
 
 
 def keep_identified(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", **how) -> DataFrame:
-    """The documents whose language can be told; their columns are unchanged."""
-    out = stage(identify(docs, id=id, text=text, lang=lang, **how).where(F.col("lang_pred") == UNKNOWN).select(id).distinct(), "unknown")
-    return docs.where(F.col(id).isNull()).union(docs.where(F.col(id).isNotNull()).join(out, id, "left_anti").select(docs.columns))
+    """The documents whose language can be told; their columns are unchanged. Each row is judged
+    by its own text, whatever its ``id``."""
+    rows, key = keyed(docs, "language-rows")
+    out = identify(rows, id=key, text=text, lang=lang, **how).where(F.col("lang_pred") == UNKNOWN)
+    return rows.join(stage(out.select(key), "unknown"), key, "left_anti").select(docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenframe.llm.base import stage
+from lumenframe.llm.base import keyed, stage
 
 HASH_BITS, STEP_BITS = 60, 12
 
@@ -48,7 +48,7 @@ def source_targets(totals: DataFrame, *, weights: Sequence[float], share: float,
 
 def mix_sources(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source",
-    weights: Sequence[float] = (3, 1, 2), share: float = 1.5, max_repeat: float = 2.0,
+    weights: Sequence[float] = (3, 1, 2), share: float = 1.5, max_repeat: float = 2.0, key: str | None = None,
 ) -> DataFrame:
     """Copies of each document that make every source meet its target size.
 
@@ -63,13 +63,15 @@ def mix_sources(
     Returns one row per input row: ``id``, ``size``, ``source``, ``source_size``, ``target``,
     ``copies``, ``taken``. Null text has size 0; a null source is a source of its own, last in
     order; a null id hashes as the empty string. A source without words has target 0, and its
-    documents are taken 0 times. An empty table gives an empty result. Other columns are ignored.
+    documents are taken 0 times. An empty table gives an empty result. Other columns are ignored,
+    but ``key``, if given, is returned as the last column.
     """
-    digits = HASH_BITS // 4
+    digits, own = HASH_BITS // 4, [key] if key else []
     h = F.conv(F.substring(F.md5(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary")), 1, digits), 16, 10)
     sized = stage(
         docs.select(
-            F.col(id).alias("id"), F.col(source).alias("src"), word_count(F.col(text)).cast("long").alias("size"), h.cast("long").alias("h")
+            F.col(id).alias("id"), F.col(source).alias("src"), word_count(F.col(text)).cast("long").alias("size"), h.cast("long").alias("h"),
+            *[F.col(k).alias("own_key") for k in own],
         ),
         "sized",
     )
@@ -97,14 +99,15 @@ def mix_sources(
     copies = F.when(F.col("source_size") > 0, F.col("passes") + F.coalesce(extra, F.lit(False)).cast("int")).otherwise(0)
     return out.select(
         F.col("id").alias(id), "size", F.col("src").alias(source), "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).cast("long").alias("taken"),
+        (copies * F.col("size")).cast("long").alias("taken"), *[F.col("own_key").alias(k) for k in own],
     )
 
 
 def mixed(docs: DataFrame, *, id: str = "doc_id", **how) -> DataFrame:
     """The documents as the mix takes them: a document taken twice appears twice, one not taken
-    is missing; their columns are unchanged. ``id`` must identify a document here; rows that
-    repeat an id have to be removed before, and share one decision otherwise."""
-    chosen = mix_sources(docs, id=id, **how).where(F.col("copies") > 0).groupBy(id).agg(F.max("copies").alias("_copies"))
-    both = docs.join(stage(chosen, "chosen"), id)
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    is missing; their columns are unchanged. Rows are told apart by a number of their own: those
+    of null or repeated ``id`` are taken as often as ``mix_sources`` says for each."""
+    rows, key = keyed(docs, "mix-rows")
+    chosen = mix_sources(rows, id=id, key=key, **how).where(F.col("copies") > 0).select(key, F.col("copies").alias(f"{key}copies"))
+    both = rows.join(stage(chosen, "chosen"), key)
+    return both.withColumn(f"{key}copy", F.explode(F.sequence(F.lit(1), F.col(f"{key}copies")))).select(docs.columns)

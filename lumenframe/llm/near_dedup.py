@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.llm.base import stage, texts, words
+from lumenframe.llm.base import first_row, keyed, stage, texts, words
 from lumenframe.llm.components import components
 
 BATCH = 32  # signature values compared before each decision
@@ -302,7 +302,12 @@ def _relabel(label: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, *, id: str = "doc_id", text: str = "text", method: Method = Method()) -> DataFrame:
-    """One document of each group, the one of smallest id; columns are unchanged."""
-    groups = near_groups(docs.select(id, text), id=id, text=text, method=method)
-    dropped = stage(groups.where(~F.col("kept")).select(id).distinct(), "near-copies")
-    return docs.join(dropped, id, "left_anti")
+    """One row of each group, that of the smallest id; columns are unchanged. Groups are made of
+    rows: those with null or repeated ids link by their texts like any other. A row with a null
+    id is left only if its group has no other; rows without shingles are all left."""
+    rows, key = keyed(docs, "near-rows")
+    groups = near_groups(rows.select(key, text), id=key, text=text, method=method).select(key, "component_id")
+    ids = groups.join(rows.select(key, F.col(id).alias("_id")), key)
+    left = ids.groupBy("component_id").agg(F.min(first_row("_id", key)).alias("least"))
+    left = stage(left.select(F.col("least.row").alias(key)), "near-left")
+    return rows.join(left, key, "left_semi").select(docs.columns)

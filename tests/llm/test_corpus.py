@@ -178,3 +178,55 @@ def test_pipeline(spark, tmp_path):
     fill = seen["packing"].groupby("sequence_id").length.sum()
     assert (fill.iloc[:-1] == 1024).all()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(seen["packing"])
+
+
+PROSE = "the quick brown fox jumps over the lazy dog while seven wizards mix a jug of bitter liquid potions in the old barn"
+
+
+def odd_ids(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+
+
+def left(df):
+    return Counter((r.doc_id, r.text) for r in df.collect())
+
+
+def test_language_judges_rows(spark):
+    rows = [(1, "some words", "en", "s"), (1, "12 34", "en", "s"), (None, "more words", "en", "s"), (None, "--", "en", "s"), (2, None, "en", "s"), (1, "some words", "en", "s")]
+    got = left(corpus_pipeline.identify(spark, odd_ids(spark, rows), ""))
+    assert got == {(1, "some words"): 2, (None, "more words"): 1}
+
+
+def test_exact_leaves_one_row(spark):
+    rows = [(5, "A b"), (5, "A b"), (3, "a b"), (3, "other"), (5, "clean"), (None, "a b"), (None, "lone"), (None, "Lone"), (7, "twice"), (7, "twice"), (7, "twice")]
+    docs = odd_ids(spark, [(*r, "en", "s") for r in rows])
+    got = left(exact_dedup.drop_copies(docs))
+    assert {k: n for k, n in got.items() if k[0] is not None} == {(3, "a b"): 1, (3, "other"): 1, (5, "clean"): 1, (7, "twice"): 1}
+    assert sum(n for k, n in got.items() if k[0] is None) == 1 and len(got) == 5
+    assert {i for (i, t) in left(exact_dedup.drop_copies(docs, keep="largest")) if t.lower() == "a b"} == {5}
+
+
+def test_near_leaves_one_row(spark):
+    rows = [(9, PROSE), (9, PROSE), (4, PROSE + " end"), (9, "a text of its own that nothing else here is like"), (None, "Late " + PROSE)]
+    rows += [(None, "two rows without an id and with the same words"), (None, "two rows without an id and with the same words"), (None, " "), (8, None)]
+    got = left(near_dedup.drop_near_copies(odd_ids(spark, [(*r, "en", "s") for r in rows])))
+    assert got == {(4, PROSE + " end"): 1, (9, rows[3][1]): 1, (None, rows[5][1]): 1, (None, " "): 1, (8, None): 1}
+
+
+def test_mix_takes_rows(spark):
+    rows = [(i, "w " * (i % 9 + 1), "en", f"s{i % 3}") for i in range(90)] + [(None, "null id", "en", "s0"), (None, "null id too", "en", None), (5, "same id", "en", "s1"), (5, "same id", "en", "s1")]
+    docs = odd_ids(spark, rows)
+    want = Counter()
+    for r in mixing.mix_sources(docs).collect():
+        want[r.doc_id, r.size, r.source] += r.copies
+    got = Counter((r.doc_id, len(r.text.split()), r.source) for r in corpus_pipeline.mix(spark, docs, "").collect())
+    assert got == +want and any(i is None for i, _, _ in got)
+    assert corpus_pipeline.mix(spark, docs, "").columns == docs.columns
+
+
+def test_packing_takes_rows(spark):
+    rows = [(None, "a b", "en", "s"), (None, "a b", "en", None), (1, "c", "en", "s"), (1, "c", "en", "s")]
+    assert corpus_pipeline.pack(spark, odd_ids(spark, rows), "").groupBy("doc_id").count().count() == 2
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = sum(len(lib.encode(r[1], add_special_tokens=False).ids) + 1 for r in rows)
+    assert corpus_pipeline.pack(spark, odd_ids(spark, rows), "").agg({"length": "sum"}).first()[0] == want
