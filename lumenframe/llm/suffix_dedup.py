@@ -18,12 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.llm.base import stage, texts
 
-SAMPLE = 4000  # documents, about, whose suffixes give the splitters
+SAMPLE, CHUNK = 4000, 1 << 14  # stretches, about, whose anchors are looked at, and their windows
+KEYS = 100  # keys per bucket from which splitters are picked
 GRAM = 8
 U64 = np.uint64
 
@@ -119,9 +120,32 @@ def bucket_of(splitters: list[tuple], columns: list[np.ndarray]) -> np.ndarray:
     return lo
 
 
+def _below(rate: float, *columns) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < int(min(rate, 1.0) * (1 << 40)) + 1
+
+
+def stretches(flat: DataFrame, length: int) -> DataFrame:
+    """About SAMPLE stretches of CHUNK windows, picked by hash from all texts: (key, text)."""
+    size = F.octet_length("text")
+    count = F.ceil((size - length + 1) / CHUNK).cast("int")
+    flat = flat.where(size >= length)
+    rate = SAMPLE / max(flat.agg(F.sum(count)).first()[0] or 0, 1)
+    own = F.filter(F.sequence(F.lit(0), count - 1), lambda c: _below(rate, F.col("key"), c))
+    cut = F.transform(own, lambda c: F.substring(F.col("text").cast("binary"), c * CHUNK + 1, F.lit(CHUNK + length - 1)))
+    return flat.select("key", F.explode(cut).alias("text"))
+
+
+def some_windows(blocks: DataFrame, parts: int) -> DataFrame:
+    """About KEYS windows per bucket, picked by hash from all open ones: (key, blocks)."""
+    total = blocks.agg(F.sum(F.col("last") - F.col("first") + 1)).first()[0] or 0
+    own = F.filter(F.sequence("first", "last"), lambda p: _below(KEYS * parts / max(total, 1), F.col("key"), p))
+    picked = blocks.select("key", F.explode(own).alias("at"))
+    return picked.groupBy("key").agg(F.collect_set(F.struct(F.col("at").alias("first"), F.col("at").alias("last"))).alias("blocks"))
+
+
 def pick_splitters(sample: DataFrame, columns: list[str], parts: int) -> list[tuple]:
-    """Evenly spaced keys of a bounded sample."""
-    rows = sample.select(*columns).toArrow()
+    """Evenly spaced keys of at most KEYS keys per bucket, those of smallest hash."""
+    rows = sample.select(*columns).orderBy(F.xxhash64(*columns)).limit(KEYS * parts).toArrow()
     cols = [rows.column(c).to_numpy().view(np.uint64) for c in columns]
     order = multikey_order(cols)
     at = (np.arange(1, parts) * len(order)) // parts if len(order) else []
@@ -245,8 +269,8 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def cut_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = 200, choose: int = 128) -> DataFrame:
     """Texts without the bytes that any repeated string of ``length`` bytes covers.
 
-    Splitters from a sample of about SAMPLE documents range-partition the suffixes by leading
-    bytes and, so that no repeated string can crowd a bucket, by fingerprint, document and
+    Splitters from at most KEYS keys a bucket, picked by hash for each sort, of any length of
+    documents, range-partition the suffixes by leading bytes and, so that no repeated string can crowd a bucket, by fingerprint, document and
     position. A bucket sorts its suffixes by these keys in turn and compares neighbours; the
     first and last suffix of each bucket are compared across buckets (two rows per bucket reach
     the driver). Suffixes travel as eight leading bytes and a 64-bit fingerprint of the rest.
@@ -264,22 +288,20 @@ def cut_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", leng
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     flat = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     flat = flat.select(F.xxhash64("id", "text").alias("key"), "id", "text")
-    rate = min(1.0, SAMPLE / max(flat.count(), 1))
-    sampled = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int(rate * (1 << 20)) + 1
 
     longs = " long, ".join(ANCHOR) + " long"
-    some = flat.where(sampled).select("key", "text").mapInArrow(_find_anchors(length, choose, None), longs)
+    some = stretches(flat, length).mapInArrow(_find_anchors(length, choose, None), longs)
     splitters = pick_splitters(some, ANCHOR[:4], parts)
     found = flat.select("key", "text").mapInArrow(_find_anchors(length, choose, splitters), longs + ", bucket long")
     found = found.repartitionById(parts, F.col("bucket").cast("int")).drop("bucket")
     blocks = found.mapInArrow(_settle_blocks(length), "open long, key long, first long, last long")
     blocks = stage(blocks, "blocks")
 
+    some = flat.select("key", "text").join(some_windows(blocks.where("open = 1"), parts), "key")
     open_ = blocks.where("open = 1").groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("blocks"))
     open_ = flat.select("key", "text").join(open_, "key")
     longs = " long, ".join(WINDOW) + " long"
-    some = open_.where(sampled).mapInArrow(_expand(length, None), longs)
-    splitters = pick_splitters(some, WINDOW, parts)
+    splitters = pick_splitters(some.mapInArrow(_expand(length, None), longs), WINDOW, parts)
     windows = open_.mapInArrow(_expand(length, splitters), longs + ", bucket long")
     windows = windows.repartitionById(parts, F.col("bucket").cast("int"))
     windows = stage(windows.mapInArrow(_settle_windows, "edge long, bucket long, " + longs), "windows")

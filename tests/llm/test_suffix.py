@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from lumenframe.llm import suffix_dedup
 from lumenframe.llm.suffix_dedup import bucket_of, cut_repeats, multikey_order
 
 
@@ -66,3 +67,24 @@ def test_order_and_buckets():
     assert rows == sorted(rows)
     splitters = [rows[100], rows[250], rows[400]]
     assert bucket_of(splitters, cols).tolist() == [sum(s <= tuple(int(c[i]) for c in cols) for s in splitters) for i in range(500)]
+
+
+def test_samples_are_bounded_in_keys(spark, monkeypatch):
+    """Few long documents, of which some blocks are open, among many short ones."""
+    r, seen = random.Random(3), []
+    long = ["".join(r.choice("abcdefgh ") for _ in range(30_000)) for _ in range(3)]
+    for i in range(2):  # copies with a byte changed here and there: equal anchors, blocks that differ
+        b = list(long[i])
+        for at in range(0, len(b), 400):
+            b[at] = "#"
+        long.append("".join(b))
+    texts = long + ["a" * 3000] + [f"short {i}" for i in range(5000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffix_dedup, "KEYS", 8, raising=False)
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 2048, raising=False)
+    order = suffix_dedup.multikey_order
+    monkeypatch.setattr(suffix_dedup, "multikey_order", lambda cols: seen.append(len(cols[0])) or order(cols))
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in cut_repeats(docs).collect()}
+    assert got == dict(enumerate(brute(texts, 200)))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(seen) == 2 and all(parts <= n <= 8 * parts for n in seen)
