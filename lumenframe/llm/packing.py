@@ -2,113 +2,41 @@
 
 from __future__ import annotations
 
-import functools
-import os
-import uuid
 import zlib
 from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.llm.base import stage
-from lumenframe.llm.pieces import PRE_TOKEN, Cache, pieces
+from lumenframe.llm.token_ids import slices, token_ids
 
-END_OF_LATIN = "\u0250"
 DIRECT = 64  # level of the sources of two tokens a window at least; others have fewer binary digits
 BUCKETS = 1024
 
 
-class TokenIds:
-    """Ids of a tokenizers .json file as bytes, through a bounded cache over pieces of text."""
-
-    def __init__(self, path: str, cache: int = 300_000, word_cache: int = 700_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.lib = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
-        self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        # A special string with white space could arise only where words are joined.
-        split = not any(c.isspace() for s in self.special for c in s)
-        self.feed = self.lib.encode("\n", add_special_tokens=False).ids if split else []
-        self.word = Cache(lambda w: self.encode([w])[0], word_cache)
-        self.piece = Cache(lambda p: b"".join(map(self.word.__getitem__, self.pre_tokens(p))), cache)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of pre-tokens. A line feed before a space and a word is always a pre-token, so
-        words that begin with a space go to the library a few a time, a line feed between them."""
-        spaced, out = [w for w in words if w[0] == " " and w[1:] and not w[1:].isspace()], {}
-        if len(self.feed) == 1:
-            rows = ["\n".join(spaced[i : i + 16]) for i in range(0, len(spaced), 16)]
-            for i, e in enumerate(self.lib.encode_batch_fast(rows, add_special_tokens=False)):
-                ids = np.array(e.ids, self.kind)
-                ends = [*(np.flatnonzero(ids == self.feed[0])).tolist(), len(ids)]
-                own = spaced[16 * i : 16 * i + 16]
-                if len(ends) == len(own):
-                    raw, size, at = ids.tobytes(), self.kind.itemsize, 0
-                    for w, end in zip(own, ends, strict=True):
-                        out[w] = raw[at * size : end * size]
-                        at = end + 1
-        alone = [w for w in words if w not in out]
-        out.update(zip(alone, self.encode(alone), strict=True))
-        return [out[w] for w in words]
-
-    @staticmethod
-    def pre_tokens(piece: str) -> list[str]:
-        """The pre-tokens of a piece with the space before it. A plain word is one, with a mark
-        after it two; letters below U+0250 are the same in every version of Unicode."""
-        if piece < END_OF_LATIN and max(piece, default=END_OF_LATIN) < END_OF_LATIN:
-            if piece.isalpha():
-                return [" " + piece]
-            if piece[-1] in ".,;:!?" and piece[:-1].isalpha():
-                return [" " + piece[:-1], piece[-1]]
-        return PRE_TOKEN.findall(" " + piece)
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Texts with special strings go to the library whole, others piece by piece; a piece of
-        several pre-tokens is put together, so the library sees each pre-token once."""
-        cut = [[] if any(s in t for s in self.special) else pieces(t) for t in texts]
-        first = self.encode([c[0] if c else t for c, t in zip(cut, texts, strict=True)])
-        rest = [c[1:] for c in cut]
-        piece, word = self.piece, self.word
-        made = {p: self.pre_tokens(p) for p in set().union(*rest) if p not in piece and p not in piece.old}
-        fresh = list({w for ws in made.values() for w in ws if w not in word and w not in word.old})
-        for w, ids in zip(fresh, self.encode_words(fresh), strict=True):
-            word.put(w, ids)
-        for p, ws in made.items():
-            piece.put(p, word[ws[0]] if len(ws) == 1 else b"".join(map(word.__getitem__, ws)))
-        return [b"".join([f, *map(piece.__getitem__, r)]) for f, r in zip(first, rest, strict=True)]
-
-
-@functools.cache
-def _ids(path: str) -> TokenIds:
-    return TokenIds(path)
-
-
 def tokenised(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     """(id, src, text) to ids with the end id, and each document's place in its task's queue of
-    its source. ``run`` names the task's output: the written table fixes it."""
+    its source. ``run`` is the number of the task's input split, so reruns over the same splits
+    give the same queues; the written table fixes it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lib, queue, me = _ids(vocabulary), {}, uuid.uuid4().int >> 65
-        end = np.array([end_id], lib.kind).tobytes()
+        lib, queue, me = token_ids(vocabulary), {}, TaskContext.get().partitionId()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                b = batch.slice(at, 256)
-                ids = [x + end for x in lib(b.column("text").to_pylist())]
-                n = [len(x) // lib.kind.itemsize for x in ids]
+            for b in slices(batch):
+                ids, ends = lib.flat(b.column("text"), end_id)
+                n = np.diff(np.r_[0, ends])
                 before = []
-                for s, k in zip(b.column("src").to_pylist(), n, strict=True):
+                for s, k in zip(b.column("src").to_pylist(), n.tolist(), strict=True):
                     before.append(queue.get(s, 0))
                     queue[s] = before[-1] + k
+                starts = pa.py_buffer((np.r_[0, ends] * lib.kind.itemsize).astype(np.int32))
+                held = pa.Array.from_buffers(pa.binary(), len(n), [None, starts, pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), b.column("src"), pa.array([me] * len(n), pa.int64()), pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
+                    [b.column("id"), b.column("src"), pa.array(np.full(len(n), me)), pa.array(before, pa.int64()), pa.array(n), held],
                     ["id", "src", "run", "before", "n", "ids"],
                 )
 
@@ -266,7 +194,7 @@ def pack(
     sums = rows.groupBy("run", "src").agg(F.sum("n").alias("n"))
     upto = Window.partitionBy("src").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     sums = stage(sums.withColumn("base", F.coalesce(F.sum("n").over(upto), F.lit(0))), "queues")
-    window, kind_size = length * window_sequences, _ids(vocabulary).kind
+    window, kind_size = length * window_sequences, token_ids(vocabulary).kind
     named, phases, others = [s for s, w in (weights or {}).items() if w], [], sums
     if named:
         is_named = F.when(F.col("src").isNull(), F.lit(None in named)).otherwise(F.col("src").isin([s for s in named if s is not None]))

@@ -4,13 +4,16 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from lumenframe.llm.packing import Rounds, TokenIds, mixture_phases, pack
+from lumenframe.llm.packing import Rounds, mixture_phases, pack
 from lumenframe.llm.token_count import PairMerger, token_counts
+from lumenframe.llm.token_ids import TokenIds
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIB, OWN, IDS = Tokenizer.from_file(PATH), PairMerger(PATH), TokenIds(PATH)
@@ -29,6 +32,26 @@ def test_like_the_library(text):
     assert np.frombuffer(IDS([text])[0], IDS.kind).tolist() == want
 
 
+WORDS = st.text(st.sampled_from(list("abcdefghorstuvßñéóäüèŁ.,!?'9")), min_size=1, max_size=9)
+
+
+@given(st.lists(st.lists(st.tuples(WORDS, st.sampled_from([" ", " ", " ", "\n", "\n\n", "  ", "\t"])), max_size=12), max_size=6), st.lists(CHARS, max_size=4))
+@settings(max_examples=400, deadline=None)
+def test_slices_like_the_library(rows, odd):
+    texts = ["".join(w + s for w, s in r).strip() for r in rows] + odd
+    want = [e.ids for e in LIB.encode_batch(texts, add_special_tokens=False)]
+    for end in (None, 7):
+        ids, ends = IDS.flat(pa.array(texts, pa.string()), end)
+        got = [x.tolist() for x in np.split(ids, ends)][: len(texts)]
+        assert got == [w + [end] * (end is not None) for w in want]
+
+
+def test_all_words_like_the_library():
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].combine_chunks()
+    ids, ends = IDS.flat(texts)
+    assert [x.tolist() for x in np.split(ids, ends)][: len(texts)] == [e.ids for e in LIB.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+
+
 def test_counts(spark):
     rows = [(i, t, i) for i, t in enumerate(TEXTS)] + [(None, "a", 0), (3, "  ", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens long")
@@ -102,7 +125,7 @@ def test_phases_use_everything():
 def test_joined_words_have_their_own_ids():
     import public_tokenizers
 
-    from lumenframe.llm.packing import TokenIds
+    from lumenframe.llm.token_ids import TokenIds
 
     lib = TokenIds(public_tokenizers.path("byte_bpe_50k.json"))
     words = [" a", "a", " ", "  ", "\n", "'s", " '", " 12", "12", " é", " ́x", " ​", "　", " ß!", " 中文", " …", ".", " x"] * 3
@@ -151,3 +174,9 @@ def test_more_sources_than_the_driver_should_see(spark):
     docs = spark.range(n).selectExpr("id AS doc_id", "'a' AS text", "concat('s', id) AS source")
     got = pack(docs, PATH).agg({"length": "sum", "doc_id": "count"}).first()
     assert tuple(sorted(got)) == (n, 2 * n)
+
+
+def test_packing_again_is_the_same(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(5, "doc_id")
+    first, again = (sorted(map(tuple, pack(docs, PATH).collect()), key=str) for _ in range(2))
+    assert first == again
