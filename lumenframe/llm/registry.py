@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import ann, exact_dedup, language_id, lm_score, mixing, near_dedup, packing, suffix_dedup, token_count, warc
+from lumenframe.llm import ann, best_fit, exact_dedup, language_id, lm_score, mixing, near_dedup, packing, suffix_dedup, token_count, warc
 from lumenframe.llm.base import learns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,8 @@ JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h""")
 def _mixing(spark, folder):
     out = mixing.mix_sources(table(spark, folder, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op13_best_fit_packing")
+def _best_fit(spark, folder):
+    return best_fit.pack_best_fit(table(spark, folder, "documents"), vocabulary())
