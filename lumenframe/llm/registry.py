@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import ann, best_fit, exact_dedup, language_id, lm_score, mixing, near_dedup, packing, suffix_dedup, token_count, warc
+from lumenframe.llm import ann, best_fit, exact_dedup, importance, language_id, lm_score, mixing, near_dedup, packing, suffix_dedup, token_count, warc
 from lumenframe.llm.base import learns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,37 @@ def _mixing(spark, folder):
 @query("op13_best_fit_packing")
 def _best_fit(spark, folder):
     return best_fit.pack_best_fit(table(spark, folder, "documents"), vocabulary())
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PAIRS = "[CAST('0x' || substr(hex({x}), 2 * i + 1, 2) AS BIGINT) FOR i IN range(strlen({x}))]"
+
+
+def crc32_sql(x: str) -> str:
+    """CRC-32 of the UTF-8 bytes of ``x``, where ``tab`` is the list of the 256 values of a byte."""
+    steps = f"list_reduce(list_concat([4294967295], {_PAIRS.format(x=x)}), lambda c, y: xor(c >> 8, tab[(xor(c, y) & 255) + 1]))"
+    return f"xor({steps}, 4294967295)"
+
+
+CRC_TABLE = """tab AS (SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM range(256) AS r(i))"""
+
+
+@query("op12_importance_resampling", rf"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dw AS (SELECT doc_id, unnest(w) AS word FROM d),
+bw AS (SELECT unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+k AS (SELECT word, {crc32_sql('word')} % 10000 AS bucket FROM (SELECT word FROM dw UNION SELECT word FROM bw) AS u, tab),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN k USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN k USING (word) GROUP BY bucket),
+n AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE + 10000 AS ss, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE + 10000 AS tt),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ss / ((s + 1)::DOUBLE * tt)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket), n),
+v AS (SELECT doc_id, sum(gain)::BIGINT AS total FROM dw JOIN k USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+x AS (SELECT doc_id, len(w) AS n_features, CASE WHEN len(w) = 0 THEN 0 ELSE floor(total / len(w)::DOUBLE)::BIGINT END AS weight,
+             CAST('0x' || left(sha256('2024:' || doc_id), 8) AS BIGINT) AS h FROM d LEFT JOIN v USING (doc_id)),
+y AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM x),
+z AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS fit FROM y WHERE n_features >= 20)
+SELECT y.*, z.rank FROM y LEFT JOIN z ON z.doc_id = y.doc_id AND z.rank <= 10 * z.fit // 100""")
+def _importance(spark, folder):
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ngram=1, seed=2024)
