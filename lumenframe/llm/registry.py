@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import ann, best_fit, exact_dedup, importance, language_id, lm_score, mixing, near_dedup, packing, suffix_dedup, token_count, warc
+from lumenframe.llm import ann, best_fit, exact_dedup, importance, language_id, lm_score, mixing, near_dedup, packing, prefix_trie, suffix_dedup, token_count, warc
 from lumenframe.llm.base import learns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,25 @@ z AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, co
 SELECT y.*, z.rank FROM y LEFT JOIN z ON z.doc_id = y.doc_id AND z.rank <= 10 * z.fit // 100""")
 def _importance(spark, folder):
     return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ngram=1, seed=2024)
+
+
+@query("op11_conversation_prefix_trie", rf"""
+WITH {CRC_TABLE},
+t AS (SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, list({{'k': k, 'w': w}} ORDER BY turn NULLS FIRST, k) AS ms FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, ms, {crc32_sql('CAST(conv_id AS VARCHAR)')} % 4 AS h FROM l, tab),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.ms[1:c.h], []), c.ms[c.h + 1:]) AS ms FROM h AS c LEFT JOIN h AS b ON b.conv_id = c.conv_id - c.conv_id % 20),
+p AS (SELECT conv_id, len(ms) AS n, ms, unnest(range(len(ms) + 1)) AS depth FROM r),
+q AS (SELECT conv_id, n, depth, [x.k FOR x IN ms[1:depth]] AS pre, CASE WHEN depth = 0 THEN 0 ELSE ms[depth].w END AS w FROM p),
+v AS (SELECT depth, array_to_string(pre, ',') AS path, any_value(pre) AS pre, min(conv_id) AS conv_id, count(*) AS n_convs, min(w) AS w,
+             sha256(coalesce(string_agg(CASE WHEN n = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+      FROM q GROUP BY depth, array_to_string(pre, ',')),
+e AS (SELECT c.*, u.conv_id AS parent_conv_id FROM v AS c LEFT JOIN v AS u ON u.depth = c.depth - 1 AND u.path = array_to_string(c.pre[1:c.depth - 1], ',')),
+n AS (SELECT e.*, coalesce(k.n_children, 0) AS n_children FROM e LEFT JOIN (SELECT depth - 1 AS depth, parent_conv_id AS conv_id, count(*) AS n_children
+      FROM e WHERE depth > 0 GROUP BY 1, 2) AS k ON k.depth = e.depth AND k.conv_id = e.conv_id),
+a AS (SELECT n_children, (n_convs - 1) * w AS saved, pre, unnest(range(depth + 1)) AS up FROM n),
+s AS (SELECT up AS depth, array_to_string(pre[1:up], ',') AS path, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM a GROUP BY 1, 2)
+SELECT n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256 FROM n JOIN s ON s.depth = n.depth AND s.path = n.path""")
+def _trie(spark, folder):
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
