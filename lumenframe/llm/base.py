@@ -8,12 +8,14 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own: dict[str, str] = {}
+_open: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,26 +44,73 @@ def releasing(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(CLEANUP) if was is None else spark.conf.set(CLEANUP, was)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables staged in here are deleted at the end, by when what was made of them is written.
+    Paths that are put into the list it gives go as well."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open.remove(made)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in made:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and go on with the written table.
 
     This cuts the lineage, survives lost executors and gives the planner true sizes. The shuffle
-    files of the write are deleted as soon as it is done: nothing reads them again.
+    files of the write are deleted as soon as it is done: nothing reads them again. The table
+    itself stays, unless a ``scratch`` is open.
     """
     spark, schema = df.sparkSession, df.schema
     path = new_path(spark, name)
+    for made in _open[-1:]:
+        made.append(path)
     with releasing(spark):
         df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def place_in_files(docs: DataFrame) -> Column | None:
+    """A number for each row of a table of files, from its file and its place there; None if
+    ``docs`` is anything else. The rows keep their numbers whenever the files are read again.
+
+    The upper bits are a hash of the file's path under the first seed that tells all files apart.
+    """
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        return None
+    try:
+        meta = docs.metadataColumn("_metadata")
+        path, at = meta.getField("file_path"), meta.getField("row_index")
+        files = docs.groupBy(path.alias("path")).agg(F.max(at).alias("last"))
+        seeds = [F.xxhash64("path", F.lit(i)) for i in range(8)]
+        low = max((files.agg(F.max("last")).first()[0] or 0).bit_length(), 1)
+        mark = lambda h: F.shiftleft(F.shiftrightunsigned(h, low + 1), low)
+        kinds = files.agg(F.count("*"), *[F.count_distinct(mark(h)) for h in seeds]).first()
+    except AnalysisException:  # a format without places
+        return None
+    for i in range(len(seeds)):
+        if kinds[i + 1] == kinds[0]:
+            return mark(F.xxhash64(path, F.lit(i))).bitwiseOR(at)
+    return None
+
+
 def keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The rows with a number of their own, written once so that it stays, and its column's name.
+    """The rows with a number of their own that stays, and its column's name: their place in
+    their files, or for other tables a number that is written once together with them.
 
     Decisions per row go by this number: ids may be null or repeated."""
     key = "_row"
     while key.lower() in (c.lower() for c in docs.columns):
         key += "_"
+    place = place_in_files(docs)
+    if place is not None:
+        return docs.withColumn(key, place), key
     return stage(docs.withColumn(key, F.monotonically_increasing_id()), name), key
 
 

@@ -16,7 +16,7 @@ from lumenframe.llm.base import first_row, keyed, stage, texts, words
 from lumenframe.llm.components import components
 
 BATCH = 32  # signature values compared before each decision
-SLICE, LEAD = 4096, 1024  # members and leaders of a block
+SLICE, LEAD = 2048, 1024  # members and leaders of a block
 
 
 @dataclass(frozen=True)
@@ -208,34 +208,17 @@ def _both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     return pairs
 
 
-def near_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", method: Method = Method()) -> DataFrame:
-    """Groups of documents linked, directly or in chains, by similar shingle sets.
-
-    Equal sets collapse to their smallest id first. Band keys propose pairs, but no bucket emits
-    its pairs: in each round the smallest ids of a bucket, 1, then 32, 1024, ... of them, lead.
-    Blocks of at most SLICE members and LEAD leaders meet in a task, and a leader is compared
-    with the members after it that are not yet in its component; then it leaves the bucket.
-    Buckets of one component end, so a group of many near copies costs about one comparison per
-    member, and no proposed pair between components is left out. A pair is dropped without loss
-    when even all shingles that either document shares with any candidate would not do; else it
-    is compared by batches of signature values and dropped when its posterior chance falls below
-    ``method.miss``. Survivors are verified on their full sets of 64-bit shingle hashes.
-
-    Returns one row per input row: ``id``, ``n_shingles``, ``component_id`` (smallest id that is
-    reachable), ``kept``. Null, empty and blank texts have no shingles and link with nothing.
-    Rows that repeat an id share the smallest component that any of their texts reaches. A null
-    id is never linked, has a null component and is kept. An empty table gives an empty result;
-    other columns are ignored.
-    """
+def row_groups(flat: DataFrame, method: Method) -> DataFrame:
+    """(id, text) to id, n (size of its set), root (smallest id that is reachable); each row has
+    an id of its own."""
     m = method
-    flat = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     sk = stage(sketches(flat, m), "sketches")
-    full = sk.where("n > 0 AND id IS NOT NULL")
+    full = sk.where("n > 0")
     first = full.groupBy("digest", "n").agg(F.min("id").alias("rep"))
-    member = stage(full.select("id", "digest", "n").join(first, ["digest", "n"]).select("id", "rep").distinct(), "members")
+    member = stage(full.select("id", "digest", "n").join(first, ["digest", "n"]).select("id", "rep"), "members")
     reps = sk.join(member.where("id = rep").select("id"), "id", "left_semi").where("n > 0")
-    sig = stage(reps.dropDuplicates(["id"]).select("id", "sig"), "signatures")
-    rows = reps.select("id", F.explode("keys").alias("bucket")).distinct()
+    sig = stage(reps.select("id", "sig"), "signatures")
+    rows = reps.select("id", F.explode(F.array_distinct("keys")).alias("bucket"))
     many = rows.groupBy("bucket").count().where("count > 1").select("bucket")
     rows = stage(rows.join(many, "bucket", "left_semi").select("bucket", "id"), "buckets")
     wanted = rows.select("id").distinct()
@@ -248,8 +231,8 @@ def near_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", meth
     facts = facts.select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
     facts = stage(sig.join(facts, "id"), "facts")
 
-    label = docs.sparkSession.createDataFrame([], "id long, label long")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    label = flat.sparkSession.createDataFrame([], "id long, label long")
+    parts = int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     leaders = 1
     while True:
         act = rows.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -282,12 +265,41 @@ def near_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", meth
         rows = act.join(last, "bucket").where("id > last").select("bucket", "id")
         label = _relabel(label, links)
         leaders *= 32
-    roots = member.join(label.withColumnRenamed("id", "rep"), "rep", "left")
-    roots = roots.groupBy("id").agg(F.min(F.coalesce("label", "rep")).alias("root"))
-    out = sk.select("id", "n").join(roots, "id", "left")
-    root = F.coalesce("root", "id")
+    roots = member.join(label.withColumnRenamed("id", "rep"), "rep", "left").select("id", F.coalesce("label", "rep").alias("root"))
+    return sk.select("id", "n").join(roots, "id", "left").select("id", "n", F.coalesce("root", "id").alias("root"))
+
+
+def near_groups(docs: DataFrame, *, id: str = "doc_id", text: str = "text", method: Method = Method()) -> DataFrame:
+    """Groups of documents linked, directly or in chains, by similar shingle sets.
+
+    Rows are told apart by a number of their own. Equal sets collapse to their first row. Band
+    keys propose pairs, but no bucket emits its pairs: in each round the smallest numbers of a
+    bucket, 1, then 32, 1024, ... of them, lead. Blocks of at most SLICE members and LEAD leaders
+    meet in a task, and a leader is compared with the members after it that are not yet in its
+    component; then it leaves the bucket. Buckets of one component end, so a group of many near
+    copies costs about one comparison per member, and no proposed pair between components is left
+    out. A pair is dropped without loss when even all shingles that either document shares with
+    any candidate would not do; else it is compared by batches of signature values and dropped
+    when its posterior chance falls below ``method.miss``. Survivors are verified on their full
+    sets of 64-bit shingle hashes.
+
+    Returns one row per input row: ``id``, ``n_shingles``, ``component_id`` (smallest id that is
+    reachable), ``kept``. Null, empty and blank texts have no shingles and link with nothing.
+    Rows that repeat an id are linked each by its own text and then share the smallest component
+    that any of them reaches. A row with a null id links with nothing, has a null component and is
+    kept. An empty table gives an empty result; other columns are ignored.
+    """
+    rows, key = keyed(docs, "near-input")
+    rows = rows.select(F.col(key).alias("id"), F.col(id).cast("long").alias("name"), F.col(text).alias("text"))
+    named = rows.where("name IS NOT NULL").select("id", "name")
+    groups = stage(row_groups(rows.where("name IS NOT NULL").select("id", "text"), method).join(named, "id"), "row-groups")
+    least = groups.groupBy("root").agg(F.min("name").alias("least"))
+    reached = groups.join(least, "root").groupBy("name").agg(F.min("least").alias("least"))
+    out = groups.join(reached, "name").select("name", "n", "least")
+    nameless = stage(sketches(rows.where("name IS NULL").select("id", "text"), method).select("n"), "nameless")
+    out = out.unionByName(nameless.select(F.lit(None).cast("long").alias("name"), "n", F.lit(None).cast("long").alias("least")))
     return out.select(
-        F.col("id").alias(id), F.col("n").alias("n_shingles"), root.alias("component_id"), F.coalesce(F.col("id") == root, F.lit(True)).alias("kept")
+        F.col("name").alias(id), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"), F.coalesce(F.col("name") == F.col("least"), F.lit(True)).alias("kept")
     )
 
 
@@ -306,8 +318,11 @@ def drop_near_copies(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     rows: those with null or repeated ids link by their texts like any other. A row with a null
     id is left only if its group has no other; rows without shingles are all left."""
     rows, key = keyed(docs, "near-rows")
-    groups = near_groups(rows.select(key, text), id=key, text=text, method=method).select(key, "component_id")
-    ids = groups.join(rows.select(key, F.col(id).alias("_id")), key)
-    left = ids.groupBy("component_id").agg(F.min(first_row("_id", key)).alias("least"))
-    left = stage(left.select(F.col("least.row").alias(key)), "near-left")
-    return rows.join(left, key, "left_semi").select(docs.columns)
+    ids = stage(rows.select(key, F.col(id).alias("_id")), "near-ids")
+    groups = row_groups(rows.select(F.col(key).alias("id"), F.col(text).alias("text")), method)
+    groups = stage(groups.select(F.col("id").alias(key), "root"), "near-groups")
+    many = groups.groupBy("root").agg(F.count("*").alias("size")).where("size > 1").select("root")
+    copies = stage(groups.join(many, "root").join(ids, key), "near-copies")
+    left = copies.groupBy("root").agg(F.min(first_row("_id", key)).alias("least")).select(F.col("least.row").alias(key))
+    gone = stage(copies.join(left, key, "left_anti").select(key), "near-gone")
+    return rows.join(gone, key, "left_anti").select(docs.columns)

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -10,12 +11,13 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from check import compare, duck
-from lumenframe.llm import ann, exact_dedup, mixing, near_dedup, registry, warc
-from lumenframe.llm.base import new_path
+from lumenframe.llm import ann, exact_dedup, language_id, mixing, near_dedup, registry, warc
+from lumenframe.llm.base import keyed, new_path, shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -177,7 +179,46 @@ def test_pipeline(spark, tmp_path):
     assert seen["packing"].length.sum() == want
     fill = seen["packing"].groupby("sequence_id").length.sum()
     assert (fill.iloc[:-1] == 1024).all()
+    folder = f"{shared_folder(spark)}/lumenframe"
+    had = set(os.listdir(folder))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(seen["packing"])
+    (left_over,) = set(os.listdir(folder)) - had
+    assert left_over.startswith("pipeline-packing")
+
+
+def test_pipeline_with_odd_tables(spark, tmp_path):
+    names = ["id", "key", "_row", "_ROW_", "h", "src", "size", "copies", "_mixh", "rep", "root", "n", "digest", "run", "keep", "row", "label", "bucket", "lang_pred", "score", "kept", "ids", "start"]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    docs.withColumns({n: F.lit(i) for i, n in enumerate(names)}).write.parquet(f"{tmp_path}/a/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    table = spark.read.parquet(f"{tmp_path}/a/documents.parquet")
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, table, "")
+        assert out.columns == table.columns and out.count() > 0
+        assert out.where(" OR ".join(f"`{n}` <> {i}" for i, n in enumerate(names))).isEmpty()
+    assert corpus_pipeline.run(spark, f"{tmp_path}/a").count() > 0
+    assert corpus_pipeline.run(spark, f"{tmp_path}/b").count() == 0
+
+
+def test_numbers_of_rows_stay(spark, tmp_path):
+    table = spark.range(1000).repartition(7)
+    table.write.parquet(str(tmp_path / "t"))
+    again, once = spark.read.parquet(str(tmp_path / "t")), spark.createDataFrame([(1,), (1,)], "_row long")
+    rows, key = keyed(again, "rows")
+    assert rows.select(key).distinct().count() == 1000
+    assert rows.where("id % 3 = 0").select(F.col("id").alias("a"), key).join(rows, key).where("a <> id").isEmpty()
+    rows, key = keyed(once, "rows")
+    assert key == "_row_" and rows.select(key).distinct().count() == 2
+
+
+def test_unknown_languages_go(spark):
+    r = random.Random(5)
+    words = "the of and to in is was that for with his they be at one have this from".split()
+    prose = [(i, " ".join(r.choices(words, k=r.randint(1, 60))), "en", "s") for i in range(300)]
+    coded = [(1000 + i, "".join(chr(r.randrange(0x21, 0x7F)) for _ in range(400)), None, "s") for i in range(5)]
+    short = [(2000, "Qzx!", None, "s"), (2001, "Zebra", "en", "s")]
+    kept = {x.doc_id for x in language_id.keep_identified(odd_ids(spark, prose + coded + short)).collect()}
+    assert kept == {x[0] for x in prose + short}
 
 
 PROSE = "the quick brown fox jumps over the lazy dog while seven wizards mix a jug of bitter liquid potions in the old barn"
@@ -230,3 +271,15 @@ def test_packing_takes_rows(spark):
     lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = sum(len(lib.encode(r[1], add_special_tokens=False).ids) + 1 for r in rows)
     assert corpus_pipeline.pack(spark, odd_ids(spark, rows), "").agg({"length": "sum"}).first()[0] == want
+
+
+def test_near_links_of_repeated_ids(spark):
+    p = " ".join(f"w{i}" for i in range(32))
+    for rows in (
+        [(1, p), (1, p), (2, p), (3, "xxxxxxxxxx"), (3, p + " end")],
+        [(3, p + " end"), (3, "xxxxxxxxxx"), (2, p), (1, p), (1, p), (4, "xxxxxxxxxx")],
+    ):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        got = near_dedup.near_groups(docs, method=near_dedup.Method(ngram=3, percent=85)).collect()
+        assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), *[(i, 3) for i, _ in rows if i == 4]}
+        assert len(got) == len(rows)
