@@ -6,11 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lumenframe.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from lumenframe.llm.base import new_path
+from lumenframe.llm.base import new_path, scratch
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents whose language can be told: with a letter, and no costlier than any language."""
     return language_id.keep_identified(docs)
 
 
@@ -41,9 +41,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages in turn, applied to the table ``documents``: pieces of packed sequences.
+
+    Each stage's output is written and read again. What a stage has staged for itself and the
+    output before it are deleted then, so the disk holds one stage at a time. Rows count, not ids:
+    null, repeated and equal ids do no harm, null and empty texts go with the first stage, and an
+    empty table gives no piece. Further columns pass through whatever their names.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         path = new_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark) as made:
+            stage(spark, docs, sf_dir).write.parquet(path)
+            made += before
+        docs, before = spark.read.parquet(path), [path]
     return docs
