@@ -8,7 +8,7 @@ next shorter context follows, in which the symbols of the longer one are exclude
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -101,11 +101,14 @@ class Tree:
     """The context tree of one key: per level sorted grams with counts, and contexts with their
     sum, number of symbols, and the sum that their symbols have one level down."""
 
-    def __init__(self, codes: np.ndarray, n: np.ndarray, order: int, root: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, codes: np.ndarray, n: np.ndarray, order: int, root: tuple[np.ndarray, np.ndarray], upper: Sequence[tuple] = ()):
+        """``root`` and ``upper`` are the grams and counts of levels 0, 1, ...; where ``codes`` are
+        only those of some contexts, these levels have to be whole."""
         self.levels, below = [], None
+        known = [root, *upper]
         for j in range(order + 1):
-            if j == 0:
-                g, c = root
+            if j < len(known):
+                g, c = known[j]
             else:
                 g, c = summed(codes & np.uint64((1 << 8 * (j + 1)) - 1), n)
             ctx, first = np.unique(g >> np.uint64(8), return_index=True)
@@ -143,30 +146,26 @@ class Tree:
         return out
 
 
-class Scorer:
-    """Trees by key, and one hash table with the values of all grams that any tree has seen."""
+class Index:
+    """A hash table from distinct codes to their places."""
 
-    def __init__(self, trees: list[Tree]):
-        self.trees = trees
-        top = [t.levels[-1][0] for t in trees]
-        self.codes = np.unique(np.concatenate(top)) if top else np.empty(0, np.uint64)
-        self.values = np.stack([t.log10(self.codes) for t in trees], axis=1).astype(np.float32) if trees else None
-        self.bits = max(int(2 * len(self.codes)).bit_length(), 4)
+    def __init__(self, codes: np.ndarray):
+        self.bits = max(int(2 * len(codes)).bit_length(), 4)
         self.key = np.full(1 << self.bits, FREE, np.uint64)
         self.row = np.zeros(1 << self.bits, np.int32)
-        rows, slot = np.arange(len(self.codes), dtype=np.int32), self._slot(self.codes)
+        rows, slot = np.arange(len(codes), dtype=np.int32), self._slot(codes)
         while len(rows):
             free = self.key[slot] == FREE
-            self.key[slot[free]] = self.codes[rows[free]]
-            mine = self.key[slot] == self.codes[rows]
+            self.key[slot[free]] = codes[rows[free]]
+            mine = self.key[slot] == codes[rows]
             self.row[slot[mine]] = rows[mine]
             rows, slot = rows[~mine], (slot[~mine] + 1) & (len(self.key) - 1)
 
     def _slot(self, codes: np.ndarray) -> np.ndarray:
         return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def __call__(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probabilities, a column for each tree."""
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each code, 0 for those that are not there, and which these are."""
         slot = self._slot(codes)
         key = self.key[slot]
         row = self.row[slot]
@@ -181,6 +180,22 @@ class Scorer:
             far = far[key[far] != codes[far]]
         new = np.concatenate(new) if new else np.empty(0, np.int64)
         row[new] = 0
+        return row, new
+
+
+class Scorer:
+    """Trees by key, and one hash table with the values of all grams that any tree has seen."""
+
+    def __init__(self, trees: list[Tree]):
+        self.trees = trees
+        top = [t.levels[-1][0] for t in trees]
+        codes = np.unique(np.concatenate(top)) if top else np.empty(0, np.uint64)
+        self.values = np.stack([t.log10(codes) for t in trees], axis=1).astype(np.float32) if trees else None
+        self.index = Index(codes)
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        """log10 probabilities, a column for each tree."""
+        row, new = self.index.find(codes)
         out = self.values[row] if len(self.values) else np.zeros((len(codes), len(self.trees)), np.float32)
         if len(new):
             few, back = np.unique(codes[new], return_inverse=True)
