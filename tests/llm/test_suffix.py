@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lumenframe.llm import suffix_dedup
@@ -88,3 +89,21 @@ def test_samples_are_bounded_in_keys(spark, monkeypatch):
     assert got == dict(enumerate(brute(texts, 200)))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert len(seen) == 2 and all(parts <= n <= 8 * parts for n in seen)
+
+
+def test_rows_alike_are_documents_of_their_own(spark):
+    r = random.Random(8)
+    text = "".join(r.choice("abcdefgh ") for _ in range(900))
+    rows = [(1, text), (1, text), (None, text[100:500]), (None, text[100:500]), (2, text[:150])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in cut_repeats(docs).collect())
+    assert got == Counter((i, *b) for (i, _), b in zip(rows, brute([t for _, t in rows], 200), strict=True))
+
+
+def test_one_fingerprint_is_not_enough():
+    rows = lambda second: pa.RecordBatch.from_pydict({"lead": [7, 7], "core": [5, 5], "block": [3, 3], "second": second, "key": [1, 2], "first": [10, 20], "shape": [4, 4]})
+    settled = lambda second: [r["open"] for b in suffix_dedup._settle(200)(iter([rows(second)])) for r in b.to_pylist()]
+    assert settled([9, 9]).count(0) == 2 and settled([9, 8]).count(0) == 0
+    rows = lambda second: pa.RecordBatch.from_pydict({"lead": [7, 7], "print": [3, 3], "second": second, "key": [1, 2], "at": [10, 20], "bucket": [0, 0]})
+    settled = lambda second: [r["edge"] for b in suffix_dedup._settle_windows(iter([rows(second)])) for r in b.to_pylist()]
+    assert settled([9, 9]).count(0) == 2 and settled([9, 8]).count(0) == 0
