@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.llm.base import first_row, keyed, lowered, stage
@@ -22,25 +22,29 @@ def digest_rows(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
 
 
-def _merge(runs: DataFrame, run, keep) -> DataFrame:
-    """Merge runs that get the same number: every pair (run, digest range) meets in one task,
-    there in digest order. A run holds a digest once, so no digest can crowd a task."""
+def _merge(runs: DataFrame, run, best) -> DataFrame:
+    """Merge runs that get the same number: every pair (run, digest range) meets in one task and
+    is read there in digest order. Entries that agree in all of KEY stand next to each other; the
+    first has the identifier to retain and takes the count, the followers go. A run holds a digest
+    once, so no digest can crowd a task."""
     parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    dealt = runs.withColumn("run", run).withColumn("range", F.substring("digest", 1, 2))
-    dealt = dealt.repartition(parts, "run", "range").sortWithinPartitions("run", "range", *KEY)
-    return dealt.groupBy("run", "range", *KEY).agg(keep("keep").alias("keep"), F.sum("size").alias("size")).drop("range")
+    dealt = runs.withColumn("run", run).withColumn("range", F.substring("digest", 1, 2)).repartition(parts, "run", "range")
+    same = Window.partitionBy("run", "range", *KEY)
+    merged = dealt.withColumns({"place": F.row_number().over(same.orderBy(best)), "total": F.sum("size").over(same.orderBy(best).rowsBetween(0, Window.unboundedFollowing))})
+    return merged.where("place = 1").select("run", *KEY, "keep", F.col("total").alias("size"))
 
 
 def exact_groups(
-    docs: DataFrame, *, id: str = "doc_id", text: str = "text", keep: str = "smallest", fan_in: int = 8
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", keep: str = "smallest", fan_in: int = 2
 ) -> DataFrame:
     """Groups of documents whose texts are equal after lower-casing A-Z.
 
     Each input partition makes a run: its distinct digests with the identifier to retain and a
-    count. Runs then merge in rounds: ``fan_in`` neighbours, three binomial rounds at the
-    default of 8, become one run, until one run is left after log(partitions) rounds. In every
-    merge entries are one only if SHA-256, byte length and an independent 64-bit hash agree, so
-    a retained identifier is verified at every level.
+    count. Runs then merge in binomial rounds: ``fan_in`` neighbours become one run, until one is
+    left after log(partitions) rounds; a larger ``fan_in`` saves rounds. Merging reads the runs of
+    a digest range in sorted order. In every merge entries are one only if SHA-256, byte length
+    and an independent 64-bit hash agree, so a retained identifier is verified at every level.
+    Every fourth round is written, so that a lost executor costs a few rounds and not all.
 
     Returns one row per input row: ``id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
     ``keep`` is "smallest" or "largest". Null text is the empty text, which is a text like any
@@ -52,9 +56,12 @@ def exact_groups(
     rows = stage(digest_rows(docs, id, text), "digests")
     left = (rows.agg(F.max("run")).first()[0] or 0) + 1
     runs = rows.groupBy("run", *KEY).agg(pick("id").alias("keep"), F.count("*").alias("size"))
+    best, level = (F.asc_nulls_last if keep == "smallest" else F.desc_nulls_last)("keep"), 0
     while left > 1:
-        runs = _merge(runs, F.floor(F.col("run") / fan_in).cast("int"), pick)
-        left = -(-left // fan_in)
+        runs = _merge(runs, F.floor(F.col("run") / fan_in).cast("int"), best)
+        left, level = -(-left // fan_in), level + 1
+        if level % 4 == 0 and left > 1:
+            runs = stage(runs, "runs")
     root = stage(runs.drop("run"), "digest-root")
     return rows.join(root, KEY).select(
         F.col("id").alias(id),
