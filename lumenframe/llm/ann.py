@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from lumenframe.llm.base import stage
 
-SAMPLE = 4096  # vectors, at most, that the partitions and the classifier are fitted on
+SAMPLE = 8192  # vectors, at most, that the partitions and the classifier are fitted on
+VISITED = 0.46  # share of the parts that a query visits
 SLICE = 4096  # candidates of a partition that a task holds at once
 
 
@@ -76,42 +77,45 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 2
 
 
 class Router:
-    """A small classifier from unit vectors to the log chances of the parts."""
+    """A small classifier from unit vectors to the log chances of the parts: one layer, learned
+    from the parts of each sampled vector's neighbours and its own."""
 
-    def __init__(self, x: np.ndarray, label: np.ndarray, parts: int, hidden: int = 128, epochs: int = 60, seed: int = 9):
+    def __init__(self, x: np.ndarray, target: np.ndarray, epochs: int = 30, seed: int = 9):
         r = np.random.default_rng(seed)
         d = x.shape[1]
-        w = [r.normal(0, (2 / d) ** 0.5, (d, hidden)), np.zeros(hidden), r.normal(0, (1 / hidden) ** 0.5, (hidden, parts)), np.zeros(parts)]
+        w = [np.zeros((d, target.shape[1])), np.zeros(target.shape[1])]
         m, v, t = [np.zeros_like(p) for p in w], [np.zeros_like(p) for p in w], 0
         x = x * d**0.5
-        for _ in range(epochs):
-            order = r.permutation(len(x))
-            for at in range(0, len(x), 128):
-                b = order[at : at + 128]
-                h = np.maximum(x[b] @ w[0] + w[1], 0)
-                z = h @ w[2] + w[3]
+        for epoch in range(epochs):
+            order, rate = r.permutation(len(x)), 0.01 * (1 - epoch / epochs) + 1e-4
+            for at in range(0, len(x), 256):
+                b = order[at : at + 256]
+                z = x[b] @ w[0] + w[1]
                 p = np.exp(z - z.max(axis=1, keepdims=True))
-                p /= p.sum(axis=1, keepdims=True)
-                p[np.arange(len(b)), label[b]] -= 1
-                p /= len(b)
-                back = (p @ w[2].T) * (h > 0)
-                grads = [x[b].T @ back, back.sum(axis=0), h.T @ p, p.sum(axis=0)]
+                p = (p / p.sum(axis=1, keepdims=True) - target[b]) / len(b)
                 t += 1
-                for i, g in enumerate(grads):
+                for i, g in enumerate((x[b].T @ p + 1e-4 * w[0], p.sum(axis=0))):
                     m[i] += 0.1 * (g - m[i])
                     v[i] += 0.001 * (g * g - v[i])
-                    w[i] -= 0.003 * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
-        self.w, self.scale, self.dim = w, d**0.5, d
+                    w[i] -= rate * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
+        self.w, self.scale, self.dim, self.parts = w, d**0.5, d, target.shape[1]
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         """Parts of each vector, the most probable first."""
-        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-        h = np.maximum(unit * self.scale @ self.w[0] + self.w[1], 0)
-        return np.argsort(-(h @ self.w[2] + self.w[3]), axis=1, kind="stable")
+        return np.argsort(-(unit(x) * self.scale @ self.w[0] + self.w[1]), axis=1, kind="stable")
 
 
-def fit(vectors: DataFrame, parts: int) -> Router | None:
-    """Partitions and classifier from at most SAMPLE vectors, those of smallest hash of the id."""
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; scaled by their largest entry first, so that no square overflows."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def fit(vectors: DataFrame, parts: int | None) -> Router | None:
+    """Partitions and classifier from at most SAMPLE vectors, those of smallest hash of the id.
+    Without a number of parts, they grow with the square root of the vectors' number."""
+    if parts is None:
+        parts = max(int(4 * vectors.count() ** 0.5), 16)
     some = vectors.where(F.col("vec").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").toArrow()
     rows, ok = as_matrix(some.column("vec").combine_chunks()) if some.num_rows else ([], np.empty(0, bool))
     rows = [r for r, use in zip(rows, ok, strict=True) if use]
@@ -120,12 +124,16 @@ def fit(vectors: DataFrame, parts: int) -> Router | None:
     dims = [len(r) for r in rows]
     dim = max(sorted(set(dims)), key=dims.count)
     x = np.stack([r for r in rows if len(r) == dim])
-    # Scaled first, so that no sum of squares overflows.
-    x /= np.abs(x).max(axis=1, keepdims=True)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(x)
     parts = max(min(parts, len(x) // 16), 1)
-    label = balanced_parts(x, neighbour_graph(x, min(10, len(x) - 1)), parts) if parts > 1 else np.zeros(len(x), np.int64)
-    return Router(x, label, parts)
+    if parts == 1:
+        return Router(x, np.ones((len(x), 1)), 0)
+    graph = neighbour_graph(x, min(20, len(x) - 1))
+    label = balanced_parts(x, graph[:, :10], parts)
+    target = np.zeros((len(x), parts))
+    np.add.at(target, (np.repeat(np.arange(len(x)), graph.shape[1]), label[graph].ravel()), 0.5 / graph.shape[1])
+    target[np.arange(len(x)), label] += 0.5
+    return Router(x, target)
 
 
 def _assign(router: Router, every: int, homes: int, probes: int):
@@ -152,18 +160,27 @@ def _assign(router: Router, every: int, homes: int, probes: int):
 
 def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Row by row, in one order of operations, so that equal vectors get equal values."""
+    x, y = (_tamed(v) for v in (x, y))
     dot, xx, yy = (np.einsum("ij,ij->i", a, b) for a, b in ((x, y), (x, x), (y, y)))
     return dot / (np.sqrt(xx) * np.sqrt(yy))
 
 
+def _tamed(x: np.ndarray) -> np.ndarray:
+    """Rows whose squares would overflow or vanish, scaled by a power of two, which keeps every
+    digit; other rows as they are."""
+    most = np.abs(x).max(axis=1, initial=0.0)
+    wild = (most > 1e100) | ((most < 1e-100) & (most > 0))
+    return np.ldexp(x, np.where(wild, -np.frexp(most)[1], 0)[:, None])
+
+
 def _rerank(k: int):
     """Slices of a part, candidates before queries, to the k best candidates of each query."""
 
     def best(ids, x, qid, q):
-        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        rows = unit(x)
         for at in range(0, len(qid), 128):
             own, vec = qid[at : at + 128], q[at : at + 128]
-            s = (vec / np.linalg.norm(vec, axis=1, keepdims=True)) @ unit.T
+            s = unit(vec) @ rows.T
             s[own[:, None] == ids[None, :]] = -np.inf
             n = min(k, s.shape[1])
             bar = np.partition(s, s.shape[1] - n, axis=1)[:, s.shape[1] - n]
@@ -197,14 +214,28 @@ def _rerank(k: int):
     return run
 
 
-def search(vectors: DataFrame, *, id: str = "vec_id", vector: str = "embedding", every: int = 50, k: int = 5, parts: int = 32, homes: int = 3, probes: int = 13) -> DataFrame:
+def routed(flat: DataFrame, *, every: int, parts: int | None, homes: int, probes: int | None) -> DataFrame | None:
+    """(id, vec) to (id, part, query, vec): the parts that candidates are in and queries visit."""
+    router = fit(flat, parts)
+    if router is None:
+        return None
+    if probes is None:
+        probes = int(np.ceil(VISITED * router.parts))
+    return stage(flat.mapInArrow(_assign(router, every, homes, probes), "id long, part long, query long, vec array<double>"), "routed")
+
+
+def search(
+    vectors: DataFrame, *, id: str = "vec_id", vector: str = "embedding", every: int = 50, k: int = 5, parts: int | None = None, homes: int = 1, probes: int | None = None
+) -> DataFrame:
     """The ``k`` nearest rows by cosine of every row whose id is divisible by ``every``.
 
     A neighbour graph of a bounded sample is cut into balanced parts, and a small classifier
-    learns them. It puts every row into its ``homes`` most probable parts and sends a query to
-    its ``probes`` most probable ones. Parts are dealt out in slices of about SLICE candidates, so a
-    part full of equal vectors spreads over many tasks; a task compares a slice with the queries
-    that visit it and keeps ``k`` each. ``probes`` of at least ``parts`` makes the search exact.
+    learns where the neighbours of a vector are. It puts every row into its most probable part
+    (``homes`` of them) and sends a query to its ``probes`` most probable ones, by default VISITED
+    of the parts: a query is compared with about that share of all rows, each once. Parts are
+    dealt out in slices of about SLICE candidates, so a part full of equal vectors spreads over
+    many tasks; a task compares a slice with the queries that visit it and keeps ``k`` each.
+    ``probes`` of at least ``parts`` makes the search exact.
 
     Returns ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``; ties go to the smaller id.
     Vectors that are null, zero, of another length than most or hold null or non-finite values
@@ -214,11 +245,9 @@ def search(vectors: DataFrame, *, id: str = "vec_id", vector: str = "embedding",
     """
     flat = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("vec")).where(F.col("id").isNotNull())
     schema = "query_id long, rank int, vec_id long, score double"
-    router = fit(flat, parts)
-    if router is None:
+    rows = routed(flat, every=every, parts=parts, homes=homes, probes=probes)
+    if rows is None:
         return vectors.sparkSession.createDataFrame([], schema)
-    rows = flat.mapInArrow(_assign(router, every, homes, probes), "id long, part long, query long, vec array<double>")
-    rows = stage(rows, "routed")
     size = rows.where("query = 0").groupBy("part").count().select("part", F.ceil(F.col("count") / SLICE).alias("slices"))
     rows = rows.join(size, "part")
     own = F.array(F.pmod(F.xxhash64("id"), F.col("slices")))
