@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# In staged writes shuffle files go at their end, and Python gets rows in smaller batches: a
+# batch of long texts is held several times over.
+STAGED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2048"}
 _own: dict[str, str] = {}
 _open: list[list[str]] = []
 
@@ -35,13 +37,15 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 @contextlib.contextmanager
 def releasing(spark: SparkSession) -> Iterator[None]:
-    """Writes made here delete their shuffle files when they are done."""
-    was = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    """Writes made here have the settings STAGED."""
+    was = {k: spark.conf.get(k, None) for k in STAGED}
+    for k, v in STAGED.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(CLEANUP) if was is None else spark.conf.set(CLEANUP, was)
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 @contextlib.contextmanager
@@ -139,6 +143,7 @@ def texts(batches: Iterator[pa.RecordBatch], column: str = "text", rows: int = 5
         for at in range(0, batch.num_rows, rows):
             part = batch.slice(at, rows)
             yield part, part.column(column).cast(pa.binary()).to_pylist()
+    pa.default_memory_pool().release_unused()  # a worker may go on to other work
 
 
 def words(text: bytes | None) -> list[bytes]:

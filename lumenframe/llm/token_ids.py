@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from lumenframe.llm.pieces import PRE_TOKEN, Cache, pieces
 from lumenframe.llm.token_count import byte_symbols
 
-SLICE_BYTES = 16 << 20  # text of a batch that is tokenised at once; a longer text goes alone
+SLICE_BYTES = 4 << 20  # text of a batch that is tokenised at once; a longer text goes alone
 END_OF_LATIN = "ɐ"
 # Set before a piece that has no space before it: the first of a text, a line feed, what follows one.
 MARK = "\x01"
@@ -38,6 +38,7 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         end = max(int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SLICE_BYTES, "right")), at + 1)
         yield batch.slice(at, end - at)
         at = end
+    pa.default_memory_pool().release_unused()
 
 
 class TokenIds:

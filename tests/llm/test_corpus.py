@@ -283,3 +283,40 @@ def test_near_links_of_repeated_ids(spark):
         got = near_dedup.near_groups(docs, method=near_dedup.Method(ngram=3, percent=85)).collect()
         assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), *[(i, 3) for i, _ in rows if i == 4]}
         assert len(got) == len(rows)
+
+
+def test_merges_read_sorted_runs(spark):
+    rows = spark.createDataFrame([(i, "d", 1, 1, 1) for i in range(4)], "keep long, digest string, n_bytes long, proof long, size long").withColumn("digest", F.col("digest").cast("binary"))
+    plan = exact_dedup._merge(rows.withColumn("run", F.col("keep").cast("int")), F.floor(F.col("run") / 2).cast("int"), F.asc_nulls_last("keep"))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Sort" in plan and plan.count("Exchange") == 1 and "HashAggregate" not in plan
+
+
+def test_search_on_the_embeddings(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    flat = table.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    rows = ann.routed(flat, every=50, parts=None, homes=1, probes=None).select("id", "part", "query").toPandas()
+    size, asked = rows[rows["query"] == 0].part.value_counts(), rows[rows["query"] == 1]
+    n = table.count()
+    assert len(rows[rows["query"] == 0]) == n and asked.part.map(size).fillna(0).sum() / asked.id.nunique() <= 0.5 * n
+    x = np.array(table.orderBy("vec_id").toPandas().embedding.tolist(), float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.array([r.vec_id for r in table.select("vec_id").orderBy("vec_id").collect()])
+    got = {(r.query_id, r.vec_id) for r in ann.search(table).collect()}
+    want = set()
+    for q in np.flatnonzero(ids % 50 == 0):
+        s = x @ x[q]
+        s[q] = -2
+        want |= {(int(ids[q]), int(ids[i])) for i in np.argsort(-s)[:5]}
+    assert len(got & want) >= 0.9 * len(want)
+
+
+def test_search_of_huge_and_tiny_vectors(spark):
+    rows = [(i, [(i % 7 - 3.5) * s, (i % 5 - 2.5) * s, s]) for i, s in enumerate([1e200, 1.0, 1e-200, 5e-320] * 30)] + [(200, [1.0, 0.0, 0.0])]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), parts=1, probes=1).collect()
+    assert len(got) == 20 and all(-1.0000001 <= r.score <= 1.0000001 for r in got)
+
+
+def test_search_of_repeated_ids(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 0.1]), (1, [0.1, 1.0]), (2, [1.0, 1.0])]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), parts=1, probes=1).collect()
+    assert [(r.query_id, r.rank, r.vec_id) for r in sorted(got, key=lambda r: r.rank)] == [(50, 1, 1), (50, 2, 2)]
