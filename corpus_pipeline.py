@@ -11,6 +11,8 @@ from lumenframe.llm.base import new_path, scratch
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told: with a letter, and no costlier than any language."""
+    # Whole documents go through Python when the caller writes the result: a few at a time.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     return language_id.keep_identified(docs)
 
 
