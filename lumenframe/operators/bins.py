@@ -74,17 +74,17 @@ def spaxels_per_bin(spaxel: DataFrame, *, keys: Sequence[str] = ("bin_id",)) ->
     return spaxel.groupBy(*keys).agg(F.count("*").alias("n_spaxels"))
 
 
-def cube_block_bin(voxel: DataFrame, *, block: int, nx: int, ny: int, min_valid: float = 0.8) -> DataFrame:
+def cube_block_bin(voxel: DataFrame, *, block: int, nx: int, ny: int, min_valid: float = 0.8, keys: Sequence[str] = ()) -> DataFrame:
     """Sum of flux over block x block pixels; ivar from summed variances; blocks with too few
     valid pixels are masked, partial trailing blocks dropped."""
     rows = voxel.where((F.col("iy") < ny - ny % block) & (F.col("ix") < nx - nx % block))
     ok = F.col("ivar") > 0
-    out = rows.groupBy("iw", F.floor(F.col("iy") / block).alias("bin_y"), F.floor(F.col("ix") / block).alias("bin_x")).agg(
+    out = rows.groupBy(*keys, "iw", F.floor(F.col("iy") / block).alias("bin_y"), F.floor(F.col("ix") / block).alias("bin_x")).agg(
         F.sum(F.when(ok, F.col("data"))).alias("f"), F.sum(F.when(ok, 1.0 / F.col("ivar"))).alias("v"), F.sum(F.when(ok, 1).otherwise(0)).alias("n_valid")
     )
     good = F.col("n_valid") >= min_valid * block * block
     ivar = F.when(good & (F.col("v") > 0), 1.0 / F.nullif(F.col("v"), F.lit(0.0))).otherwise(0.0)
-    return out.select("iw", "bin_y", "bin_x", F.when(good, F.coalesce("f", F.lit(0.0))).otherwise(0.0).alias("data"), ivar.alias("ivar"), "n_valid")
+    return out.select(*keys, "iw", "bin_y", "bin_x", F.when(good, F.coalesce("f", F.lit(0.0))).otherwise(0.0).alias("data"), ivar.alias("ivar"), "n_valid")
 
 
 def lambda_r(spaxel: DataFrame, result: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:

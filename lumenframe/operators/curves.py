@@ -5,8 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import GaussianMixture, KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,12 +49,12 @@ def bin_curves(spaxel: DataFrame, curves: DataFrame) -> DataFrame:
     return rows.groupBy("bin_id", "wave").agg((F.sum(F.col("signal") * F.col("value")) / F.sum("signal")).alias("value"), F.count("*").alias("n_spaxels"))
 
 
-def curve_buckets(curves: DataFrame, *, id: str = "bin_id", max_buckets: int = 6, n_features: int = 5, seed: int = 0, fallback: bool = False) -> tuple[DataFrame, DataFrame]:
+def curve_buckets(curves: DataFrame, *, id: str = "bin_id", max_buckets: int = 6, n_features: int = 5, fallback: bool = False) -> tuple[DataFrame, DataFrame]:
     """Curves in at most ``max_buckets`` groups: ``(id, bucket)`` and ``(bucket, wave, value)``.
 
     Up to ``max_buckets`` curves keep a bucket each. Beyond that, k-means on the curve at
-    ``n_features`` wavelengths divided by their spread, or with ``fallback`` quantile classes
-    of the mean. The bucket's curve is the mean of its members.
+    ``n_features`` wavelengths divided by their spread, from fixed starts, or with ``fallback``
+    quantile classes of the mean. The bucket's curve is the mean of its members.
     """
     ids = curves.select(id).distinct()
     few = ids.limit(max_buckets + 1).count() <= max_buckets
@@ -81,14 +79,80 @@ def curve_buckets(curves: DataFrame, *, id: str = "bin_id", max_buckets: int = 6
         else:
             sd = wide.agg(*[F.stddev_pop(f).alias(f) for f in feats]).first()
             scaled = wide.select("curve_id", *[(F.col(f) / (sd[f] if sd[f] else 1.0)).alias(f) for f in feats])
-            data = VectorAssembler(inputCols=feats, outputCol="features").transform(scaled)
-            model = KMeans(k=max_buckets, seed=seed, featuresCol="features", predictionCol="bucket").fit(data)
-            member = model.transform(data).select(F.col("curve_id").alias(id), "bucket")
+            member = lloyd(measured(scaled), feats, k=max_buckets).select(F.col("curve_id").alias(id), "bucket")
     member = measured(member)
     shape = curves.join(member, id).groupBy("bucket", "wave").agg(F.avg("value").alias("value"))
     return member, shape
 
 
+def lloyd(rows: DataFrame, features: Sequence[str], *, k: int, rounds: int = 30) -> DataFrame:
+    """``rows`` with ``bucket``, the nearest of ``k`` centres (ties: the lower number).
+
+    Centres start at the (i + 1/2) / k quantiles of every feature and become the means of their
+    members until none changes or ``rounds`` are over; one without members stays. A round is one
+    aggregate of sums that combine before the shuffle; ``k`` centres reach the driver.
+    """
+    spread = [quantiles(rows, [], f, {f"q{i}": (i + 0.5) / k for i in range(k)}).first() for f in features]
+    centres = [[float(q[f"q{i}"]) for q in spread] for i in range(k)]
+
+    def nearest() -> Column:
+        away = [sum(((F.col(f) - v) * (F.col(f) - v) for f, v in zip(features, c, strict=True)), F.lit(0.0)) for c in centres]
+        return F.array_position(F.array(*away), F.array_min(F.array(*away))).cast("int") - 1
+
+    for _ in range(rounds):
+        found = rows.groupBy(nearest().alias("bucket")).agg(*[F.avg(f).alias(f) for f in features]).collect()  # k rows
+        new = list(centres)
+        for r in found:
+            new[r["bucket"]] = [float(r[f]) for f in features]
+        moved = max(abs(x - y) for a, b in zip(new, centres, strict=True) for x, y in zip(a, b, strict=True))
+        centres = new
+        if moved <= 1e-9:
+            break
+    return rows.withColumn("bucket", nearest())
+
+
+def two_populations(points: DataFrame, value: str, *, rounds: int = 50, tolerance: float = 1e-3) -> DataFrame:
+    """``points`` with ``_c``, 0 or 1: the likelier of two normal populations of ``value``.
+
+    Expectation maximisation from the quartiles as means, equal shares and the whole variance,
+    until the mean log likelihood gains less than ``tolerance``. A round is one aggregate of
+    sufficient statistics; seven numbers reach the driver.
+    """
+    x = F.col(value).cast("double")
+    start = points.agg(F.var_pop(x).alias("v")).first()["v"]
+    q = quantiles(points, [], value, {"a": 0.25, "b": 0.75}).first()
+    mean, var, share = [q["a"], q["b"]], [start, start], [0.5, 0.5]
+
+    def chances() -> list[Column]:
+        return [F.lit(math.log(s) - 0.5 * math.log(2 * math.pi * v)) - (x - m) * (x - m) / (2 * v) for m, v, s in zip(mean, var, share, strict=True)]
+
+    before = None
+    for _ in range(rounds):
+        a, b = chances()
+        top = F.greatest(a, b)
+        whole = top + F.log(F.exp(a - top) + F.exp(b - top))
+        part = F.exp(a - whole)
+        got = points.where(x.isNotNull()).select(x.alias("x"), part.alias("r"), whole.alias("l"))
+        got = got.agg(
+            F.count("*").alias("n"), F.sum("l").alias("l"), F.sum("r").alias("r"), F.sum("x").alias("x"), F.sum(F.col("r") * F.col("x")).alias("rx"),
+            F.sum(F.col("x") * F.col("x")).alias("xx"), F.sum(F.col("r") * F.col("x") * F.col("x")).alias("rxx"),
+        ).first()
+        weight = [got["r"], got["n"] - got["r"]]
+        if min(weight) <= 0:
+            break
+        first = [got["rx"], got["x"] - got["rx"]]
+        second = [got["rxx"], got["xx"] - got["rxx"]]
+        mean = [f / w for f, w in zip(first, weight, strict=True)]
+        var = [max(s / w - m * m, 0.0) + 1e-6 for s, w, m in zip(second, weight, mean, strict=True)]
+        share = [w / got["n"] for w in weight]
+        level = got["l"] / got["n"]
+        if before is not None and abs(level - before) < tolerance:
+            break
+        before = level
+    a, b = chances()
+    return points.withColumn("_c", F.when(a >= b, 0).otherwise(1))
+
+
 def arc_outliers(points: DataFrame, *, width: float = 50.0, clip: float = 3.0, min_points: int = 5) -> DataFrame:
     """Points ``(point_id, nspec, wave, fwhm)`` that survive the clip in their wavelength bin.
 
@@ -123,15 +187,13 @@ def fibre_clean(points: DataFrame, *, clip: float = 5.0, min_points: int = 5) ->
     return out.join(kept, "nspec", "left_semi")
 
 
-def dominant_population(points: DataFrame, *, min_share: float = 0.2, min_skew: float = 0.5, seed: int = 42) -> DataFrame:
+def dominant_population(points: DataFrame, *, min_share: float = 0.2, min_skew: float = 0.5) -> DataFrame:
     """Drop the minority of two populations of widths, if the distribution is skewed and the
     minority is large enough; a fibre that would lose every point keeps them all."""
     s = points.agg(F.count("fwhm").alias("n"), F.skewness("fwhm").alias("k")).first()
     if s["n"] < 20 or s["k"] is None or math.isnan(s["k"]) or abs(s["k"]) < min_skew:
         return points
-    data = VectorAssembler(inputCols=["fwhm"], outputCol="features").transform(points)
-    model = GaussianMixture(k=2, seed=seed, maxIter=50, featuresCol="features", predictionCol="_c").fit(data)
-    rows = model.transform(data).select(*points.columns, "_c")
+    rows = measured(two_populations(points, "fwhm"))
     sizes = {r["_c"]: r["count"] for r in rows.groupBy("_c").count().collect()}
     if len(sizes) < 2 or min(sizes.values()) / s["n"] < min_share:
         return points

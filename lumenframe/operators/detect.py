@@ -10,17 +10,20 @@ import itertools
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumenframe.functions.cells import plane_pairs
 from lumenframe.functions.exprs import MAD_TO_SIGMA
-from lumenframe.functions.scale import all_of, cut, number_rows, on_keys, quantiles
+from lumenframe.functions.scale import cut, measured, number_rows, on_keys, quantiles
 from lumenframe.operators.bins import running_mean_by
+from lumenframe.operators.regions import TILE, half_ball, level_components, strongest_apart, tiled_components
 from lumenframe.operators.spatial import not_near_catalogue, xmatch_sky
 from lumenframe.operators.spectra import clipped_centre
 from lumenframe.operators.walk import components
 
+AXES = ("iw", "iy", "ix")
 # Fixed value: standard normal quantiles at 84 % minus 16 %.
 NORMAL_SPREAD = 1.988915766419506
 
@@ -44,10 +47,10 @@ def neighbour_edges(points: DataFrame, coords: Sequence[str], *, id: str = "id",
 # --- calibration --------------------------------------------------------------------------
 
 
-def robust_sky(px: DataFrame, *, value: str = "data", sigma: float = 3.0, rounds: int = 10) -> DataFrame:
-    """Level, rms and rejected fraction after clipping about the median."""
-    out = clipped_centre(px, value=value, sigma=sigma, rounds=rounds)
-    return out.select(F.col("median").alias("level"), F.col("sigma").alias("rms"), (1 - F.col("n") / F.col("n_all")).alias("rejected"), "n")
+def robust_sky(px: DataFrame, *, value: str = "data", sigma: float = 3.0, rounds: int = 10, keys: Sequence[str] = ()) -> DataFrame:
+    """Level, rms and rejected fraction after clipping about the median, for each image."""
+    out = clipped_centre(px, value=value, sigma=sigma, rounds=rounds, keys=keys)
+    return out.select(*keys, F.col("median").alias("level"), F.col("sigma").alias("rms"), (1 - F.col("n") / F.col("n_all")).alias("rejected"), "n")
 
 
 def noise_scale(voxel: DataFrame, *, per_wave: bool = False, min_good: int = 50, smooth: int = 51, keys: Sequence[str] = ()) -> DataFrame:
@@ -107,66 +110,50 @@ def matched_filter(
     voxel: DataFrame, *, spectral_sigma: float, spatial_sigma: float, bounds: dict[str, tuple[int, int]], coverage: float = 0.5, keys: Sequence[str] = ()
 ) -> DataFrame:
     """SNR of a separable Gaussian template, sum(w d k) / sqrt(sum(w k^2)); 0 where coverage is
-    below half of the median of its own ``keys``.
+    below half of the median of its own ``keys``."""
+    out = matched_filter_bank(voxel, spectral_sigmas=[spectral_sigma], spatial_sigma=spatial_sigma, bounds=bounds, coverage=coverage, keys=keys)
+    return out.drop("width")
 
-    One pass per axis. Rows are first partitioned by the two other coordinates, so spreading
-    each voxel over the kernel and summing again happen inside a partition: a pass shuffles
-    every voxel once, not once per kernel tap.
+
+def matched_filter_bank(
+    voxel: DataFrame, *, spectral_sigmas: Sequence[float], spatial_sigma: float, bounds: dict[str, tuple[int, int]], coverage: float = 0.5, keys: Sequence[str] = ()
+) -> DataFrame:
+    """The matched filter for several line widths (column ``width``, the spectral sigma).
+
+    One pass per axis; the two spatial ones are shared by all widths. Rows are first partitioned
+    by the two other coordinates, so spreading each voxel over the kernel and summing again happen
+    inside a partition: a pass shuffles every voxel once, not once per kernel tap and width.
     """
     keys = list(keys)
-    axes = ["iw", "iy", "ix"]
-    out = voxel.select(*keys, *axes, (F.col("ivar") * F.col("data")).alias("wd"), F.col("ivar").alias("w"))
-    for axis in axes:
-        taps = gauss_taps(spectral_sigma if axis == "iw" else spatial_sigma)
-        others = [*keys, *[a for a in axes if a != axis]]
+    out = voxel.select(*keys, *AXES, (F.col("ivar") * F.col("data")).alias("wd"), F.col("ivar").alias("w"))
+    for axis in ("iy", "ix", "iw"):
+        sigmas = spectral_sigmas if axis == "iw" else [spatial_sigma]
+        others = [*keys, *[a for a in AXES if a != axis]]
         lo, hi = bounds[axis]
-        k = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(v).alias("k")) for o, v in taps])
-        wide = out.repartition(*others).withColumn("_t", F.explode(k))
+        taps = [F.struct(F.lit(float(s)).alias("s"), F.lit(o).alias("o"), F.lit(v).alias("k")) for s in sigmas for o, v in gauss_taps(s)]
+        wide = out.repartition(*others).withColumn("_t", F.explode(F.array(*taps)))
         wide = wide.withColumn(axis, F.col(axis) + F.col("_t.o")).where(F.col(axis).between(lo, hi))
-        out = wide.groupBy(*others, axis).agg(F.sum(F.col("wd") * F.col("_t.k")).alias("wd"), F.sum(F.col("w") * F.col("_t.k") * F.col("_t.k")).alias("w"))
+        by = [*others, axis, *([F.col("_t.s").alias("width")] if axis == "iw" else [])]
+        out = wide.groupBy(*by).agg(F.sum(F.col("wd") * F.col("_t.k")).alias("wd"), F.sum(F.col("w") * F.col("_t.k") * F.col("_t.k")).alias("w"))
     # Read several times below; a checkpoint is cheaper than three more shuffles each time.
     out = cut(out)
-    out = on_keys(out, quantiles(out.where("w > 0"), keys, "w", {"m": 0.5}), keys, "left")
+    every = [*keys, "width"]
+    out = on_keys(out, quantiles(out.where("w > 0"), every, "w", {"m": 0.5}), every, "left")
     ok = (F.col("w") > 0) & (F.col("w") >= F.col("m") * coverage)
-    return out.select(*keys, *axes, F.when(ok, F.col("wd") / F.sqrt(F.nullif(F.col("w"), F.lit(0.0)))).otherwise(0.0).alias("snr"))
+    return out.select(*every, *AXES, F.when(ok, F.col("wd") / F.sqrt(F.nullif(F.col("w"), F.lit(0.0)))).otherwise(0.0).alias("snr"))
 
 
 def connected_voxels(voxel: DataFrame, *, threshold: float, id: str = "voxel_id", keys: Sequence[str] = ()) -> DataFrame:
     """Connected groups of voxels above the threshold: peak position and value, and size."""
-    v = cut(voxel.where(F.col("snr") > threshold).withColumnRenamed(id, "id"))
-    comp = components(v, neighbour_edges(v, ("iw", "iy", "ix"), keys=keys))
-    peak = F.max(F.struct("snr", (-F.col("iw")).alias("a"), (-F.col("iy")).alias("b"), (-F.col("ix")).alias("c")))
-    out = v.join(comp, "id").groupBy(*keys, F.col("comp").alias("cand_id")).agg(peak.alias("p"), F.count("*").alias("npix"))
-    return out.select(*keys, "cand_id", (-F.col("p.a")).alias("iw"), (-F.col("p.b")).alias("iy"), (-F.col("p.c")).alias("ix"), F.col("p.snr").alias("snr"), "npix")
+    out = level_components(voxel, AXES, value="snr", thresholds=[threshold], shifts=half_ball(3), id=id, keys=keys)
+    return out.select(*keys, F.col("comp").alias("cand_id"), *AXES, "snr", "npix")
 
 
 def dedupe_candidates(cand: DataFrame, *, dxy: int = 3, dw: int = 4, id: str = "cand_id", keys: Sequence[str] = ()) -> DataFrame:
-    """Drop candidates close to a kept stronger one (ties: the lower id is stronger).
-
-    Each round keeps every candidate without a stronger live neighbour and drops the
-    neighbours of the kept ones. That equals going through all candidates by strength, but
-    distant ones are decided in parallel. Only neighbours within the box meet.
-    """
-    c = cut(cand.select(F.col(id).alias("id"), *keys, "snr", "iw", "iy", "ix"))
-    # Cells are as large as the box; the test itself uses the whole numbers.
-    size = (("iw", dw), ("iy", dxy), ("ix", dxy))
-    a = c.select("id", *keys, F.col("snr").alias("sa"), *[F.col(x).alias("a" + x) for x, _ in size], *[(F.col(x) / float(s)).alias("ca" + x) for x, s in size])
-    b = c.select(F.col("id").alias("id2"), *keys, F.col("snr").alias("sb"), *[F.col(x).alias("b" + x) for x, _ in size], *[(F.col(x) / float(s)).alias("cb" + x) for x, s in size])
-    box = all_of([F.abs(F.col("a" + x) - F.col("b" + x)) <= s for x, s in size])
-    pairs = plane_pairs(a, b, big_xy=["ca" + x for x, _ in size], small_xy=["cb" + x for x, _ in size], radius=1.0, exact=box, keys=keys)
-    stronger = (F.col("sb") > F.col("sa")) | ((F.col("sb") == F.col("sa")) & (F.col("id2") < F.col("id")))
-    live_edges = cut(pairs.where(stronger).select(F.col("id").alias("weak"), F.col("id2").alias("strong")))
-    live, kept = c.select("id"), None
-    while not live.isEmpty():
-        top = cut(live.join(live_edges.select(F.col("weak").alias("id")), "id", "left_anti"))
-        kept = top if kept is None else kept.unionByName(top)
-        gone = live_edges.join(top.select(F.col("id").alias("strong")), "strong", "left_semi").select(F.col("weak").alias("id")).distinct()
-        live = cut(live.join(top, "id", "left_anti").join(gone, "id", "left_anti"))
-        alive = live.select(F.col("id").alias("weak"))
-        live_edges = cut(live_edges.join(alive, "weak", "left_semi").join(alive.withColumnRenamed("weak", "strong"), "strong", "left_semi"))
-    if kept is None:
-        return cand.limit(0)
-    return cand.join(kept.select(F.col("id").alias(id)), id, "left_semi")
+    """Drop candidates close to a kept stronger one (ties: the lower id is stronger), as going
+    through all of them by strength does; rounds grow with the logarithm of the extent."""
+    kept = strongest_apart(cand, half={"iw": dw, "iy": dxy, "ix": dxy}, strength="snr", id=id, keys=keys)
+    return cand.join(kept, id, "left_semi")
 
 
 def coincidence_veto(cand: DataFrame, *, tolerance: int = 2, mad_k: float = 6.0, min_count: int = 8, keys: Sequence[str] = ()) -> DataFrame:
@@ -183,14 +170,16 @@ def coincidence_veto(cand: DataFrame, *, tolerance: int = 2, mad_k: float = 6.0,
     return rows.join(bad, [*keys, "_wb"], "left_anti").select(*cand.columns)
 
 
-def resolved_only(cand: DataFrame, voxel: DataFrame, *, sigma: float = 1.0, min_fraction: float = 0.3, id: str = "cand_id", keys: Sequence[str] = ()) -> DataFrame:
-    """Keep candidates whose neighbouring channels hold enough of the peak for a real line."""
+def resolved_only(cand: DataFrame, voxel: DataFrame, *, sigma: float | str = 1.0, min_fraction: float = 0.3, id: str = "cand_id", keys: Sequence[str] = ()) -> DataFrame:
+    """Keep candidates whose neighbouring channels hold enough of the peak for a real line of the
+    width ``sigma``, a number or the column with the width of each candidate's template."""
     off = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("_o")
     probe = cand.select(id, *keys, "iw", "iy", "ix", off).withColumn("iw", F.col("iw") + F.col("_o"))
     near = probe.join(voxel.select(*keys, "iw", "iy", "ix", "data"), [*keys, "iw", "iy", "ix"])
     s = near.groupBy(id).agg(F.max(F.when(F.col("_o") == 0, F.col("data"))).alias("p"), F.avg(F.when(F.col("_o") != 0, F.col("data"))).alias("m"))
-    ok = s.where((F.col("p") != 0) & (F.col("m") / F.nullif(F.col("p"), F.lit(0.0)) >= min_fraction * math.exp(-0.5 / sigma**2)))
-    return cand.join(ok.select(id), id, "left_semi")
+    width = F.col(sigma) if isinstance(sigma, str) else F.lit(float(sigma))
+    s = cand.join(s, id).withColumn("_least", F.exp(-0.5 / (width * width)) * min_fraction)
+    return s.where((F.col("p") != 0) & (F.col("m") / F.nullif(F.col("p"), F.lit(0.0)) >= F.col("_least"))).select(*cand.columns)
 
 
 def away_from_edge(cand: DataFrame, covered: DataFrame, *, nx: int, ny: int, min_distance: float = 3.0, keys: Sequence[str] = ()) -> DataFrame:
@@ -206,7 +195,7 @@ def away_from_edge(cand: DataFrame, covered: DataFrame, *, nx: int, ny: int, min
 
 
 def candidate_vetoes(
-    cand: DataFrame, voxel: DataFrame, covered: DataFrame, *, nx: int, ny: int, sigma: float = 1.0, min_fraction: float = 0.3, min_npix: int = 3, max_npix: int = 5000, min_count: int = 8, min_distance: float = 3.0, keys: Sequence[str] = ()
+    cand: DataFrame, voxel: DataFrame, covered: DataFrame, *, nx: int, ny: int, sigma: float | str = 1.0, min_fraction: float = 0.3, min_npix: int = 3, max_npix: int = 5000, min_count: int = 8, min_distance: float = 3.0, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Resolved width, size, coincidence in wavelength, distance to the coverage edge."""
     out = resolved_only(cand, voxel, sigma=sigma, min_fraction=min_fraction, keys=keys)
@@ -215,6 +204,61 @@ def candidate_vetoes(
     return away_from_edge(out, covered, nx=nx, ny=ny, min_distance=min_distance, keys=keys)
 
 
+def bank_candidates(bank: DataFrame, *, thresholds: Sequence[float], id: str = "voxel_id", dxy: int = 3, dw: int = 4, keys: Sequence[str] = ()) -> DataFrame:
+    """Candidates of a filter bank (``width``, voxel id, place, snr) above each threshold, the
+    strongest of those close together over all widths: (keys, level, cand_id, width, place, snr,
+    npix). All levels come from one component tree and are thinned out in one run."""
+    keys = list(keys)
+    found = level_components(bank, AXES, value="snr", thresholds=thresholds, shifts=half_ball(3), id=id, keys=[*keys, "width"])
+    # A group is known by its strongest voxel's rank among all: level, width and smallest voxel.
+    widths = found.select("width").distinct()
+    # One row per width of the bank.
+    rank = F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy("width")) - 1
+    found = found.join(measured(widths.withColumn("_w", rank)), "width")
+    many = F.lit(len(thresholds)) * F.lit(64)
+    found = found.withColumn("cand_id", F.col("comp") * many + F.col("level") * 64 + F.col("_w")).drop("_w")
+    found = cut(found)
+    return dedupe_candidates(found, dxy=dxy, dw=dw, keys=[*keys, "level"])
+
+
+def post_veto_purity(
+    bank: DataFrame, voxel: DataFrame, covered: DataFrame | None, *, thresholds: Sequence[float], nx: int, ny: int, min_fraction: float = 0.3,
+    min_npix: int = 3, max_npix: int = 5000, min_count: int = 8, mad_k: float = 6.0, min_distance: float = 3.0, dxy: int = 3, dw: int = 4, keys: Sequence[str] = (),
+) -> DataFrame:
+    """Real and sign-flipped candidates left after all vetoes at each threshold, and the purity.
+
+    ``bank`` has the SNR of each width (with a voxel id), ``voxel`` the data. Both signs and all
+    thresholds go through extraction, thinning and vetoes at once: they are further keys."""
+    keys, both = list(keys), [*keys, "_neg"]
+    flip = lambda df, *cols: df.withColumn("_neg", F.lit(False)).unionByName(df.withColumns({c: -F.col(c) for c in cols}).withColumn("_neg", F.lit(True)))
+    # A voxel takes part under two numbers, one for each sign.
+    signed = flip(bank, "snr").withColumn("voxel_id", F.col("voxel_id") * 2 + F.col("_neg").cast("long"))
+    cand = bank_candidates(signed, thresholds=thresholds, dxy=dxy, dw=dw, keys=both)
+    cand = resolved_only(cand, flip(voxel, "data"), sigma="width", min_fraction=min_fraction, keys=both)
+    cand = cand.where(F.col("npix").between(min_npix, max_npix))
+    cand = coincidence_veto(cand, mad_k=mad_k, min_count=min_count, keys=[*both, "level"])
+    if covered is not None:
+        cand = away_from_edge(cand, covered, nx=nx, ny=ny, min_distance=min_distance, keys=keys)
+    counts = cand.groupBy(*keys, "level").agg(F.count_if(~F.col("_neg")).alias("n_pos"), F.count_if("_neg").alias("n_neg"))
+    every = voxel.select(*keys).distinct() if keys else voxel.sparkSession.range(1).select()
+    every = every.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(len(thresholds) - 1))).alias("level"))
+    marks = F.array(*[F.lit(float(t)) for t in thresholds])
+    out = every.join(counts, [*keys, "level"], "left").fillna(0, ["n_pos", "n_neg"])
+    return out.select(*keys, F.get(marks, F.col("level")).alias("threshold"), "n_pos", "n_neg", (1 - F.col("n_neg") / F.greatest(F.col("n_pos"), F.lit(1))).alias("purity"))
+
+
+def group_purity(pos: DataFrame, neg: DataFrame, *, thresholds: Sequence[float], radius: float = 0.0, min_lines: int = 2, keys: Sequence[str] = ()) -> DataFrame:
+    """Real and sign-flipped groups of at least ``min_lines`` candidates at each threshold of
+    their combined SNR, and the purity. The candidates have passed all vetoes already."""
+
+    def combined(cand: DataFrame) -> DataFrame:
+        groups = group_candidates(cand, radius=radius, keys=keys).groupBy(*keys, "group_id")
+        out = groups.agg(F.sqrt(F.sum(F.col("snr") * F.col("snr"))).alias("group_snr"), F.count("*").alias("n_lines"))
+        return out.where(F.col("n_lines") >= min_lines)
+
+    return purity_scan(combined(pos), combined(neg), thresholds=thresholds, value="group_snr", keys=keys)
+
+
 def group_candidates(cand: DataFrame, *, radius: float = 0.0, id: str = "cand_id", keys: Sequence[str] = ()) -> DataFrame:
     """Add ``group_id``, the smallest candidate id of its spatial single-linkage group.
 
@@ -223,11 +267,15 @@ def group_candidates(cand: DataFrame, *, radius: float = 0.0, id: str = "cand_id
     spots = cand.groupBy(*keys, "ix", "iy").agg(F.min(id).alias("id"))
     if radius <= 0:
         return cand.join(spots.withColumnRenamed("id", "group_id"), [*keys, "ix", "iy"])
-    spots = cut(spots)
-    other = spots.select(*keys, F.col("id").alias("b"), F.col("ix").alias("bx"), F.col("iy").alias("by"))
-    edges = plane_pairs(spots, other, big_xy=("ix", "iy"), small_xy=("bx", "by"), radius=radius, keys=keys).where("id < b").select(F.col("id").alias("a"), "b")
-    comp = spots.join(components(spots, edges), "id").select(*keys, "ix", "iy", F.col("comp").alias("group_id"))
-    return cand.join(comp, [*keys, "ix", "iy"])
+    if all(isinstance(spots.schema[c].dataType, T.IntegralType) for c in ("iy", "ix")):
+        reach = half_ball(2, reach=int(radius), near=lambda d: d[0] * d[0] + d[1] * d[1] <= radius * radius) if radius >= 1 else []
+        comp = tiled_components(spots, ("iy", "ix"), shifts=reach, keys=keys, tile=max(TILE, 4 * int(radius))) if reach else spots.withColumn("comp", F.col("id"))
+    else:
+        spots = cut(spots)
+        other = spots.select(*keys, F.col("id").alias("b"), F.col("ix").alias("bx"), F.col("iy").alias("by"))
+        edges = plane_pairs(spots, other, big_xy=("ix", "iy"), small_xy=("bx", "by"), radius=radius, keys=keys).where("id < b").select(F.col("id").alias("a"), "b")
+        comp = spots.join(components(spots, edges), "id")
+    return cand.join(comp.select(*keys, "ix", "iy", F.col("comp").alias("group_id")), [*keys, "ix", "iy"])
 
 
 def group_significance(grouped: DataFrame, *, min_lines: int = 1) -> DataFrame:
@@ -238,9 +286,10 @@ def group_significance(grouped: DataFrame, *, min_lines: int = 1) -> DataFrame:
 
 def footprint_size(px: DataFrame, *, min_components: int = 100, max_size: float = 200.0, id: str = "id", keys: Sequence[str] = ()) -> DataFrame:
     """Median size of the connected footprints of unmasked pixels, NULL if it is no mosaic."""
-    v = cut(px.select(F.col(id).alias("id"), *keys, "iy", "ix"))
-    comp = components(v, neighbour_edges(v, ("iy", "ix"), keys=keys, faces_only=True))
-    sizes = v.select("id", *keys).join(comp, "id").groupBy(*keys, "comp").agg(F.count("*").alias("size"))
+    v = px.select(F.col(id).alias("id"), *keys, "iy", "ix")
+    faces = half_ball(2, near=lambda d: abs(d[0]) + abs(d[1]) == 1)
+    comp = tiled_components(v, ("iy", "ix"), shifts=faces, keys=keys, tile=64)
+    sizes = comp.groupBy(*keys, "comp").agg(F.count("*").alias("size"))
     n = on_keys(sizes.groupBy(*keys).agg(F.count("*").alias("n_components")), quantiles(sizes, keys, "size", {"m": 0.5}), keys)
     mosaic = (F.col("n_components") >= min_components) & (F.col("m") <= max_size)
     return n.select(*keys, "n_components", F.when(mosaic, F.col("m")).alias("footprint"))
@@ -289,9 +338,9 @@ def promote_candidates(
     return patches.select(*new.columns).unionByName(new)
 
 
-def line_only(cand: DataFrame, objects: DataFrame, *, radius: float = 4.0, id: str = "cand_id") -> DataFrame:
+def line_only(cand: DataFrame, objects: DataFrame, *, radius: float = 4.0, id: str = "cand_id", keys: Sequence[str] = ()) -> DataFrame:
     """Mark candidates without a continuum object nearby."""
-    free = not_near_catalogue(cand, objects, radius=radius).select(id, F.lit(True).alias("_free"))
+    free = not_near_catalogue(cand, objects, radius=radius, keys=keys).select(id, F.lit(True).alias("_free"))
     return cand.join(free, id, "left").withColumn("no_counterpart", F.coalesce("_free", F.lit(False))).drop("_free")
 
 

@@ -104,8 +104,9 @@ def line_index_errors(
     wide = pixel.withColumn("replica", F.explode(F.sequence(F.lit(1), F.lit(replicas))))
 
     def uniform(salt: int, *cols: str) -> Column:
-        h = F.xxhash64(*cols, F.lit(seed), F.lit(salt))
-        return (F.pmod(h, F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+        # 52 bits of a digest that any other tool can draw as well.
+        h = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(str(seed)), F.lit(str(salt))).cast("binary"))
+        return (F.conv(F.substring(h, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
     def normal(salt: int, *cols: str) -> Column:
         return F.sqrt(F.log(uniform(salt, *cols)) * -2.0) * F.cos(uniform(salt + 1, *cols) * (2 * math.pi))

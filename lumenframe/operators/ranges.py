@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.functions.exprs import ratio, usable
+from lumenframe.functions.scale import cut, measured
+
+LEVELS = 40  # doublings of a cell
+SMALL_CELLS = 20_000  # cells of bands that go to all tasks
+CROWD = 100_000  # rows of a cell that meet in one task
 
 
 def segments(curves: DataFrame, *, keys: Sequence[str] = ("curve_id",)) -> DataFrame:
@@ -25,22 +30,75 @@ def segments(curves: DataFrame, *, keys: Sequence[str] = ("curve_id",)) -> DataF
     )
 
 
+def asof(asked: DataFrame, curves: DataFrame, *, x: str, keys: Sequence[str] = ("curve_id",)) -> DataFrame:
+    """``asked`` with the curve points around ``x`` within the keys: ``_below`` and ``_above``, structs
+    (wave, value) of the last point at or before ``x`` and the first one after it.
+
+    Curve points and asked rows are sorted together in range partitions of (keys, x). A partition
+    fills its rows from its own points; what it lacks at its ends comes from the last point of the
+    partitions before it and the first of those after it, a table of one row per partition. So a
+    curve that everyone asks for spreads over partitions, and no point is copied however far it
+    is to the next one.
+    """
+    keys, names = list(keys), asked.columns
+    parts = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    point = curves.where(usable(F.col("value")) & usable(F.col("wave")))
+    own = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    place = [*[f"_k{i}" for i in range(len(keys))], "_x"]
+    at = F.struct(*place[:-1], F.col("_x").alias("wave"), F.col("_y").alias("value"))
+    empty = [F.lit(None).cast(asked.schema[c].dataType).alias(f"_a_{c}") for c in names]
+    rows = point.select(*own, F.col("wave").cast("double").alias("_x"), F.col("value").cast("double").alias("_y"), F.lit(0).alias("_asks"), *empty)
+    asks = asked.select(*own, F.col(x).cast("double").alias("_x"), F.lit(None).cast("double").alias("_y"), F.lit(1).alias("_asks"), *[F.col(c).alias(f"_a_{c}") for c in names])
+    order = [*place, "_asks"]
+    rows = rows.unionByName(asks).repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
+    rows = cut(rows.withColumn("_p", F.when(F.col("_asks") == 0, at)))
+    # One row per partition.
+    ends = rows.groupBy("_part").agg(F.min("_p").alias("_first"), F.max("_p").alias("_last"))
+    line = Window.partitionBy(F.lit(0)).orderBy("_part")
+    before = F.last("_last", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("_first", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing))
+    ends = measured(ends.select("_part", before.alias("_before"), after.alias("_after")))
+    # Windows over a range partition, which is as large as any other.
+    here = Window.partitionBy("_part").orderBy(*order)
+    rows = rows.withColumns({
+        "_lo": F.last("_p", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, 0)),
+        "_hi": F.first("_p", ignorenulls=True).over(here.rowsBetween(0, Window.unboundedFollowing)),
+    })
+    rows = rows.where("_asks = 1").join(ends, "_part")
+    for name, own_side, carried in (("_below", "_lo", "_before"), ("_above", "_hi", "_after")):
+        near = F.coalesce(own_side, carried)
+        same = F.lit(True)
+        for i in range(len(keys)):
+            same = same & (near[f"_k{i}"] == F.col(f"_k{i}"))
+        rows = rows.withColumn(name, F.when(same & F.col("_x").isNotNull(), F.struct(near["wave"].alias("wave"), near["value"].alias("value"))))
+    return rows.select(*[F.col(f"_a_{c}").alias(c) for c in names], "_below", "_above")
+
+
 def interp_at(
     asked: DataFrame,
     curves: DataFrame,
     *,
     x: str,
-    step: float,
+    step: float | None = None,
     name: str = "value",
     clamp: bool = False,
     keys: Sequence[str] = ("curve_id",),
 ) -> DataFrame:
     """Linear interpolation of ``curves`` (keys, wave, value) at ``asked.x``.
 
-    NULL outside the curve, or the end value with ``clamp``. Segments are copied to the
-    buckets of width ``step`` they touch; a query row looks into one bucket, so one popular
-    curve is spread over all its buckets.
+    NULL outside the curve, or the end value with ``clamp``. With the ``step`` of regular curves,
+    segments are copied to the few buckets of that width they touch; a query row looks into one
+    bucket, so one popular curve is spread over all its buckets. Without it, or for curves with
+    gaps of any length, points and rows are sorted together (``asof``) and nothing is copied.
     """
+    if step is None:
+        out = asof(asked, curves, x=x, keys=keys)
+        lo, hi, at = F.col("_below"), F.col("_above"), F.col(x)
+        line = lo["value"] + (hi["value"] - lo["value"]) * ratio(at - lo["wave"], hi["wave"] - lo["wave"])
+        value = F.when(lo.isNotNull() & hi.isNotNull(), line).when(at == lo["wave"], lo["value"])
+        if clamp:
+            value = F.coalesce(value, F.when(at.isNotNull(), F.coalesce(lo["value"], hi["value"])))
+        return out.withColumn(name, value).select(*asked.columns, name)
     seg = segments(curves, keys=keys)
     last = F.coalesce(F.col("_x1"), F.col("_x0"))
     seg = seg.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("_x0") / step), F.floor(last / step))))
@@ -71,12 +129,56 @@ def interp_at(
     return out
 
 
-def band_join(df: DataFrame, bands: DataFrame, *, x: str = "wave", lo: str = "lo", hi: str = "hi", width: float = 50.0, how: str = "inner") -> DataFrame:
-    """Rows with the bands that contain ``x`` (ends included). Bands are copied to the buckets
-    they touch; the rows of ``df`` are never copied."""
-    b = bands.withColumn("_key_bucket", F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))))
-    on = (F.col("_bucket") == F.col("_key_bucket")) & (F.col(x) >= F.col(lo)) & (F.col(x) <= F.col(hi))
-    return df.withColumn("_bucket", F.floor(F.col(x) / width)).join(b, on, how).drop("_bucket", "_key_bucket")
+def dyadic_cells(lo: Column, hi: Column, unit: float) -> Column:
+    """The fewest cells (level, cell) of ``unit`` times powers of two that cover ``lo`` to ``hi``: at
+    most two a level, however long the interval is."""
+    first, end = F.floor(lo / unit), F.floor(hi / unit) + 1
+    found = []
+    for k in range(LEVELS):
+        a, b = -F.shiftright(-first, k), F.shiftright(end, k)
+        odd = (F.pmod(a, F.lit(2)) == 1) & (a < b)
+        found.append(F.when(odd, F.struct(F.lit(k).alias("level"), a.alias("cell"))))
+        rest = F.when(odd, a + 1).otherwise(a)
+        found.append(F.when((F.pmod(b, F.lit(2)) == 1) & (rest < b), F.struct(F.lit(k).alias("level"), (b - 1).alias("cell"))))
+    return F.filter(F.array(*found), lambda c: c.isNotNull())
+
+
+def band_join(
+    df: DataFrame, bands: DataFrame, *, x: str = "wave", lo: str = "lo", hi: str = "hi", width: float = 50.0, how: str = "inner",
+    small: int = SMALL_CELLS, crowd: int = CROWD,
+) -> DataFrame:
+    """Rows with the bands that contain ``x`` (ends included).
+
+    A band lies in the dyadic cells that cover it, two a level at most; a row looks into one cell
+    of each level that bands use. Up to ``small`` cells of bands go to all tasks. More are dealt out
+    by cell, and cells with more than ``crowd`` rows, counted before, are split into as many parts
+    as it takes, to each of which the bands there are copied. ``how`` other than "inner" copies the
+    bands to every cell of ``width`` instead.
+    """
+    if how != "inner":
+        b = bands.withColumn("_key_bucket", F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))))
+        on = (F.col("_bucket") == F.col("_key_bucket")) & (F.col(x) >= F.col(lo)) & (F.col(x) <= F.col(hi))
+        return df.withColumn("_bucket", F.floor(F.col(x) / width)).join(b, on, how).drop("_bucket", "_key_bucket")
+    b = bands.where(F.col(lo) <= F.col(hi)).withColumn("_c", F.explode(dyadic_cells(F.col(lo), F.col(hi), width)))
+    b = measured(b.select("*", F.col("_c.level").alias("_blevel"), F.col("_c.cell").alias("_bcell")).drop("_c"))
+    used = sorted(r[0] for r in b.select("_blevel").distinct().collect())  # at most LEVELS
+    if not used:
+        return df.join(bands, F.lit(False))
+    probes = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(F.floor(F.col(x) / width), k).alias("cell")) for k in used])
+    inside = (F.col(x) >= F.col(lo)) & (F.col(x) <= F.col(hi))
+    rows = df.where(usable(F.col(x))).withColumn("_c", F.explode(probes)).select("*", F.col("_c.level").alias("_level"), F.col("_c.cell").alias("_cell")).drop("_c")
+    on = (F.col("_level") == F.col("_blevel")) & (F.col("_cell") == F.col("_bcell")) & inside
+    if b.count() <= small:
+        return rows.join(F.broadcast(b), on).drop("_level", "_cell", "_blevel", "_bcell")
+    crowded = df.where(usable(F.col(x))).groupBy(F.floor(F.col(x) / width).alias("_x")).agg(F.count("*").alias("_n"))
+    levels = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("_x", k).alias("cell")) for k in used])
+    crowded = crowded.select(F.explode(levels).alias("_c"), "_n").groupBy(F.col("_c.level").alias("_clevel"), F.col("_c.cell").alias("_ccell")).agg(F.sum("_n").alias("_n"))
+    crowded = measured(crowded.where(F.col("_n") > crowd).select("_clevel", "_ccell", F.ceil(F.col("_n") / crowd).alias("_parts")))
+    rows = rows.join(crowded, (F.col("_level") == F.col("_clevel")) & (F.col("_cell") == F.col("_ccell")), "left").drop("_clevel", "_ccell")
+    rows = rows.withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*df.columns), F.col("_parts")))).drop("_parts")
+    b = b.join(crowded, (F.col("_blevel") == F.col("_clevel")) & (F.col("_bcell") == F.col("_ccell")), "left").drop("_clevel", "_ccell")
+    b = b.withColumn("_bpart", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return rows.join(b, on & (F.col("_part") == F.col("_bpart"))).drop("_level", "_cell", "_blevel", "_bcell", "_part", "_bpart")
 
 
 def overlap_pairs(old: DataFrame, new: DataFrame, *, keys: Sequence[str], width: float) -> DataFrame:

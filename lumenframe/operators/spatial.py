@@ -72,16 +72,21 @@ def nearest_bin(spaxel: DataFrame, nodes: DataFrame, *, keys: Sequence[str] = ("
     return out.select(*keys, "target_id", "bin_id").withColumn("is_outside", F.lit(True))
 
 
-def not_near_catalogue(candidates: DataFrame, objects: DataFrame, *, radius: float = 4.0) -> DataFrame:
+def not_near_catalogue(candidates: DataFrame, objects: DataFrame, *, radius: float = 4.0, keys: Sequence[str] = ()) -> DataFrame:
     """Candidates ``(ix, iy)`` without an object ``(ox, oy)`` within ``radius`` pixels."""
-    return plane_pairs(candidates, objects.select("ox", "oy"), big_xy=("ix", "iy"), small_xy=("ox", "oy"), radius=radius, how="left_anti")
+    return plane_pairs(candidates, objects.select(*keys, "ox", "oy"), big_xy=("ix", "iy"), small_xy=("ox", "oy"), radius=radius, how="left_anti", keys=keys)
 
 
-def bright_source_mask(px: DataFrame, objects: DataFrame, *, factor: float = 3.0, min_radius: float = 5.0, cell: float = 10.0, keep: bool = True) -> DataFrame:
+def bright_source_mask(
+    px: DataFrame, objects: DataFrame, *, factor: float = 3.0, min_radius: float = 5.0, cell: float = 10.0, keep: bool = True, keys: Sequence[str] = ()
+) -> DataFrame:
     """Pixels outside (or inside) max(min, factor * sqrt(a b)) of every object."""
-    o = objects.select("ox", "oy", F.greatest(F.lit(min_radius), F.sqrt(F.greatest(F.col("a") * F.col("b"), F.lit(0.0))) * factor).alias("_r"))
+    radius = F.greatest(F.lit(min_radius), F.sqrt(F.greatest(F.col("a") * F.col("b"), F.lit(0.0))) * factor)
+    o = objects.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "ox", "oy", radius.alias("_r"))
     dx, dy = F.col("ix") - F.col("ox"), F.col("iy") - F.col("oy")
     exact = dx * dx + dy * dy <= F.col("_r") * F.col("_r")
+    for k in keys:
+        exact = exact & (F.col(k) == F.col(f"_k_{k}"))
     return cover_join(
         px, o, xy=("ix", "iy"), centre=(F.col("ox"), F.col("oy")), half=(F.col("_r"), F.col("_r")), cell=cell, exact=exact, how="left_anti" if keep else "left_semi"
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.functions.exprs import C_KMS, MAD_TO_SIGMA, ratio, usable
+from lumenframe.functions.scale import cut, on_keys, quantiles
 
 SPECTRUM = ("spec_id", "arm")
 # Error assigned to unusable pixels; its square is the floor of a usable variance.
@@ -554,30 +555,49 @@ def clean_spectra(
     return with_snr(out)
 
 
-def clipped_centre(values: DataFrame, *, value: str, sigma: float = 3.0, rounds: int = 3) -> DataFrame:
-    """One row ``(median, sigma, n, n_all)`` after clipping about the median; all values are in
-    one group, so the median comes from distributed order statistics."""
-    from lumenframe.functions.scale import measured, quantiles
+def _centre(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Median, standard deviation and number of the values ``_x`` of each key."""
+    spread = rows.groupBy(*keys).agg(F.stddev_pop("_x").alias("sigma"), F.count("*").alias("n"))
+    return cut(quantiles(rows, keys, "_x", {"median": 0.5}).join(spread, list(keys)))
 
-    values = measured(values.select(F.col(value).alias("_x")).where(F.col("_x").isNotNull()))
-    keep, n_before = values, None
+
+def clipped_centre(values: DataFrame, *, value: str, sigma: float = 3.0, rounds: int = 3, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys, median, sigma, n, n_all)`` after clipping about the median, a row per key.
+
+    All keys go through a round in one plan. A key whose clip removed nothing is done and leaves
+    the loop with its rows, so the rounds work on what is still moving, and their number is that
+    of the slowest key, not of the keys. Medians are distributed order statistics: one key may
+    hold all values.
+    """
+    names = [*keys] or ["_one"]
+    rows = values.select(*[F.col(k) for k in keys], *([F.lit(0).alias("_one")] if not keys else []), F.col(value).alias("_x")).where(F.col("_x").isNotNull())
+    rows = cut(rows)
+    every, done, before = rows.groupBy(*names).agg(F.count("*").alias("n_all")), [], None
     for _ in range(rounds):
-        m = quantiles(keep, [], "_x", {"m": 0.5}).first()
-        s = keep.agg(F.stddev_pop("_x").alias("s"), F.count("*").alias("n")).first()
-        if m is None or m["m"] is None or s["n"] == n_before:
-            break
-        n_before = s["n"]
-        keep = keep.where(F.abs(F.col("_x") - m["m"]) <= sigma * s["s"])
-    mid = quantiles(keep, [], "_x", {"median": 0.5})
-    stats = keep.agg(F.stddev_pop("_x").alias("sigma"), F.count("*").alias("n"))
-    packed = mid.select("median").scalar()
-    return stats.select(packed.alias("median"), "sigma", "n").withColumn("n_all", F.lit(values.count()).cast("long"))
+        now = _centre(rows, names)
+        going = now
+        if before is not None:
+            seen = now.join(before.select(*names, F.col("n").alias("_before")), names)
+            done.append(seen.where(F.col("n") == F.col("_before")).drop("_before"))
+            going = seen.where(F.col("n") != F.col("_before")).drop("_before")
+            if going.isEmpty():
+                break
+        kept = rows.join(going.select(*names, "median", "sigma"), names)
+        rows = cut(kept.where(F.abs(F.col("_x") - F.col("median")) <= F.col("sigma") * sigma).select(*names, "_x"))
+        before = now
+    else:
+        done.append(_centre(rows, names))
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out.join(every, names).select(*keys, "median", "sigma", "n", "n_all")
 
 
 def arm_ratios(
-    pixel: DataFrame, snr: DataFrame, *, blue: str = "BLUE", red: str = "RED", lo: float, hi: float, min_snr: float = 5.0, min_pixels: int = 5
+    pixel: DataFrame, snr: DataFrame, *, blue: str = "BLUE", red: str = "RED", lo: float | Column, hi: float | Column, min_snr: float = 5.0, min_pixels: int = 5, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Ratio of the inverse-variance mean fluxes of two arms inside the trimmed overlap."""
+    """Ratio of the inverse-variance mean fluxes of two arms inside the trimmed overlap; a
+    spectrum belongs to one of the ``keys``."""
     worst = snr.where(F.col("arm").isin(blue, red)).groupBy("spec_id").agg(F.min("snr").alias("min_snr"), F.count("snr").alias("_k"))
     worst = worst.where((F.col("min_snr") >= min_snr) & (F.col("_k") == 2))
     good = (F.col("ivar") > 0) & F.col("flux").isNotNull()
@@ -587,7 +607,7 @@ def arm_ratios(
         return F.sum(F.when(F.col("arm") == arm, x))
 
     w = F.col("ivar")
-    sums = part.groupBy("spec_id").agg(
+    sums = part.groupBy(*keys, "spec_id").agg(
         ratio(total(blue, F.col("flux") * w), total(blue, w)).alias("fb"),
         ratio(total(red, F.col("flux") * w), total(red, w)).alias("fr"),
         F.sum(F.when(F.col("arm") == blue, 1).otherwise(0)).alias("nb"),
@@ -595,15 +615,18 @@ def arm_ratios(
     )
     out = sums.join(worst, "spec_id").where((F.least("nb", "nr") >= min_pixels) & (F.col("fb") > 0) & (F.col("fr") > 0))
     out = out.withColumn("ratio", F.col("fb") / F.nullif(F.col("fr"), F.lit(0.0)))
-    return out.where(F.col("ratio").between(0.3, 10.0)).select("spec_id", "ratio")
+    return out.where(F.col("ratio").between(0.3, 10.0)).select(*keys, "spec_id", "ratio")
 
 
-def arms_ratio(pixel: DataFrame, snr: DataFrame, *, clip: float = 3.0, trim: float = 50.0, blue: str = "BLUE", red: str = "RED", **kw) -> DataFrame:
-    """Final flux ratio of two arms with its spread and a quality grade."""
-    ends = pixel.agg(
-        F.min(F.when(F.col("arm") == red, F.col("wave"))).alias("lo"), F.max(F.when(F.col("arm") == blue, F.col("wave"))).alias("hi")
-    ).first()
-    ratios = arm_ratios(pixel, snr, blue=blue, red=red, lo=ends["lo"] + trim, hi=ends["hi"] - trim, **kw)
-    out = clipped_centre(ratios, value="ratio", sigma=clip)
+def arms_ratio(
+    pixel: DataFrame, snr: DataFrame, *, clip: float = 3.0, trim: float = 50.0, blue: str = "BLUE", red: str = "RED", keys: Sequence[str] = (), **kw
+) -> DataFrame:
+    """Final flux ratio of two arms with its spread and a quality grade, for each observation that
+    ``keys`` tell apart."""
+    keys = list(keys)
+    lowest, highest = F.min(F.when(F.col("arm") == red, F.col("wave"))), F.max(F.when(F.col("arm") == blue, F.col("wave")))
+    ends = pixel.groupBy(*keys).agg((lowest + trim).alias("_from"), (highest - trim).alias("_to"))
+    ratios = arm_ratios(on_keys(pixel, ends, keys), snr, blue=blue, red=red, lo=F.col("_from"), hi=F.col("_to"), keys=keys, **kw)
+    out = clipped_centre(ratios, value="ratio", sigma=clip, keys=keys)
     grade = F.when(F.col("sigma") < 0.02, "excellent").when(F.col("sigma") < 0.04, "good").when(F.col("sigma") < 0.06, "fair").otherwise("poor")
     return out.withColumn("quality", grade)

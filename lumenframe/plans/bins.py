@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lumenframe.operators import bins as bn
-from lumenframe.plans.registry import query, shared
+from lumenframe.plans.registry import CUBE, query, shared
 
 
 @query(
@@ -62,11 +62,11 @@ def _(t):
 @query(
     "cube_block_bin",
     fix="data ivar",
-    sql="""WITH g AS (SELECT iw, iy // 3 AS bin_y, ix // 3 AS bin_x, sum(data) AS f, sum(1 / ivar) AS v, count(*) AS n FROM {voxel} WHERE iy < 24 AND ix < 39 GROUP BY iw, iy // 3, ix // 3)
-           SELECT iw, bin_y, bin_x, CASE WHEN n >= 8.9 THEN f ELSE 0 END AS data, CASE WHEN n >= 8.9 THEN 1 / v ELSE 0 END AS ivar, n AS n_valid FROM g""",
+    sql="""WITH g AS (SELECT cube_id, iw, iy // 3 AS bin_y, ix // 3 AS bin_x, sum(data) AS f, sum(1 / ivar) AS v, count(*) AS n FROM {voxel} WHERE iy < 24 AND ix < 39 GROUP BY cube_id, iw, iy // 3, ix // 3)
+           SELECT cube_id, iw, bin_y, bin_x, CASE WHEN n >= 5.9 THEN f ELSE 0 END AS data, CASE WHEN n >= 5.9 THEN 1 / v ELSE 0 END AS ivar, n AS n_valid FROM g""",
 )
 def _(t):
-    return bn.cube_block_bin(t.voxel, block=3, nx=40, ny=25, min_valid=8.9 / 9)
+    return bn.cube_block_bin(t.voxel, block=3, nx=40, ny=25, min_valid=5.9 / 9, keys=CUBE)
 
 
 @query(

@@ -19,12 +19,12 @@ def _(t):
 @query(
     "median_curve_per_arm",
     fix="value",
-    sql="""WITH c AS (SELECT CASE WHEN wave < 4300 THEN 'BLUE' ELSE 'RED' END AS arm, wave, value FROM {curve} WHERE nspec % 5 <> 0 OR wave BETWEEN 4090 AND 4400),
+    sql="""WITH c AS (SELECT CASE WHEN wave < 4300 THEN 'BLUE' ELSE 'RED' END AS arm, wave, value FROM {curve_gaps}),
            m AS (SELECT arm, wave, median(value) AS value FROM c GROUP BY arm, wave)
            SELECT * FROM m WHERE arm IN (SELECT arm FROM m GROUP BY arm HAVING count(*) >= 12)""",
 )
 def _(t):
-    c = t.curve.where("nspec % 5 <> 0 OR wave BETWEEN 4090 AND 4400").withColumn("arm", F.when(F.col("wave") < 4300, "BLUE").otherwise("RED"))
+    c = t.curve_gaps.withColumn("arm", F.when(F.col("wave") < 4300, "BLUE").otherwise("RED"))
     return cv.median_curve(c, keys=["arm"], min_points=12)
 
 
@@ -59,7 +59,24 @@ def _(t):
     return cv.bin_curves(spaxel, spaxel_curves(t))
 
 
-@query("curve_buckets")
+FEATURES = """p AS (SELECT nspec, wave, value, lead(value) OVER (PARTITION BY nspec ORDER BY wave) AS nxt FROM {curve}),
+  w AS (SELECT nspec, sum(CASE WHEN wave = 4000 THEN value END) AS f0, sum(CASE WHEN wave = 4150 THEN value + (nxt - value) * 0.25 END) AS f1, sum(CASE WHEN wave = 4300 THEN value + (nxt - value) * 0.5 END) AS f2,
+        sum(CASE WHEN wave = 4450 THEN value + (nxt - value) * 0.75 END) AS f3, sum(CASE WHEN wave = 4630 THEN value END) AS f4 FROM p GROUP BY nspec),
+  x AS (SELECT nspec, [f0 / (SELECT stddev_pop(f0) FROM w), f1 / (SELECT stddev_pop(f1) FROM w), f2 / (SELECT stddev_pop(f2) FROM w), f3 / (SELECT stddev_pop(f3) FROM w), f4 / (SELECT stddev_pop(f4) FROM w)] AS f FROM w)"""
+START = ", ".join("[" + ", ".join(f"quantile_cont(f[{j + 1}], {(i + 0.5) / 6})" for j in range(5)) + "]" for i in range(6))
+NEAREST = "[list_sum([(f[j] - q[j]) * (f[j] - q[j]) FOR j IN range(1, 6)]) FOR q IN c]"
+
+
+@query(
+    "curve_buckets",
+    sql=f"""WITH RECURSIVE {FEATURES},
+            r(i, c) AS (SELECT 0, [{START}] FROM x
+              UNION ALL SELECT any_value(i) + 1, list(coalesce(m, any_c[g + 1]) ORDER BY g) FROM (
+                SELECT any_value(i) AS i, g, any_value(any_c) AS any_c, CASE WHEN count(b) > 0 THEN [avg(f[1]), avg(f[2]), avg(f[3]), avg(f[4]), avg(f[5])] END AS m FROM (
+                  SELECT r.i, r.c AS any_c, unnest(range(6)) AS g FROM r WHERE i < 30) AS k
+                LEFT JOIN (SELECT f, list_position(d, list_min(d)) - 1 AS b FROM (SELECT f, {NEAREST} AS d FROM x, r)) AS y ON y.b = k.g GROUP BY g) HAVING count(*) > 0)
+            SELECT nspec, CAST(list_position(d, list_min(d)) - 1 AS INT) AS bucket FROM (SELECT nspec, {NEAREST} AS d FROM x, (SELECT c FROM r WHERE i = 30))""",
+)
 def _(t):
     member, _ = cv.curve_buckets(t.curve, id="nspec", max_buckets=6)
     return member
@@ -105,7 +122,26 @@ def _(t):
     return cv.fibre_clean(t.arc.withColumn("wave", F.floor("wave").cast("double")))
 
 
-@query("dominant_population")
+@query(
+    "dominant_population",
+    fix="fwhm wave",
+    sql="""WITH RECURSIVE d AS (SELECT * REPLACE (fwhm + CASE WHEN point_id % 4 = 0 THEN 5 ELSE 0 END AS fwhm) FROM {arc}),
+           e(i, m1, m2, v1, v2, s1, s2, l, was) AS (
+             SELECT 0, quantile_cont(fwhm, 0.25), quantile_cont(fwhm, 0.75), var_pop(fwhm), var_pop(fwhm), 0.5e0, 0.5e0, NULL::DOUBLE, NULL::DOUBLE FROM d
+             UNION ALL SELECT i + 1, rx / r, (x - rx) / (n - r), greatest(rxx / r - power(rx / r, 2), 0) + 1e-6, greatest((xx - rxx) / (n - r) - power((x - rx) / (n - r), 2), 0) + 1e-6,
+               r / n, (n - r) / n, lw / n, l FROM (
+               SELECT i, any_value(l) AS l, count(*) AS n, sum(w) AS lw, sum(p) AS r, sum(fwhm) AS x, sum(p * fwhm) AS rx, sum(fwhm * fwhm) AS xx, sum(p * fwhm * fwhm) AS rxx FROM (
+                 SELECT i, l, fwhm, w, exp(a - w) AS p FROM (SELECT *, greatest(a, b) + ln(exp(a - greatest(a, b)) + exp(b - greatest(a, b))) AS w FROM (
+                   SELECT i, l, fwhm, ln(s1) - 0.5 * ln(2 * pi() * v1) - power(fwhm - m1, 2) / (2 * v1) AS a, ln(s2) - 0.5 * ln(2 * pi() * v2) - power(fwhm - m2, 2) / (2 * v2) AS b
+                   FROM d, e WHERE i < 50 AND (was IS NULL OR abs(l - was) >= 1e-3)))) GROUP BY i)),
+           f AS (SELECT * FROM e ORDER BY i DESC LIMIT 1),
+           c AS (SELECT d.*, CASE WHEN ln(s1) - 0.5 * ln(2 * pi() * v1) - power(fwhm - m1, 2) / (2 * v1) >= ln(s2) - 0.5 * ln(2 * pi() * v2) - power(fwhm - m2, 2) / (2 * v2) THEN 0 ELSE 1 END AS c FROM d, f),
+           z AS (SELECT c, count(*) AS n FROM c GROUP BY c),
+           k AS (SELECT abs(avg(power((fwhm - (SELECT avg(fwhm) FROM d)) / (SELECT stddev_pop(fwhm) FROM d), 3))) >= 0.5 AND count(*) >= 20
+                   AND (SELECT count(*) FROM z) = 2 AND (SELECT min(n) FROM z) / count(*) >= 0.2 AS split FROM d),
+           g AS (SELECT c.*, c.c = (SELECT c FROM z ORDER BY n DESC, c LIMIT 1) AS main FROM c)
+           SELECT * EXCLUDE (c, main, any_main, split) FROM (SELECT *, bool_or(main) OVER (PARTITION BY nspec) AS any_main FROM g), k WHERE NOT split OR main OR NOT any_main""",
+)
 def _(t):
     # A quarter of the points moved up makes a second population.
     second = F.when(F.col("point_id") % 4 == 0, 5.0).otherwise(0.0)
@@ -126,7 +162,7 @@ def _(t):
 @query(
     "merge_curves",
     fix="value",
-    sql="""WITH b AS (SELECT * FROM {curve} WHERE wave BETWEEN 4060 AND 4240 AND nspec % 4 <> 1), r AS (SELECT nspec, wave, value * 1.1 AS value FROM {curve} WHERE wave BETWEEN 4330 AND 4570),
+    sql="""WITH b AS (SELECT * FROM {curve_gaps} WHERE wave BETWEEN 4060 AND 4240), r AS (SELECT nspec, wave, value * 1.1 AS value FROM {curve} WHERE wave BETWEEN 4330 AND 4570),
            e AS (SELECT b.nspec, arg_min(b.value, b.wave) AS v0, arg_max(b.value, b.wave) AS v1 FROM b GROUP BY b.nspec),
            f AS (SELECT nspec, arg_min(value, wave) AS v0, arg_max(value, wave) AS v1, min(wave) AS w0, max(wave) AS w1 FROM r GROUP BY nspec),
            h AS (SELECT nspec, max(wave) AS b1 FROM b GROUP BY nspec),
@@ -136,7 +172,7 @@ def _(t):
              ELSE bv1 + (rv0 - bv1) * (wave - b1) / (w0 - b1) END) AS value FROM p""",
 )
 def _(t):
-    blue = t.curve.where("wave BETWEEN 4060 AND 4240 AND nspec % 4 <> 1")
+    blue = t.curve_gaps.where("wave BETWEEN 4060 AND 4240")
     red = t.curve.where("wave BETWEEN 4330 AND 4570").withColumn("value", F.col("value") * 1.1)
     return cv.merge_curves(blue, red, start=4000.0, stop=4630.0, step=15.0)
 
@@ -158,8 +194,8 @@ def _(t):
     "curve_lookup", fill="curve_key",
     sql="""SELECT t.target_id, t.target_id % 120 AS nspec, CASE WHEN w.spaxel_id IS NOT NULL THEN 'spaxel' WHEN k.nspec IS NOT NULL THEN 'fibre' ELSE 'global' END AS source,
            CASE WHEN w.spaxel_id IS NOT NULL THEN t.target_id WHEN k.nspec IS NOT NULL THEN k.nspec END AS curve_key FROM {target} AS t
-           LEFT JOIN (SELECT DISTINCT spaxel_id FROM {weights_} WHERE spaxel_id % 2 = 0) AS w ON w.spaxel_id = t.target_id LEFT JOIN {known_} AS k ON k.nspec = t.target_id % 120""",
+           LEFT JOIN (SELECT DISTINCT spaxel_id FROM {weights_}) AS w ON w.spaxel_id = t.target_id LEFT JOIN {known_} AS k ON k.nspec = t.target_id % 120""",
 )
 def _(t):
     target = t.target.select("target_id", (F.col("target_id") % 120).alias("nspec"))
-    return cv.curve_lookup(target, weights(t).where("spaxel_id % 2 = 0"), t.curve_gaps)
+    return cv.curve_lookup(target, weights(t), t.curve_gaps)

@@ -26,22 +26,25 @@ def whole_range(t):
     return t.pixel.where("arm = 'BLUE' OR pix >= 36")
 
 
-shared(
-    "index_",
-    f"""WITH b(name, b1, b2, b3, b4, b5, b6, kind) AS (VALUES {VALUES}),
-       p AS (SELECT spec_id, wave, flux FROM {{pixel}} WHERE (arm = 'BLUE' OR pix >= 36) AND flux IS NOT NULL),
-       i AS (SELECT spec_id, min(wave) AS vmin, max(wave) AS vmax, list_sort(list(wave))[2] - min(wave) AS dw FROM p GROUP BY spec_id),
+def index_sql(pixel: str, key: str = "spec_id") -> str:
+    """Indices of the spectra that ``key`` tells apart; ``pixel`` is (key, wave, flux)."""
+    return f"""WITH b(name, b1, b2, b3, b4, b5, b6, kind) AS (VALUES {VALUES}),
+       p AS (SELECT {key}, wave, flux FROM {pixel} WHERE flux IS NOT NULL),
+       i AS (SELECT {key}, min(wave) AS vmin, max(wave) AS vmax, list_sort(list(wave))[2] - min(wave) AS dw FROM p GROUP BY {key}),
        t AS (SELECT name, 1 AS part, b1 AS lo, b2 AS hi FROM b UNION ALL SELECT name, 2, b3, b4 FROM b UNION ALL SELECT name, 3, b5, b6 FROM b),
-       s AS (SELECT spec_id, name, part,
+       s AS (SELECT {key}, name, part,
              CASE WHEN sum(CASE WHEN wave >= lo + dw / 2 AND wave <= hi - dw / 2 THEN 1 ELSE 0 END) > 0 AND any_value(vmin) <= any_value(hi) AND any_value(vmax) >= any_value(lo) THEN
              sum(flux * (CASE WHEN wave >= lo + dw / 2 AND wave <= hi - dw / 2 THEN 1 ELSE 0 END
                + CASE WHEN abs(wave - lo) < dw / 2 THEN (wave + dw / 2 - lo) / dw ELSE 0 END + CASE WHEN abs(wave - hi) < dw / 2 THEN (hi - wave + dw / 2) / dw ELSE 0 END)) END AS s
-             FROM p JOIN i USING (spec_id) CROSS JOIN t GROUP BY spec_id, name, part),
-       c AS (SELECT spec_id, s.name, any_value(kind) AS kind, max(s) FILTER (part = 1) / any_value(b2 - b1) AS cb, max(s) FILTER (part = 2) AS f, max(s) FILTER (part = 3) / any_value(b6 - b5) AS cr,
-             any_value((b1 + b2) / 2) AS lb, any_value((b5 + b6) / 2) AS lr, any_value(b3) AS b3, any_value(b4) AS b4, any_value(b6) AS b6 FROM s JOIN b ON b.name = s.name GROUP BY spec_id, s.name),
+             FROM p JOIN i USING ({key}) CROSS JOIN t GROUP BY {key}, name, part),
+       c AS (SELECT {key}, s.name, any_value(kind) AS kind, max(s) FILTER (part = 1) / any_value(b2 - b1) AS cb, max(s) FILTER (part = 2) AS f, max(s) FILTER (part = 3) / any_value(b6 - b5) AS cr,
+             any_value((b1 + b2) / 2) AS lb, any_value((b5 + b6) / 2) AS lr, any_value(b3) AS b3, any_value(b4) AS b4, any_value(b6) AS b6 FROM s JOIN b ON b.name = s.name GROUP BY {key}, s.name),
        d AS (SELECT *, 0.5 * (((cr - cb) / (lr - lb) * (b3 - lb) + cb) + ((cr - cb) / (lr - lb) * (b4 - lb) + cb)) * (b4 - b3) AS cont FROM c)
-       SELECT spec_id, name, CASE WHEN b6 <= 4630 AND cb > 0 AND cr > 0 AND cont > 0 THEN CASE WHEN kind = 1 THEN (1 - f / cont) * (b4 - b3) WHEN f > 0 THEN -2.5 * log10(f / cont) END END AS "index" FROM d""",
-)
+       SELECT {key}, name, CASE WHEN b6 <= 4630 AND cb > 0 AND cr > 0 AND cont > 0 THEN CASE WHEN kind = 1 THEN (1 - f / cont) * (b4 - b3) WHEN f > 0 THEN -2.5 * log10(f / cont) END END AS "index" FROM d"""
+
+
+WHOLE = "(SELECT * FROM {pixel} WHERE arm = 'BLUE' OR pix >= 36)"
+shared("index_", index_sql(WHOLE))
 
 
 @query("line_indices", fix="index_value", sql='SELECT spec_id, name, "index" AS index_value FROM {index_}')
@@ -49,7 +52,21 @@ def _(t):
     return ln.line_indices(whole_range(t), bands(t)).withColumnRenamed("index", "index_value")
 
 
-@query("line_index_errors")
+def uniform(salt: int) -> str:
+    return f"(CAST('0x' || left(md5(concat_ws('|', spec_id, pix, replica, 7, {salt})), 13) AS BIGINT) + 0.5e0) / 4503599627370496e0"
+
+
+NOISY = f"""(SELECT spec_id, replica, wave, flux + sqrt(-2 * ln({uniform(0)})) * cos({uniform(1)} * 2 * pi()) * CASE WHEN ivar > 0 THEN 1 / sqrt(ivar) ELSE 0 END AS flux
+  FROM {WHOLE}, (SELECT unnest(range(1, 9)) AS replica))"""
+shared("noisy_index_", index_sql(NOISY, "spec_id, replica"))
+
+
+@query(
+    "line_index_errors",
+    fix="index_error",
+    sql="""SELECT spec_id, b.name, e.index_error FROM (SELECT DISTINCT spec_id FROM {pixel}) CROSS JOIN (SELECT DISTINCT name FROM {noisy_index_}) AS b
+           LEFT JOIN (SELECT spec_id, name, CASE WHEN count("index") > 5 THEN stddev_pop("index") END AS index_error FROM {noisy_index_} GROUP BY spec_id, name) AS e USING (spec_id, name)""",
+)
 def _(t):
     px = whole_range(t).withColumn("noise", F.when(F.col("ivar") > 0, 1 / F.sqrt("ivar")))
     return ln.line_index_errors(px, bands(t), replicas=8, seed=7)
@@ -162,13 +179,13 @@ def _(t):
 
 @query(
     "index_report",
-    sql="""WITH f AS (SELECT spec_id, 50 + spec_id % 400 AS sigma, sqrt(power(2 + (spec_id % 5) * 0.5, 2) + power((50 + spec_id % 400) * 4350 / 299792.458 * 2.355, 2)) > 8.4 AS bad FROM {spec_class}),
+    sql="""WITH f AS (SELECT spec_id, 50 + spec_id % 400 AS sigma, sqrt(power(2 + (spec_id % 5) * 0.5, 2) + power((50 + spec_id % 400) * 4630 / 299792.458 * 2.355, 2)) > 8.4 AS bad FROM {spec_class}),
            g AS (SELECT *, CASE WHEN bad THEN 1 ELSE 0 END AS flag FROM f)
            SELECT 'flag' AS section, CAST(flag AS VARCHAR) AS item, count(*) AS n FROM g GROUP BY flag
            UNION ALL SELECT 'high_sigma', CAST(flag AS VARCHAR), count(*) FROM g WHERE sigma > 300 GROUP BY flag
            UNION ALL SELECT 'index', name, count("index") FROM {index_} GROUP BY name""",
 )
 def _(t):
-    px = t.pixel.where("arm = 'BLUE'").withColumns({"lsf": 2 + (F.col("spec_id") % 5) * 0.5, "sigma_v": 50.0 + F.col("spec_id") % 400})
+    px = t.pixel.withColumns({"lsf": 2 + (F.col("spec_id") % 5) * 0.5, "sigma_v": 50.0 + F.col("spec_id") % 400})
     flags = sp.broadening_needed(px, target=8.4, step=10.0).groupBy("spec_id").agg(F.max("flag").alias("flag"), F.max("sigma_v").alias("sigma"))
     return ln.index_report(flags, ln.line_indices(whole_range(t), bands(t)))

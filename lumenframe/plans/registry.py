@@ -18,6 +18,8 @@ from lumenframe.plans.views import BASE_TABLES, VIEWS
 _NAME = re.compile(r"\{(\w+)\}")
 _SEQ = re.compile(r"SEQ\[([^,\]]+),([^,\]]+),([^\]]+)\]")
 
+CUBE = ["cube_id"]  # what tells cubes apart in the voxel view
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 SHARED: dict[str, str] = {}

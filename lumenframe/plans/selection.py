@@ -215,18 +215,20 @@ def _(t):
 
 @query(
     "defunct_filter",
-    sql="""WITH g AS (SELECT spec_id FROM {pixel} WHERE arm = 'BLUE' GROUP BY spec_id HAVING count(*) = count(flux) AND avg(flux) > 0),
-           s AS (SELECT spec_id, spec_id % 5 AS field, avg(flux) AS signal, avg(flux) / sqrt(avg(1 / ivar)) AS snr FROM {pixel}
-                 WHERE arm = 'BLUE' AND ivar > 0 AND flux IS NOT NULL GROUP BY spec_id),
-           l AS (SELECT field, avg(CASE WHEN abs(snr - 10) < 2 THEN signal END) AS level FROM s JOIN g USING (spec_id) GROUP BY field)
-           SELECT s.spec_id, s.field, g.spec_id IS NOT NULL AND (level IS NULL OR signal >= level) AS inside FROM s LEFT JOIN g USING (spec_id) LEFT JOIN l USING (field)""",
+    sql="""WITH g AS (SELECT spec_id, arm FROM {pixel} GROUP BY spec_id, arm HAVING count(*) = count(flux) AND avg(flux) > 0),
+           s AS (SELECT spec_id, arm, spec_id % 5 AS field, avg(flux) AS signal, avg(flux) / sqrt(avg(1 / ivar)) AS snr FROM {pixel}
+                 WHERE ivar > 0 AND flux IS NOT NULL GROUP BY spec_id, arm),
+           l AS (SELECT arm, field, avg(CASE WHEN abs(snr - 10) < 2 THEN signal END) AS level FROM s JOIN g USING (spec_id, arm) GROUP BY arm, field)
+           SELECT s.spec_id, s.arm, s.field, g.spec_id IS NOT NULL AND (level IS NULL OR signal >= level) AS inside
+           FROM s LEFT JOIN g USING (spec_id, arm) LEFT JOIN l USING (arm, field)""",
 )
 def _(t):
     from lumenframe.operators.spectra import signal_noise
 
-    px = t.pixel.where("arm = 'BLUE'")
-    spaxel = signal_noise(px).withColumn("field", F.col("spec_id") % 5)
-    return sel.defunct_filter(px, spaxel, min_snr=10.0).select("spec_id", "field", "inside")
+    # Each arm of a spectrum is a spaxel of its own.
+    px = t.pixel.withColumn("arm_id", F.concat_ws(":", "spec_id", "arm"))
+    spaxel = signal_noise(px, keys=("arm_id", "spec_id", "arm")).withColumn("field", F.col("spec_id") % 5)
+    return sel.defunct_filter(px, spaxel, min_snr=10.0, keys=("arm", "field"), id="arm_id").select("spec_id", "arm", "field", "inside")
 
 
 # --- joins ---

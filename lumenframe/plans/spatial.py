@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.operators import spatial as spa
 from lumenframe.operators import walk
-from lumenframe.plans.registry import query, shared
+from lumenframe.plans.registry import CUBE, query, shared
 
 SEP = """3600 * degrees(2 * asin(sqrt(least(1, power(sin(radians(b.dec - a.dec) / 2), 2)
          + cos(radians(a.dec)) * cos(radians(b.dec)) * power(sin(radians(b.ra - a.ra) / 2), 2)))))"""
@@ -36,21 +36,21 @@ def _(t):
 @query(
     "not_near_catalogue",
     fix="snr",
-    sql="""SELECT iw, iy, ix, snr FROM {voxel} AS v WHERE snr > 1.2
-           AND NOT EXISTS (SELECT 1 FROM {object} WHERE (ox - ix) * (ox - ix) + (oy - iy) * (oy - iy) <= 0.09)""",
+    sql="""SELECT cube_id, iw, iy, ix, snr FROM {voxel} AS v WHERE snr > 1.2
+           AND NOT EXISTS (SELECT 1 FROM {object} AS o WHERE o.cube_id = v.cube_id AND (ox - ix) * (ox - ix) + (oy - iy) * (oy - iy) <= 16)""",
 )
 def _(t):
-    return spa.not_near_catalogue(t.voxel.where("snr > 1.2"), t.object, radius=0.3).select("iw", "iy", "ix", "snr")
+    return spa.not_near_catalogue(t.voxel.where("snr > 1.2"), t.object, keys=CUBE).select("cube_id", "iw", "iy", "ix", "snr")
 
 
 @query(
     "bright_source_mask",
-    sql="""SELECT DISTINCT ix, iy FROM {voxel} AS v WHERE NOT EXISTS (SELECT 1 FROM {object}
-           WHERE sqrt(power(ix - ox, 2) + power(iy - oy, 2)) <= greatest(0.2, 0.04 * sqrt(a * b)))""",
+    sql="""SELECT DISTINCT cube_id, ix, iy FROM {voxel} AS v WHERE NOT EXISTS (SELECT 1 FROM {object} AS o
+           WHERE o.cube_id = v.cube_id AND power(ix - ox, 2) + power(iy - oy, 2) <= power(greatest(5, 3 * sqrt(a * b)), 2))""",
 )
 def _(t):
-    px = t.voxel.select("ix", "iy").distinct()
-    return spa.bright_source_mask(px, t.object, factor=0.04, min_radius=0.2)
+    px = t.voxel.select("cube_id", "ix", "iy").distinct()
+    return spa.bright_source_mask(px, t.object, keys=CUBE)
 
 
 shared("nodes_", "SELECT field, abs(bin_id) AS bin_id, avg(x) AS bin_x, avg(y) AS bin_y FROM {binmap} WHERE bin_id > 0 GROUP BY field, abs(bin_id)")
@@ -146,13 +146,13 @@ def _(t):
 
 @query(
     "connected_components",
-    sql="""WITH RECURSIVE v AS (SELECT iw * 100000 + iy * 1000 + ix AS id, iw, iy, ix FROM {voxel} WHERE snr > 1.5),
-           e AS (SELECT a.id AS a, b.id AS b FROM v AS a JOIN v AS b ON abs(a.iw - b.iw) <= 1 AND abs(a.iy - b.iy) <= 1 AND abs(a.ix - b.ix) <= 1),
+    sql="""WITH RECURSIVE v AS (SELECT cube_id * 1000000 + iw * 100000 + iy * 1000 + ix AS id, cube_id, iw, iy, ix FROM {voxel} WHERE snr > 1.5),
+           e AS (SELECT a.id AS a, b.id AS b FROM v AS a JOIN v AS b ON a.cube_id = b.cube_id AND abs(a.iw - b.iw) <= 1 AND abs(a.iy - b.iy) <= 1 AND abs(a.ix - b.ix) <= 1),
            r(id, other) AS (SELECT a, b FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.other)
            SELECT id, min(other) AS comp FROM r GROUP BY id""",
 )
 def _(t):
     from lumenframe.operators.detect import neighbour_edges
 
-    v = t.voxel.where("snr > 1.5").withColumn("id", F.col("iw") * 100000 + F.col("iy") * 1000 + F.col("ix"))
-    return walk.components(v, neighbour_edges(v, ("iw", "iy", "ix")))
+    v = t.voxel.where("snr > 1.5").withColumn("id", F.col("cube_id") * 1000000 + F.col("iw") * 100000 + F.col("iy") * 1000 + F.col("ix"))
+    return walk.components(v, neighbour_edges(v, ("iw", "iy", "ix"), keys=CUBE))

@@ -198,16 +198,17 @@ def _(t):
 @query(
     "broaden_variable",
     fix="flux",
-    sql="""WITH s AS (SELECT *, 0.5 + (i % 5) * 0.3 AS sg FROM {fpos} WHERE arm = 'BLUE'),
+    sql="""WITH s AS (SELECT *, 0.5 + ((p[i] + 1) % 5) * 0.3 AS sg FROM {fpos}),
            k AS (SELECT s.*, unnest(range(-CAST(floor(4 * sg) AS BIGINT), CAST(floor(4 * sg) AS BIGINT) + 1)) AS o FROM s)
-           SELECT spec_id, i - 1 AS pix, sum(exp(-0.5 * (o / sg) * (o / sg)) * f[greatest(1, least(len(f), i + o))]) / sum(exp(-0.5 * (o / sg) * (o / sg))) AS flux
-           FROM k GROUP BY spec_id, i""",
+           SELECT spec_id, arm, any_value(p[i]) AS pix, sum(exp(-0.5 * (o / sg) * (o / sg)) * f[greatest(1, least(len(f), i + o))]) / sum(exp(-0.5 * (o / sg) * (o / sg))) AS flux
+           FROM k GROUP BY spec_id, arm, i""",
 )
 def _(t):
-    px = sp.fill_gaps(sp.mask_invalid(t.pixel)).where("arm = 'BLUE'")
-    px = px.withColumn("sigma", 0.5 + ((F.col("pix") + 1) % 5) * 0.3)
-    out = sp.broaden_variable(sp.pixels_to_spectra(px, ["flux", "sigma"], keys=["spec_id"]))
-    return sp.spectra_to_pixels(out.select("spec_id", "flux"), ["flux"])
+    px = sp.fill_gaps(sp.mask_invalid(t.pixel)).withColumn("sigma", 0.5 + ((F.col("pix") + 1) % 5) * 0.3)
+    first = px.groupBy("spec_id", "arm").agg(F.min("pix").alias("first"))
+    out = sp.broaden_variable(sp.pixels_to_spectra(px, ["flux", "sigma"], keys=["spec_id", "arm"])).join(first, ["spec_id", "arm"])
+    out = sp.spectra_to_pixels(out.select("spec_id", "arm", "first", "flux"), ["flux"])
+    return out.select("spec_id", "arm", (F.col("pix") + F.col("first")).alias("pix"), "flux")
 
 
 @query("spectrum_snr", fix="snr", sql="SELECT spec_id, arm, snr, CAST(n_good AS BIGINT) AS n_good FROM {arm_meta}")
@@ -259,20 +260,22 @@ shared("scaled_", SCALED)
 @query(
     "arms_ratio",
     fix="median sigma",
-    sql="""WITH RECURSIVE m AS (SELECT spec_id FROM {arm_meta} GROUP BY spec_id HAVING min(snr) >= 5 AND count(snr) = 2),
+    sql="""WITH m AS (SELECT spec_id FROM {arm_meta} GROUP BY spec_id HAVING min(snr) >= 5 AND count(snr) = 2),
            p AS (SELECT spec_id, sum(flux * ivar) FILTER (arm = 'BLUE') / sum(ivar) FILTER (arm = 'BLUE') AS fb,
                  sum(flux * ivar) FILTER (arm = 'RED') / sum(ivar) FILTER (arm = 'RED') AS fr,
                  count(*) FILTER (arm = 'BLUE') AS nb, count(*) FILTER (arm = 'RED') AS nr
                  FROM {scaled_} WHERE wave BETWEEN 4280 AND 4350 AND ivar > 0 AND flux IS NOT NULL GROUP BY spec_id),
-           r0 AS (SELECT fb / fr AS x FROM p JOIN m USING (spec_id) WHERE least(nb, nr) >= 5 AND fb > 0 AND fr > 0 AND fb / fr BETWEEN 0.3 AND 10),
-           r1 AS (SELECT x FROM r0 WHERE abs(x - (SELECT median(x) FROM r0)) <= 3 * (SELECT stddev_pop(x) FROM r0)),
-           r2 AS (SELECT x FROM r1 WHERE abs(x - (SELECT median(x) FROM r1)) <= 3 * (SELECT stddev_pop(x) FROM r1)),
-           r3 AS (SELECT x FROM r2 WHERE abs(x - (SELECT median(x) FROM r2)) <= 3 * (SELECT stddev_pop(x) FROM r2))
-           SELECT median(x) AS median, stddev_pop(x) AS sigma, count(*) AS n, (SELECT count(*) FROM r0) AS n_all,
-           CASE WHEN stddev_pop(x) < 0.02 THEN 'excellent' WHEN stddev_pop(x) < 0.04 THEN 'good' WHEN stddev_pop(x) < 0.06 THEN 'fair' ELSE 'poor' END AS quality FROM r3""",
+           r0 AS (SELECT spec_id // 50 AS obs, fb / fr AS x FROM p JOIN m USING (spec_id) WHERE least(nb, nr) >= 5 AND fb > 0 AND fr > 0 AND fb / fr BETWEEN 0.3 AND 10),
+           r1 AS (SELECT r0.obs, x FROM r0 JOIN (SELECT obs, median(x) AS m, stddev_pop(x) AS s FROM r0 GROUP BY obs) AS q ON q.obs = r0.obs WHERE abs(x - m) <= 3 * s),
+           r2 AS (SELECT r1.obs, x FROM r1 JOIN (SELECT obs, median(x) AS m, stddev_pop(x) AS s FROM r1 GROUP BY obs) AS q ON q.obs = r1.obs WHERE abs(x - m) <= 3 * s),
+           r3 AS (SELECT r2.obs, x FROM r2 JOIN (SELECT obs, median(x) AS m, stddev_pop(x) AS s FROM r2 GROUP BY obs) AS q ON q.obs = r2.obs WHERE abs(x - m) <= 3 * s)
+           SELECT obs, median(x) AS median, stddev_pop(x) AS sigma, count(*) AS n, any_value(n_all) AS n_all,
+           CASE WHEN stddev_pop(x) < 0.02 THEN 'excellent' WHEN stddev_pop(x) < 0.04 THEN 'good' WHEN stddev_pop(x) < 0.06 THEN 'fair' ELSE 'poor' END AS quality
+           FROM r3 JOIN (SELECT obs, count(*) AS n_all FROM r0 GROUP BY obs) AS a USING (obs) GROUP BY obs""",
 )
 def _(t):
-    return sp.arms_ratio(t.sql(SCALED), t.arm_meta, trim=0.0)
+    px = t.sql(SCALED).withColumn("obs", F.floor(F.col("spec_id") / 50))
+    return sp.arms_ratio(px, t.arm_meta, trim=0.0, keys=["obs"])
 
 
 @query(
@@ -318,34 +321,34 @@ def _(t):
 
 @query(
     "line_mask_pixels",
-    sql="""WITH p AS (SELECT spec_id, pix, ivar, grp / 1000e0 AS z, 2 + (spec_id % 5) * 0.1 AS lsf FROM {pixel} JOIN {spec_class} USING (spec_id) WHERE arm = 'BLUE'),
+    sql="""WITH p AS (SELECT spec_id, arm, pix, ivar, grp / 1000e0 AS z, 2 + (spec_id % 5) * 0.1 AS lsf FROM {pixel} JOIN {spec_class} USING (spec_id)),
            l(name, w, b) AS (VALUES ('Hd', 4101.7, 5.0), ('sky1', 4210.0, 3.0), ('telluric2', 4320.0, 4.0)),
-           c AS (SELECT spec_id, pix, bool_or(pix BETWEEN mid - reach AND mid + reach) AS hit FROM (
+           c AS (SELECT spec_id, arm, pix, bool_or(pix BETWEEN mid - reach AND mid + reach) AS hit FROM (
              SELECT *, ceil((ln(cw) - ln(4000)) / 0.0024) AS mid, 3 * sqrt(b * b + lsf * lsf) * 2.5 / 2.355 / cw / 0.0024 AS reach FROM (
-             SELECT *, CASE WHEN name LIKE '%sky%' OR name LIKE '%telluric%' THEN w / (1 + z) ELSE w END AS cw FROM p, l)) GROUP BY spec_id, pix)
-           SELECT p.spec_id, p.pix FROM p JOIN c ON p.spec_id = c.spec_id AND p.pix = c.pix WHERE NOT hit AND ivar > 0 AND 1 / sqrt(ivar) < 0.95 * sqrt(0.041)""",
+             SELECT *, CASE WHEN name LIKE '%sky%' OR name LIKE '%telluric%' THEN w / (1 + z) ELSE w END AS cw FROM p, l)) GROUP BY spec_id, arm, pix)
+           SELECT p.spec_id, p.arm, p.pix FROM p JOIN c ON p.spec_id = c.spec_id AND p.arm = c.arm AND p.pix = c.pix WHERE NOT hit AND ivar > 0 AND 1 / sqrt(ivar) < 0.95 * sqrt(0.041)""",
 )
 def _(t):
     import math
 
-    px = t.pixel.where("arm = 'BLUE'").join(t.spec_class, "spec_id").withColumn("z", F.col("grp") / 1000.0)
+    px = t.pixel.join(t.spec_class, "spec_id").withColumn("z", F.col("grp") / 1000.0)
     lines = [("Hd", 4101.7, 5.0), ("sky1", 4210.0, 3.0), ("telluric2", 4320.0, 4.0)]
     out = sp.line_mask_pixels(px, lines, lsf=2 + (F.col("spec_id") % 5) * 0.1, log_start=math.log(4000.0), log_step=0.0024, error_limit=0.041)
-    return out.select("spec_id", "pix")
+    return out.select("spec_id", "arm", "pix")
 
 
 @query(
     "broadening_needed",
     fix="sigma_pix",
-    sql="""WITH p AS (SELECT spec_id, pix, sqrt(power(2 + (spec_id % 5) * 0.5, 2) + power((50 + spec_id % 400) * wave / 299792.458 * 2.355, 2)) AS total
-                 FROM {pixel} WHERE arm = 'BLUE'),
-           q AS (SELECT *, max(total) OVER (PARTITION BY spec_id) AS mx FROM p),
+    sql="""WITH p AS (SELECT spec_id, arm, pix, sqrt(power(2 + (spec_id % 5) * 0.5, 2) + power((50 + spec_id % 400) * wave / 299792.458 * 2.355, 2)) AS total
+                 FROM {pixel}),
+           q AS (SELECT *, max(total) OVER (PARTITION BY spec_id, arm) AS mx FROM p),
            r AS (SELECT *, sqrt(greatest(power(CASE WHEN mx > 8.4 THEN ceil(mx * 1.1) ELSE 8.4 END, 2) - total * total, 0)) / 2.355 / 0.02 AS sigma_pix FROM q)
-           SELECT spec_id, pix, sigma_pix, CASE WHEN max(sigma_pix) OVER (PARTITION BY spec_id) > 100 THEN 2 WHEN mx > 8.4 THEN 1 ELSE 0 END AS flag FROM r""",
+           SELECT spec_id, arm, pix, sigma_pix, CASE WHEN max(sigma_pix) OVER (PARTITION BY spec_id, arm) > 100 THEN 2 WHEN mx > 8.4 THEN 1 ELSE 0 END AS flag FROM r""",
 )
 def _(t):
-    px = t.pixel.where("arm = 'BLUE'").withColumns({"lsf": 2 + (F.col("spec_id") % 5) * 0.5, "sigma_v": 50.0 + F.col("spec_id") % 400})
-    return sp.broadening_needed(px, target=8.4, step=0.02, adaptive=True).select("spec_id", "pix", "sigma_pix", "flag")
+    px = t.pixel.withColumns({"lsf": 2 + (F.col("spec_id") % 5) * 0.5, "sigma_v": 50.0 + F.col("spec_id") % 400})
+    return sp.broadening_needed(px, target=8.4, step=0.02, adaptive=True, keys=("spec_id", "arm")).select("spec_id", "arm", "pix", "sigma_pix", "flag")
 
 
 shared("bo", "SELECT spec_id, pix, wave, flux, ivar FROM {filled} WHERE arm = 'BLUE'")
@@ -409,15 +412,30 @@ def _(t):
 @query(
     "interp_at",
     fix="value",
-    sql="""SELECT p.spec_id, p.pix, a.value + (b.value - a.value) * (p.wave + 3.7 - a.wave) / 30 AS value
-           FROM (SELECT spec_id, pix, wave, spec_id % 100 AS nspec FROM {pixel} WHERE arm = 'RED') AS p
+    sql="""SELECT p.spec_id, p.arm, p.pix, a.value + (b.value - a.value) * (p.wave + 3.7 - a.wave) / 30 AS value
+           FROM (SELECT spec_id, arm, pix, wave, spec_id % 100 AS nspec FROM {pixel}) AS p
            LEFT JOIN {curve} AS a ON a.nspec = p.nspec AND a.wave = 4000 + 30 * floor((p.wave + 3.7 - 4000) / 30)
            LEFT JOIN {curve} AS b ON b.nspec = p.nspec AND b.wave = a.wave + 30""",
 )
 def _(t):
-    asked = t.pixel.where("arm = 'RED'").select("spec_id", "pix", (F.col("wave") + 3.7).alias("x"), (F.col("spec_id") % 100).alias("curve_id"))
+    asked = t.pixel.select("spec_id", "arm", "pix", (F.col("wave") + 3.7).alias("x"), (F.col("spec_id") % 100).alias("curve_id"))
     curves = t.curve.select(F.col("nspec").alias("curve_id"), "wave", "value")
-    return rg.interp_at(asked, curves, x="x", step=30.0).select("spec_id", "pix", "value")
+    return rg.interp_at(asked, curves, x="x", step=30.0).select("spec_id", "arm", "pix", "value")
+
+
+@query(
+    "interp_sorted",
+    fix="value",
+    sql="""WITH c AS (SELECT nspec, wave, value FROM {curve} WHERE CAST(wave AS BIGINT) // 30 % 7 <> nspec % 7),
+           p AS (SELECT spec_id, arm, pix, wave + 3.7 AS x, spec_id % 100 AS nspec FROM {pixel}),
+           lo AS (SELECT p.*, c.wave AS w0, c.value AS v0 FROM p ASOF LEFT JOIN c ON c.nspec = p.nspec AND p.x >= c.wave),
+           hi AS (SELECT lo.*, c.wave AS w1, c.value AS v1 FROM lo ASOF LEFT JOIN c ON c.nspec = lo.nspec AND lo.x < c.wave)
+           SELECT spec_id, arm, pix, coalesce(v0 + (v1 - v0) * (x - w0) / (w1 - w0), v0, v1) AS value FROM hi""",
+)
+def _(t):
+    asked = t.pixel.select("spec_id", "arm", "pix", (F.col("wave") + 3.7).alias("x"), (F.col("spec_id") % 100).alias("curve_id"))
+    gaps = t.curve.where(F.floor(F.col("wave") / 30) % 7 != F.col("nspec") % 7).select(F.col("nspec").alias("curve_id"), "wave", "value")
+    return rg.interp_at(asked, gaps, x="x", clamp=True).select("spec_id", "arm", "pix", "value")
 
 
 @query(
@@ -433,17 +451,17 @@ def _(t):
 @query(
     "overlap_rebin",
     fix="wave flux",
-    sql="""WITH o AS (SELECT spec_id, arm, ln(4000) + pix * 0.0024 AS logw, COALESCE(flux, 0) AS flux FROM {pixel} WHERE arm = 'BLUE'),
-           e AS (SELECT spec_id, 36 AS n, ln(4000) - 0.0012 AS a, ln(4000) + 35 * 0.0024 + 0.0012 AS b FROM o GROUP BY spec_id),
-           g AS (SELECT *, unnest(range(36)) AS j FROM e),
-           w AS (SELECT spec_id, j, exp(a) + (exp(b) - exp(a)) * (j + 0.5) / n AS wave, ln(exp(a) + (exp(b) - exp(a)) * j / n) AS lo,
+    sql="""WITH o AS (SELECT spec_id, arm, ln(4000) + pix * 0.0024 AS logw, COALESCE(flux, 0) AS flux FROM {pixel}),
+           e AS (SELECT spec_id, arm, count(*) AS n, min(logw) - 0.0012 AS a, max(logw) + 0.0012 AS b FROM o GROUP BY spec_id, arm),
+           g AS (SELECT *, unnest(range(n)) AS j FROM e),
+           w AS (SELECT spec_id, arm, j, n, exp(a) + (exp(b) - exp(a)) * (j + 0.5) / n AS wave, ln(exp(a) + (exp(b) - exp(a)) * j / n) AS lo,
                  ln(exp(a) + (exp(b) - exp(a)) * (j + 1) / n) AS hi, (b - a) / n AS mw FROM g)
-           SELECT w.spec_id, CAST(j AS INT) AS new_pix, any_value(wave) AS wave, CASE WHEN j = 35 THEN 0 ELSE
+           SELECT w.spec_id, w.arm, CAST(j AS INT) AS new_pix, any_value(wave) AS wave, CASE WHEN j = any_value(n) - 1 THEN 0 ELSE
              sum(flux * greatest(0, least(hi, logw + 0.0012) - greatest(lo, logw - 0.0012)) / 0.0024) / any_value(hi - lo) * any_value(mw) END AS flux
-           FROM w JOIN o ON w.spec_id = o.spec_id AND logw + 0.0012 > lo AND logw - 0.0012 < hi GROUP BY w.spec_id, j""",
+           FROM w JOIN o ON w.spec_id = o.spec_id AND w.arm = o.arm AND logw + 0.0012 > lo AND logw - 0.0012 < hi GROUP BY w.spec_id, w.arm, j""",
 )
 def _(t):
     import math
 
-    px = t.pixel.where("arm = 'BLUE'").withColumn("logw", math.log(4000.0) + F.col("pix") * 0.0024)
-    return rg.log_to_linear(px, keys=["spec_id"])
+    px = t.pixel.withColumn("logw", math.log(4000.0) + F.col("pix") * 0.0024)
+    return rg.log_to_linear(px, keys=["spec_id", "arm"])

@@ -87,14 +87,16 @@ VIEWS: dict[str, tuple[str, ...]] = {
         """SELECT bin_raw AS bin_id, (bin_raw * 37 % 200) - 100e0 AS v, 50e0 + bin_raw * 13 % 80 AS sigma,
            (bin_raw % 11 - 5) / 50e0 AS h3 FROM (SELECT DISTINCT bin_raw FROM {binmap}) AS b""",
     ),
+    # Cubes of 1,500 orders each, 7 channels by 25 by 40 pixels: their number grows with the table.
     "voxel": (
-        """SELECT iw, iy, ix, data, ivar, data * sqrt(ivar) AS snr FROM (
-           SELECT CAST(l_linenumber AS BIGINT) AS iw, l_suppkey % 25 AS iy, l_partkey % 40 AS ix,
+        """SELECT cube_id, iw, iy, ix, data, ivar, data * sqrt(ivar) AS snr FROM (
+           SELECT CAST(FLOOR(l_orderkey / 1500e0) AS BIGINT) AS cube_id, CAST(l_linenumber AS BIGINT) AS iw, l_suppkey % 25 AS iy, l_partkey % 40 AS ix,
            avg(l_quantity) - 25e0 AS data, count(*) / 200e0 AS ivar
-           FROM {lineitem} GROUP BY l_linenumber, l_suppkey % 25, l_partkey % 40) AS v""",
+           FROM {lineitem} GROUP BY CAST(FLOOR(l_orderkey / 1500e0) AS BIGINT), l_linenumber, l_suppkey % 25, l_partkey % 40) AS v""",
     ),
+    # Ten objects to a cube, a few of them bright enough to cover their surroundings.
     "object": (
-        """SELECT s_suppkey AS obj_id, CAST(s_suppkey * 7 % 40 AS DOUBLE) AS ox, CAST(s_suppkey * 11 % 25 AS DOUBLE) AS oy,
+        """SELECT s_suppkey AS obj_id, CAST(FLOOR(s_suppkey / 10e0) AS BIGINT) AS cube_id, CAST(s_suppkey * 7 % 40 AS DOUBLE) AS ox, CAST(s_suppkey * 11 % 25 AS DOUBLE) AS oy,
            1e0 + s_suppkey % 3 AS a, 1e0 AS b, s_acctbal AS flux FROM {supplier}""",
     ),
     "cat_a": (
