@@ -65,7 +65,9 @@ def by_tiles(rows: DataFrame, settle: Callable[[pa.Table, np.ndarray], pa.Table]
         if size:
             yield from out(pa.Table.from_batches(held))
 
-    dealt = rows.repartition("_tile").sortWithinPartitions("_tile")
+    # By a hash of the name: a shuffle by the name itself is left out after a join by it, and then
+    # lost when that join turns into a broadcast.
+    dealt = rows.repartition(F.xxhash64("_tile")).sortWithinPartitions("_tile")
     return dealt.mapInArrow(run, schema)
 
 

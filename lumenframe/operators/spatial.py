@@ -32,36 +32,110 @@ def xmatch_sky(a: DataFrame, b: DataFrame, *, radius_arcsec: float, nearest: boo
     return best.select("id_a", "m.id_b", "m.sep")
 
 
+LEAF, SPLIT, DEPTH = 32, 3, 10  # nodes of a leaf; a cell has 8 x 8 children; 30 bits a coordinate
+
+
+def _node_tree(nodes: DataFrame, keys: Sequence[str]) -> list[DataFrame]:
+    """Cells of nodes ``(keys, _n0, _n1, _node)``, level by level: (keys, cx, cy, inner, leaves).
+
+    The rows of a level are the cells of the level above with more than LEAF nodes (the first has
+    one row, all nodes of a key); ``inner`` are their children with more than LEAF nodes in turn
+    and ``leaves`` the others, with the tight box of their nodes and, for leaves, the nodes. So the
+    tree is as deep as the nodes crowd, and a row has 64 children of at most LEAF nodes.
+    """
+    keys = list(keys)
+    ends = nodes.groupBy(*keys).agg(*[f(c).alias(f"_{n}{c}") for c in ("_n0", "_n1") for f, n in ((F.min, "lo"), (F.max, "hi"))])
+    rows = on_keys(nodes, ends, keys)
+    for i in (0, 1):
+        span = F.col(f"_hi_n{i}") - F.col(f"_lo_n{i}")
+        part = F.when(span > 0, (F.col(f"_n{i}") - F.col(f"_lo_n{i}")) / span).otherwise(0.0)
+        rows = rows.withColumn(f"_q{i}", F.floor(part * ((1 << SPLIT * DEPTH) - 1)))
+    rows = cut(rows.select(*keys, "_n0", "_n1", "_node", "_q0", "_q1"))
+    levels = []
+    for level in range(1, DEPTH + 1):
+        shift = SPLIT * (DEPTH - level)
+        cell = [F.shiftright(f"_q{i}", shift).alias(f"c{i}") for i in (0, 1)]
+        up = [F.shiftright(f"c{i}", SPLIT).alias(f"p{i}") for i in (0, 1)]
+        box = [F.min("_n0").alias("x0"), F.max("_n0").alias("x1"), F.min("_n1").alias("y0"), F.max("_n1").alias("y1"), F.count("*").alias("n")]
+        cells = cut(rows.groupBy(*keys, *cell).agg(*box).withColumn("leaf", (F.col("n") <= LEAF) | F.lit(level == DEPTH)))
+        named = rows.withColumns({f"c{i}": F.shiftright(f"_q{i}", shift) for i in (0, 1)})
+        at = [*keys, "c0", "c1"]
+        full = named.join(cells.where("leaf").select(*at), at).groupBy(*at).agg(F.collect_list(F.struct("_n0", "_n1", "_node")).alias("nodes"))
+        whole = cells.join(full, at, "left").select(*keys, *up, F.struct("c0", "c1", "x0", "x1", "y0", "y1", "n", "leaf", "nodes").alias("c"))
+        levels.append(cut(whole.groupBy(*keys, "p0", "p1").agg(F.collect_list("c").alias("cells"))))
+        rows = named.join(cells.where("NOT leaf").select(*at), at, "left_semi").drop("c0", "c1")
+        rows = cut(rows)
+        if rows.isEmpty():
+            break
+    return levels
+
+
+def _bounds(x: Column, y: Column, c: Column, other: bool) -> tuple[Column, Column]:
+    """Squared distances of a point to the nearest place of a cell's box, and one within which a
+    node of the cell lies for certain: each side of a tight box has a node. With ``other``, a box
+    around the point itself counts by its farthest corner, if it has a second node."""
+
+    def axis(v: Column, lo: Column, hi: Column) -> tuple[Column, Column, Column]:
+        near = F.greatest(lo - v, v - hi, F.lit(0.0))
+        side = F.least(F.abs(v - lo), F.abs(v - hi))
+        far = F.greatest(F.abs(v - lo), F.abs(v - hi))
+        return near, side, far
+
+    (nx, sx, fx), (ny, sy, fy) = axis(x, c["x0"], c["x1"]), axis(y, c["y0"], c["y1"])
+    sure = F.least(sx * sx + fy * fy, fx * fx + sy * sy)
+    if other:
+        inside = (nx == 0) & (ny == 0)
+        sure = F.when(~inside, sure).when(c["n"] > 1, fx * fx + fy * fy).otherwise(F.lit(float("inf")))
+    return nx * nx + ny * ny, sure
+
+
+def _nearest(points: DataFrame, levels: Sequence[DataFrame], keys: Sequence[str], *, id: str, other: bool = False) -> DataFrame:
+    """Nearest node of every point ``(id, keys, _p0, _p1)``: (id, keys, m) with m a struct
+    (d2, node). With ``other``, nodes at the point itself do not count."""
+    keys = list(keys)
+    front = points.withColumns({"p0": F.lit(0).cast("long"), "p1": F.lit(0).cast("long"), "_bound": F.lit(float("inf"))})
+    found = []
+    x, y = F.col("_p0"), F.col("_p1")
+    for cells in levels:
+        met = front.join(cells, [*keys, "p0", "p1"])
+        # What is nearer than any sure distance: a hair more, so that ties are never lost.
+        least = F.least(F.col("_bound"), F.array_min(F.transform("cells", lambda c: _bounds(x, y, c, other)[1])))
+        met = met.withColumn("_bound", least * (1 + 1e-12))
+        near = F.filter("cells", lambda c: _bounds(x, y, c, other)[0] <= F.col("_bound"))
+        met = met.select(id, *keys, "_p0", "_p1", "_bound", F.explode(near).alias("c"))
+        met = cut(met)
+        d2 = lambda n: (n["_n0"] - x) * (n["_n0"] - x) + (n["_n1"] - y) * (n["_n1"] - y)
+        each = F.transform("c.nodes", lambda n: F.struct(d2(n).alias("d2"), n["_node"].alias("node")))
+        if other:
+            each = F.filter(each, lambda m: m["d2"] > 0)
+        found.append(met.where("c.leaf").select(id, *keys, F.array_min(each).alias("m")).where(F.col("m").isNotNull()))
+        front = met.where("NOT c.leaf").select(id, *keys, "_p0", "_p1", "_bound", F.col("c.c0").alias("p0"), F.col("c.c1").alias("p1"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.groupBy(id, *keys).agg(F.min("m").alias("m"))
+
+
 def nearest_node(
-    points: DataFrame, nodes: DataFrame, *, id: str, xy: Sequence[str], node_id: str, node_xy: Sequence[str], keys: Sequence[str] = (), radius: float
+    points: DataFrame, nodes: DataFrame, *, id: str, xy: Sequence[str], node_id: str, node_xy: Sequence[str], keys: Sequence[str] = (), radius: float | None = None
 ) -> DataFrame:
-    """Nearest node of every point, whatever the distance: ``id, node_id, dist``.
+    """Nearest node of every point, whatever the distance: ``id, node_id, dist`` (ties: the lowest
+    node).
 
-    Searches within ``radius`` by cells, keeps the points that found a node, and doubles the
-    radius for the rest. Only unresolved points go on, so no round compares all pairs; the
-    number of rounds is the logarithm of the largest distance. Points of a key without any
-    node get no row. Points and nodes without finite coordinates or number take no part.
+    Nodes are counted in cells of falling size, each an eighth of the last along both axes, as
+    long as a cell has many. A point goes down this tree and in each level meets only children of
+    the cells it is still in; those that are farther than some node is for certain end there. So
+    a point meets a few cells of each level, however far or crowded the nodes are, and the number
+    of rounds is the logarithm of the crowding. Nodes at one place count once. Points of a key
+    without any node get no row. Points and nodes without finite coordinates or number take no
+    part. ``radius``, a guess of the distance, is no longer of use.
     """
-    p = points.select(id, *keys, *[F.col(c).alias(f"_p{i}") for i, c in enumerate(xy)]).where(usable(F.col("_p0")) & usable(F.col("_p1")))
-    n = nodes.select(node_id, *keys, *[F.col(c).alias(f"_n{i}") for i, c in enumerate(node_xy)])
-    n = n.where(F.col(node_id).isNotNull() & usable(F.col("_n0")) & usable(F.col("_n1")))
-    if keys:
-        p = p.join(n.select(*keys).distinct(), list(keys), "left_semi")
-    elif n.isEmpty():
-        p = p.limit(0)
-    left, found = cut(p), None
-    big, small = [f"_p{i}" for i in range(len(xy))], [f"_n{i}" for i in range(len(xy))]
-    d2 = sum(((F.col(a) - F.col(b)) * (F.col(a) - F.col(b)) for a, b in zip(big, small)), F.lit(0.0))
-    while not left.isEmpty():
-        pairs = plane_pairs(left, n, big_xy=big, small_xy=small, radius=radius, keys=keys)
-        best = pairs.groupBy(id, *keys).agg(F.min(F.struct(d2.alias("d2"), F.col(node_id))).alias("m"))
-        best = cut(best.select(id, *keys, F.col("m")[node_id].alias(node_id), F.sqrt("m.d2").alias("dist")))
-        found = best if found is None else found.unionByName(best)
-        left = cut(left.join(best.select(id, *keys), [id, *keys], "left_anti"))
-        radius *= 2.0
-    if found is None:
-        return left.select(id, *keys).join(n.select(node_id, *keys), list(keys) or F.lit(False)).withColumn("dist", F.lit(0.0)).limit(0)
-    return found
+    p = points.select(id, *keys, *[F.col(c).cast("double").alias(f"_p{i}") for i, c in enumerate(xy)]).where(usable(F.col("_p0")) & usable(F.col("_p1")))
+    n = nodes.select(F.col(node_id).alias("_node"), *keys, *[F.col(c).cast("double").alias(f"_n{i}") for i, c in enumerate(node_xy)])
+    n = n.where(F.col("_node").isNotNull() & usable(F.col("_n0")) & usable(F.col("_n1")))
+    n = n.groupBy(*keys, "_n0", "_n1").agg(F.min("_node").alias("_node"))
+    best = _nearest(p, _node_tree(n, keys), keys, id=id)
+    return best.select(id, *keys, F.col("m.node").alias(node_id), F.sqrt("m.d2").alias("dist"))
 
 
 def nearest_bin(spaxel: DataFrame, nodes: DataFrame, *, keys: Sequence[str] = ("field",), radius: float = 1.0) -> DataFrame:
@@ -157,7 +231,7 @@ def neighbour_spacing(items: DataFrame, *, fallback_parts: float = 60.0, id: str
     """Half the median distance (degrees) to the nearest other item, zero distances ignored;
     with fewer than two items the span divided by 60. One row.
 
-    Positions are made unique first, then each finds its nearest other one by growing cells.
+    Positions are made unique first, then each finds its nearest other one down the tree of nodes.
     """
     ok = items.where(usable(F.col("ra")) & usable(F.col("dec")))
     stats = ok.agg(F.avg("dec").alias("d0"), F.count("*").alias("n"), (F.max("ra") - F.min("ra")).alias("sr"), (F.max("dec") - F.min("dec")).alias("sd")).first()
@@ -169,16 +243,9 @@ def neighbour_spacing(items: DataFrame, *, fallback_parts: float = 60.0, id: str
     spark = items.sparkSession
     if n < 2:
         return spark.createDataFrame([(span / fallback_parts if span else 0.0, int(n))], "spacing double, n bigint")
-    radius = max(span, 1e-9) / max(n, 1) ** 0.5
-    left, found = spot, None
-    while not left.isEmpty():
-        b = spot.select(F.col("x").alias("x2"), F.col("y").alias("y2"))
-        pairs = plane_pairs(left, b, big_xy=("x", "y"), small_xy=("x2", "y2"), radius=radius)
-        dx, dy = F.col("x") - F.col("x2"), F.col("y") - F.col("y2")
-        best = cut(pairs.where((dx != 0) | (dy != 0)).groupBy("sid").agg(F.sqrt(F.min(dx * dx + dy * dy)).alias("dist")))
-        found = best if found is None else found.unionByName(best)
-        left = cut(left.join(best.select("sid"), "sid", "left_anti"))
-        radius *= 2
+    nodes = spot.select(F.col("x").alias("_n0"), F.col("y").alias("_n1"), F.col("sid").alias("_node"))
+    asked = spot.select("sid", F.col("x").alias("_p0"), F.col("y").alias("_p1"))
+    found = _nearest(asked, _node_tree(nodes, []), [], id="sid", other=True).select("sid", F.sqrt("m.d2").alias("dist"))
     # Items sharing a position count once each: weight the distances by their number.
     per_item = ok.select(F.struct((F.col("ra") * cos).alias("x"), F.col("dec").alias("y")).alias("sid")).join(found, "sid")
     return quantiles(per_item, [], "dist", {"m": 0.5}).select((F.col("m") / 2).alias("spacing")).withColumn("n", F.lit(int(n)).cast("bigint"))
