@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumenframe.functions.scale import all_of, number_rows
+
 
 def fill_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Missing join keys as -999, NaN or 'nan', so that they meet each other in the join."""
@@ -34,24 +36,45 @@ def _outer_join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, keys, "full_outer")
 
 
+def _in_turn(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``name`` is 0 for rows with all keys; the others are numbered from 1, in the order of all
+    their columns. They may be many and have one key: they are numbered over range partitions."""
+    whole = all_of([F.col(k).isNotNull() for k in keys])
+    lone = number_rows(df.where(~whole), [F.col(c).asc_nulls_first() for c in df.columns], name)
+    return df.where(whole).withColumn(name, F.lit(0).cast("bigint")).unionByName(lone.withColumn(name, F.col(name).cast("bigint")))
+
+
 def outer_merge(
-    tables: Sequence[DataFrame | None], keys: Sequence[str], *, exclude: Sequence[str] = (), exclude_prefix: Sequence[str] = (), keys_first: bool = True
+    tables: Sequence[DataFrame | None], keys: Sequence[str], *, exclude: Sequence[str] = (), exclude_prefix: Sequence[str] = (), keys_first: bool = True, missing: str = "meet"
 ) -> tuple[DataFrame | None, int]:
     """Left fold of full outer joins; returns the table and -1 if any input is missing, else 0.
 
     All joins use the same keys, so after the first one each further join shuffles only its
-    new side.
+    new side. Rows whose keys are missing all meet each other, as published (``missing="meet"``),
+    or in turn, the first with the first (``"pair"``): then k and m of them make the larger number
+    of rows and not k times m. Columns have to be as many as in the inputs, keys counted once, and
+    their names unique, else a ValueError says which are not.
     """
+    if missing not in ("meet", "pair"):
+        raise ValueError(f"missing is 'meet' or 'pair', not {missing!r}")
+    turn = "_turn"
     flag = -1 if any(t is None for t in tables) else 0
     ready = []
     for t in tables:
         if t is None:
             continue
         drop = [c for c in t.columns if c not in keys and (c in exclude or any(c.startswith(p) for p in exclude_prefix))]
-        ready.append(fill_keys(t.drop(*drop), keys))
+        t = t.drop(*drop)
+        ready.append(fill_keys(_in_turn(t, keys, turn) if missing == "pair" else t, keys))
     if not ready:
         return None, -1
-    out = functools.reduce(lambda a, b: _outer_join(a, b, list(keys)), ready)
+    on = [*keys, turn] if missing == "pair" else list(keys)
+    out = functools.reduce(lambda a, b: _outer_join(a, b, on), ready)
+    want = sum(len(t.columns) for t in ready) - len(on) * (len(ready) - 1)
+    twice = sorted({c for c in out.columns if out.columns.count(c) > 1})
+    if len(out.columns) != want or twice:
+        raise ValueError(f"{want} columns come in and {len(out.columns)} go out; repeated names: {twice}")
+    out = out.drop(turn)
     if keys_first:
         out = out.select(*keys, *[c for c in out.columns if c not in keys])
     return out, flag

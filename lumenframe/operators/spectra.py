@@ -418,17 +418,31 @@ def ivar_balance(pixel: DataFrame, *, mode: str = "balanced", obs: Sequence[str]
     return pixel.join(table, keys, "left").withColumn("ivar", F.col("ivar") * F.col("ivar_weight"))
 
 
-def join_arms(pixel: DataFrame, *, order: Sequence[str], max_jump: float = 0.2, bad_mask: tuple[float, float] | None = None) -> DataFrame:
-    """Stitch arms, bluest first, into one spectrum per ``spec_id``.
-
-    Outside the overlap the arms keep their own pixels. Inside, both are interpolated on a
-    common grid and averaged by inverse variance; if their median fluxes differ by more than
-    ``max_jump`` the overlap is zeroed (and ``bad_mask`` masked). A gap is filled with zeros.
+def join_arms(pixel: DataFrame, *, order: Sequence[str], max_jump: float = 0.2, bad_mask: tuple[float, float] | None = None, split: bool = False) -> DataFrame:
+    """Arms joined from blue to red into one spectrum per ``spec_id``: own pixels outside the overlap,
+    inside both are interpolated to a common grid and averaged by inverse variance; if their median
+    fluxes differ by more than ``max_jump`` the overlap is zeroed (and ``bad_mask`` masked). A gap
+    is filled with zeros.
+
+    With ``split`` the arms stay apart (column ``arm``): they are cut at the mean wavelength of the
+    common grid, so both sides carry the combined overlap; arms that do not overlap stay as they are.
     """
-    done = pixel.where(F.col("arm") == order[0]).select("spec_id", "wave", "flux", "ivar")
-    for arm in order[1:]:
-        done = _join_two(done, pixel.where(F.col("arm") == arm).select("spec_id", "wave", "flux", "ivar"), max_jump, bad_mask)
-    w = Window.partitionBy("spec_id").orderBy("wave")
+    columns = ["spec_id", "wave", "flux", "ivar"]
+    done, finished = pixel.where(F.col("arm") == order[0]).select(*columns), []
+    for before, arm in zip(order, order[1:]):
+        joined = _join_two(done, pixel.where(F.col("arm") == arm).select(*columns), max_jump, bad_mask)
+        if split:
+            # Cut here: both sides are read, and the red one goes on to the next arm.
+            joined = cut(joined.where("_side IS NOT NULL"))
+            finished.append(joined.where("_side = 'b'").select(F.lit(before).alias("arm"), *columns))
+            joined = joined.where("_side = 'r'")
+        done = joined.select(*columns)
+    by = ["spec_id"]
+    if split:
+        by, done = ["spec_id", "arm"], done.select(F.lit(order[-1]).alias("arm"), *columns)
+        for part in finished:
+            done = part.unionByName(done)
+    w = Window.partitionBy(*by).orderBy("wave")
     return done.withColumn("pix", (F.row_number().over(w) - 1).cast("int"))
 
 
@@ -498,7 +512,13 @@ def _join_two(blue: DataFrame, red: DataFrame, max_jump: float, bad_mask: tuple[
         F.max("ivar").alias("_ivar"),
         F.max(F.when(grid & is_b, F.col("flux"))).alias("_fb"),
         F.max(F.when(grid & is_r, F.col("flux"))).alias("_fr"),
+        F.min("side").alias("_from"),
     )
+    # The side of a spectrum cut in two: at the middle of an overlap, else as it was; the points
+    # that fill a gap belong to none.
+    middle = F.avg(F.when(grid, wave)).over(spec)
+    side = F.when(F.col("_over"), F.when(wave < middle, "b").otherwise("r")).when(~grid, F.col("_from"))
+    out = out.withColumn("_side", side)
     mb, mr = F.median("_fb").over(spec), F.median("_fr").over(spec)
     bad = F.col("_over") & (F.abs(mb - mr) / F.greatest(mb, mr, F.lit(1e-10)) > max_jump)
     out = out.withColumn("_bad", F.coalesce(bad, F.lit(False)))
@@ -507,7 +527,7 @@ def _join_two(blue: DataFrame, red: DataFrame, max_jump: float, bad_mask: tuple[
     ivar = F.when(~grid, F.col("_ivar")).when(keep, F.col("_sum")).otherwise(0.0)
     if bad_mask is not None:
         ivar = F.when(F.col("_bad") & wave.between(*bad_mask), 0.0).otherwise(ivar)
-    return out.select("spec_id", "wave", flux.alias("flux"), ivar.alias("ivar"))
+    return out.select("spec_id", "wave", flux.alias("flux"), ivar.alias("ivar"), "_side")
 
 
 def clean_spectra(
@@ -524,9 +544,13 @@ def clean_spectra(
     transmission: DataFrame | None = None,
     transmission_step: float = 100.0,
     ratios: dict[str, float] | None = None,
+    valley: dict | None = None,
+    balance: str | None = None,
 ) -> DataFrame:
     """The fixed order of cleaning: crop, invalid, gaps, fixed gaps, edges, tellurics, fill,
-    cosmic rays, sensitivity, extinction, arms ratio; the SNR follows as a column."""
+    cosmic rays, sensitivity, extinction, arms ratio; the SNR follows as a column. Then the valleys
+    of sky residuals (``valley``: the arguments of ``sky_valley_mask``) and the ivar balance of the
+    arms (``balance``: the mode of ``ivar_balance``), which sees what the valleys left."""
     out = pixel
     if crop:
         keep = F.lit(False)
@@ -552,7 +576,12 @@ def clean_spectra(
         out = deredden(out, transmission, step=transmission_step)
     if ratios:
         out = apply_arms_ratio(out, ratios)
-    return with_snr(out)
+    out = with_snr(out)
+    if valley is not None:
+        out = sky_valley_mask(out, **valley)
+    if balance is not None:
+        out = ivar_balance(out, mode=balance)
+    return out
 
 
 def _centre(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

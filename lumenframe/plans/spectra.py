@@ -173,10 +173,8 @@ def _(t):
     return sp.despike_ivar(sp.mask_invalid(t.pixel), cap=1.1).select("spec_id", "arm", "pix", "ivar")
 
 
-@query(
-    "sky_valley_mask",
-    fix="flux ivar",
-    sql=f"""WITH red AS (SELECT *, ivar AS keep FROM {{valid}} WHERE wave >= 4030),
+VALLEY = {"pixel_scale": 350 / 36, "start": 4030.0, "min_narrow": 3, "min_wide": 5, "threshold": 0.95, "wing": 1}
+VALLEY_SQL = f"""WITH red AS (SELECT *, ivar AS keep FROM {{valid}} WHERE wave >= 4030),
             src AS (SELECT spec_id, arm, pix, pix AS wave, keep AS ivar, keep AS flux FROM red),
             fil AS ({filled_sql("src", "ivar > 0")}),
             l AS (SELECT spec_id, arm, list(flux ORDER BY pix) AS f, list(pix ORDER BY pix) AS p, list(ivar ORDER BY pix) AS v FROM fil GROUP BY spec_id, arm),
@@ -187,12 +185,26 @@ def _(t):
                    JOIN w ON pos.spec_id = w.spec_id AND pos.arm = w.arm AND pos.i = w.i),
             m AS (SELECT *, bool_or(ivar > 0 AND bg > 1e-10 AND ivar < 0.95 * bg AND cnt >= 31) OVER ({W} ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS bad FROM bg)
             SELECT v.spec_id, v.arm, v.pix, v.wave, v.flux, CASE WHEN m.bad THEN 0 ELSE v.ivar END AS ivar
-            FROM {{valid}} AS v LEFT JOIN m ON v.spec_id = m.spec_id AND v.arm = m.arm AND v.pix = m.pix""",
+            FROM {{valid}} AS v LEFT JOIN m ON v.spec_id = m.spec_id AND v.arm = m.arm AND v.pix = m.pix"""
+
+
+@query("sky_valley_mask", fix="flux ivar", sql=VALLEY_SQL)
+def _(t):
+    return sp.sky_valley_mask(sp.mask_invalid(t.pixel), **VALLEY)
+
+
+@query(
+    "clean_spectra_tail",
+    fix="flux ivar snr ivar_weight",
+    sql=f"""WITH v AS ({VALLEY_SQL}),
+            s AS (SELECT arm, sum(ivar) FILTER (ivar > 0) AS s FROM v GROUP BY arm), w AS (SELECT arm, avg(s) OVER () / s AS ivar_weight FROM s),
+            n AS (SELECT spec_id, arm, pix, CASE WHEN 2 * count(*) FILTER (ivar > 0) OVER ({ALL}) >= count(*) OVER ({ALL})
+                  THEN avg(flux * sqrt(ivar)) FILTER (ivar > 0) OVER ({ALL}) END AS snr FROM {{valid}})
+            SELECT spec_id, arm, pix, wave, flux, ivar * ivar_weight AS ivar, snr, ivar_weight FROM v JOIN w USING (arm) JOIN n USING (spec_id, arm, pix)""",
 )
 def _(t):
-    return sp.sky_valley_mask(
-        sp.mask_invalid(t.pixel), pixel_scale=350 / 36, start=4030.0, min_narrow=3, min_wide=5, threshold=0.95, wing=1
-    )
+    out = sp.clean_spectra(t.pixel, fill=False, cosmic=False, valley=VALLEY, balance="balanced")
+    return out.select("spec_id", "arm", "pix", "wave", "flux", "ivar", "snr", "ivar_weight")
 
 
 @query(
@@ -373,6 +385,28 @@ def _(t):
     return sp.join_arms(px, order=["BLUE", "RED"], max_jump=0.15, bad_mask=(4100.0, 4500.0))
 
 
+shared(
+    "split_",
+    """WITH o AS (SELECT b.spec_id, b.wave, b.flux AS fb, r.flux AS fr, CASE WHEN b.ivar = 0 THEN 1e-36 ELSE b.ivar END AS vb,
+         CASE WHEN r.ivar = 0 THEN 1e-36 ELSE r.ivar END AS vr FROM {bo} AS b JOIN {ro} AS r ON b.spec_id = r.spec_id AND b.pix = r.pix),
+       d AS (SELECT *, abs(mb - mr) / greatest(mb, mr, 1e-10) > 0.15 AS bad FROM (
+         SELECT *, median(fb) OVER (PARTITION BY spec_id) AS mb, median(fr) OVER (PARTITION BY spec_id) AS mr FROM o)),
+       u AS (SELECT spec_id, wave, CASE WHEN bad THEN 0 ELSE (fb * vb + fr * vr) / (vb + vr) END AS flux, CASE WHEN bad THEN 0 ELSE vb + vr END AS ivar, bad FROM d
+         UNION ALL SELECT spec_id, wave, flux, ivar, FALSE FROM {bo} WHERE pix < 28
+         UNION ALL SELECT spec_id, wave, flux, ivar, FALSE FROM {ro} WHERE pix >= 36),
+       m AS (SELECT spec_id, CASE WHEN u.wave < mid THEN 'BLUE' ELSE 'RED' END AS arm, wave, flux,
+         CASE WHEN wave BETWEEN 4100 AND 4500 AND bool_or(bad) OVER (PARTITION BY spec_id) THEN 0 ELSE ivar END AS ivar
+         FROM u JOIN (SELECT spec_id, avg(wave) AS mid FROM o GROUP BY spec_id) AS c USING (spec_id))
+       SELECT *, row_number() OVER (PARTITION BY spec_id, arm ORDER BY wave) - 1 AS pix FROM m""",
+)
+
+
+@query("join_arms_split", fix="wave flux ivar", sql="SELECT * FROM {split_}")
+def _(t):
+    px = sp.fill_gaps(sp.mask_invalid(t.pixel))
+    return sp.join_arms(px, order=["BLUE", "RED"], max_jump=0.15, bad_mask=(4100.0, 4500.0), split=True)
+
+
 shared("crop_", "SELECT * FROM {valid} WHERE wave >= 4010 AND wave < 4620")
 shared("cut1_", f"SELECT spec_id, arm, pix, wave, flux, CASE WHEN bool_or(ivar = 0) OVER ({W} ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) THEN 0 ELSE ivar END AS ivar FROM {{crop_}}")
 shared(

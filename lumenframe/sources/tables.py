@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,22 +73,79 @@ def _extents(c: Column, t: T.DataType) -> list[Column]:
     return out
 
 
+SWITCH, READY = "_switch", "_ready"
+
+
+def _folders(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and its path class."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def write_product(tables: Mapping[str, DataFrame], path: str, night: str, *, by: str = "obs_id", mode: str = "overwrite") -> list[str]:
     """One Parquet table per extension, partitioned by night and observation.
 
     Rows are clustered by observation before the write, so each task opens few files; large
     observations are split by the writer's ``maxRecordsPerFile``. Only the nights and
-    observations that ``tables`` holds are replaced; others of the product stay.
+    observations that ``tables`` holds are replaced (or added to, with ``mode="append"``); others
+    of the product stay.
+
+    All extensions are written beside the product first. When the last one is whole, a mark says
+    so and their folders are moved into place. Before the mark a failure leaves the old product as
+    it is; after it, ``finish_product``, which every write calls first, moves what is left.
     """
-    written = []
+    spark = next(iter(tables.values())).sparkSession
+    finish_product(spark, path)
+    run = f"{path}/{SWITCH}/{uuid.uuid4().hex}"
     for name, df in tables.items():
         out = fill_product(df).withColumn("night", F.lit(night))
         parts = ["night", by] if by in df.columns else ["night"]
         if by in df.columns:
             out = out.hint("rebalance", by)
-        out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 5_000_000).partitionBy(*parts).parquet(f"{path}/{name}")
-        written.append(f"{path}/{name}")
-    return written
+        out.write.option("maxRecordsPerFile", 5_000_000).partitionBy(*parts).parquet(f"{run}/{name}")
+    files, at = _folders(spark, path)
+    files.create(at(f"{run}/{READY}.{mode}")).close()
+    finish_product(spark, path)
+    return [f"{path}/{name}" for name in tables]
+
+
+def finish_product(spark: SparkSession, path: str) -> None:
+    """Bring a product into one state after a lost writer: written runs with the mark are moved
+    into place, others are deleted. A move replaces a whole night and observation of an extension,
+    and moving again what has been moved does nothing."""
+    files, at = _folders(spark, path)
+    if not files.exists(at(f"{path}/{SWITCH}")):
+        return
+    for run in sorted(s.getPath().toString() for s in files.listStatus(at(f"{path}/{SWITCH}"))):
+        append = files.exists(at(f"{run}/{READY}.append"))
+        if append or files.exists(at(f"{run}/{READY}.overwrite")):
+            for extension in files.listStatus(at(run)):
+                if extension.isDirectory():
+                    _move(files, at, extension.getPath().toString(), f"{path}/{extension.getPath().getName()}", append)
+        files.delete(at(run), True)
+
+
+def _move(files, at, source: str, target: str, append: bool) -> None:
+    """Move the partitions below ``source``: a folder of files replaces its target, or with
+    ``append`` its files join those there."""
+    inside = [s for s in files.listStatus(at(source)) if not s.getPath().getName().startswith(("_", "."))]
+    if any(s.isDirectory() for s in inside):
+        for s in inside:
+            _move(files, at, s.getPath().toString(), f"{target}/{s.getPath().getName()}", append)
+        return
+    if not inside:
+        files.mkdirs(at(target))
+        return
+    if append:
+        files.mkdirs(at(target))
+        for s in inside:
+            files.rename(s.getPath(), at(f"{target}/{s.getPath().getName()}"))
+        return
+    files.delete(at(target), True)
+    files.mkdirs(at(target).getParent())
+    if not files.rename(at(source), at(target)):
+        raise OSError(f"could not move {source} to {target}")
 
 
 def product_rows(tables: Mapping[str, DataFrame], *, by: str = "obs_id") -> DataFrame:
