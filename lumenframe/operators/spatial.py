@@ -62,11 +62,11 @@ def _node_tree(nodes: DataFrame, keys: Sequence[str]) -> list[DataFrame]:
         at = [*keys, "c0", "c1"]
         full = named.join(cells.where("leaf").select(*at), at).groupBy(*at).agg(F.collect_list(F.struct("_n0", "_n1", "_node")).alias("nodes"))
         whole = cells.join(full, at, "left").select(*keys, *up, F.struct("c0", "c1", "x0", "x1", "y0", "y1", "n", "leaf", "nodes").alias("c"))
-        levels.append(cut(whole.groupBy(*keys, "p0", "p1").agg(F.collect_list("c").alias("cells"))))
-        rows = named.join(cells.where("NOT leaf").select(*at), at, "left_semi").drop("c0", "c1")
-        rows = cut(rows)
-        if rows.isEmpty():
+        levels.append(whole.groupBy(*keys, "p0", "p1").agg(F.collect_list("c").alias("cells")))
+        inner = cells.where("NOT leaf").select(*at)
+        if inner.isEmpty():
             break
+        rows = cut(named.join(inner, at, "left_semi").drop("c0", "c1"))
     return levels
 
 
@@ -96,14 +96,15 @@ def _nearest(points: DataFrame, levels: Sequence[DataFrame], keys: Sequence[str]
     front = points.withColumns({"p0": F.lit(0).cast("long"), "p1": F.lit(0).cast("long"), "_bound": F.lit(float("inf"))})
     found = []
     x, y = F.col("_p0"), F.col("_p1")
-    for cells in levels:
+    for i, cells in enumerate(levels):
         met = front.join(cells, [*keys, "p0", "p1"])
         # What is nearer than any sure distance: a hair more, so that ties are never lost.
         least = F.least(F.col("_bound"), F.array_min(F.transform("cells", lambda c: _bounds(x, y, c, other)[1])))
         met = met.withColumn("_bound", least * (1 + 1e-12))
         near = F.filter("cells", lambda c: _bounds(x, y, c, other)[0] <= F.col("_bound"))
         met = met.select(id, *keys, "_p0", "_p1", "_bound", F.explode(near).alias("c"))
-        met = cut(met)
+        if i + 1 < len(levels):
+            met = cut(met)
         d2 = lambda n: (n["_n0"] - x) * (n["_n0"] - x) + (n["_n1"] - y) * (n["_n1"] - y)
         each = F.transform("c.nodes", lambda n: F.struct(d2(n).alias("d2"), n["_node"].alias("node")))
         if other:
