@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lumenframe.llm.base import stage
 
 SAMPLE = 8192  # vectors, at most, that the partitions and the classifier are fitted on
-VISITED = 0.46  # share of the parts that a query visits
+VISITED, SPARE = 0.42, 5.6  # share of the parts that a query visits, and parts besides: few parts cut more neighbours off
 SLICE = 4096  # candidates of a partition that a task holds at once
 
 
@@ -220,7 +220,7 @@ def routed(flat: DataFrame, *, every: int, parts: int | None, homes: int, probes
     if router is None:
         return None
     if probes is None:
-        probes = int(np.ceil(VISITED * router.parts))
+        probes = int(np.ceil(VISITED * router.parts + SPARE))
     return stage(flat.mapInArrow(_assign(router, every, homes, probes), "id long, part long, query long, vec array<double>"), "routed")
 
 
@@ -232,7 +232,7 @@ def search(
     A neighbour graph of a bounded sample is cut into balanced parts, and a small classifier
     learns where the neighbours of a vector are. It puts every row into its most probable part
     (``homes`` of them) and sends a query to its ``probes`` most probable ones, by default VISITED
-    of the parts: a query is compared with about that share of all rows, each once. Parts are
+    of the parts and SPARE more: a query is compared with about that share of all rows, each once. Parts are
     dealt out in slices of about SLICE candidates, so a part full of equal vectors spreads over
     many tasks; a task compares a slice with the queries that visit it and keeps ``k`` each.
     ``probes`` of at least ``parts`` makes the search exact.

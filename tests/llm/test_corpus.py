@@ -320,3 +320,18 @@ def test_search_of_repeated_ids(spark):
     rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 0.1]), (1, [0.1, 1.0]), (2, [1.0, 1.0])]
     got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), parts=1, probes=1).collect()
     assert [(r.query_id, r.rank, r.vec_id) for r in sorted(got, key=lambda r: r.rank)] == [(50, 1, 1), (50, 2, 2)]
+
+
+def test_archives_of_repeated_ids(spark):
+    rows = [(1, "u", "<p>a</p>"), (1, "u", "<p>a</p>"), (1, "v", "<p>b</p>"), (2, "u", "<p>a</p>"), (2, "w", "<p>b</p>")]
+    got = warc.archive_pages(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).collect()
+    assert len(got) == len(rows) and {(r.page_id, r.payload_bytes) for r in got} == {(1, 8), (2, 8)}
+    assert {r.page_id for r in got if r.record_type == "response"} == {2}
+
+
+def test_packing_of_clashing_columns(spark):
+    names = ["start", "length", "offset", "sequence_id", "ids", "src", "run", "before", "base", "level", "low", "upto", "p_src", "n", "bucket"]
+    docs = spark.createDataFrame([(i, "a b c " * i, f"s{i % 2}", *range(len(names))) for i in range(20)], ["doc_id", "text", "source", *names])
+    plain = docs.select("doc_id", "text", "source")
+    rows = lambda d: sorted(tuple(r) for r in corpus_pipeline.pack(spark, d.coalesce(1), "").collect())
+    assert rows(docs) == rows(plain)

@@ -103,3 +103,26 @@ def test_languages(spark):
     assert kept.columns == docs.columns and kept.count() == len(rows) - 3
     assert language_id.identify(docs.limit(0)).collect() == []
     assert {r.lang_pred for r in language_id.identify(docs, learn=F.lit(False)).collect()} == {"und"}
+
+
+def test_language_against_plain(spark):
+    lessons = {"aa": ["the cat sat", "the mat", "a cat and a mat"], "bb": ["der hund lief", "der hof", "ein hund und ein hof"], "cc": ["the cat sat", "the mat", "a cat and a mat"]}
+    rows = [(i, t, k, 0.5) for k, ts in lessons.items() for i, t in enumerate(ts)]
+    asked = ["the hund", "cat cat cat", "Hof und Hund", "der der", "zzz qqq", "the " * 6000 + "hund", "the hund", "ÉÉ ss", "1 2 3", "", None]
+    rows += [(100 + i, t, None, 0.5) for i, t in enumerate(asked)] + [(106, "the hund", None, 0.5), (None, "mat", None, 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred double").repartition(3)
+    plain = {k: Plain(ts, 3) for k, ts in lessons.items()}
+    got = language_id.identify(docs).collect()
+    assert len(got) == len(rows)
+    text = {(i, k): t for i, t, k, _ in rows}
+    for r in got:
+        if r.doc_id is not None and r.doc_id >= 100:
+            t = text[r.doc_id, None]
+            if not t or not any(c.isalpha() for c in t):
+                assert (r.lang_pred, r.score) == ("und", 0.0)
+                continue
+            cost = {k: p.log10(t) for k, p in plain.items()}
+            best = max(cost.values())
+            # aa and cc learn the same: ties go to the one that sorts first.
+            assert r.lang_pred == min(k for k, v in cost.items() if v >= best - 1e-9)
+            assert r.score == pytest.approx(1 / sum(10 ** max(v - best, -300) for v in cost.values()), rel=1e-3)
