@@ -8,7 +8,6 @@ what lies at the tiles' faces is joined. Tasks see a stretch of whole tiles as n
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -230,7 +229,9 @@ def level_components(
     # A set of level k has the number label * levels + k in the run that joins all levels.
     many = len(marks)
     pairs = _faces(rows, coords, keys, size, shifts, ["_labels"])
-    pairs = pairs.select(F.explode(F.arrays_zip(F.slice("a__labels", 1, F.least(F.size("a__labels"), F.size("b__labels"))).alias("a"), F.slice("b__labels", 1, F.least(F.size("a__labels"), F.size("b__labels"))).alias("b"), F.sequence(F.lit(0), F.least(F.size("a__labels"), F.size("b__labels")) - 1).alias("k"))).alias("e"))
+    both = F.least(F.size("a__labels"), F.size("b__labels"))  # the levels that have both points
+    shared = F.arrays_zip(F.slice("a__labels", 1, both).alias("a"), F.slice("b__labels", 1, both).alias("b"), F.sequence(F.lit(0), both - 1).alias("k"))
+    pairs = pairs.select(F.explode(shared).alias("e"))
     low, high = F.least("e.a", "e.b"), F.greatest("e.a", "e.b")
     edges = cut(pairs.select((low * many + F.col("e.k")).alias("a"), (high * many + F.col("e.k")).alias("b")).distinct())
     ends = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()

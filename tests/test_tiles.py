@@ -74,7 +74,7 @@ def test_levels_are_as_each_threshold_alone(frame):
     assert have == want
 
 
-def test_purity_in_one_pass(spark, frame):
+def test_purity_in_one_pass(frame):
     r = np.random.default_rng(6)
     data = r.normal(size=(2, 6, 20, 20))
     data[0, 2:5, 4:7, 4:7] += 3
@@ -97,9 +97,6 @@ def test_purity_in_one_pass(spark, frame):
                 part = detect.connected_voxels(cube, threshold=t, keys=["cube"]).withColumns({"width": F.lit(w), "cand_id": F.col("cand_id") * 2 + k})
                 found = part if found is None else found.unionByName(part)
             kept = detect.dedupe_candidates(found, keys=["cube"])
-            left = detect.candidate_vetoes(detect.resolved_only(kept, one, sigma="width", min_fraction=0.1, keys=["cube"]), one, covered, nx=20, ny=20,
-                                           min_fraction=-1e9, min_npix=2, max_npix=60, min_count=2, min_distance=2.0, keys=["cube"])
-            del left
             left = detect.resolved_only(kept, one, sigma="width", min_fraction=0.1, keys=["cube"]).where("npix BETWEEN 2 AND 60")
             left = detect.coincidence_veto(left, mad_k=0.5, min_count=2, keys=["cube"])
             left = detect.away_from_edge(left, covered, nx=20, ny=20, min_distance=2.0, keys=["cube"])
