@@ -54,16 +54,13 @@ def asof(asked: DataFrame, curves: DataFrame, *, x: str, keys: Sequence[str] = (
     rows = cut(rows.withColumn("_p", F.when(F.col("_asks") == 0, at)))
     # One row per partition.
     ends = rows.groupBy("_part").agg(F.min("_p").alias("_first"), F.max("_p").alias("_last"))
-    line = Window.partitionBy(F.lit(0)).orderBy("_part")
-    before = F.last("_last", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.first("_first", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing))
+    line, back_line = (Window.partitionBy(F.lit(0)).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col("_part"), F.col("_part").desc()))
+    before, after = F.last("_last", ignorenulls=True).over(line), F.last("_first", ignorenulls=True).over(back_line)
     ends = measured(ends.select("_part", before.alias("_before"), after.alias("_after")))
-    # Windows over a range partition, which is as large as any other.
-    here = Window.partitionBy("_part").orderBy(*order)
-    rows = rows.withColumns({
-        "_lo": F.last("_p", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, 0)),
-        "_hi": F.first("_p", ignorenulls=True).over(here.rowsBetween(0, Window.unboundedFollowing)),
-    })
+    # Windows over a range partition, which is as large as any other. Both run from the start to the
+    # row, one in falling order: a frame from the row to the end is computed anew for each row.
+    here, back = (Window.partitionBy("_part").orderBy(*o).rowsBetween(Window.unboundedPreceding, 0) for o in (order, [F.col(c).desc() for c in order]))
+    rows = rows.withColumns({"_lo": F.last("_p", ignorenulls=True).over(here), "_hi": F.last("_p", ignorenulls=True).over(back)})
     rows = rows.where("_asks = 1").join(ends, "_part")
     for name, own_side, carried in (("_below", "_lo", "_before"), ("_above", "_hi", "_after")):
         near = F.coalesce(own_side, carried)
