@@ -36,9 +36,10 @@ def _tile(keys: Sequence[str], places: Sequence[Column]) -> Column:
     return F.to_json(F.struct(*[F.col(k) for k in keys], *[p.alias(f"_t{i}") for i, p in enumerate(places)]), {"ignoreNullFields": "false"})
 
 
-def by_tiles(rows: DataFrame, settle: Callable[[pa.Table, np.ndarray], pa.Table], schema: T.StructType) -> DataFrame:
+def by_tiles(rows: DataFrame, settle: Callable[[pa.Table, np.ndarray], pa.Table | Iterator[pa.Table]], schema: T.StructType, *, parts: int | None = None) -> DataFrame:
     """``settle`` on stretches of whole tiles: it gets the rows, sorted by ``_tile``, and the number
-    of each row's tile."""
+    of each row's tile, and gives a table or, where that may be much longer, one after the other.
+    ``parts`` fixes the number of tasks, where few bytes are much work."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -47,7 +48,9 @@ def by_tiles(rows: DataFrame, settle: Callable[[pa.Table, np.ndarray], pa.Table]
             name = table.column("_tile").combine_chunks()
             name = name.chunk(0) if isinstance(name, pa.ChunkedArray) else name
             if table.num_rows:
-                yield from settle(table, name.dictionary_encode().indices.to_numpy()).to_batches(max_chunksize=50_000)
+                got = settle(table, name.dictionary_encode().indices.to_numpy())
+                for part in [got] if isinstance(got, pa.Table) else got:
+                    yield from part.to_batches(max_chunksize=50_000)
 
         for b in batches:
             held.append(b)
@@ -66,7 +69,8 @@ def by_tiles(rows: DataFrame, settle: Callable[[pa.Table, np.ndarray], pa.Table]
 
     # By a hash of the name: a shuffle by the name itself is left out after a join by it, and then
     # lost when that join turns into a broadcast.
-    dealt = rows.repartition(F.xxhash64("_tile")).sortWithinPartitions("_tile")
+    name = F.xxhash64("_tile")
+    dealt = (rows.repartition(parts, name) if parts else rows.repartition(name)).sortWithinPartitions("_tile")
     return dealt.mapInArrow(run, schema)
 
 

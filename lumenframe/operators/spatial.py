@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+import math
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumenframe.functions.cells import plane_pairs, sky_cells
-from lumenframe.functions.exprs import angular_distance_arcsec, lens_area, usable
-from lumenframe.functions.scale import cut, measured, on_keys, quantiles
+from lumenframe.functions.exprs import angular_distance_arcsec, usable
+from lumenframe.functions.scale import all_of, cut, measured, on_keys, quantiles
+from lumenframe.operators.regions import _tile, by_tiles
 from lumenframe.operators.select import cover_join
 
 
@@ -32,6 +38,8 @@ def xmatch_sky(a: DataFrame, b: DataFrame, *, radius_arcsec: float, nearest: boo
     return best.select("id_a", "m.id_b", "m.sep")
 
 
+LOAD, ROWS = 10_000_000, 50_000  # pairs to look at, rows of the dealt side, that meet in one tile
+BLOCK = 250_000  # pairs that a task looks at together
 LEAF, SPLIT, DEPTH = 32, 3, 10  # nodes of a leaf; a cell has 8 x 8 children; 30 bits a coordinate
 
 
@@ -167,35 +175,123 @@ def bright_source_mask(
     )
 
 
+def _lens(d: np.ndarray, r1: float, r2: float) -> np.ndarray:
+    """``lens_area`` of arrays."""
+    safe = np.where(d == 0, 1.0, d)
+    a1 = np.arccos(np.clip((safe * safe + (r1 * r1 - r2 * r2)) / (safe * (2 * r1)), -1.0, 1.0))
+    a2 = np.arccos(np.clip((safe * safe + (r2 * r2 - r1 * r1)) / (safe * (2 * r2)), -1.0, 1.0))
+    k = ((r1 + r2) - safe) * (safe + (r1 - r2)) * (safe - (r1 - r2)) * (safe + (r1 + r2))
+    lens = a1 * (r1 * r1) + a2 * (r2 * r2) - np.sqrt(np.maximum(k, 0.0)) * 0.5
+    return np.where(d >= r1 + r2, 0.0, np.where(d <= abs(r1 - r2), math.pi * min(r1, r2) ** 2, lens))
+
+
+def _spread(big: DataFrame, small: DataFrame, on: Sequence[str], name: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_part``: what meets at one value of ``on`` is split into so many parts that
+    none has more than LOAD pairs or ROWS rows of ``big``, which ``name`` deals out; ``small`` is copied
+    to each. Only values that are split are kept in the table of parts."""
+    on = list(on)
+    many = big.groupBy(*on).agg(F.count("*").alias("_a")).join(small.groupBy(*on).agg(F.count("*").alias("_b")), on)
+    parts = F.ceil(F.greatest(F.col("_a") * F.col("_b") / LOAD, F.col("_a") / ROWS))
+    crowded = measured(many.select(*on, parts.alias("_parts")).where("_parts > 1"))
+    big = big.join(crowded, on, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*name), F.col("_parts")), F.lit(0).cast("long"))).drop("_parts")
+    small = small.join(crowded, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return big, small
+
+
+def _lens_pairs(s: DataFrame, f: DataFrame, keys: Sequence[str], weigh: Callable[[np.ndarray], np.ndarray], *, reach: float, per: str | None, shares: bool) -> DataFrame:
+    """Weights of fibres ``(keys, fibre_id, nspec, _x, _y)`` in spaxels ``(keys, spaxel_id, _x, _y)``, with
+    ``shares`` divided by the spaxel's sum; summed as ``per`` says.
+
+    Cells are as wide as the reach. A spaxel lies in one, where it meets copies of all fibres that it
+    can reach, so that its sum needs no shuffle of pairs. A task looks at BLOCK pairs at a time.
+    """
+    keys = list(keys)
+    size = max(reach, 1e-9) * (1 + 1e-9)
+    home = [F.floor(F.col(c) / size) for c in ("_x", "_y")]
+    s = s.withColumns({"_c0": home[0], "_c1": home[1]})
+    f = f.withColumn("_c0", F.explode(F.array(home[0] - 1, home[0], home[0] + 1))).withColumn("_c1", F.explode(F.array(home[1] - 1, home[1], home[1] + 1)))
+    s, f = _spread(s, f, [*keys, "_c0", "_c1"], ["spaxel_id", "_x", "_y"])
+    tile = _tile([*keys, "_c0", "_c1", "_part"], [])
+    rows = s.select(tile.alias("_tile"), *keys, F.lit(False).alias("_fibre"), "_x", "_y", "spaxel_id")
+    rows = rows.unionByName(f.select(tile.alias("_tile"), *keys, F.lit(True).alias("_fibre"), "_x", "_y", "fibre_id", "nspec"), allowMissingColumns=True)
+    own = {None: ["spaxel_id", "fibre_id", "nspec"], "nspec": ["spaxel_id", "nspec"], "spaxel_id": ["spaxel_id"]}[per]
+    schema = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in [*keys, *own]] + [T.StructField("weight", T.DoubleType())])
+
+    def one(t: pa.Table) -> Iterator[pa.Table]:
+        fibre = t.column("_fibre").to_numpy()
+        a, b = (t.filter(pa.array(side)).sort_by("_y").combine_chunks() for side in (~fibre, fibre))
+        if not a.num_rows or not b.num_rows:
+            return
+        ax, ay, bx, by = (x.column(c).to_numpy() for x in (a, b) for c in ("_x", "_y"))
+        if per == "nspec":
+            kinds = pa.concat_arrays(b.column("nspec").chunks).dictionary_encode(null_encoding="encode")
+            code, n_kinds = kinds.indices.to_numpy(), len(kinds.dictionary)
+        step = max(1, BLOCK // b.num_rows)
+        for lo in range(0, a.num_rows, step):
+            sx, sy = ax[lo : lo + step, None], ay[lo : lo + step, None]
+            first, last = np.searchsorted(by, (sy[0, 0] - size, sy[-1, 0] + size))
+            x, y = sx - bx[first:last], sy - by[first:last]
+            d2 = x * x + y * y
+            i, j = np.nonzero(d2 <= reach * reach)
+            w, j = weigh(np.sqrt(d2[i, j])), j + first
+            i, j, w = i[w > 0], j[w > 0], w[w > 0]
+            if shares:
+                w = w / np.bincount(i, weights=w, minlength=len(x))[i]
+            if per is not None:
+                group = i * n_kinds + code[j] if per == "nspec" else i
+                w, met = np.bincount(group, weights=w), np.bincount(group)
+                i, w = np.flatnonzero(met), w[met > 0]
+                if per == "nspec":
+                    i, j = np.divmod(i, n_kinds)
+            at = pa.array(i + lo)
+            cols = {c: a.column(c).take(at) for c in [*keys, "spaxel_id"]}
+            if per == "nspec":
+                cols["nspec"] = kinds.dictionary.take(pa.array(j))
+            elif per is None:
+                cols |= {c: b.column(c).take(pa.array(j)) for c in ("fibre_id", "nspec")}
+            yield pa.table({**{c: cols[c] for c in [*keys, *own]}, "weight": w})
+
+    def settle(table: pa.Table, tiles: np.ndarray) -> Iterator[pa.Table]:
+        ends = [0, *(np.flatnonzero(np.diff(tiles)) + 1).tolist(), len(tiles)]
+        for lo, hi in itertools.pairwise(ends):
+            yield from one(table.slice(lo, hi - lo))
+
+    return by_tiles(rows, settle, schema, parts=int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def overlap_weights(
-    spaxel: DataFrame, fibre: DataFrame, *, fibre_radius: float, spaxel_radius: float, weighting: str = "overlap", keys: Sequence[str] = ()
+    spaxel: DataFrame, fibre: DataFrame, *, fibre_radius: float, spaxel_radius: float, weighting: str = "overlap", keys: Sequence[str] = (), per: str | None = None
 ) -> DataFrame:
     """Weight of each fibre position in each spaxel: area of the common lens, or 1/d^2.
 
     RA is scaled by cos of the mean declination of the spaxels. Rows sum to 1 per spaxel; a
-    spaxel without fibres has no row. Only fibres within r1 + r2 meet a spaxel, so the window
-    over a spaxel is bounded by the fibre density.
+    spaxel without fibres has no row. Only fibres within r1 + r2 meet a spaxel, and they do so in
+    one task (``_lens_pairs``), where they are weighed and summed as arrays: pairs are neither
+    shuffled nor sorted. ``per`` sums the weights: "nspec" gives a row per spaxel and fibre number,
+    "spaxel_id" one per spaxel with any fibre. Spaxels that share a number share their sum, too.
     """
     keys = list(keys)
     mean = measured(spaxel.groupBy(*keys).agg(F.cos(F.radians(F.avg("dec"))).alias("_cos")))
-    s = on_keys(spaxel, mean, keys).select("spaxel_id", *keys, (F.col("ra") * F.col("_cos")).alias("_sx"), F.col("dec").alias("_sy"))
-    f = on_keys(fibre, mean, keys).select("fibre_id", "nspec", *keys, (F.col("ra") * F.col("_cos")).alias("_fx"), F.col("dec").alias("_fy"))
-    reach = fibre_radius + spaxel_radius
-    pairs = plane_pairs(s, f, big_xy=("_sx", "_sy"), small_xy=("_fx", "_fy"), radius=reach, keys=keys)
-    dx, dy = F.col("_sx") - F.col("_fx"), F.col("_sy") - F.col("_fy")
-    # Named columns keep the optimizer from repeating the distance inside the lens formula.
-    pairs = pairs.withColumn("_d", F.sqrt(dx * dx + dy * dy))
-    d = F.col("_d")
-    if weighting == "overlap":
-        w = lens_area(d, fibre_radius, spaxel_radius)
-    else:
-        near = F.greatest(d, F.lit(max(fibre_radius, spaxel_radius) * 1e-3))
-        w = 1.0 / (near * near)
-    pairs = pairs.withColumn("_w", w)
-    pairs = pairs.withColumn("_total", F.sum("_w").over(Window.partitionBy(*keys, "spaxel_id")))
-    # Filtered after the window: pushed into the join, the lens formula would be evaluated for
-    # every candidate pair without sharing its parts.
-    return pairs.where("_w > 0").select(*keys, "spaxel_id", "fibre_id", "nspec", (F.col("_w") / F.col("_total")).alias("weight"))
+    there = [F.abs(c) < F.lit(float("inf")) for c in ("_x", "_y")] + [F.col(k).isNotNull() for k in keys]
+    place = [(F.col("ra") * F.col("_cos")).cast("double").alias("_x"), F.col("dec").cast("double").alias("_y")]
+    s = on_keys(spaxel, mean, keys).select("spaxel_id", *keys, *place).where(all_of(there))
+    f = on_keys(fibre, mean, keys).select("fibre_id", "nspec", *keys, *place).where(all_of(there))
+    least = max(fibre_radius, spaxel_radius) * 1e-3
+
+    def weigh(d: np.ndarray) -> np.ndarray:
+        return _lens(d, fibre_radius, spaxel_radius) if weighting == "overlap" else 1.0 / np.maximum(d, least) ** 2
+
+    how = {"keys": keys, "weigh": weigh, "reach": fibre_radius + spaxel_radius}
+    name = [*keys, "spaxel_id"]
+    again = measured(s.groupBy(*name).count().where("count > 1").select(*[F.col(c).alias(f"_n_{c}") for c in name]))
+    if again.isEmpty():
+        return _lens_pairs(s, f, per=per, shares=True, **how)
+    same = all_of([F.col(c).eqNullSafe(F.col(f"_n_{c}")) for c in name])
+    out = _lens_pairs(s.join(again, same, "left_anti"), f, per=None, shares=True, **how)
+    # Bounded by the fibres that all spaxels of one number reach.
+    shared = _lens_pairs(s.join(again, same, "left_semi"), f, per=None, shares=False, **how)
+    out = out.unionByName(shared.withColumn("weight", F.col("weight") / F.sum("weight").over(Window.partitionBy(*name))))
+    return out if per is None else out.groupBy(*dict.fromkeys([*name, per])).agg(F.sum("weight").alias("weight"))
 
 
 def target_times_ephemeris(target: DataFrame, ephemeris: DataFrame, template: Sequence[tuple[float, float]], *, radius_arcsec: float = 1.0) -> DataFrame:

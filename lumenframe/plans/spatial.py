@@ -82,10 +82,10 @@ shared(
 shared("weights_", "SELECT spaxel_id, fibre_id, nspec, w / sum(w) OVER (PARTITION BY spaxel_id) AS weight FROM {lens_} WHERE w > 0")
 
 
-def weights(t):
+def weights(t, per=None):
     spaxel = t.cat_a.select(F.col("id").alias("spaxel_id"), "ra", "dec")
     fibre = t.cat_b.select(F.col("id").alias("fibre_id"), (F.col("id") % 37).alias("nspec"), (F.col("ra") + (F.col("id") % 3) * 0.0002).alias("ra"), "dec")
-    return spa.overlap_weights(spaxel, fibre, fibre_radius=0.0015, spaxel_radius=0.001)
+    return spa.overlap_weights(spaxel, fibre, fibre_radius=0.0015, spaxel_radius=0.001, per=per)
 
 
 @query("overlap_weights", fix="weight:5", sql="SELECT * FROM {weights_}")

@@ -1,10 +1,14 @@
 """Steps that took time or memory out of proportion to larger tables."""
 
+import math
+from collections import defaultdict
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumenframe.operators import ranges
+from lumenframe.functions.exprs import lens_area
+from lumenframe.operators import ranges, spatial
 
 
 def test_no_frame_to_the_end_of_a_partition(spark):
@@ -16,3 +20,44 @@ def test_no_frame_to_the_end_of_a_partition(spark):
     got = out.toPandas().sort_values("id")
     want = np.interp(got.x, np.arange(2000) * 3.0, np.sin(np.arange(2000)))
     assert len(got) == 30_000 and got.value.to_numpy() == pytest.approx(want, abs=1e-9)
+
+
+def test_pairs_of_fibres_and_spaxels_are_not_shuffled(frame):
+    """Weights of a crowded field: sums as over all pairs, a window or sort over none of them."""
+    r = np.random.default_rng(5)
+    s = [(None if i == 7 else i, i % 2, 10 + float(a), 20 + float(b)) for i, (a, b) in enumerate(r.uniform(0, 0.01, (300, 2)))]
+    s += [(5, 1, 10.001, 20.001), (5, 1, 10.002, 20.001), (400, 0, None, 20.0), (401, 0, 50.0, 20.0), (402, None, 10.0, 20.0)]
+    f = [(j, None if j % 5 == 0 else j % 5, j % 2, 10 + float(a), 20 + float(b)) for j, (a, b) in enumerate(r.uniform(0, 0.01, (200, 2)))]
+    spaxel, fibre = frame(s, "spaxel_id long, k int, ra double, dec double"), frame(f, "fibre_id long, nspec int, k int, ra double, dec double")
+    how = {"fibre_radius": 0.0015, "spaxel_radius": 0.001, "keys": ["k"]}
+    plan = spatial.overlap_weights(spaxel.where("spaxel_id > 5"), fibre, **how)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    cos = {k: math.cos(math.radians(np.mean([x[3] for x in s if x[1] == k]))) for k in (0, 1)}
+    pair = [(x, y, math.hypot((x[2] - y[3]) * cos[x[1]], x[3] - y[4])) for x in s if x[2] and x[1] is not None for y in f if x[1] == y[2]]
+    d = frame([(z,) for _, _, z in pair], "d double")
+    area = [t.a for t in d.coalesce(1).select(lens_area(F.col("d"), 0.0015, 0.001).alias("a")).collect()]
+    total, want = defaultdict(float), {None: defaultdict(float), "nspec": defaultdict(float), "spaxel_id": defaultdict(float)}
+    for (x, y, _), a in zip(pair, area, strict=True):
+        total[x[1], x[0]] += a
+    for (x, y, _), a in zip(pair, area, strict=True):
+        if a > 0:
+            share = a / total[x[1], x[0]]
+            for per, name in ((None, (y[0], y[1])), ("nspec", (y[1],)), ("spaxel_id", ())):
+                want[per][(x[1], x[0], *name)] += share
+    for per, cols in ((None, ["fibre_id", "nspec"]), ("nspec", ["nspec"]), ("spaxel_id", [])):
+        got = defaultdict(float)
+        for t in spatial.overlap_weights(spaxel, fibre, per=per, **how).collect():
+            got[(t.k, t.spaxel_id, *[t[c] for c in cols])] += t.weight
+        assert got == {k: pytest.approx(v, abs=1e-9) for k, v in want[per].items()}
+
+
+def test_a_crowded_cell_is_dealt_out(frame, monkeypatch):
+    monkeypatch.setattr(spatial, "LOAD", 500)
+    monkeypatch.setattr(spatial, "BLOCK", 100)
+    tiles, by = [], spatial.by_tiles
+    monkeypatch.setattr(spatial, "by_tiles", lambda rows, *a, **k: tiles.append(rows.groupBy("_tile").count().count()) or by(rows, *a, **k))
+    spaxel = frame([(i, 10.0 + i * 1e-7, 20.0) for i in range(100)], "spaxel_id int, ra double, dec double")
+    fibre = frame([(j, j % 3, 10.0 + j * 1e-7, 20.0) for j in range(60)], "fibre_id int, nspec int, ra double, dec double")
+    got = spatial.overlap_weights(spaxel, fibre, fibre_radius=0.0015, spaxel_radius=0.001, per="nspec").groupBy("spaxel_id").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()
+    assert len(got) == 100 and all(t.n == 3 and t.w == pytest.approx(1.0) for t in got)
+    assert tiles[0] >= 12
