@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.functions.exprs import MAD_TO_SIGMA, ratio, usable
-from lumenframe.functions.scale import measured, next_value, on_keys, quantiles
+from lumenframe.functions.scale import cut, measured, next_value, on_keys, quantiles
 from lumenframe.operators.ranges import interp_at
 
+PART = 500_000  # weights of spaxels that one task spreads over the waves
+
 
 def median_curve(curves: DataFrame, *, keys: Sequence[str] = (), min_points: int = 0) -> DataFrame:
     """Median over fibres per grid wavelength (and per arm with ``keys``); an arm with fewer
@@ -27,17 +29,20 @@ def weighted_curves(weights: DataFrame, curves: DataFrame, overall: DataFrame) -
     """Curve of each spaxel: sum of weight times the fibre's curve. The same fibre in several
     exposures is summed first; a fibre without a curve takes the overall one.
 
-    The fibres without a curve meet no join: their weights are summed per spaxel, and the overall
-    curve, one point per grid wavelength, is attached as an array.
+    Fibres without a curve go by the number NULL, the overall curve's. Only curves that weights
+    ask for are kept, as a table of known size; all else stays in the partitions of the spaxels.
     """
     known = curves.select("nspec").distinct().withColumn("_known", F.lit(True))
     w = weights.groupBy("spaxel_id", "nspec").agg(F.sum("weight").alias("weight"))
-    w = w.join(known, "nspec", "left").withColumn("n_fibres", F.count("*").over(Window.partitionBy("spaxel_id")))
-    own = w.where("_known").select("spaxel_id", "nspec", "weight", "n_fibres").join(curves.select("nspec", "wave", "value"), "nspec")
-    lone = w.where("_known IS NULL").groupBy("spaxel_id").agg(F.sum("weight").alias("weight"), F.first("n_fibres").alias("n_fibres"))
-    points = overall.agg(F.collect_list(F.struct("wave", "value")).alias("points")).scalar()
-    lone = lone.withColumn("_p", F.explode(points)).select("spaxel_id", "weight", "n_fibres", "_p.wave", "_p.value")
-    rows = own.drop("nspec").unionByName(lone)
+    w = cut(w)
+    # A spaxel's few rows meet all waves: parts by the number of rows, not by their few bytes.
+    parts = max(int(w.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), w.count() // PART)
+    used = measured(w.select("nspec").distinct().join(known, "nspec"))
+    shapes = curves.join(used, "nspec", "left_semi").select(F.col("nspec").alias("_own"), "wave", "value")
+    shapes = measured(shapes.unionByName(overall.select(F.lit(None).cast(shapes.schema["_own"].dataType).alias("_own"), "wave", "value")))
+    w = w.join(used, "nspec", "left").repartition(parts, "spaxel_id").withColumn("n_fibres", F.count("*").over(Window.partitionBy("spaxel_id")))
+    w = w.groupBy("spaxel_id", F.when(F.col("_known"), F.col("nspec")).alias("_asks")).agg(F.sum("weight").alias("weight"), F.first("n_fibres").alias("n_fibres"))
+    rows = w.join(shapes, F.col("_asks").eqNullSafe(F.col("_own")))
     return rows.groupBy("spaxel_id", "wave").agg(F.sum(F.col("weight") * F.col("value")).alias("value"), F.first("n_fibres").alias("n_fibres"))
 
 

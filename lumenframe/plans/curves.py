@@ -40,7 +40,7 @@ shared(
 
 
 def spaxel_curves(t):
-    return cv.weighted_curves(weights(t), t.curve_gaps, cv.median_curve(t.curve_gaps))
+    return cv.weighted_curves(weights(t, per="nspec"), t.curve_gaps, cv.median_curve(t.curve_gaps))
 
 
 @query("weighted_curves", fix="value:4", sql="SELECT * FROM {wcurve_}")
