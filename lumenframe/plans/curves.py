@@ -198,4 +198,4 @@ def _(t):
 )
 def _(t):
     target = t.target.select("target_id", (F.col("target_id") % 120).alias("nspec"))
-    return cv.curve_lookup(target, weights(t), t.curve_gaps)
+    return cv.curve_lookup(target, weights(t, per="spaxel_id"), t.curve_gaps)
