@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,53 +79,102 @@ def _node_tree(nodes: DataFrame, keys: Sequence[str]) -> list[DataFrame]:
     return levels
 
 
-def _bounds(x: Column, y: Column, c: Column, other: bool) -> tuple[Column, Column]:
-    """Squared distances of a point to the nearest place of a cell's box, and one within which a
-    node of the cell lies for certain: each side of a tight box has a node. With ``other``, a box
-    around the point itself counts by its farthest corner, if it has a second node."""
-
-    def axis(v: Column, lo: Column, hi: Column) -> tuple[Column, Column, Column]:
-        near = F.greatest(lo - v, v - hi, F.lit(0.0))
-        side = F.least(F.abs(v - lo), F.abs(v - hi))
-        far = F.greatest(F.abs(v - lo), F.abs(v - hi))
-        return near, side, far
-
-    (nx, sx, fx), (ny, sy, fy) = axis(x, c["x0"], c["x1"]), axis(y, c["y0"], c["y1"])
-    sure = F.least(sx * sx + fy * fy, fx * fx + sy * sy)
-    if other:
-        inside = (nx == 0) & (ny == 0)
-        sure = F.when(~inside, sure).when(c["n"] > 1, fx * fx + fy * fy).otherwise(F.lit(float("inf")))
-    return nx * nx + ny * ny, sure
+def _bounds(v: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distances along one axis of points to the nearest place of cells' boxes, their nearer and
+    their farther side: each side of a tight box has a node."""
+    low, high = lo - v[:, None], v[:, None] - hi
+    return np.maximum(np.maximum(low, high), 0.0), np.minimum(np.abs(low), np.abs(high)), np.maximum(np.abs(low), np.abs(high))
 
 
 def _nearest(points: DataFrame, levels: Sequence[DataFrame], keys: Sequence[str], *, id: str, other: bool = False) -> DataFrame:
     """Nearest node of every point ``(id, keys, _p0, _p1)``: (id, keys, m) with m a struct
-    (d2, node). With ``other``, nodes at the point itself do not count."""
+    (d2, node). With ``other``, nodes at the point itself do not count.
+
+    In a level, the points that are in a cell meet its row of children in one task, which takes them
+    as arrays; a cell with many points is dealt out. A point leaves with the children that may hold
+    something nearer than what is there for certain, and with the nearest node of those that are
+    leaves.
+    """
     keys = list(keys)
-    front = points.withColumns({"p0": F.lit(0).cast("long"), "p1": F.lit(0).cast("long"), "_bound": F.lit(float("inf"))})
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    front = points.where(all_of([F.col(k).isNotNull() for k in keys])).withColumns({"p0": F.lit(0).cast("long"), "p1": F.lit(0).cast("long"), "_bound": F.lit(float("inf"))})
+    at = [*keys, "p0", "p1"]
     found = []
-    x, y = F.col("_p0"), F.col("_p1")
-    for i, cells in enumerate(levels):
-        met = front.join(cells, [*keys, "p0", "p1"])
-        # What is nearer than any sure distance: a hair more, so that ties are never lost.
-        least = F.least(F.col("_bound"), F.array_min(F.transform("cells", lambda c: _bounds(x, y, c, other)[1])))
-        met = met.withColumn("_bound", least * (1 + 1e-12))
-        near = F.filter("cells", lambda c: _bounds(x, y, c, other)[0] <= F.col("_bound"))
-        met = met.select(id, *keys, "_p0", "_p1", "_bound", F.explode(near).alias("c"))
-        if i + 1 < len(levels):
-            met = cut(met)
-        d2 = lambda n: (n["_n0"] - x) * (n["_n0"] - x) + (n["_n1"] - y) * (n["_n1"] - y)
-        each = F.transform("c.nodes", lambda n: F.struct(d2(n).alias("d2"), n["_node"].alias("node")))
-        if other:
-            each = F.filter(each, lambda m: m["d2"] > 0)
-        found.append(met.where("c.leaf").select(id, *keys, F.array_min(each).alias("m")).where(F.col("m").isNotNull()))
-        front = met.where("NOT c.leaf").select(id, *keys, "_p0", "_p1", "_bound", F.col("c.c0").alias("p0"), F.col("c.c1").alias("p1"))
+    for cells in levels:
+        here, tree = _spread(front, cells, at, [id])
+        tile = _tile([*at, "_part"], [])
+        rows = here.select(tile.alias("_tile"), *keys, id, "_p0", "_p1", "_bound").unionByName(tree.select(tile.alias("_tile"), "cells"), allowMissingColumns=True)
+        node = cells.schema["cells"].dataType.elementType["nodes"].dataType.elementType["_node"].dataType
+        fields = [rows.schema[c] for c in (*keys, id, "_p0", "_p1", "_bound")] + [T.StructField(c, T.LongType()) for c in ("p0", "p1")]
+        schema = T.StructType([*fields, T.StructField("d2", T.DoubleType()), T.StructField("node", node)])
+        met = cut(by_tiles(rows, _descend(schema.names, other), schema, parts=parts))
+        found.append(met.where("d2 IS NOT NULL").select(id, *keys, F.struct("d2", "node").alias("m")))
+        front = met.where("p0 IS NOT NULL").drop("d2", "node")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
     return out.groupBy(id, *keys).agg(F.min("m").alias("m"))
 
 
+def _descend(names: Sequence[str], other: bool) -> Callable[[pa.Table, np.ndarray], Iterator[pa.Table]]:
+    """One level of ``_nearest`` for the points of a tile and the children of their cell. A box around
+    the point itself is sure by its farthest corner, and only if it has a second node."""
+    own = [c for c in names if c not in ("_bound", "p0", "p1", "d2", "node")]
+
+    def step(t: pa.Table, c: dict[str, np.ndarray], nodes: pa.StructArray, first: np.ndarray) -> Iterator[pa.Table]:
+        x, y = (t.column(p).to_numpy() for p in ("_p0", "_p1"))
+        (nx, sx, fx), (ny, sy, fy) = _bounds(x, c["x0"], c["x1"]), _bounds(y, c["y0"], c["y1"])
+        sure = np.minimum(sx * sx + fy * fy, fx * fx + sy * sy)
+        if other:
+            sure = np.where((nx > 0) | (ny > 0), sure, np.where(c["n"] > 1, fx * fx + fy * fy, np.inf))
+        # What is nearer than any sure distance: a hair more, so that ties are never lost.
+        bound = np.minimum(t.column("_bound").to_numpy(), sure.min(axis=1)) * (1 + 1e-12)
+        i, j = np.nonzero(nx * nx + ny * ny <= bound[:, None])
+        down = ~c["leaf"][j]
+
+        def rows(i: np.ndarray, **cols) -> pa.Table:
+            base = t.take(pa.array(i))
+            have = {**{k: base.column(k) for k in own}, "_bound": bound[i], **cols}
+            return pa.table({k: have[k] if k in have else pa.nulls(len(i), kinds[k]) for k in names})
+
+        kinds = {"p0": pa.int64(), "p1": pa.int64(), "d2": pa.float64(), "node": nodes.type.field("_node").type}
+        if down.any():
+            yield rows(i[down], p0=c["c0"][j[down]], p1=c["c1"][j[down]])
+        i, j = i[~down], j[~down]
+        size = first[j + 1] - first[j]
+        at = np.repeat(first[j] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        i = np.repeat(i, size)
+        dx, dy = (nodes.field(n).to_numpy()[at] - v[i] for n, v in (("_n0", x), ("_n1", y)))
+        d2 = dx * dx + dy * dy
+        if other:
+            at, i, d2 = at[d2 > 0], i[d2 > 0], d2[d2 > 0]
+        # Nodes of a leaf are in order, leaves are not: of equally near ones, the lowest of each leaf stays.
+        order = np.lexsort((d2, i))
+        least = np.full(len(x), np.inf)
+        lead = order[np.flatnonzero(np.diff(i[order], prepend=-1))]
+        least[i[lead]] = d2[lead]
+        tied = d2 == least[i]
+        if tied.any():
+            yield rows(i[tied], d2=d2[tied], node=nodes.field("_node").take(pa.array(at[tied])))
+
+    def settle(table: pa.Table, tiles: np.ndarray) -> Iterator[pa.Table]:
+        ends = [0, *(np.flatnonzero(np.diff(tiles)) + 1).tolist(), len(tiles)]
+        for lo, hi in itertools.pairwise(ends):
+            t = table.slice(lo, hi - lo)
+            is_cell = t.column("cells").is_valid()
+            points, cells = t.filter(pc.invert(is_cell)).drop_columns(["cells"]), t.filter(is_cell).column("cells")
+            if not points.num_rows or not len(cells):
+                continue
+            cells = pa.concat_arrays(cells.chunks).flatten()
+            c = {n: cells.field(n).to_numpy(zero_copy_only=False) for n in ("c0", "c1", "x0", "x1", "y0", "y1", "n", "leaf")}
+            lists = cells.field("nodes")
+            first = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))])
+            for start in range(0, points.num_rows, BLOCK // 64):
+                yield from step(points.slice(start, BLOCK // 64), c, lists.flatten(), first)
+
+    return settle
+
+
 def nearest_node(
     points: DataFrame, nodes: DataFrame, *, id: str, xy: Sequence[str], node_id: str, node_xy: Sequence[str], keys: Sequence[str] = (), radius: float | None = None
 ) -> DataFrame:

@@ -61,3 +61,26 @@ def test_a_crowded_cell_is_dealt_out(frame, monkeypatch):
     got = spatial.overlap_weights(spaxel, fibre, fibre_radius=0.0015, spaxel_radius=0.001, per="nspec").groupBy("spaxel_id").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()
     assert len(got) == 100 and all(t.n == 3 and t.w == pytest.approx(1.0) for t in got)
     assert tiles[0] >= 12
+
+
+@pytest.mark.parametrize("rows", [50_000, 40])
+def test_points_do_not_carry_cells(frame, monkeypatch, rows):
+    """A point that carried its cell's children with all their nodes took 1 ms a level; points of one
+    cell are dealt out."""
+    monkeypatch.setattr(spatial, "ROWS", rows)
+    seen, cut = [], spatial.cut
+    monkeypatch.setattr(spatial, "cut", lambda df: seen.append(df.schema) or cut(df))
+    r = np.random.default_rng(3)
+    p = np.concatenate([r.uniform(0, 1, (400, 2)), r.integers(0, 9, (500, 2)) / 8.0, r.normal(size=(200, 2)) * 1e-5])
+    n = np.concatenate([r.uniform(0, 1, (900, 2)), r.integers(0, 9, (300, 2)) / 8.0])
+    points = frame([(f"p{i}", i % 2, float(a), float(b)) for i, (a, b) in enumerate(p)] + [("none", None, 0.5, 0.5)], "id string, k int, x double, y double")
+    nodes = frame([(f"n{i:04d}", i % 2, float(a), float(b)) for i, (a, b) in enumerate(n)] + [("null", None, 0.5, 0.5)], "node string, k int, nx double, ny double")
+    got = {t.id: (t.node, t.dist) for t in spatial.nearest_node(points, nodes, id="id", xy=("x", "y"), node_id="node", node_xy=("nx", "ny"), keys=["k"]).collect()}
+    want = {}
+    for i, (a, b) in enumerate(p):
+        d2 = (n[:, 0] - a) * (n[:, 0] - a) + (n[:, 1] - b) * (n[:, 1] - b)
+        j = min((j for j in range(len(n)) if j % 2 == i % 2), key=lambda j: (d2[j], j))
+        want[f"p{i}"] = (f"n{j:04d}", math.sqrt(d2[j]))
+    assert got == want
+    met = [s for s in seen if "_bound" in s.names]
+    assert met and all("array" not in f.dataType.simpleString() for s in met for f in s.fields)
