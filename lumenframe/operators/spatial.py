@@ -30,7 +30,14 @@ def xmatch_sky(a: DataFrame, b: DataFrame, *, radius_arcsec: float, nearest: boo
     left = a.select(F.col("id").alias("id_a"), F.col("ra").alias("ra_a"), F.col("dec").alias("dec_a"))
     right = b.select(F.col("id").alias("id_b"), F.col("ra").alias("ra_b"), F.col("dec").alias("dec_b"))
     left, right = sky_cells(left, right, big_radec=("ra_a", "dec_a"), small_radec=("ra_b", "dec_b"), radius_deg=radius_arcsec / 3600.0)
-    pairs = left.join(right, ["_zone", "_racell"])
+    on = ["_zone", "_racell"]
+    left, right = _spread(left, right, on, ["id_a", "ra_a", "dec_a"])
+    on.append("_part")
+    # A fixed number of parts on both sides: few bytes of a field that is crowded make many pairs.
+    parts = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    pairs = left.repartition(parts, *on).join(right.repartition(parts, *on), on)
+    # Most pairs are told by the declination alone.
+    pairs = pairs.where(F.abs(F.col("dec_a") - F.col("dec_b")) <= radius_arcsec / 3600.0 * (1 + 1e-9))
     sep = angular_distance_arcsec(F.col("ra_a"), F.col("dec_a"), F.col("ra_b"), F.col("dec_b"))
     pairs = pairs.withColumn("sep", sep).where(F.col("sep") <= radius_arcsec).select("id_a", "id_b", "sep")
     if not nearest:

@@ -84,3 +84,17 @@ def test_points_do_not_carry_cells(frame, monkeypatch, rows):
     assert got == want
     met = [s for s in seen if "_bound" in s.names]
     assert met and all("array" not in f.dataType.simpleString() for s in met for f in s.fields)
+
+
+def test_a_crowded_sky_is_dealt_out(frame, monkeypatch):
+    """All items in one cell and one input split: pairs come from several tasks."""
+    monkeypatch.setattr(spatial, "LOAD", 1000, raising=False)
+    r = np.random.default_rng(4)
+    a, b = (r.uniform(0, 0.004, (n, 2)) for n in (200, 150))
+    left, right = (frame([(i, 10 + float(x), 20 + float(y)) for i, (x, y) in enumerate(p)] + [(999, None, 20.0)], "id long, ra double, dec double").coalesce(1) for p in (a, b))
+    got = spatial.xmatch_sky(left, right, radius_arcsec=4.0).withColumn("part", F.spark_partition_id()).collect()
+    assert len({t.part for t in got}) > 1
+    x, y = np.radians(a + [10, 20])[:, None], np.radians(b + [10, 20])[None]
+    h = np.sin((y[..., 1] - x[..., 1]) / 2) ** 2 + np.cos(x[..., 1]) * np.cos(y[..., 1]) * np.sin((y[..., 0] - x[..., 0]) / 2) ** 2
+    sep = np.degrees(2 * np.arcsin(np.sqrt(h))) * 3600
+    assert sorted((t.id_a, t.id_b) for t in got) == sorted((int(i), int(j)) for i, j in np.argwhere(sep <= 4.0))
