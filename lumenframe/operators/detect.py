@@ -24,6 +24,7 @@ from lumenframe.operators.spectra import clipped_centre
 from lumenframe.operators.walk import components
 
 AXES = ("iw", "iy", "ix")
+PART = 250_000  # voxels that one task spreads over the kernel
 # Fixed value: standard normal quantiles at 84 % minus 16 %.
 NORMAL_SPREAD = 1.988915766419506
 
@@ -122,16 +123,19 @@ def matched_filter_bank(
 
     One pass per axis; the two spatial ones are shared by all widths. Rows are first partitioned
     by the two other coordinates, so spreading each voxel over the kernel and summing again happen
-    inside a partition: a pass shuffles every voxel once, not once per kernel tap and width.
+    inside a partition: a pass shuffles every voxel once, not once per kernel tap and width. The
+    number of parts follows the number of voxels, which is counted before: a task sums few bytes to
+    many places.
     """
     keys = list(keys)
+    parts = max(int(voxel.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), voxel.count() // PART)
     out = voxel.select(*keys, *AXES, (F.col("ivar") * F.col("data")).alias("wd"), F.col("ivar").alias("w"))
     for axis in ("iy", "ix", "iw"):
         sigmas = spectral_sigmas if axis == "iw" else [spatial_sigma]
         others = [*keys, *[a for a in AXES if a != axis]]
         lo, hi = bounds[axis]
         taps = [F.struct(F.lit(float(s)).alias("s"), F.lit(o).alias("o"), F.lit(v).alias("k")) for s in sigmas for o, v in gauss_taps(s)]
-        wide = out.repartition(*others).withColumn("_t", F.explode(F.array(*taps)))
+        wide = out.repartition(parts, *others).withColumn("_t", F.explode(F.array(*taps)))
         wide = wide.withColumn(axis, F.col(axis) + F.col("_t.o")).where(F.col(axis).between(lo, hi))
         by = [*others, axis, *([F.col("_t.s").alias("width")] if axis == "iw" else [])]
         out = wide.groupBy(*by).agg(F.sum(F.col("wd") * F.col("_t.k")).alias("wd"), F.sum(F.col("w") * F.col("_t.k") * F.col("_t.k")).alias("w"))

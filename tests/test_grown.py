@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenframe.functions.exprs import lens_area
-from lumenframe.operators import ranges, spatial
+from lumenframe.operators import detect, ranges, spatial
 
 
 def test_no_frame_to_the_end_of_a_partition(spark):
@@ -98,3 +98,21 @@ def test_a_crowded_sky_is_dealt_out(frame, monkeypatch):
     h = np.sin((y[..., 1] - x[..., 1]) / 2) ** 2 + np.cos(x[..., 1]) * np.cos(y[..., 1]) * np.sin((y[..., 0] - x[..., 0]) / 2) ** 2
     sep = np.degrees(2 * np.arcsin(np.sqrt(h))) * 3600
     assert sorted((t.id_a, t.id_b) for t in got) == sorted((int(i), int(j)) for i, j in np.argwhere(sep <= 4.0))
+
+
+def test_parts_of_the_filter_follow_the_voxels(spark, frame, monkeypatch):
+    """Small shuffles are merged to few tasks, whose sums then grew with the table."""
+    monkeypatch.setattr(detect, "PART", 40, raising=False)
+    r = np.random.default_rng(6)
+    data = r.normal(size=(3, 5, 8, 9))
+    v = frame([(c, *(int(x) for x in p), float(data[(c, *p)]), 1.0) for c in range(3) for p in np.ndindex(5, 8, 9)], "cube int, iw int, iy int, ix int, data double, ivar double")
+    how = {"spectral_sigmas": [0.7, 1.5], "spatial_sigma": 0.8, "bounds": {"iw": (0, 4), "iy": (0, 7), "ix": (0, 8)}, "keys": ["cube"]}
+    seen, cut = [], detect.cut
+    monkeypatch.setattr(detect, "cut", lambda df: seen.append((lambda out: out.rdd.getNumPartitions())(df)) or cut(df))
+    few = detect.matched_filter_bank(v, **how)
+    assert seen[0] >= 3 * 5 * 8 * 9 // 40
+    monkeypatch.setattr(detect, "PART", 10**9, raising=False)
+    many = detect.matched_filter_bank(v, **how)
+    at = ["cube", "width", "iw", "iy", "ix"]
+    a, b = (df.toPandas().sort_values(at).reset_index(drop=True)[[*at, "snr"]] for df in (few, many))
+    assert len(a) == 3 * 5 * 8 * 9 * 2 and a[at].equals(b[at]) and a.snr.to_numpy() == pytest.approx(b.snr.to_numpy(), abs=1e-9)
