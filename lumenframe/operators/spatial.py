@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Callable, Iterator, Sequence
@@ -98,13 +99,24 @@ def _nearest(points: DataFrame, levels: Sequence[DataFrame], keys: Sequence[str]
     (d2, node). With ``other``, nodes at the point itself do not count.
 
     In a level, the points that are in a cell meet its row of children in one task, which takes them
-    as arrays; a cell with many points is dealt out. A point leaves with the children that may hold
-    something nearer than what is there for certain, and with the nearest node of those that are
-    leaves.
+    as arrays; a cell with many points is dealt out. A point first goes straight down, in each level
+    to one child that has a node near for certain, and so gets the distance of a real node. With
+    this bound it goes down again and leaves each level with the children that may hold something
+    nearer, and with the nearest node of those that are leaves. Copies of a point in several cells
+    know nothing of each other; without the bound they all go on.
     """
     keys = list(keys)
-    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    front = points.where(all_of([F.col(k).isNotNull() for k in keys])).withColumns({"p0": F.lit(0).cast("long"), "p1": F.lit(0).cast("long"), "_bound": F.lit(float("inf"))})
+    front = points.where(all_of([F.col(k).isNotNull() for k in keys])).withColumn("_bound", F.lit(float("inf")))
+    led = _down(front, levels, keys, id=id, other=other, lead=True)
+    out = _down(led.select(front.columns), levels, keys, id=id, other=other, lead=False).where("d2 IS NOT NULL")
+    return out.groupBy(id, *keys).agg(F.min(F.struct("d2", "node")).alias("m"))
+
+
+def _down(front: DataFrame, levels: Sequence[DataFrame], keys: Sequence[str], *, id: str, other: bool, lead: bool) -> DataFrame:
+    """What leaves the tree when points ``(id, keys, _p0, _p1, _bound)`` go down all ``levels``: see
+    ``_descend``."""
+    parts = int(front.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    front = front.withColumns({"p0": F.lit(0).cast("long"), "p1": F.lit(0).cast("long")})
     at = [*keys, "p0", "p1"]
     found = []
     for cells in levels:
@@ -114,18 +126,18 @@ def _nearest(points: DataFrame, levels: Sequence[DataFrame], keys: Sequence[str]
         node = cells.schema["cells"].dataType.elementType["nodes"].dataType.elementType["_node"].dataType
         fields = [rows.schema[c] for c in (*keys, id, "_p0", "_p1", "_bound")] + [T.StructField(c, T.LongType()) for c in ("p0", "p1")]
         schema = T.StructType([*fields, T.StructField("d2", T.DoubleType()), T.StructField("node", node)])
-        met = cut(by_tiles(rows, _descend(schema.names, other), schema, parts=parts))
-        found.append(met.where("d2 IS NOT NULL").select(id, *keys, F.struct("d2", "node").alias("m")))
+        met = cut(by_tiles(rows, _descend(schema.names, other, lead), schema, parts=parts))
+        found.append(met.where("p0 IS NULL").drop("p0", "p1"))
         front = met.where("p0 IS NOT NULL").drop("d2", "node")
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.groupBy(id, *keys).agg(F.min("m").alias("m"))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
-def _descend(names: Sequence[str], other: bool) -> Callable[[pa.Table, np.ndarray], Iterator[pa.Table]]:
+def _descend(names: Sequence[str], other: bool, lead: bool) -> Callable[[pa.Table, np.ndarray], Iterator[pa.Table]]:
     """One level of ``_nearest`` for the points of a tile and the children of their cell. A box around
-    the point itself is sure by its farthest corner, and only if it has a second node."""
+    the point itself is sure by its farthest corner, and only if it has a second node.
+
+    Rows with ``p0`` go on to that cell. The others are done: nearest nodes of leaves, or with ``lead``,
+    where every point has one row a level, the point with the bound that it has found."""
     own = [c for c in names if c not in ("_bound", "p0", "p1", "d2", "node")]
 
     def step(t: pa.Table, c: dict[str, np.ndarray], nodes: pa.StructArray, first: np.ndarray) -> Iterator[pa.Table]:
@@ -136,7 +148,10 @@ def _descend(names: Sequence[str], other: bool) -> Callable[[pa.Table, np.ndarra
             sure = np.where((nx > 0) | (ny > 0), sure, np.where(c["n"] > 1, fx * fx + fy * fy, np.inf))
         # What is nearer than any sure distance: a hair more, so that ties are never lost.
         bound = np.minimum(t.column("_bound").to_numpy(), sure.min(axis=1)) * (1 + 1e-12)
-        i, j = np.nonzero(nx * nx + ny * ny <= bound[:, None])
+        if lead:
+            i, j = np.arange(len(x)), np.where(np.isfinite(sure), sure, np.finfo(float).max).argmin(axis=1)
+        else:
+            i, j = np.nonzero(nx * nx + ny * ny <= bound[:, None])
         down = ~c["leaf"][j]
 
         def rows(i: np.ndarray, **cols) -> pa.Table:
@@ -148,6 +163,7 @@ def _descend(names: Sequence[str], other: bool) -> Callable[[pa.Table, np.ndarra
         if down.any():
             yield rows(i[down], p0=c["c0"][j[down]], p1=c["c1"][j[down]])
         i, j = i[~down], j[~down]
+        ended = i
         size = first[j + 1] - first[j]
         at = np.repeat(first[j] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         i = np.repeat(i, size)
@@ -155,11 +171,15 @@ def _descend(names: Sequence[str], other: bool) -> Callable[[pa.Table, np.ndarra
         d2 = dx * dx + dy * dy
         if other:
             at, i, d2 = at[d2 > 0], i[d2 > 0], d2[d2 > 0]
+        if lead:
+            np.minimum.at(bound, i, d2)
+            yield rows(ended)
+            return
         # Nodes of a leaf are in order, leaves are not: of equally near ones, the lowest of each leaf stays.
         order = np.lexsort((d2, i))
         least = np.full(len(x), np.inf)
-        lead = order[np.flatnonzero(np.diff(i[order], prepend=-1))]
-        least[i[lead]] = d2[lead]
+        top = order[np.flatnonzero(np.diff(i[order], prepend=-1))]
+        least[i[top]] = d2[top]
         tied = d2 == least[i]
         if tied.any():
             yield rows(i[tied], d2=d2[tied], node=nodes.field("_node").take(pa.array(at[tied])))

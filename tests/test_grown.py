@@ -116,3 +116,20 @@ def test_parts_of_the_filter_follow_the_voxels(spark, frame, monkeypatch):
     at = ["cube", "width", "iw", "iy", "ix"]
     a, b = (df.toPandas().sort_values(at).reset_index(drop=True)[[*at, "snr"]] for df in (few, many))
     assert len(a) == 3 * 5 * 8 * 9 * 2 and a[at].equals(b[at]) and a.snr.to_numpy() == pytest.approx(b.snr.to_numpy(), abs=1e-9)
+
+
+def test_copies_of_a_point_end_early(spark, monkeypatch):
+    """A copy in a neighbouring cell did not know how near a node is in the point's own cell: at a depth
+    of three levels a point was in ten cells."""
+    nodes = spark.range(20_000).select(F.col("id").alias("node"), F.rand(1).alias("nx"), F.rand(2).alias("ny"))
+    points = spark.range(20_000).select("id", F.rand(3).alias("x"), F.rand(4).alias("y"))
+    seen, cut = [], spatial.cut
+    monkeypatch.setattr(spatial, "LEAF", 2)
+    monkeypatch.setattr(spatial, "cut", lambda df: (lambda out: seen.append((out.columns, out.count())) or out)(cut(df)))
+    got = spatial.nearest_node(points, nodes, id="id", xy=("x", "y"), node_id="node", node_xy=("nx", "ny")).toPandas().set_index("id")
+    n, p = nodes.toPandas().to_numpy(), points.toPandas().to_numpy()
+    for i, x, y in p[::97]:
+        d2 = (n[:, 1] - x) ** 2 + (n[:, 2] - y) ** 2
+        assert got.node[i] == n[d2.argmin(), 0] and got.dist[i] == pytest.approx(math.sqrt(d2.min()), rel=1e-9)
+    met = [rows for c, rows in seen if "_bound" in c]
+    assert len(got) == 20_000 and len(met) >= 3 and max(met) <= 3 * 20_000
