@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,13 +20,14 @@ from lumenframe.functions.cells import plane_pairs
 from lumenframe.functions.exprs import MAD_TO_SIGMA
 from lumenframe.functions.scale import cut, measured, number_rows, on_keys, quantiles
 from lumenframe.operators.bins import running_mean_by
-from lumenframe.operators.regions import TILE, half_ball, level_components, strongest_apart, tiled_components
+from lumenframe.operators.regions import HELD, TILE, half_ball, level_components, strongest_apart, tiled_components
 from lumenframe.operators.spatial import not_near_catalogue, xmatch_sky
 from lumenframe.operators.spectra import clipped_centre
 from lumenframe.operators.walk import components
 
 AXES = ("iw", "iy", "ix")
 PART = 250_000  # voxels that one task spreads over the kernel
+PLACES = 500_000  # places of whole lines that a task sums together
 # Fixed value: standard normal quantiles at 84 % minus 16 %.
 NORMAL_SPREAD = 1.988915766419506
 
@@ -121,24 +124,22 @@ def matched_filter_bank(
 ) -> DataFrame:
     """The matched filter for several line widths (column ``width``, the spectral sigma).
 
-    One pass per axis; the two spatial ones are shared by all widths. Rows are first partitioned
-    by the two other coordinates, so spreading each voxel over the kernel and summing again happen
-    inside a partition: a pass shuffles every voxel once, not once per kernel tap and width. The
-    number of parts follows the number of voxels, which is counted before: a task sums few bytes to
-    many places.
+    One pass per axis; the two spatial ones are shared by all widths. Rows are partitioned and sorted
+    by the two other coordinates, so a task has whole lines and spreads them over the kernel as
+    arrays: a pass shuffles every voxel once, not once per kernel tap and width. The number of parts
+    follows the number of voxels, which is counted before: a task sums few bytes to many places.
     """
     keys = list(keys)
     parts = max(int(voxel.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), voxel.count() // PART)
-    out = voxel.select(*keys, *AXES, (F.col("ivar") * F.col("data")).alias("wd"), F.col("ivar").alias("w"))
+    out = voxel.select(*keys, *AXES, (F.col("ivar") * F.col("data")).cast("double").alias("wd"), F.col("ivar").cast("double").alias("w"))
     for axis in ("iy", "ix", "iw"):
-        sigmas = spectral_sigmas if axis == "iw" else [spatial_sigma]
         others = [*keys, *[a for a in AXES if a != axis]]
-        lo, hi = bounds[axis]
-        taps = [F.struct(F.lit(float(s)).alias("s"), F.lit(o).alias("o"), F.lit(v).alias("k")) for s in sigmas for o, v in gauss_taps(s)]
-        wide = out.repartition(parts, *others).withColumn("_t", F.explode(F.array(*taps)))
-        wide = wide.withColumn(axis, F.col(axis) + F.col("_t.o")).where(F.col(axis).between(lo, hi))
-        by = [*others, axis, *([F.col("_t.s").alias("width")] if axis == "iw" else [])]
-        out = wide.groupBy(*by).agg(F.sum(F.col("wd") * F.col("_t.k")).alias("wd"), F.sum(F.col("w") * F.col("_t.k") * F.col("_t.k")).alias("w"))
+        lines = out.where(F.col(axis).isNotNull()).repartition(parts, *others).sortWithinPartitions(*others)
+        fields = [out.schema[c] for c in (*others, axis)] + [T.StructField(c, T.DoubleType()) for c in ("wd", "w")]
+        sigmas = spectral_sigmas if axis == "iw" else [spatial_sigma]
+        if axis == "iw":
+            fields.append(T.StructField("width", T.DoubleType()))
+        out = lines.mapInArrow(_over_kernel(others, axis, bounds[axis], sigmas, T.StructType(fields).names), T.StructType(fields))
     # Read several times below; a checkpoint is cheaper than three more shuffles each time.
     out = cut(out)
     every = [*keys, "width"]
@@ -147,6 +148,66 @@ def matched_filter_bank(
     return out.select(*every, *AXES, F.when(ok, F.col("wd") / F.sqrt(F.nullif(F.col("w"), F.lit(0.0)))).otherwise(0.0).alias("snr"))
 
 
+def _over_kernel(others: Sequence[str], axis: str, bounds: tuple[int, int], sigmas: Sequence[float], names: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows ``(others, axis, wd, w)``, sorted by ``others``, spread over the kernel of each sigma and
+    summed per place. As in a sum of rows, a place that nothing reaches has no row and a sum of
+    nothing but NULL is NULL."""
+    lo, hi = bounds
+    n = hi - lo + 1
+    taps = {s: gauss_taps(s) for s in sigmas}
+
+    def spread(t: pa.Table, line: np.ndarray, first: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = t.column(axis).to_numpy().astype(np.int64) - lo
+        known = {c: t.column(c).is_valid().to_numpy() for c in ("wd", "w")}
+        value = {c: np.where(known[c], t.column(c).to_numpy(), 0.0) for c in ("wd", "w")}
+        size = len(first) * n
+        for s in sigmas:
+            met, has = np.zeros(size, bool), {c: np.zeros(size, bool) for c in ("wd", "w")}
+            total = {c: np.zeros(size) for c in ("wd", "w")}
+            for o, k in taps[s]:
+                ok = (at + o >= 0) & (at + o < n)
+                place = line[ok] * n + at[ok] + o
+                met[place] = True
+                for c, by in (("wd", k), ("w", k * k)):
+                    has[c][place[known[c][ok]]] = True
+                    total[c] += np.bincount(place, weights=value[c][ok] * by, minlength=size)
+            found = np.flatnonzero(met)
+            base = t.select(others).take(pa.array(first[found // n]))
+            cols = {c: base.column(c) for c in others}
+            cols[axis] = pa.array(found % n + lo).cast(t.schema.field(axis).type)
+            cols |= {c: pa.array(total[c][found], mask=~has[c][found]) for c in total}
+            cols["width"] = pa.array(np.full(len(found), float(s)))
+            yield from pa.table({c: cols[c] for c in names}).to_batches(max_chunksize=50_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in itertools.chain(batches, [None]):
+            if b is not None:
+                held.append(b)
+                size += b.num_rows
+            if not size or (b is not None and size < HELD):
+                continue
+            t = pa.Table.from_batches(held).combine_chunks()
+            new = np.zeros(t.num_rows, bool)
+            new[0] = True
+            for c in others:
+                kinds = pa.concat_arrays(t.column(c).chunks).dictionary_encode(null_encoding="encode")
+                new[1:] |= np.diff(kinds.indices.to_numpy()) != 0
+            starts = np.flatnonzero(new)
+            ends = np.append(starts[1:], t.num_rows)
+            last = len(starts) if b is None else len(starts) - 1  # the last line may go on
+            line = np.cumsum(new) - 1
+            step = max(1, PLACES // n)
+            for i in range(0, last, step):
+                j = min(i + step, last)
+                rows = slice(starts[i], ends[j - 1])
+                yield from spread(t.slice(starts[i], ends[j - 1] - starts[i]), line[rows] - i, starts[i:j] - starts[i])
+            rest = t.slice(starts[last] if last < len(starts) else t.num_rows)
+            held, size = rest.to_batches(), rest.num_rows
+
+    return run
+
+
 def connected_voxels(voxel: DataFrame, *, threshold: float, id: str = "voxel_id", keys: Sequence[str] = ()) -> DataFrame:
     """Connected groups of voxels above the threshold: peak position and value, and size."""
     out = level_components(voxel, AXES, value="snr", thresholds=[threshold], shifts=half_ball(3), id=id, keys=keys)
@@ -236,7 +297,9 @@ def post_veto_purity(
     keys, both = list(keys), [*keys, "_neg"]
     flip = lambda df, *cols: df.withColumn("_neg", F.lit(False)).unionByName(df.withColumns({c: -F.col(c) for c in cols}).withColumn("_neg", F.lit(True)))
     # A voxel takes part under two numbers, one for each sign.
-    signed = flip(bank, "snr").withColumn("voxel_id", F.col("voxel_id") * 2 + F.col("_neg").cast("long"))
+    signs = F.explode(F.array(F.lit(False), F.lit(True))).alias("_neg")
+    signed = bank.where(F.abs("snr") > float(min(thresholds))).select("*", signs).withColumn("snr", F.when(F.col("_neg"), -F.col("snr")).otherwise(F.col("snr")))
+    signed = signed.withColumn("voxel_id", F.col("voxel_id") * 2 + F.col("_neg").cast("long"))
     cand = bank_candidates(signed, thresholds=thresholds, dxy=dxy, dw=dw, keys=both)
     cand = resolved_only(cand, flip(voxel, "data"), sigma="width", min_fraction=min_fraction, keys=both)
     cand = cand.where(F.col("npix").between(min_npix, max_npix))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lumenframe.functions.scale import cut
 from lumenframe.operators import detect as dt
 from lumenframe.operators import patches as pt
 from lumenframe.plans.registry import CUBE, query, shared
@@ -103,8 +104,8 @@ def _(t):
     return dt.matched_filter(t.voxel, spectral_sigma=0.8, spatial_sigma=0.6, bounds=FRAME, coverage=0.9, keys=CUBE)
 
 
-def bank(t):
-    return dt.matched_filter_bank(t.voxel, spectral_sigmas=[0.8, 1.6], spatial_sigma=0.6, bounds=FRAME, coverage=0.9, keys=CUBE)
+def bank(t, voxel=None):
+    return dt.matched_filter_bank(t.voxel if voxel is None else voxel, spectral_sigmas=[0.8, 1.6], spatial_sigma=0.6, bounds=FRAME, coverage=0.9, keys=CUBE)
 
 
 @query("matched_filter_bank", fix="snr width", sql="SELECT * FROM {bank_}")
@@ -178,8 +179,8 @@ def _(t):
     return dt.candidate_vetoes(candidates(t), t.voxel, covered(t), nx=40, ny=25, min_fraction=0.05, min_npix=2, max_npix=6, min_distance=2.0, keys=CUBE)
 
 
-def covered(t):
-    return t.voxel.where("(ix * 7 + iy * 13) % 61 <> 0").select("cube_id", "ix", "iy").distinct()
+def covered(t, voxel=None):
+    return (t.voxel if voxel is None else voxel).where("(ix * 7 + iy * 13) % 61 <> 0").select("cube_id", "ix", "iy").distinct()
 
 
 @query(
@@ -238,9 +239,10 @@ shared(
              FROM (SELECT DISTINCT cube_id FROM {voxel}) AS q CROSS JOIN (VALUES (0, 1.8e0), (1, 2.1e0), (2, 2.4e0)) AS t(k, thr) LEFT JOIN l ON l.cube_id = q.cube_id AND l.k = t.k GROUP BY q.cube_id, thr)""",
 )
 def _(t):
-    v = bank(t).withColumn("voxel_id", F.col("cube_id") * 1000000 + F.col("iw") * 100000 + F.col("iy") * 1000 + F.col("ix"))
+    voxel = cut(t.voxel)  # read by the filter, the vetoes and the coverage
+    v = bank(t, voxel).withColumn("voxel_id", F.col("cube_id") * 1000000 + F.col("iw") * 100000 + F.col("iy") * 1000 + F.col("ix"))
     return dt.post_veto_purity(
-        v, t.voxel, covered(t), thresholds=PURITY_AT, nx=40, ny=25, min_fraction=0.05, min_npix=2, max_npix=200, min_distance=1.5, keys=CUBE
+        v, voxel, covered(t, voxel), thresholds=PURITY_AT, nx=40, ny=25, min_fraction=0.05, min_npix=2, max_npix=200, min_distance=1.5, keys=CUBE
     )
 
 

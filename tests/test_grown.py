@@ -133,3 +133,29 @@ def test_copies_of_a_point_end_early(spark, monkeypatch):
         assert got.node[i] == n[d2.argmin(), 0] and got.dist[i] == pytest.approx(math.sqrt(d2.min()), rel=1e-9)
     met = [rows for c, rows in seen if "_bound" in c]
     assert len(got) == 20_000 and len(met) >= 3 and max(met) <= 3 * 20_000
+
+
+def test_the_filter_makes_no_row_per_tap(frame, monkeypatch):
+    """A row per voxel and tap was 14 rows per voxel in the last pass; lines cut by batches and slices."""
+    r = np.random.default_rng(8)
+    rows = [(c if c else None, *(int(x) for x in p), None if r.random() < 0.1 else float(r.normal()), float(r.random())) for c in range(3) for p in np.ndindex(6, 7, 5) if r.random() < 0.4]
+    v = frame(rows, "cube int, iw long, iy int, ix long, data double, ivar double")
+    plans, cut = [], detect.cut
+    monkeypatch.setattr(detect, "cut", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut(df))
+    monkeypatch.setattr(detect, "HELD", 20, raising=False)
+    monkeypatch.setattr(detect, "PLACES", 30, raising=False)
+    bounds, widths = {"iw": (1, 5), "iy": (0, 6), "ix": (0, 5)}, (0.7, 1.5)
+    got = detect.matched_filter_bank(v, spectral_sigmas=widths, spatial_sigma=0.8, bounds=bounds, coverage=0.0, keys=["cube"])
+    assert "Generate" not in plans[0]
+    n, d = defaultdict(lambda: None), defaultdict(float)
+    space = detect.gauss_taps(0.8)
+    for c, w, y, x, data, ivar in rows:
+        for s in widths:
+            for (o, a), (p, b), (q, e) in ((i, j, k) for i in detect.gauss_taps(s) for j in space for k in space):
+                at = (c, s, w + o, y + p, x + q)
+                if all(lo <= z <= hi for z, (lo, hi) in zip(at[2:], bounds.values(), strict=True)):
+                    d[at] += ivar * (a * b * e) ** 2
+                    n[at] = n[at] if data is None else (n[at] or 0.0) + ivar * data * a * b * e
+    have = {(t.cube, t.width, t.iw, t.iy, t.ix): t.snr for t in got.collect()}
+    # Places of a cube without a number meet no median and so are 0.
+    assert have == {k: None if n[k] is None and k[0] is not None else pytest.approx(0.0 if k[0] is None else n[k] / math.sqrt(d[k]), abs=1e-9) for k in d}
